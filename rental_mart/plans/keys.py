@@ -57,3 +57,117 @@ def fact_dw_daily_iso_on_mixed(spark, sf_dir):
     """Variant A over mixed date text keeps only the dashed half."""
     clean = fact_ops.clean_fact_iso(dv.ods_fact_mixed(spark, sf_dir), *dv.PERIOD)
     return fact_ops.aggregate_fact(clean)
+
+
+# ---- C2-C5, C10, C11: period loads into partitioned tables ---------------------------
+
+from rental_mart.operators import mart as mart_ops  # noqa: E402
+from rental_mart.operators import station as st_ops  # noqa: E402
+from rental_mart.operators import tables as tb  # noqa: E402
+from rental_mart.plans import fact_load as fl  # noqa: E402
+from rental_mart.plans import station_load as sl  # noqa: E402
+from rental_mart.session import scratch_path  # noqa: E402
+
+
+def _loaded_dw(spark, sf_dir, name: str) -> tb.ParquetTable:
+    """DW fact loaded over the wide period, then the test period reloaded."""
+    dw = fl.dw_fact_table(scratch_path(spark, name))
+    ods = dv.ods_fact(spark, sf_dir)
+    fl.load_fact_dw(spark, ods, dw, *dv.WIDE_PERIOD, load_ts=dv.LOAD_TS)
+    fl.load_fact_dw(spark, ods, dw, *dv.PERIOD, load_ts=dv.LOAD_TS)
+    return dw
+
+
+@register("fact_refresh_period")
+def fact_refresh_period(spark, sf_dir):
+    """C4 twice equals once: reloading a period inside a loaded range changes nothing."""
+    dw = _loaded_dw(spark, sf_dir, "fact_refresh_period")
+    return tb.read_table(spark, dw).select(*OUT_FACT)
+
+
+@register("fact_refresh_lost_day")
+def fact_refresh_lost_day(spark, sf_dir):
+    """A reload where one day lost all its source rows leaves that day empty."""
+    dw = fl.dw_fact_table(scratch_path(spark, "fact_refresh_lost_day"))
+    fl.load_fact_dw(spark, dv.ods_fact(spark, sf_dir), dw, *dv.WIDE_PERIOD, load_ts=dv.LOAD_TS)
+    fl.load_fact_dw(spark, dv.ods_fact_without_day(spark, sf_dir), dw, *dv.PERIOD, load_ts=dv.LOAD_TS)
+    return tb.read_table(spark, dw).select(*OUT_FACT)
+
+
+@register("fact_insert")
+def fact_insert(spark, sf_dir):
+    """Append a second period's rows by name to a loaded table."""
+    dw = fl.dw_fact_table(scratch_path(spark, "fact_insert"))
+    ods = dv.ods_fact(spark, sf_dir)
+    fl.load_fact_dw(spark, ods, dw, *dv.EARLY_PERIOD, load_ts=dv.LOAD_TS)
+    tb.append_rows(spark, dw, fact_ops.fact_dw_rows(ods, *dv.PERIOD, load_ts=dv.LOAD_TS))
+    return tb.read_table(spark, dw).select(*OUT_FACT)
+
+
+@register("table_count")
+def table_count(spark, sf_dir):
+    """COUNT(*) of the DW fact after the loads."""
+    return tb.table_count(spark, _loaded_dw(spark, sf_dir, "table_count"))
+
+
+def _loaded_dm(spark, sf_dir, name, make_table, summary):
+    dw = _loaded_dw(spark, sf_dir, f"{name}_dw")
+    dm = make_table(scratch_path(spark, f"{name}_dm"))
+    fl.refresh_dm(spark, dw, dm, *dv.WIDE_PERIOD, summary=summary, load_ts=dv.LOAD_TS)
+    fl.refresh_dm(spark, dw, dm, *dv.PERIOD, summary=summary, load_ts=dv.LOAD_TS)
+    return tb.read_table(spark, dm).drop("last_updated")
+
+
+@register("mart_daily")
+def mart_daily(spark, sf_dir):
+    return _loaded_dm(spark, sf_dir, "mart_daily", fl.dm_daily_table, mart_ops.daily_totals)
+
+
+@register("mart_station")
+def mart_station(spark, sf_dir):
+    return _loaded_dm(spark, sf_dir, "mart_station", fl.dm_station_table, mart_ops.station_daily)
+
+
+# ---- B8-B11, B13, C6-C9: station dimension --------------------------------------------
+
+@register("station_clean")
+def station_clean(spark, sf_dir):
+    return st_ops.clean_station(dv.ods_station(spark, sf_dir))
+
+
+@register("station_upsert")
+def station_upsert(spark, sf_dir):
+    src = st_ops.clean_station(dv.ods_station(spark, sf_dir))
+    return st_ops.upsert_station(dv.dw_station_seed(spark, sf_dir), src, dv.LOAD_TS)
+
+
+@register("station_soft_delete")
+def station_soft_delete(spark, sf_dir):
+    src = st_ops.clean_station(dv.ods_station(spark, sf_dir))
+    return st_ops.soft_delete_missing(dv.dw_station_seed(spark, sf_dir), src, dv.LOAD_TS)
+
+
+@register("station_soft_delete_null_key")
+def station_soft_delete_null_key(spark, sf_dir):
+    """A NULL code in the source turns NOT IN into NULL for every row: nothing is deleted."""
+    src = st_ops.clean_station(dv.ods_station(spark, sf_dir, null_key_every=10))
+    return st_ops.soft_delete_missing(dv.dw_station_seed(spark, sf_dir), src, dv.LOAD_TS)
+
+
+def _loaded_station(spark, sf_dir, name):
+    dw = sl.dw_station_table(scratch_path(spark, name))
+    tb.overwrite_table(spark, dw, dv.dw_station_seed(spark, sf_dir))
+    count = sl.load_station_dw(spark, dv.ods_station(spark, sf_dir), dw, load_ts=dv.LOAD_TS)
+    return dw, count
+
+
+@register("station_load")
+def station_load(spark, sf_dir):
+    dw, _ = _loaded_station(spark, sf_dir, "station_load")
+    return tb.read_table(spark, dw)
+
+
+@register("station_active_count")
+def station_active_count(spark, sf_dir):
+    _, count = _loaded_station(spark, sf_dir, "station_active_count")
+    return count

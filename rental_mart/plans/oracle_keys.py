@@ -14,3 +14,39 @@ ORACLE: dict[str, str] = {
     "fact_dw_daily_any": o.fact_dw(o.ODS_FACT_MIXED, "ods_fact_mixed", S, E, "any"),
     "fact_dw_daily_iso_on_mixed": o.fact_dw(o.ODS_FACT_MIXED, "ods_fact_mixed", S, E),
 }
+
+WS, WE = dv.WIDE_PERIOD
+ES, EE = dv.EARLY_PERIOD
+_LOST = o.ODS_FACT + f""",
+ods_fact_lost AS (SELECT * FROM ods_fact WHERE rent_dt <> '{dv.LOST_DAY}')"""
+_DW_WIDE = f"""WITH {o.ODS_FACT},
+c AS ({o.clean_iso('ods_fact', WS, WE)}),
+dw AS ({o.aggregate('c')})
+"""
+
+ORACLE.update({
+    "fact_refresh_period": o.fact_dw(o.ODS_FACT, "ods_fact", WS, WE),
+    "fact_refresh_lost_day": o.fact_dw(_LOST, "ods_fact_lost", WS, WE),
+    "fact_insert": f"""WITH {o.ODS_FACT},
+a AS ({o.clean_iso('ods_fact', ES, EE)}),
+b AS ({o.clean_iso('ods_fact', S, E)})
+{o.aggregate('a')}
+UNION ALL
+{o.aggregate('b')}""",
+    "table_count": _DW_WIDE + "SELECT count(*) AS n_rows FROM dw",
+    "mart_daily": _DW_WIDE + o.mart_daily("dw"),
+    "mart_station": _DW_WIDE + o.mart_station("dw"),
+    "station_clean": f"WITH {o.ods_station()},{o.STATION_SRC}\nSELECT * FROM src",
+    "station_upsert": f"WITH {o.ods_station()},{o.STATION_SRC},{o.DW_STATION_SEED}\n"
+                      + o.upsert("dw_station", "src"),
+    "station_soft_delete": f"WITH {o.ods_station()},{o.STATION_SRC},{o.DW_STATION_SEED}\n"
+                           + o.soft_delete("dw_station", "src"),
+    "station_soft_delete_null_key": f"WITH {o.ods_station(10)},{o.STATION_SRC},{o.DW_STATION_SEED}\n"
+                                    + o.soft_delete("dw_station", "src"),
+    "station_load": f"WITH {o.ods_station()},{o.STATION_SRC},{o.DW_STATION_SEED},\n"
+                    f"up AS ({o.upsert('dw_station', 'src')})\n" + o.soft_delete("up", "src"),
+    "station_active_count": f"WITH {o.ods_station()},{o.STATION_SRC},{o.DW_STATION_SEED},\n"
+                            f"up AS ({o.upsert('dw_station', 'src')}),\n"
+                            f"ld AS ({o.soft_delete('up', 'src')})\n"
+                            "SELECT count(*) AS n_active FROM ld WHERE is_deleted = FALSE",
+})
