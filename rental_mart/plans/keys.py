@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rental_mart.operators import fact as fact_ops
 from rental_mart.sources import derived as dv
@@ -171,3 +172,170 @@ def station_load(spark, sf_dir):
 def station_active_count(spark, sf_dir):
     _, count = _loaded_station(spark, sf_dir, "station_active_count")
     return count
+
+
+# ---- A1-A14, D7: pages, lake, ODS ------------------------------------------------------
+
+from rental_mart.operators import quality as dq  # noqa: E402
+from rental_mart.schemas import FACT_API_ROW, ODS_STATION, STATION_API_ROW  # noqa: E402
+from rental_mart.sources import lake, ods, pages  # noqa: E402
+
+FACT_SERVICE = "tbCycleRentUseDayInfo"
+DIM_SERVICE = "bikeList"
+SNAPSHOT_DAY = "2024-02-01"
+EMPTY_SNAPSHOT_DAY = "2024-02-02"
+
+
+def _landed_lake(spark, sf_dir, name):
+    base = scratch_path(spark, name)
+    lake.land_fact(dv.fact_api_rows(spark, sf_dir), base, FACT_SERVICE)
+    return base
+
+
+@register("land_fact_readback")
+def land_fact_readback(spark, sf_dir):
+    base = _landed_lake(spark, sf_dir, "land_fact_readback")
+    return lake.read_landed(spark, base, FACT_SERVICE, FACT_API_ROW)
+
+
+@register("land_fact_period_readback")
+def land_fact_period_readback(spark, sf_dir):
+    """Period read: only the period's day folders are listed and scanned."""
+    base = _landed_lake(spark, sf_dir, "land_fact_period_readback")
+    return lake.read_landed(spark, base, FACT_SERVICE, FACT_API_ROW, *dv.PERIOD)
+
+
+@register("land_relanding")
+def land_relanding(spark, sf_dir):
+    """Re-landing the period replaces those days; other days stay as landed."""
+    base = _landed_lake(spark, sf_dir, "land_relanding")
+    lost = dv.ods_fact_without_day(spark, sf_dir)
+    period = lost.where(F.col("rent_dt").between(*dv.PERIOD))
+    lake.land_fact(period.select(*[F.col(c).alias(c.upper()) for c in period.columns]), base, FACT_SERVICE)
+    return lake.read_landed(spark, base, FACT_SERVICE, FACT_API_ROW)
+
+
+@register("lower_names")
+def lower_names(spark, sf_dir):
+    base = _landed_lake(spark, sf_dir, "lower_names")
+    return lake.lower_names(lake.read_landed(spark, base, FACT_SERVICE, FACT_API_ROW))
+
+
+@register("land_snapshot_readback")
+def land_snapshot_readback(spark, sf_dir):
+    base = scratch_path(spark, "land_snapshot_readback")
+    api = dv.station_api_rows(spark, sf_dir)
+    lake.land_snapshot(api.where(F.col("stationId").endswith("7")), base, DIM_SERVICE, "2024-01-31")
+    lake.land_snapshot(api, base, DIM_SERVICE, SNAPSHOT_DAY)
+    return lake.read_snapshot(spark, base, DIM_SERVICE, STATION_API_ROW, SNAPSHOT_DAY)
+
+
+@register("ods_reload")
+def ods_reload(spark, sf_dir):
+    """A9 -> A10 -> A12: landed fact into the ODS text table, read back."""
+    base = _landed_lake(spark, sf_dir, "ods_reload_lake")
+    t = ods.ods_fact_table(scratch_path(spark, "ods_reload_ods"))
+    ods.load_ods(spark, lake.read_landed(spark, base, FACT_SERVICE, FACT_API_ROW), t)
+    ods.load_ods(spark, lake.read_landed(spark, base, FACT_SERVICE, FACT_API_ROW), t)
+    return tb.read_table(spark, t)
+
+
+@register("ods_empty_guard")
+def ods_empty_guard(spark, sf_dir):
+    """A snapshot day with no data leaves the previous station ODS in place."""
+    base = scratch_path(spark, "ods_empty_guard_lake")
+    lake.land_snapshot(dv.station_api_rows(spark, sf_dir), base, DIM_SERVICE, SNAPSHOT_DAY)
+    t = ods.ods_station_table(scratch_path(spark, "ods_empty_guard_ods"))
+    first = ods.load_ods_guarded(spark, lake.read_snapshot(spark, base, DIM_SERVICE, STATION_API_ROW, SNAPSHOT_DAY), t)
+    empty = lake.read_snapshot(spark, base, DIM_SERVICE, STATION_API_ROW, EMPTY_SNAPSHOT_DAY)
+    second = ods.load_ods_guarded(spark, empty, t)
+    assert first.loaded and not second.loaded, (first, second)
+    return tb.read_table(spark, t)
+
+
+@register("preview_shape")
+def preview_shape(spark, sf_dir):
+    return ods.shape(dv.table(spark, sf_dir, "lineitem"))
+
+
+def _orders_pages(spark, sf_dir, rent_dt=dv.PAGES_DAY):
+    return dv.orders_pages(spark, sf_dir, rent_dt=rent_dt)
+
+
+@register("pages_unpack_fact")
+def pages_unpack_fact(spark, sf_dir):
+    return pages.unpack_pages_fact(_orders_pages(spark, sf_dir), dv.orders_row_schema(spark, sf_dir))
+
+
+@register("pages_unpack_fact_stop")
+def pages_unpack_fact_stop(spark, sf_dir):
+    """Page 8 answered RESULT: only pages 1-7 are read."""
+    p = dv.with_result_page(_orders_pages(spark, sf_dir), 8)
+    return pages.unpack_pages_fact(p, dv.orders_row_schema(spark, sf_dir))
+
+
+@register("pages_unpack_dim")
+def pages_unpack_dim(spark, sf_dir):
+    return pages.unpack_pages_dim(_orders_pages(spark, sf_dir, None), dv.orders_row_schema(spark, sf_dir))
+
+
+@register("page_ranges")
+def page_ranges(spark, sf_dir):
+    """A3 over the daily totals of ``orders`` by order date."""
+    o = dv.table(spark, sf_dir, "orders")
+    totals = o.groupBy(F.date_format("o_orderdate", "yyyyMMdd").alias("rent_dt")).agg(
+        F.count(F.lit(1)).alias("list_total_count"))
+    return pages.page_ranges(totals)
+
+
+@register("page_audit")
+def page_audit(spark, sf_dir):
+    """D7 over a complete day and a day cut short by a RESULT page."""
+    good = _orders_pages(spark, sf_dir, "20240101")
+    cut = dv.with_result_page(_orders_pages(spark, sf_dir, "20240102"), 8)
+    return pages.page_audit(good.unionByName(cut), dv.orders_row_schema(spark, sf_dir))
+
+
+# ---- A4, D1-D6: spine and profiles -------------------------------------------------
+
+@register("date_spine")
+def date_spine(spark, sf_dir):
+    ev = dv.table(spark, sf_dir, "events")
+    bounds = ev.agg(F.min("ts").alias("start_dt"), F.max("ts").alias("end_dt"))
+    return lake.date_spine_of(bounds)
+
+
+@register("rows_per_day")
+def rows_per_day(spark, sf_dir):
+    return dq.rows_per_day(dv.ods_fact_without_day(spark, sf_dir))
+
+
+@register("schema_list")
+def schema_list(spark, sf_dir):
+    return dq.schema_list(spark, dv.table(spark, sf_dir, "lineitem"))
+
+
+@register("null_counts")
+def null_counts(spark, sf_dir):
+    return dq.null_counts(dv.table(spark, sf_dir, "lineitem"))
+
+
+@register("describe")
+def describe(spark, sf_dir):
+    return dq.describe(dv.table(spark, sf_dir, "lineitem"))
+
+
+@register("constraint_audit")
+def constraint_audit(spark, sf_dir):
+    """D5 over a DW table where the period was inserted twice by mistake (C3 twice)."""
+    dw = fl.dw_fact_table(scratch_path(spark, "constraint_audit"))
+    rows = fact_ops.fact_dw_rows(dv.ods_fact(spark, sf_dir), *dv.PERIOD, load_ts=dv.LOAD_TS)
+    tb.append_rows(spark, dw, rows)
+    tb.append_rows(spark, dw, rows)
+    return dq.constraint_audit(tb.read_table(spark, dw))
+
+
+@register("layout_profile")
+def layout_profile(spark, sf_dir):
+    base = _landed_lake(spark, sf_dir, "layout_profile")
+    return dq.layout_profile(spark, f"{base}/{FACT_SERVICE}")

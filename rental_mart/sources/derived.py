@@ -74,12 +74,9 @@ def ods_fact_without_day(spark: SparkSession, sf_dir: str, day: str = LOST_DAY)
 
 
 def fact_api_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ODS fact rows as the API returns them: upper-case names, compact rent_dt."""
+    """ODS fact rows as the API returns them (upper-case names)."""
     o = ods_fact(spark, sf_dir)
-    return o.select(
-        F.replace("rent_dt", F.lit("-"), F.lit("")).alias("RENT_DT"),
-        *[F.col(c).alias(c.upper()) for c in names(ODS_FACT) if c != "rent_dt"],
-    )
+    return o.select(*[F.col(c).alias(c.upper()) for c in names(ODS_FACT)])
 
 
 def ods_station(spark: SparkSession, sf_dir: str, null_key_every: int | None = None) -> DataFrame:
@@ -144,3 +141,67 @@ def dw_station_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (nk % 4 == 0).alias("is_deleted"),
     )
     return a.unionByName(b)
+
+
+# ---- landed pages built from ``orders`` -------------------------------------------
+
+from pyspark.sql import Window  # noqa: E402
+
+from rental_mart.schemas import PAGE_SIZE  # noqa: E402
+
+ORDERS_SERVICE = "orders"
+PAGES_DAY = "20240101"
+
+
+def positions(spark: SparkSession, df: DataFrame, order_col: str, n_ranges: int | None = None) -> DataFrame:
+    """Adds ``pos``: 1-based rank of each row by the unique ``order_col``.
+
+    A distributed row numbering: range-partition by the column, checkpoint so
+    partition ids are pinned, count rows per range (one row per range, so the
+    offset table is bounded by the number of ranges and safe to broadcast), then
+    number rows inside each range. No step holds more than one range."""
+    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, F.col(order_col)).withColumn("_range", F.spark_partition_id())
+    ranged = ranged.checkpoint(eager=True)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_range").orderBy(order_col)
+    return (ranged.join(F.broadcast(offsets), "_range")
+            .withColumn("pos", F.col("_offset") + F.row_number().over(within))
+            .drop("_range", "_offset"))
+
+
+def orders_pages(spark: SparkSession, sf_dir: str, rent_dt: str | None = PAGES_DAY,
+                 service: str = ORDERS_SERVICE, page_size: int = PAGE_SIZE) -> DataFrame:
+    """``orders`` as landed API responses: rows numbered by o_orderkey, cut into
+    pages of ``page_size``; body = {service: {list_total_count, row: [...]}}."""
+    o = table(spark, sf_dir, "orders")
+    cols = o.columns
+    numbered = positions(spark, o, "o_orderkey")
+    total = o.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    paged = numbered.withColumn("page_no", F.floor((F.col("pos") - 1) / page_size) + 1)
+    grouped = paged.groupBy("page_no").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("pos"), F.struct(*cols).alias("r")))).alias("items"))
+    rows = F.transform("items", lambda x: x["r"])
+    body = F.to_json(F.create_map(F.lit(service), F.struct(
+        F.lit(total).cast("long").alias("list_total_count"), rows.alias("row"))))
+    start = (F.col("page_no") - 1) * page_size + 1
+    return grouped.select(
+        F.lit(service).alias("service"),
+        F.lit(rent_dt).cast("string").alias("rent_dt"),
+        start.cast("long").alias("start_index"),
+        (start + page_size - 1).cast("long").alias("end_index"),
+        body.alias("body"),
+    )
+
+
+def with_result_page(pages: DataFrame, page_no: int) -> DataFrame:
+    """The same pages where page ``page_no`` came back as an end-of-data RESULT."""
+    start = (page_no - 1) * PAGE_SIZE + 1
+    result = F.lit('{"RESULT":{"CODE":"INFO-200","MESSAGE":"no data"}}')
+    return pages.withColumn("body", F.when(F.col("start_index") == start, result).otherwise(F.col("body")))
+
+
+def orders_row_schema(spark: SparkSession, sf_dir: str):
+    return table(spark, sf_dir, "orders").schema
