@@ -55,8 +55,11 @@ def null_counts(df: DataFrame) -> DataFrame:
 # ---- D4 ---------------------------------------------------------------------------
 
 QUARTILES = (0.25, 0.5, 0.75)
-EXACT_QUANTILE_LIMIT = 10_000_000   # rows per column the exact quantile may buffer
-APPROX_ACCURACY = 10_000            # Spark's default sketch accuracy beyond that
+# Exact quartiles buffer one (value, count) map per column in the final task, so
+# they are used only up to this many rows (checked first); beyond it a mergeable
+# sketch with O(accuracy) memory answers within n / accuracy ranks.
+EXACT_QUARTILE_ROWS = 2_000_000
+APPROX_ACCURACY = 100_000
 
 
 def _numeric(df: DataFrame) -> list[str]:
@@ -64,32 +67,27 @@ def _numeric(df: DataFrame) -> list[str]:
 
 
 def describe(df: DataFrame, cols: list[str] | None = None,
-             exact_limit: int = EXACT_QUANTILE_LIMIT, accuracy: int = APPROX_ACCURACY) -> DataFrame:
+             exact_rows: int = EXACT_QUARTILE_ROWS, accuracy: int = APPROX_ACCURACY) -> DataFrame:
     """One row per numeric column: count, null_count, mean, std (sample), min,
-    q25, q50, q75, max.
+    q25, q50, q75, max in one aggregate.
 
-    Quartiles are nearest-rank: the smallest value with at least p of the values
-    at or below it. Up to ``exact_limit`` rows they are exact (percentile_disc,
-    whose buffer is bounded by that check); beyond it a bounded-memory sketch
-    (percentile_approx) answers within n/accuracy ranks."""
+    Quartiles interpolate linearly between the two nearest ranks. They are exact
+    while the input has at most ``exact_rows`` rows; past that size they come
+    from a bounded-memory sketch, within n / accuracy ranks of the exact value."""
     cols = cols or _numeric(df)
-    n = df.count()
-    exact = n <= exact_limit
+    exact = df.count() <= exact_rows
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        if exact:
-            qs = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")
-                  for p in QUARTILES]
-        else:
-            qs = [F.percentile_approx(x, p, accuracy) for p in QUARTILES]
+        q = (F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES])) if exact
+             else F.percentile_approx(x, list(QUARTILES), accuracy))
         aggs += [
             F.count(x).alias(f"{c}__count"),
             F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
             F.avg(x).alias(f"{c}__mean"),
             F.stddev_samp(x).alias(f"{c}__std"),
             F.min(x).alias(f"{c}__min"),
-            *[q.alias(f"{c}__q{int(p * 100)}") for q, p in zip(qs, QUARTILES)],
+            q.alias(f"{c}__q"),
             F.max(x).alias(f"{c}__max"),
         ]
     wide = df.agg(*aggs)
@@ -100,9 +98,9 @@ def describe(df: DataFrame, cols: list[str] | None = None,
         F.col(f"{c}__mean").alias("mean"),
         F.col(f"{c}__std").alias("std"),
         F.col(f"{c}__min").alias("min"),
-        F.col(f"{c}__q25").alias("q25"),
-        F.col(f"{c}__q50").alias("q50"),
-        F.col(f"{c}__q75").alias("q75"),
+        F.col(f"{c}__q")[0].alias("q25"),
+        F.col(f"{c}__q")[1].alias("q50"),
+        F.col(f"{c}__q")[2].alias("q75"),
         F.col(f"{c}__max").alias("max"),
     ) for c in cols]
     return wide.select(F.inline(F.array(*per_col)))

@@ -67,7 +67,7 @@ def _describe_sql() -> str:
     parts = []
     for c in _LINEITEM_NUM:
         x = f"CAST({c} AS DOUBLE)"
-        q = [f"list_sort(list({x}))[CAST(ceil({p} * count({x})) AS BIGINT)]" for p in (0.25, 0.5, 0.75)]
+        q = [f"quantile_cont({x}, {p})" for p in (0.25, 0.5, 0.75)]
         parts.append(f"""SELECT '{c}' AS column_name, count({x}) AS count,
   count(*) FILTER (WHERE {c} IS NULL) AS null_count,
   avg({x}) AS mean,
