@@ -178,18 +178,20 @@ def orders_pages(spark: SparkSession, sf_dir: str, rent_dt: str | None = PAGES_D
     pages of ``page_size``; body = {service: {list_total_count, row: [...]}}."""
     o = table(spark, sf_dir, "orders")
     cols = o.columns
-    numbered = positions(spark, o, "o_orderkey")
     total = o.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    # the page key travels with the rows through the checkpoint, so it is data
+    # (as in a landed table) rather than a constant the optimizer folds away
+    keyed = o.select(F.lit(service).alias("service"), F.lit(rent_dt).cast("string").alias("rent_dt"), *cols)
+    numbered = positions(spark, keyed, "o_orderkey")
     paged = numbered.withColumn("page_no", F.floor((F.col("pos") - 1) / page_size) + 1)
-    grouped = paged.groupBy("page_no").agg(
+    grouped = paged.groupBy("service", "rent_dt", "page_no").agg(
         F.sort_array(F.collect_list(F.struct(F.col("pos"), F.struct(*cols).alias("r")))).alias("items"))
     rows = F.transform("items", lambda x: x["r"])
-    body = F.to_json(F.create_map(F.lit(service), F.struct(
+    body = F.to_json(F.create_map(F.col("service"), F.struct(
         F.lit(total).cast("long").alias("list_total_count"), rows.alias("row"))))
     start = (F.col("page_no") - 1) * page_size + 1
     return grouped.select(
-        F.lit(service).alias("service"),
-        F.lit(rent_dt).cast("string").alias("rent_dt"),
+        "service", "rent_dt",
         start.cast("long").alias("start_index"),
         (start + page_size - 1).cast("long").alias("end_index"),
         body.alias("body"),
