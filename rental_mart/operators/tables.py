@@ -176,7 +176,7 @@ def _in_period(value: str | None, s: _dt.date, e: _dt.date) -> bool:
 
 
 def refresh_period(spark: SparkSession, table: ParquetTable, rows: DataFrame, start, end) -> None:
-    """C4: delete the period, then insert ``rows`` — rerunnable.
+    """C4: delete the period, then insert ``rows`` -- rerunnable.
 
     1. write ``rows`` partitioned into ``<table>/_staging-*`` (the expensive part;
        a failure here leaves the table untouched);
@@ -185,17 +185,27 @@ def refresh_period(spark: SparkSession, table: ParquetTable, rows: DataFrame, st
     3. move staged partitions in (whole folders, or files into an existing folder
        for dates outside the period, which are appended as INSERT would).
     """
+    s, e = fx.period_bounds(start, end)
+    _refresh(spark, table, rows, lambda v: _in_period(v, s, e))
+
+
+def refresh_days(spark: SparkSession, table: ParquetTable, rows: DataFrame, days) -> None:
+    """C4 for a set of days instead of one range (used by incremental loads)."""
+    wanted = {fx.iso_text(d) for d in days}
+    _refresh(spark, table, rows, lambda v: v is not None and v[:10] in wanted)
+
+
+def _refresh(spark: SparkSession, table: ParquetTable, rows: DataFrame, clear) -> None:
     if len(table.partition_by) != 1:
-        raise ValueError("refresh_period needs a table partitioned by one date column")
+        raise ValueError("a period refresh needs a table partitioned by one date column")
     col = table.partition_by[0]
-    s, e = fx.period_bounds(start, end)
     create_table(spark, table)
     root = table.path.rstrip("/")
     staging = f"{root}/_staging-{uuid.uuid4().hex[:12]}"
     _write(rows, table, staging, "overwrite")
 
     for name, is_dir in _children(spark, root):
-        if is_dir and not _hidden(name) and _in_period(_partition_value(name, col), s, e):
+        if is_dir and not _hidden(name) and clear(_partition_value(name, col)):
             _delete(spark, f"{root}/{name}")
 
     for name, is_dir in _children(spark, staging):
@@ -209,3 +219,9 @@ def refresh_period(spark: SparkSession, table: ParquetTable, rows: DataFrame, st
                 if not fdir and not _hidden(fname):
                     _rename(spark, f"{src}/{fname}", f"{dst}/{fname}")
     _delete(spark, staging)
+
+
+def register_view(spark: SparkSession, name: str, table: ParquetTable) -> str:
+    """Expose a table to SQL under ``name`` (a temporary view over its folder)."""
+    read_table(spark, table).createOrReplaceTempView(name)
+    return name

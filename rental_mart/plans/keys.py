@@ -339,3 +339,36 @@ def constraint_audit(spark, sf_dir):
 def layout_profile(spark, sf_dir):
     base = _landed_lake(spark, sf_dir, "layout_profile")
     return dq.layout_profile(spark, f"{base}/{FACT_SERVICE}")
+
+
+# ---- B15: the same DW statement as parameterised SQL -------------------------------
+
+from rental_mart.plans import sql_templates  # noqa: E402
+
+
+@register("fact_dw_daily_sql")
+def fact_dw_daily_sql(spark, sf_dir):
+    dv.ods_fact(spark, sf_dir).createOrReplaceTempView("ods_fact_bike_rent_daily")
+    return sql_templates.fact_dw_sql(spark, "ods_fact_bike_rent_daily", *dv.PERIOD)
+
+
+# ---- streaming: incremental DW refresh over the landed lake --------------------------
+
+from rental_mart.streaming import landed_days  # noqa: E402
+
+
+@register("stream_dw_refresh")
+def stream_dw_refresh(spark, sf_dir):
+    """Land all days, stream them into the DW; re-land the period (one day lost
+    its rows, so its old folder stays, as landing never deletes) and stream again:
+    only the re-landed days are reloaded."""
+    base = _landed_lake(spark, sf_dir, "stream_dw_refresh_lake")
+    dw = fl.dw_fact_table(scratch_path(spark, "stream_dw_refresh_dw"))
+    ckpt = scratch_path(spark, "stream_dw_refresh_ckpt")
+    for relanding in (False, True):
+        if relanding:
+            lost = dv.ods_fact_without_day(spark, sf_dir).where(F.col("rent_dt").between(*dv.PERIOD))
+            lake.land_fact(lost.select(*[F.col(c).alias(c.upper()) for c in lost.columns]), base, FACT_SERVICE)
+        q = landed_days.start_dw_refresh(spark, base, FACT_SERVICE, FACT_API_ROW, dw, ckpt, load_ts=dv.LOAD_TS)
+        q.awaitTermination()
+    return tb.read_table(spark, dw).select(*OUT_FACT)

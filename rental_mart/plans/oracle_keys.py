@@ -146,3 +146,7 @@ SELECT CAST(sum(n) AS BIGINT) AS n_rows,
   CAST(coalesce(sum(CASE WHEN length(age_type) > 20 THEN n ELSE 0 END), 0) AS BIGINT) AS long_age_type
 FROM k""",
 })
+
+ORACLE["fact_dw_daily_sql"] = ORACLE["fact_dw_daily"]
+
+ORACLE["stream_dw_refresh"] = o.fact_dw(o.ODS_FACT, "ods_fact", "0001-01-01", "9999-12-31")

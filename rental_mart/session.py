@@ -33,8 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a private folder is created only when
-    the session has none (local tests)."""
+    The cluster's setting always wins; a private folder is created only when a
+    local-mode session has none (tests). A cluster session without it fails."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,6 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: staged writes and "
+                           "checkpoints must survive the loss of any one machine")
     local = tempfile.mkdtemp(prefix="rental_mart_ckpt_")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

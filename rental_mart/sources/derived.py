@@ -148,6 +148,7 @@ def dw_station_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 from pyspark.sql import Window  # noqa: E402
 
 from rental_mart.schemas import PAGE_SIZE  # noqa: E402
+from rental_mart.session import ensure_checkpoint_dir  # noqa: E402
 
 ORDERS_SERVICE = "orders"
 PAGES_DAY = "20240101"
@@ -160,6 +161,7 @@ def positions(spark: SparkSession, df: DataFrame, order_col: str, n_ranges: int
     partition ids are pinned, count rows per range (one row per range, so the
     offset table is bounded by the number of ranges and safe to broadcast), then
     number rows inside each range. No step holds more than one range."""
+    ensure_checkpoint_dir(spark)
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, F.col(order_col)).withColumn("_range", F.spark_partition_id())
     ranged = ranged.checkpoint(eager=True)

@@ -1 +1 @@
-"""streaming"""
+"""Structured Streaming entry points (incremental DW maintenance over the lake)."""
