@@ -19,12 +19,10 @@ from rental_mart.operators import fact as fact_ops
 from rental_mart.operators import tables as tb
 from rental_mart.sources import lake
 
-DAY = F.concat_ws("-", "year", "month", "day")
-
-
 def _days_of(batch: DataFrame) -> list[str]:
     # one row per touched day folder: bounded by the calendar, not by the data
-    return sorted(r["day"] for r in batch.select(DAY.alias("day")).distinct().collect())
+    day = F.concat_ws("-", "year", "month", "day").alias("day")
+    return sorted(r["day"] for r in batch.select(day).distinct().collect())
 
 
 def refresh_batch(spark: SparkSession, fact_base: str, service: str, row_schema: T.StructType,
