@@ -180,8 +180,8 @@ from rental_mart.operators import quality as dq  # noqa: E402
 from rental_mart.schemas import FACT_API_ROW, ODS_STATION, STATION_API_ROW  # noqa: E402
 from rental_mart.sources import lake, ods, pages  # noqa: E402
 
-FACT_SERVICE = "tbCycleRentUseDayInfo"
-DIM_SERVICE = "bikeList"
+FACT_SERVICE = "rent_daily"
+DIM_SERVICE = "station_list"
 SNAPSHOT_DAY = "2024-02-01"
 EMPTY_SNAPSHOT_DAY = "2024-02-02"
 
@@ -259,7 +259,7 @@ def preview_shape(spark, sf_dir):
 
 
 def _orders_pages(spark, sf_dir, rent_dt=dv.PAGES_DAY):
-    return dv.orders_pages(spark, sf_dir, rent_dt=rent_dt)
+    return dv.landed_orders_pages(spark, sf_dir, rent_dt=rent_dt)
 
 
 @register("pages_unpack_fact")
@@ -348,8 +348,8 @@ from rental_mart.plans import sql_templates  # noqa: E402
 
 @register("fact_dw_daily_sql")
 def fact_dw_daily_sql(spark, sf_dir):
-    dv.ods_fact(spark, sf_dir).createOrReplaceTempView("ods_fact_bike_rent_daily")
-    return sql_templates.fact_dw_sql(spark, "ods_fact_bike_rent_daily", *dv.PERIOD)
+    dv.ods_fact(spark, sf_dir).createOrReplaceTempView("ods_rent_daily")
+    return sql_templates.fact_dw_sql(spark, "ods_rent_daily", *dv.PERIOD)
 
 
 # ---- streaming: incremental DW refresh over the landed lake --------------------------

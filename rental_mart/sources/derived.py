@@ -200,6 +200,18 @@ def orders_pages(spark: SparkSession, sf_dir: str, rent_dt: str | None = PAGES_D
     )
 
 
+def landed_orders_pages(spark: SparkSession, sf_dir: str, rent_dt: str | None = PAGES_DAY,
+                        service: str = ORDERS_SERVICE) -> DataFrame:
+    """``orders_pages`` landed as a Parquet table of responses and read back with
+    the declared page schema, as the unpacking jobs see real landed pages."""
+    from rental_mart.schemas import LANDED_PAGE
+    from rental_mart.session import scratch_path
+
+    path = scratch_path(spark, "landed_pages")
+    orders_pages(spark, sf_dir, rent_dt=rent_dt, service=service).write.mode("overwrite").parquet(path)
+    return spark.read.schema(LANDED_PAGE).parquet(path)
+
+
 def with_result_page(pages: DataFrame, page_no: int) -> DataFrame:
     """The same pages where page ``page_no`` came back as an end-of-data RESULT."""
     start = (page_no - 1) * PAGE_SIZE + 1
