@@ -69,41 +69,35 @@ def _numeric(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, cols: list[str] | None = None,
              exact_rows: int = EXACT_QUARTILE_ROWS, accuracy: int = APPROX_ACCURACY) -> DataFrame:
     """One row per numeric column: count, null_count, mean, std (sample), min,
-    q25, q50, q75, max in one aggregate.
+    q25, q50, q75, max.
 
-    Quartiles interpolate linearly between the two nearest ranks. They are exact
-    while the input has at most ``exact_rows`` rows; past that size they come
+    The columns are unpivoted to (column_name, value) and aggregated per column,
+    so each column's statistics are finished by its own task. Quartiles
+    interpolate linearly between the two nearest ranks. They are exact while the
+    input has at most ``exact_rows`` rows (the exact buffer of one column is
+    merged in one task, so its size is checked first); past that size they come
     from a bounded-memory sketch, within n / accuracy ranks of the exact value."""
     cols = cols or _numeric(df)
     exact = df.count() <= exact_rows
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES])) if exact
-             else F.percentile_approx(x, list(QUARTILES), accuracy))
-        aggs += [
-            F.count(x).alias(f"{c}__count"),
-            F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-            F.avg(x).alias(f"{c}__mean"),
-            F.stddev_samp(x).alias(f"{c}__std"),
-            F.min(x).alias(f"{c}__min"),
-            q.alias(f"{c}__q"),
-            F.max(x).alias(f"{c}__max"),
-        ]
-    wide = df.agg(*aggs)
-    per_col = [F.struct(
-        F.lit(c).alias("column_name"),
-        F.col(f"{c}__count").alias("count"),
-        F.col(f"{c}__nulls").alias("null_count"),
-        F.col(f"{c}__mean").alias("mean"),
-        F.col(f"{c}__std").alias("std"),
-        F.col(f"{c}__min").alias("min"),
-        F.col(f"{c}__q")[0].alias("q25"),
-        F.col(f"{c}__q")[1].alias("q50"),
-        F.col(f"{c}__q")[2].alias("q75"),
-        F.col(f"{c}__max").alias("max"),
-    ) for c in cols]
-    return wide.select(F.inline(F.array(*per_col)))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "column_name", "v")
+    v = F.col("v")
+    q = (F.percentile(v, F.array(*[F.lit(p) for p in QUARTILES])) if exact
+         else F.percentile_approx(v, list(QUARTILES), accuracy))
+    stats = long.groupBy("column_name").agg(
+        F.count(v).alias("count"),
+        F.count_if(v.isNull()).alias("null_count"),
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"),
+        q.alias("_q"),
+        F.max(v).alias("max"),
+    )
+    return stats.select(
+        "column_name", "count", "null_count", "mean", "std", "min",
+        F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"),
+        "max",
+    )
 
 
 # ---- D5 ---------------------------------------------------------------------------
