@@ -372,3 +372,28 @@ def stream_dw_refresh(spark, sf_dir):
         q = landed_days.start_dw_refresh(spark, base, FACT_SERVICE, FACT_API_ROW, dw, ckpt, load_ts=dv.LOAD_TS)
         q.awaitTermination()
     return tb.read_table(spark, dw).select(*OUT_FACT)
+
+
+# ---- the two daily jobs end to end ----------------------------------------------------
+
+@register("fact_end_to_end")
+def fact_end_to_end(spark, sf_dir):
+    """Day pages -> rows -> lake -> ODS -> DW for the test period."""
+    landed = dv.land_pages(spark, dv.fact_api_pages(spark, sf_dir, FACT_SERVICE), "e2e_fact_pages")
+    dw = fl.dw_fact_table(scratch_path(spark, "e2e_fact_dw"))
+    fl.run_fact_job(spark, landed, FACT_API_ROW, scratch_path(spark, "e2e_fact_lake"), FACT_SERVICE,
+                    ods.ods_fact_table(scratch_path(spark, "e2e_fact_ods")), dw, *dv.PERIOD,
+                    load_ts=dv.LOAD_TS)
+    return tb.read_table(spark, dw).select(*OUT_FACT)
+
+
+@register("station_end_to_end")
+def station_end_to_end(spark, sf_dir):
+    """Station pages -> rows -> snapshot -> ODS -> upsert + soft delete of the seed dimension."""
+    landed = dv.land_pages(spark, dv.station_api_pages(spark, sf_dir, DIM_SERVICE), "e2e_station_pages")
+    dw = sl.dw_station_table(scratch_path(spark, "e2e_station_dw"))
+    tb.overwrite_table(spark, dw, dv.dw_station_seed(spark, sf_dir))
+    sl.run_station_job(spark, landed, STATION_API_ROW, scratch_path(spark, "e2e_station_lake"), DIM_SERVICE,
+                       SNAPSHOT_DAY, ods.ods_station_table(scratch_path(spark, "e2e_station_ods")), dw,
+                       load_ts=dv.LOAD_TS)
+    return tb.read_table(spark, dw)

@@ -150,3 +150,6 @@ FROM k""",
 ORACLE["fact_dw_daily_sql"] = ORACLE["fact_dw_daily"]
 
 ORACLE["stream_dw_refresh"] = o.fact_dw(o.ODS_FACT, "ods_fact", "0001-01-01", "9999-12-31")
+
+ORACLE["fact_end_to_end"] = ORACLE["fact_dw_daily"]
+ORACLE["station_end_to_end"] = ORACLE["station_load"]

@@ -154,64 +154,99 @@ ORDERS_SERVICE = "orders"
 PAGES_DAY = "20240101"
 
 
-def positions(spark: SparkSession, df: DataFrame, order_col: str, n_ranges: int | None = None) -> DataFrame:
-    """Adds ``pos``: 1-based rank of each row by the unique ``order_col``.
+def positions(spark: SparkSession, df: DataFrame, order_cols: str | list[str],
+              n_ranges: int | None = None) -> DataFrame:
+    """Adds ``pos``: 1-based rank of each row by ``order_cols`` (unique).
 
-    A distributed row numbering: range-partition by the column, checkpoint so
+    A distributed row numbering: range-partition by the columns, checkpoint so
     partition ids are pinned, count rows per range (one row per range, so the
     offset table is bounded by the number of ranges and safe to broadcast), then
     number rows inside each range. No step holds more than one range."""
     ensure_checkpoint_dir(spark)
+    order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(order_col)).withColumn("_range", F.spark_partition_id())
+    ranged = df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
     ranged = ranged.checkpoint(eager=True)
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_range").orderBy(order_col)
+    within = Window.partitionBy("_range").orderBy(*order)
     return (ranged.join(F.broadcast(offsets), "_range")
             .withColumn("pos", F.col("_offset") + F.row_number().over(within))
             .drop("_range", "_offset"))
 
 
-def orders_pages(spark: SparkSession, sf_dir: str, rent_dt: str | None = PAGES_DAY,
-                 service: str = ORDERS_SERVICE, page_size: int = PAGE_SIZE) -> DataFrame:
-    """``orders`` as landed API responses: rows numbered by o_orderkey, cut into
-    pages of ``page_size``; body = {service: {list_total_count, row: [...]}}."""
-    o = table(spark, sf_dir, "orders")
-    cols = o.columns
-    total = o.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    # the page key travels with the rows through the checkpoint, so it is data
-    # (as in a landed table) rather than a constant the optimizer folds away
-    keyed = o.select(F.lit(service).alias("service"), F.lit(rent_dt).cast("string").alias("rent_dt"), *cols)
-    numbered = positions(spark, keyed, "o_orderkey")
-    paged = numbered.withColumn("page_no", F.floor((F.col("pos") - 1) / page_size) + 1)
-    grouped = paged.groupBy("service", "rent_dt", "page_no").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("pos"), F.struct(*cols).alias("r")))).alias("items"))
-    rows = F.transform("items", lambda x: x["r"])
-    body = F.to_json(F.create_map(F.col("service"), F.struct(
-        F.lit(total).cast("long").alias("list_total_count"), rows.alias("row"))))
+def pack_pages(spark: SparkSession, rows: DataFrame, order_col, service: str,
+               day=None, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Rows as landed API responses: per (service, day) the rows are numbered by
+    ``order_col``, cut into pages of ``page_size`` and each page becomes
+    body = {service: {list_total_count: rows of that day, row: [...]}}.
+
+    ``order_col`` is a column name or expression (unique within a day); ``day``
+    is a column (or text) giving the request date, None for a dimension.
+    Numbering is global (``positions``) and made per day by subtracting the day's
+    first position (one row per day, joined back), so no day is numbered inside a
+    single task."""
+    cols = rows.columns
+    order = F.col(order_col) if isinstance(order_col, str) else order_col
+    day_col = F.lit(None).cast("string") if day is None else (
+        F.lit(day) if isinstance(day, str) else day).cast("string")
+    keyed = rows.select(F.lit(service).alias("_svc"), day_col.alias("_day"), *cols, order.alias("_order"))
+    numbered = positions(spark, keyed, ["_day", "_order"])
+    firsts = numbered.groupBy("_svc", "_day").agg(
+        F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_total"))
+    same = (F.col("n._svc").eqNullSafe(F.col("f._svc")) & F.col("n._day").eqNullSafe(F.col("f._day")))
+    local = numbered.alias("n").join(firsts.alias("f"), same).select(
+        "n.*", (F.col("n.pos") - F.col("f._first") + 1).alias("_local"), F.col("f._total").alias("_total"))
+    paged = local.withColumn("page_no", F.floor((F.col("_local") - 1) / page_size) + 1)
+    grouped = paged.groupBy("_svc", "_day", "page_no").agg(
+        F.max("_total").alias("_total"),
+        F.sort_array(F.collect_list(F.struct(F.col("_local"), F.struct(*cols).alias("r")))).alias("items"))
+    body = F.to_json(F.create_map(F.col("_svc"), F.struct(
+        F.col("_total").cast("long").alias("list_total_count"),
+        F.transform("items", lambda x: x["r"]).alias("row"))))
     start = (F.col("page_no") - 1) * page_size + 1
     return grouped.select(
-        "service", "rent_dt",
+        F.col("_svc").alias("service"), F.col("_day").alias("rent_dt"),
         start.cast("long").alias("start_index"),
         (start + page_size - 1).cast("long").alias("end_index"),
         body.alias("body"),
     )
 
 
-def landed_orders_pages(spark: SparkSession, sf_dir: str, rent_dt: str | None = PAGES_DAY,
-                        service: str = ORDERS_SERVICE) -> DataFrame:
-    """``orders_pages`` landed as a Parquet table of responses and read back with
-    the declared page schema, as the unpacking jobs see real landed pages."""
+def orders_pages(spark: SparkSession, sf_dir: str, rent_dt: str | None = PAGES_DAY,
+                 service: str = ORDERS_SERVICE, page_size: int = PAGE_SIZE) -> DataFrame:
+    """``orders`` as the pages of one request day, rows numbered by o_orderkey."""
+    return pack_pages(spark, table(spark, sf_dir, "orders"), "o_orderkey", service, rent_dt, page_size)
+
+
+def fact_api_pages(spark: SparkSession, sf_dir: str, service: str = "rent_daily") -> DataFrame:
+    """The API fact rows as pages per request day (yyyyMMdd), numbered by RNUM."""
+    day = F.replace(F.col("RENT_DT"), F.lit("-"), F.lit(""))
+    return pack_pages(spark, fact_api_rows(spark, sf_dir), F.col("RNUM").cast("long"), service, day)
+
+
+def station_api_pages(spark: SparkSession, sf_dir: str, service: str = "station_list") -> DataFrame:
+    """The station API rows as dimension pages (no date), numbered by station id."""
+    return pack_pages(spark, station_api_rows(spark, sf_dir), "stationId", service, None)
+
+
+def land_pages(spark: SparkSession, pages: DataFrame, name: str) -> DataFrame:
+    """Write responses as a Parquet table in the scratch folder and read it back
+    with the declared page schema, as the unpacking jobs see landed pages."""
     from rental_mart.schemas import LANDED_PAGE
     from rental_mart.session import scratch_path
 
-    path = scratch_path(spark, "landed_pages")
-    orders_pages(spark, sf_dir, rent_dt=rent_dt, service=service).write.mode("overwrite").parquet(path)
+    path = scratch_path(spark, name)
+    pages.write.mode("overwrite").parquet(path)
     return spark.read.schema(LANDED_PAGE).parquet(path)
 
 
+def landed_orders_pages(spark: SparkSession, sf_dir: str, rent_dt: str | None = PAGES_DAY,
+                        service: str = ORDERS_SERVICE) -> DataFrame:
+    return land_pages(spark, orders_pages(spark, sf_dir, rent_dt=rent_dt, service=service), "landed_pages")
+
+
 def with_result_page(pages: DataFrame, page_no: int) -> DataFrame:
     """The same pages where page ``page_no`` came back as an end-of-data RESULT."""
     start = (page_no - 1) * PAGE_SIZE + 1
