@@ -337,7 +337,9 @@ def constraint_audit(spark, sf_dir):
 
 @register("layout_profile")
 def layout_profile(spark, sf_dir):
-    base = _landed_lake(spark, sf_dir, "layout_profile")
+    """D6 over a landing written in bounded batches of 100 rows per file."""
+    base = scratch_path(spark, "layout_profile")
+    lake.land_fact(dv.fact_api_rows(spark, sf_dir), base, FACT_SERVICE, rows_per_file=100)
     return dq.layout_profile(spark, f"{base}/{FACT_SERVICE}")
 
 
