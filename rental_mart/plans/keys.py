@@ -13,7 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rental_mart.operators import fact as fact_ops
+from rental_mart.operators import mart as mart_ops
+from rental_mart.operators import quality as dq
+from rental_mart.operators import station as st_ops
+from rental_mart.operators import tables as tb
+from rental_mart.plans import fact_load as fl
+from rental_mart.plans import sql_templates
+from rental_mart.plans import station_load as sl
+from rental_mart.schemas import FACT_API_ROW, STATION_API_ROW
+from rental_mart.session import scratch_path
 from rental_mart.sources import derived as dv
+from rental_mart.sources import lake, ods, pages
+from rental_mart.streaming import landed_days
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -62,13 +73,6 @@ def fact_dw_daily_iso_on_mixed(spark, sf_dir):
 
 # ---- C2-C5, C10, C11: period loads into partitioned tables ---------------------------
 
-from rental_mart.operators import mart as mart_ops  # noqa: E402
-from rental_mart.operators import station as st_ops  # noqa: E402
-from rental_mart.operators import tables as tb  # noqa: E402
-from rental_mart.plans import fact_load as fl  # noqa: E402
-from rental_mart.plans import station_load as sl  # noqa: E402
-from rental_mart.session import scratch_path  # noqa: E402
-
 
 def _loaded_dw(spark, sf_dir, name: str) -> tb.ParquetTable:
     """DW fact loaded over the wide period, then the test period reloaded."""
@@ -176,9 +180,6 @@ def station_active_count(spark, sf_dir):
 
 # ---- A1-A14, D7: pages, lake, ODS ------------------------------------------------------
 
-from rental_mart.operators import quality as dq  # noqa: E402
-from rental_mart.schemas import FACT_API_ROW, ODS_STATION, STATION_API_ROW  # noqa: E402
-from rental_mart.sources import lake, ods, pages  # noqa: E402
 
 FACT_SERVICE = "rent_daily"
 DIM_SERVICE = "station_list"
@@ -345,8 +346,6 @@ def layout_profile(spark, sf_dir):
 
 # ---- B15: the same DW statement as parameterised SQL -------------------------------
 
-from rental_mart.plans import sql_templates  # noqa: E402
-
 
 @register("fact_dw_daily_sql")
 def fact_dw_daily_sql(spark, sf_dir):
@@ -356,8 +355,6 @@ def fact_dw_daily_sql(spark, sf_dir):
 
 # ---- streaming: incremental DW refresh over the landed lake --------------------------
 
-from rental_mart.streaming import landed_days  # noqa: E402
-
 
 @register("stream_dw_refresh")
 def stream_dw_refresh(spark, sf_dir):
