@@ -11,7 +11,8 @@ from rental_mart import functions as fx
 from rental_mart.schemas import FACT_KEYS
 
 
-def _cleaned_columns(date_col):
+def cleaned_columns(date_col):
+    """B3-B7 applied to the ODS text columns, with ``date_col`` as rent_dt."""
     return [
         date_col.alias("rent_dt"),
         F.col("rent_id"),
@@ -33,7 +34,7 @@ def clean_fact_iso(ods: DataFrame, start: str | _dt.date, end: str | _dt.date) -
     text filter. The filter reaches the Parquet scan as a pushed predicate."""
     s, e = fx.period_bounds(start, end)
     kept = ods.where(F.col("rent_dt").between(F.lit(s.isoformat()), F.lit(e.isoformat())))
-    return kept.select(*_cleaned_columns(fx.iso_date("rent_dt")))
+    return kept.select(*cleaned_columns(fx.iso_date("rent_dt")))
 
 
 def clean_fact_any(ods: DataFrame, start: str | _dt.date, end: str | _dt.date) -> DataFrame:
@@ -42,7 +43,7 @@ def clean_fact_any(ods: DataFrame, start: str | _dt.date, end: str | _dt.date) -
     s, e = fx.period_bounds(start, end)
     compact = fx.compact_text("rent_dt")
     kept = ods.where(compact.between(F.lit(s.strftime("%Y%m%d")), F.lit(e.strftime("%Y%m%d"))))
-    return kept.select(*_cleaned_columns(fx.any_date("rent_dt")))
+    return kept.select(*cleaned_columns(fx.any_date("rent_dt")))
 
 
 def aggregate_fact(clean: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def refresh_dm(spark: SparkSession, dw: tb.ParquetTable, dm: tb.ParquetTable, st
 
 def run_fact_job(spark: SparkSession, landed_pages: DataFrame, row_schema, lake_base: str,
                  service: str, ods: tb.ParquetTable, dw: tb.ParquetTable, start, end,
-                 load_ts=None) -> DataFrame:
+                 load_ts=None, variant: str = "iso") -> DataFrame:
     """The daily fact job end to end: unpack the landed responses (A1), land the
     rows by day (A5), read the period back pruned (A9), lower-case (A10), reload
     the ODS (A12) and refresh the DW period (C5). Returns the DW count."""
@@ -62,4 +62,4 @@ def run_fact_job(spark: SparkSession, landed_pages: DataFrame, row_schema, lake_
     rows = pg.unpack_pages_fact(landed_pages, row_schema)
     lake.land_fact(rows, lake_base, service)
     ods_src.load_ods(spark, lake.read_landed(spark, lake_base, service, row_schema, start, end), ods)
-    return load_fact_dw(spark, tb.read_table(spark, ods), dw, start, end, load_ts=load_ts)
+    return load_fact_dw(spark, tb.read_table(spark, ods), dw, start, end, load_ts=load_ts, variant=variant)

@@ -1,8 +1,9 @@
-"""The DW statements as parameterised Spark SQL.
+"""Parameterised statements.
 
-Table names are bound with IDENTIFIER(:name) and period bounds with named
-parameters, so nothing is spliced into the text. The SQL is the same shape the
-DataFrame operators build; Catalyst plans both identically.
+What the warehouse templated -- source table, target table and period bounds --
+is bound here with IDENTIFIER(:name) and named parameters, never spliced into
+SQL text. The cleaning and aggregation are the same column rules and operators
+the DataFrame path uses, so there is one definition of the logic.
 """
 
 from __future__ import annotations
@@ -10,60 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rental_mart import functions as fx
+from rental_mart.operators import fact as fact_ops
 
-# variant A: text period filter on ISO bounds, plain DATE cast
-FACT_DW_ISO = """
-WITH cleaned AS (
-  SELECT
-    CAST(rent_dt AS DATE) AS rent_dt,
-    rent_id,
-    rent_nm,
-    CASE WHEN trim(rent_type) = '' OR rent_type IS NULL THEN :rent_type_unknown
-         ELSE trim(rent_type) END AS rent_type,
-    CASE WHEN upper(trim(gender_cd)) = 'F' THEN :gender_female
-         WHEN upper(trim(gender_cd)) = 'M' THEN :gender_male
-         ELSE :gender_unknown END AS gender_cd,
-    CASE WHEN trim(age_type) IN ('', :age_other) OR age_type IS NULL THEN :age_unknown
-         ELSE trim(age_type) END AS age_type,
-    CAST(nullif(use_cnt, '') AS INT) AS use_cnt,
-    CAST(nullif(exer_amt, '') AS DOUBLE) AS exer_amt,
-    CAST(nullif(carbon_amt, '') AS DOUBLE) AS carbon_amt,
-    CAST(nullif(move_meter, '') AS DOUBLE) AS move_meter,
-    CAST(nullif(move_time, '') AS INT) AS move_time
-  FROM IDENTIFIER(:source_table)
-  WHERE rent_dt BETWEEN :start_date AND :end_date
-)
-SELECT
-  rent_dt,
-  rent_id,
-  CAST(nullif(split_part(max(rent_nm), '.', 1), '') AS INT) AS rent_no,
-  trim(split_part(max(rent_nm), '.', 2)) AS rent_nm,
-  rent_type,
-  gender_cd,
-  age_type,
-  sum(use_cnt) AS use_cnt,
-  CAST(sum(CAST(exer_amt AS DECIMAL(38, 15))) AS DOUBLE) AS exer_amt,
-  CAST(sum(CAST(carbon_amt AS DECIMAL(38, 15))) AS DOUBLE) AS carbon_amt,
-  CAST(sum(CAST(move_meter AS DECIMAL(38, 15))) AS DOUBLE) AS move_meter,
-  sum(move_time) AS move_time
-FROM cleaned
-GROUP BY rent_dt, rent_id, rent_type, gender_cd, age_type
-"""
+PERIOD_SCAN = ("SELECT * FROM IDENTIFIER(:source_table) "
+               "WHERE rent_dt BETWEEN :start_date AND :end_date")
+
+INSERT_BY_NAME = "INSERT INTO IDENTIFIER(:target_table) BY NAME SELECT * FROM IDENTIFIER(:rows_view)"
 
 
-def _labels() -> dict[str, str]:
-    return {
-        "rent_type_unknown": fx.RENT_TYPE_UNKNOWN,
-        "gender_female": fx.GENDER_FEMALE,
-        "gender_male": fx.GENDER_MALE,
-        "gender_unknown": fx.GENDER_UNKNOWN,
-        "age_other": fx.AGE_OTHER,
-        "age_unknown": fx.AGE_UNKNOWN,
-    }
+def period_scan(spark: SparkSession, source_table: str, start, end) -> DataFrame:
+    """Rows of a registered ODS table or view whose text date is in the period
+    (variant A's filter, pushed to the scan by Catalyst)."""
+    s, e = fx.period_bounds(start, end)
+    return spark.sql(PERIOD_SCAN, args={
+        "source_table": source_table, "start_date": s.isoformat(), "end_date": e.isoformat()})
 
 
 def fact_dw_sql(spark: SparkSession, source_table: str, start, end) -> DataFrame:
-    """Run the variant-A DW statement over a registered table or view."""
-    s, e = fx.period_bounds(start, end)
-    args = {"source_table": source_table, "start_date": s.isoformat(), "end_date": e.isoformat(), **_labels()}
-    return spark.sql(FACT_DW_ISO, args=args)
+    """The DW rows of a period from a table named at run time."""
+    src = period_scan(spark, source_table, start, end)
+    return fact_ops.aggregate_fact(src.select(*fact_ops.cleaned_columns(fx.iso_date("rent_dt"))))
+
+
+def insert_by_name(spark: SparkSession, target_table: str, rows: DataFrame) -> None:
+    """C3 for catalog tables: INSERT INTO <target> BY NAME, the target bound as an
+    identifier."""
+    view = f"_rows_{abs(hash(target_table)) % 10**8}"
+    rows.createOrReplaceTempView(view)
+    spark.sql(INSERT_BY_NAME, args={"target_table": target_table, "rows_view": view})
+    spark.catalog.dropTempView(view)

@@ -70,3 +70,37 @@ def test_no_python_evaluation_in_any_registered_query(spark):
         for node in PY_NODES:
             assert node not in p, f"{key} evaluates Python ({node})"
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
+
+
+def test_parameterised_scan_is_pushed(spark, ods_table):
+    from rental_mart.plans import sql_templates
+
+    _, t = ods_table
+    tb.register_view(spark, "ods_for_sql", t)
+    p = plan(sql_templates.period_scan(spark, "ods_for_sql", *dv.PERIOD))
+    assert "GreaterThanOrEqual(rent_dt,2024-01-10)" in p
+
+
+def test_insert_by_name_into_catalog_table(spark, tmp_path):
+    from rental_mart.plans import sql_templates
+
+    spark.sql(f"CREATE TABLE dw_sql_t (a INT, b STRING) USING parquet LOCATION '{tmp_path}/t'")
+    try:
+        sql_templates.insert_by_name(spark, "dw_sql_t", spark.createDataFrame([("x", 1)], "b string, a int"))
+        assert [tuple(r) for r in spark.table("dw_sql_t").collect()] == [(1, "x")]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS dw_sql_t")
+
+
+def test_dm_refresh_reads_only_period_partitions(spark, tmp_path):
+    from rental_mart.operators import mart
+    from rental_mart.plans import fact_load as fl
+
+    dw = fl.dw_fact_table(f"{tmp_path}/dw")
+    fl.load_fact_dw(spark, dv.ods_fact(spark, SF001), dw, *dv.WIDE_PERIOD, load_ts=dv.LOAD_TS)
+    src = tb.read_table(spark, dw).where(F.col("rent_dt").between(F.lit("2024-01-10").cast("date"),
+                                                                  F.lit("2024-01-16").cast("date")))
+    p = plan(mart.daily_totals(src))
+    assert re.search(r"PartitionFilters: \[isnotnull\(rent_dt", p)
+    read = {r[0] for r in src.select(F.input_file_name()).distinct().collect()}
+    assert read and all(re.search(r"rent_dt=2024-01-1[0-6]", f) for f in read)
