@@ -20,7 +20,11 @@ def rows_per_day(df: DataFrame, date_col: str = "rent_dt") -> DataFrame:
     day = c if isinstance(df.schema[date_col].dataType, T.DateType) else \
         F.try_to_date(F.replace(c.cast("string"), F.lit("-"), F.lit("")), "yyyyMMdd")
     counts = df.groupBy(day.alias("rent_dt")).agg(F.count(F.lit(1)).alias("n_rows"))
-    spine = counts.agg(F.min("rent_dt").alias("lo"), F.max("rent_dt").alias("hi")).select(
+    # the bounds read the per-day counts (not the raw rows), so both branches share
+    # one aggregation subtree and Spark reuses its exchange: the input is scanned once
+    bounds = counts.agg(F.min("rent_dt").alias("lo"), F.max("rent_dt").alias("hi"),
+                        F.sum("n_rows").alias("_rows"))
+    spine = bounds.where(F.col("_rows") > 0).select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("rent_dt"))
     j = spine.alias("s").join(counts.alias("c"), F.col("s.rent_dt") == F.col("c.rent_dt"), "full_outer")
     return j.select(

@@ -10,9 +10,10 @@ I = T.IntegerType()
 D = T.DoubleType()
 TS = T.TimestampNTZType()  # the warehouse's TIMESTAMP has no time zone
 
+# ---- fixed values: the source system's page size and field names -------------------
 PAGE_SIZE = 1000  # rows per API page
 
-# ---- API rows as the service returns them (names before lower-casing) -------------
+# API rows as the service returns them (names before lower-casing)
 FACT_API_ROW = T.StructType(
     [T.StructField(n, S) for n in (
         "RENT_DT", "RENT_ID", "RENT_NM", "RENT_TYPE", "GENDER_CD", "AGE_TYPE",
@@ -26,6 +27,8 @@ STATION_API_ROW = T.StructType(
         "stationLatitude", "stationLongitude", "stationId")]
 )
 
+# ---- end of fixed values ------------------------------------------------------------
+
 # ---- landed page: one row per API response ----------------------------------------
 LANDED_PAGE = T.StructType([
     T.StructField("service", S),
@@ -35,7 +38,7 @@ LANDED_PAGE = T.StructType([
     T.StructField("body", S),
 ])
 
-# ---- ODS: raw text ----------------------------------------------------------------
+# ---- ODS: raw text (fixed values: the declared ODS column names) ---------------------
 ODS_FACT = T.StructType(
     [T.StructField(n, S) for n in (
         "rent_dt", "rent_id", "rent_nm", "rent_type", "gender_cd", "age_type",
