@@ -59,9 +59,9 @@ def null_counts(df: DataFrame) -> DataFrame:
 # ---- D4 ---------------------------------------------------------------------------
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Exact quartiles buffer one (value, count) map per column in the final task, so
-# they are used only up to this many rows (checked first); beyond it a mergeable
-# sketch with O(accuracy) memory answers within n / accuracy ranks.
+# Exact quartiles sort one column's values in one task, so they are used only up
+# to this many rows (checked first); beyond it a mergeable sketch with
+# O(accuracy) memory answers within n / accuracy ranks.
 EXACT_QUARTILE_ROWS = 2_000_000
 APPROX_ACCURACY = 100_000
 
@@ -78,15 +78,15 @@ def describe(df: DataFrame, cols: list[str] | None = None,
     The columns are unpivoted to (column_name, value) and aggregated per column,
     so each column's statistics are finished by its own task. Quartiles
     interpolate linearly between the two nearest ranks. They are exact while the
-    input has at most ``exact_rows`` rows (the exact buffer of one column is
-    merged in one task, so its size is checked first); past that size they come
-    from a bounded-memory sketch, within n / accuracy ranks of the exact value."""
+    input has at most ``exact_rows`` rows (one column's values are then sorted in
+    one task, so the size is checked first); past that size they come from a
+    bounded-memory sketch, within n / accuracy ranks of the exact value."""
     cols = cols or _numeric(df)
     exact = df.count() <= exact_rows
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "v")
     v = F.col("v")
-    q = (F.percentile(v, F.array(*[F.lit(p) for p in QUARTILES])) if exact
+    q = (F.array_sort(F.collect_list(v)) if exact
          else F.percentile_approx(v, list(QUARTILES), accuracy))
     stats = long.groupBy("column_name").agg(
         F.count(v).alias("count"),
@@ -97,13 +97,26 @@ def describe(df: DataFrame, cols: list[str] | None = None,
         q.alias("_q"),
         F.max(v).alias("max"),
     )
+    quartiles = ([_interpolated(F.col("_q"), p) for p in QUARTILES] if exact
+                 else [F.col("_q")[i] for i in range(len(QUARTILES))])
     return stats.select(
         "column_name", "count", "null_count", "mean", "std", "min",
-        F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"),
+        *[c.alias(f"q{int(p * 100)}") for c, p in zip(quartiles, QUARTILES)],
         "max",
     )
 
 
+def _interpolated(sorted_values, p: float):
+    """Linear interpolation at position (n - 1) * p of a sorted array:
+    lo + (pos - floor(pos)) * (hi - lo)."""
+    n = F.size(sorted_values)
+    pos = (n - 1) * F.lit(p)
+    lo_i = F.floor(pos)
+    lo = F.element_at(sorted_values, (lo_i + 1).cast("int"))
+    hi = F.element_at(sorted_values, (F.ceil(pos) + 1).cast("int"))
+    return F.when(n > 0, lo + (pos - lo_i) * (hi - lo))
+
+
 # ---- D5 ---------------------------------------------------------------------------
 
 def constraint_audit(df: DataFrame, keys: tuple[str, ...] = FACT_KEYS,
