@@ -135,7 +135,8 @@ def append_rows(spark: SparkSession, table: ParquetTable, rows: DataFrame) -> No
 def overwrite_table(spark: SparkSession, table: ParquetTable, rows: DataFrame) -> None:
     """Replace the whole table. Rows may be computed from the table itself: they are
     written to a sibling staging folder before the old folder is removed."""
-    parent, name = table.path.rstrip("/").rsplit("/", 1)
+    root = table.path.rstrip("/")
+    parent, name = root.rsplit("/", 1) if "/" in root else (".", root)
     tag = uuid.uuid4().hex[:12]
     staging = f"{parent}/_{name}.staging-{tag}"
     backup = f"{parent}/_{name}.old-{tag}"
