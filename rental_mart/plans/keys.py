@@ -77,9 +77,9 @@ def fact_dw_daily_iso_on_mixed(spark, sf_dir):
 def _loaded_dw(spark, sf_dir, name: str) -> tb.ParquetTable:
     """DW fact loaded over the wide period, then the test period reloaded."""
     dw = fl.dw_fact_table(scratch_path(spark, name))
-    ods = dv.ods_fact(spark, sf_dir)
-    fl.load_fact_dw(spark, ods, dw, *dv.WIDE_PERIOD, load_ts=dv.LOAD_TS)
-    fl.load_fact_dw(spark, ods, dw, *dv.PERIOD, load_ts=dv.LOAD_TS)
+    ods_rows = dv.ods_fact(spark, sf_dir)
+    fl.load_fact_dw(spark, ods_rows, dw, *dv.WIDE_PERIOD, load_ts=dv.LOAD_TS)
+    fl.load_fact_dw(spark, ods_rows, dw, *dv.PERIOD, load_ts=dv.LOAD_TS)
     return dw
 
 
@@ -103,9 +103,9 @@ def fact_refresh_lost_day(spark, sf_dir):
 def fact_insert(spark, sf_dir):
     """Append a second period's rows by name to a loaded table."""
     dw = fl.dw_fact_table(scratch_path(spark, "fact_insert"))
-    ods = dv.ods_fact(spark, sf_dir)
-    fl.load_fact_dw(spark, ods, dw, *dv.EARLY_PERIOD, load_ts=dv.LOAD_TS)
-    tb.append_rows(spark, dw, fact_ops.fact_dw_rows(ods, *dv.PERIOD, load_ts=dv.LOAD_TS))
+    ods_rows = dv.ods_fact(spark, sf_dir)
+    fl.load_fact_dw(spark, ods_rows, dw, *dv.EARLY_PERIOD, load_ts=dv.LOAD_TS)
+    tb.append_rows(spark, dw, fact_ops.fact_dw_rows(ods_rows, *dv.PERIOD, load_ts=dv.LOAD_TS))
     return tb.read_table(spark, dw).select(*OUT_FACT)
 
 

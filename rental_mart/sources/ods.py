@@ -52,3 +52,14 @@ def shape(df: DataFrame) -> DataFrame:
     """(rows, columns) as a one-row DataFrame."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         "n_rows", F.lit(len(df.columns)).alias("n_cols"))
+
+
+def load_ods_jdbc(rows: DataFrame, schema, url: str, dbtable: str,
+                  properties: dict[str, str] | None = None) -> None:
+    """A12 into an external database: the same by-name, typed rows, written with
+    Spark's JDBC writer as a full refresh that keeps the table definition
+    (``truncate``). Needs the database's JDBC driver on the classpath; not
+    exercised in this repository's tests (no database here)."""
+    out = tb.conform(lower_names(rows), schema)
+    (out.write.format("jdbc").option("url", url).option("dbtable", dbtable)
+        .option("truncate", "true").options(**(properties or {})).mode("overwrite").save())
