@@ -139,15 +139,19 @@ def constraint_audit(df: DataFrame, keys: tuple[str, ...] = FACT_KEYS,
 
 # ---- D6 ---------------------------------------------------------------------------
 
-def layout_profile(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Files, rows and bytes per landed file folder, read from each file's
-    ``_metadata`` (row-group counts are not exposed by Spark)."""
+def layout_profile(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                   per_file: bool = False) -> DataFrame:
+    """Rows and bytes of each landed file, read from the file's ``_metadata``
+    (row-group counts are not exposed by Spark); by default summed per folder
+    (files, rows, bytes per day partition)."""
     r = spark.read.schema(schema) if schema is not None else spark.read
     df = r.parquet(path)
     files = df.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
     ).groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"), F.max("file_size").alias("n_bytes"))
+    if per_file:
+        return files
     folder = F.regexp_replace("file_path", r"/[^/]*$", "")
     return files.groupBy(folder.alias("folder")).agg(
         F.count(F.lit(1)).alias("n_files"),

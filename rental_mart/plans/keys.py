@@ -259,6 +259,14 @@ def preview_shape(spark, sf_dir):
     return ods.shape(dv.table(spark, sf_dir, "lineitem"))
 
 
+@register("preview_rows")
+def preview_rows(spark, sf_dir):
+    """The first five lineitem rows, ordered by every column so ties cannot
+    make the preview differ between runs."""
+    li = dv.table(spark, sf_dir, "lineitem")
+    return ods.preview(li, 5, li.columns)
+
+
 def _orders_pages(spark, sf_dir, rent_dt=dv.PAGES_DAY):
     return dv.landed_orders_pages(spark, sf_dir, rent_dt=rent_dt)
 

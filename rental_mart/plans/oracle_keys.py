@@ -153,3 +153,6 @@ ORACLE["stream_dw_refresh"] = o.fact_dw(o.ODS_FACT, "ods_fact", "0001-01-01", "9
 
 ORACLE["fact_end_to_end"] = ORACLE["fact_dw_daily"]
 ORACLE["station_end_to_end"] = ORACLE["station_load"]
+
+ORACLE["preview_rows"] = ("SELECT * FROM lineitem ORDER BY "
+                          + ", ".join(f"{c} ASC NULLS FIRST" for c in _LINEITEM) + " LIMIT 5")

@@ -43,9 +43,10 @@ def load_ods_guarded(spark: SparkSession, rows: DataFrame, table: tb.ParquetTabl
     return load_ods(spark, rows, table)
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first rows."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
+    """The first rows; with ``order_by`` the first rows in that order (a
+    top-k: each task keeps its best n, no full sort)."""
+    return df.orderBy(*order_by).limit(n) if order_by else df.limit(n)
 
 
 def shape(df: DataFrame) -> DataFrame:
