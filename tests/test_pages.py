@@ -110,3 +110,18 @@ def test_small_scale_pages(spark):
     p = dv.orders_pages(spark, SF001)
     assert pg.unpack_pages_dim(p, dv.orders_row_schema(spark, SF001)).count() == \
         dv.table(spark, SF001, "orders").count()
+
+
+def test_total_as_text_and_unaligned_pages(spark):
+    body = json.dumps({"svc": {"list_total_count": "1500", "row": rows_of(0, 1000)}})
+    items = [("svc", "d", 1, 1000, body),
+             page("svc", "d", 500, rows_of(9000, 5), 1500),       # never requested: ignored
+             page("svc", "d", 1001, rows_of(1000, 500), 1500)]
+    assert ids(pg.unpack_pages_fact(landed(spark, items), schema(spark))) == list(range(1500))
+
+
+def test_keep_meta_positions(spark):
+    items = [page("svc", "d", 1, rows_of(0, 3), 3)]
+    out = pg.unpack_pages_fact(landed(spark, items), schema(spark), keep_meta=True).collect()
+    assert [(r.service, r.rent_dt, r.start_index, r.row_pos, r.id) for r in out] == \
+        [("svc", "d", 1, i, str(i)) for i in range(3)]
