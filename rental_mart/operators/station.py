@@ -28,15 +28,19 @@ def clean_station(ods: DataFrame) -> DataFrame:
     )
 
 
+def _duplicated_codes(source_clean: DataFrame) -> DataFrame:
+    """Source codes occurring more than once (partial aggregation first, so a hot
+    code is combined map-side)."""
+    return (source_clean.where(F.col("station_cd").isNotNull())
+            .groupBy("station_cd").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1).select("station_cd"))
+
+
 def duplicate_matching_keys(target: DataFrame, source_clean: DataFrame) -> DataFrame:
     """Source codes that occur more than once AND match a target row: a MERGE
-    would update that target row twice, which must fail. Partial aggregation
-    keeps a hot code from landing in one task."""
-    dup = (source_clean.where(F.col("station_cd").isNotNull())
-           .groupBy("station_cd").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > 1))
+    would update that target row twice, which must fail."""
     tkeys = target.select("station_cd").where(F.col("station_cd").isNotNull()).distinct()
-    return dup.join(tkeys, "station_cd", "left_semi")
+    return _duplicated_codes(source_clean).join(tkeys, "station_cd", "left_semi")
 
 
 def _check_no_duplicate_matches(target: DataFrame, source_clean: DataFrame) -> None:
@@ -54,16 +58,25 @@ def upsert_station(target: DataFrame, source_clean: DataFrame, load_ts=None,
                    is_deleted = FALSE, created_at kept;
     source only -> inserted, created_at = last_updated = load_ts, not deleted;
     target only -> unchanged.
-    """
+
+    Only codes that are unique in the source go through the full outer join.
+    Duplicated codes cannot match (that raises), so their rows are inserts and
+    bypass it; NULL codes never match and bypass it too. A code holding a large
+    share of the source therefore never lands in one join task (Spark's skew
+    handling does not split full outer joins)."""
     if check_duplicates:
         _check_no_duplicate_matches(target, source_clean)
     ts = fx.timestamp_literal(load_ts)
     t = target.select(*names(DW_STATION))
     s = source_clean.select("station_cd", *STATION_ATTRS)
+    s_nn = s.where(F.col("station_cd").isNotNull())
+    dups = _duplicated_codes(s_nn)
+    s_unique = s_nn.join(dups, "station_cd", "left_anti")
+    s_repeated = s_nn.join(dups, "station_cd", "left_semi")
 
     key_t, key_s = F.col("t.station_cd"), F.col("s.station_cd")
     joined = (t.where(F.col("station_cd").isNotNull()).alias("t")
-              .join(s.where(F.col("station_cd").isNotNull()).alias("s"), key_t == key_s, "full_outer"))
+              .join(s_unique.alias("s"), key_t == key_s, "full_outer"))
     in_src: Column = key_s.isNotNull()
     merged = joined.select(
         F.coalesce(key_s, key_t).alias("station_cd"),
@@ -73,10 +86,10 @@ def upsert_station(target: DataFrame, source_clean: DataFrame, load_ts=None,
         F.when(in_src, F.lit(False)).otherwise(F.col("t.is_deleted")).alias("is_deleted"),
     )
     null_t = t.where(F.col("station_cd").isNull())
-    null_s = s.where(F.col("station_cd").isNull()).select(
+    inserted = s_repeated.unionByName(s.where(F.col("station_cd").isNull())).select(
         "station_cd", *STATION_ATTRS,
         ts.alias("created_at"), ts.alias("last_updated"), F.lit(False).alias("is_deleted"))
-    return merged.unionByName(null_t).unionByName(null_s)
+    return merged.unionByName(null_t).unionByName(inserted)
 
 
 def soft_delete_missing(target: DataFrame, source_clean: DataFrame, load_ts=None) -> DataFrame:
