@@ -51,15 +51,21 @@ def refresh_dm(spark: SparkSession, dw: tb.ParquetTable, dm: tb.ParquetTable, st
 
 def run_fact_job(spark: SparkSession, landed_pages: DataFrame, row_schema, lake_base: str,
                  service: str, ods: tb.ParquetTable, dw: tb.ParquetTable, start, end,
-                 load_ts=None, variant: str = "iso") -> DataFrame:
+                 load_ts=None, variant: str = "iso", ods_all_days: bool = False) -> DataFrame:
     """The daily fact job end to end: unpack the landed responses (A1), land the
-    rows by day (A5), read the period back pruned (A9), lower-case (A10), reload
-    the ODS (A12) and refresh the DW period (C5). Returns the DW count."""
+    rows by day (A5), read them back (A9), lower-case (A10), reload the ODS (A12)
+    and refresh the DW period (C5). Returns the DW count.
+
+    By default the lake read is pruned to the period's day folders, so the ODS
+    holds the period. ``ods_all_days`` reloads the ODS with every landed day
+    instead (a full scan of the service); the DW result is the same."""
     from rental_mart.sources import lake
     from rental_mart.sources import ods as ods_src
     from rental_mart.sources import pages as pg
 
     rows = pg.unpack_pages_fact(landed_pages, row_schema)
     lake.land_fact(rows, lake_base, service)
-    ods_src.load_ods(spark, lake.read_landed(spark, lake_base, service, row_schema, start, end), ods)
+    landed = (lake.read_landed(spark, lake_base, service, row_schema) if ods_all_days
+              else lake.read_landed(spark, lake_base, service, row_schema, start, end))
+    ods_src.load_ods(spark, landed, ods)
     return load_fact_dw(spark, tb.read_table(spark, ods), dw, start, end, load_ts=load_ts, variant=variant)

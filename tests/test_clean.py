@@ -123,3 +123,14 @@ def test_period_bounds_validation():
     assert fx.iso_text("20250101") == "2025-01-01"
     with pytest.raises(ValueError):
         fx.period_bounds("2025-01-03", "2025-01-01")
+
+
+def test_describe_sketch_path_stays_within_rank_error(spark):
+    from rental_mart.operators import quality as dq
+
+    df = spark.range(0, 50_000).select((F.col("id") * 7 % 50_000).cast("double").alias("x"))
+    exact = {r.column_name: r for r in dq.describe(df).collect()}["x"]
+    approx = {r.column_name: r for r in dq.describe(df, exact_rows=0, accuracy=1_000).collect()}["x"]
+    for q in ("q25", "q50", "q75"):
+        assert abs(approx[q] - exact[q]) <= 50_000 / 1_000 + 1   # values are their own ranks here
+    assert (approx["count"], approx["min"], approx["max"]) == (exact["count"], exact["min"], exact["max"])

@@ -104,3 +104,17 @@ def test_dm_refresh_reads_only_period_partitions(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[isnotnull\(rent_dt", p)
     read = {r[0] for r in src.select(F.input_file_name()).distinct().collect()}
     assert read and all(re.search(r"rent_dt=2024-01-1[0-6]", f) for f in read)
+
+
+def test_partial_aggregation_precedes_the_exchange(spark, ods_table):
+    """Hot keys are combined map-side: the DW aggregate and the page-bound
+    aggregate run partial aggregates before their only exchange."""
+    from rental_mart.schemas import LANDED_PAGE
+    from rental_mart.sources import pages as pg
+
+    _, t = ods_table
+    p = plan(fact_ops.aggregate_fact(fact_ops.clean_fact_iso(tb.read_table(spark, t), *dv.PERIOD)), "simple")
+    assert p.index("Exchange hashpartitioning") < p.index("partial_max(rent_nm")
+    pages = spark.createDataFrame([], LANDED_PAGE)
+    p = plan(pg.unpack_pages_fact(pages, FACT_API_ROW), "simple")
+    assert "partial_min(CASE WHEN NOT ok" in p
