@@ -73,8 +73,32 @@ def _hidden(name: str) -> bool:
 
 # ---- C12: create / drop ------------------------------------------------------------
 
+def _siblings(table: ParquetTable) -> tuple[str, str]:
+    root = table.path.rstrip("/")
+    return root.rsplit("/", 1) if "/" in root else (".", root)
+
+
+def recover(spark: SparkSession, table: ParquetTable) -> None:
+    """Finish or undo a swap interrupted by a driver failure (one writer per table
+    is assumed). If the table folder is missing but a previous version was parked
+    beside it, that version is put back; leftover staging folders are removed."""
+    parent, name = _siblings(table)
+    left = [(n, d) for n, d in _children(spark, parent) if n.startswith(f"_{name}.")]
+    if not exists(spark, table.path):
+        parked = sorted(n for n, d in left if d and n.startswith(f"_{name}.old-"))
+        if parked:
+            _rename(spark, f"{parent}/{parked[-1]}", table.path)
+    for n, _ in left:
+        if exists(spark, f"{parent}/{n}"):
+            _delete(spark, f"{parent}/{n}")
+    for n, d in _children(spark, table.path):
+        if d and n.startswith("_staging-"):
+            _delete(spark, f"{table.path.rstrip('/')}/{n}")
+
+
 def create_table(spark: SparkSession, table: ParquetTable, replace: bool = False) -> ParquetTable:
     """CREATE SCHEMA IF NOT EXISTS + (DROP TABLE IF EXISTS when ``replace``) + CREATE TABLE."""
+    recover(spark, table)
     fs, p = _fs(spark, table.path)
     if replace and fs.exists(p):
         fs.delete(p, True)
@@ -88,6 +112,8 @@ def drop_table(spark: SparkSession, table: ParquetTable) -> None:
 
 def read_table(spark: SparkSession, table: ParquetTable) -> DataFrame:
     """Read with the declared schema (partition values typed by it, no inference)."""
+    if not exists(spark, table.path):
+        recover(spark, table)
     return spark.read.schema(table.schema).parquet(table.path).select(*table.columns)
 
 
@@ -135,8 +161,8 @@ def append_rows(spark: SparkSession, table: ParquetTable, rows: DataFrame) -> No
 def overwrite_table(spark: SparkSession, table: ParquetTable, rows: DataFrame) -> None:
     """Replace the whole table. Rows may be computed from the table itself: they are
     written to a sibling staging folder before the old folder is removed."""
-    root = table.path.rstrip("/")
-    parent, name = root.rsplit("/", 1) if "/" in root else (".", root)
+    recover(spark, table)
+    parent, name = _siblings(table)
     tag = uuid.uuid4().hex[:12]
     staging = f"{parent}/_{name}.staging-{tag}"
     backup = f"{parent}/_{name}.old-{tag}"

@@ -145,3 +145,19 @@ def test_station_load_lifecycle(spark, tmp_base):
     s = state(tb.read_table(spark, dw))
     assert s["B"] == ("b", False, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3))
     assert s["A"] == ("a", False, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3))
+
+
+def test_recover_after_interrupted_swap(spark, tmp_base):
+    dw = sl.dw_station_table(f"{tmp_base}/dim/station")
+    tb.overwrite_table(spark, dw, target(spark, [("A", False), ("B", False)]))
+    # a driver died between "park the old table" and "move the new one in"
+    tb._rename(spark, dw.path, f"{tmp_base}/dim/_station.old-dead")
+    tb._write(target(spark, [("Z", False)]), dw, f"{tmp_base}/dim/_station.staging-dead", "overwrite")
+    assert sorted(r.station_cd for r in tb.read_table(spark, dw).collect()) == ["A", "B"]
+    assert [n for n, _ in tb._children(spark, f"{tmp_base}/dim") if n.startswith("_")] == []
+    # a period refresh that died before moving its staging in leaves no trace
+    t = fl.dw_fact_table(f"{tmp_base}/dw")
+    fl.load_fact_dw(spark, dv.ods_fact(spark, SF001), t, *dv.PERIOD, load_ts=dv.LOAD_TS)
+    tb._write(dv.ods_fact(spark, SF001).limit(0).select("rent_dt"), t, f"{t.path}/_staging-dead", "overwrite")
+    fl.load_fact_dw(spark, dv.ods_fact(spark, SF001), t, *dv.PERIOD, load_ts=dv.LOAD_TS)
+    assert not any(n.startswith("_staging") for n, _ in tb._children(spark, t.path))
