@@ -30,11 +30,23 @@ def envelope_schema(row_schema: T.StructType) -> T.DataType:
     ]))
 
 
+def _first_root_value(body: Column, first: Column, row_schema: T.StructType) -> Column:
+    """The envelope under the first root key, or NULL when that value is not an
+    object. One parse of the whole body serves the usual single-key response; a
+    body where another root value does not fit the envelope (which nulls the
+    whole map) falls back to parsing the first value's own text."""
+    env = envelope_schema(row_schema)
+    whole = F.try_element_at(F.from_json(body, env), first)
+    first_text = F.try_element_at(F.from_json(body, T.MapType(T.StringType(), T.StringType())), first)
+    fallback = F.when(F.ltrim(first_text).startswith("{"), F.from_json(first_text, env.valueType))
+    return F.when(whole.isNotNull(), whole).otherwise(fallback)
+
+
 def _parsed(pages: DataFrame, row_schema: T.StructType, page_size: int) -> DataFrame:
     body = F.col("body")
     keys = F.json_object_keys(body)
     first = F.get(keys, 0)
-    root = F.try_element_at(F.from_json(body, envelope_schema(row_schema)), first)
+    root = _first_root_value(body, first, row_schema)
     aligned = (F.col("start_index") >= 1) & ((F.col("start_index") - 1) % page_size == 0)
     return pages.select(
         F.col("service"), F.col("rent_dt"), F.col("start_index"), F.col("end_index"),
@@ -117,7 +129,10 @@ def unpack_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
     Both stop at the first missing page. With ``keep_meta`` the page key and the
     row's position in its page are kept."""
     v = valid_pages(pages, row_schema, mode, page_size)
-    rows = v.select(*GROUP, "start_index", F.posexplode("_root.row").alias("row_pos", "row"))
+    # every valid page has rows, so the outer form yields the same rows; unlike the
+    # inner form it adds no inferred size(row) > 0 filter, which Catalyst would push
+    # below the projection and so evaluate the JSON parse a second time
+    rows = v.select(*GROUP, "start_index", F.posexplode_outer("_root.row").alias("row_pos", "row"))
     fields = [F.col(f"row.{f.name}").alias(f.name) for f in row_schema.fields]
     if keep_meta:
         return rows.select(*GROUP, "start_index", "row_pos", *fields)

@@ -125,3 +125,15 @@ def test_keep_meta_positions(spark):
     out = pg.unpack_pages_fact(landed(spark, items), schema(spark), keep_meta=True).collect()
     assert [(r.service, r.rent_dt, r.start_index, r.row_pos, r.id) for r in out] == \
         [("svc", "d", 1, i, str(i)) for i in range(3)]
+
+
+def test_only_the_first_root_value_matters(spark):
+    good = {"list_total_count": 1000, "row": rows_of(0, 1000)}
+    items = [("svc", "d", 1, 1000, json.dumps({"svc": good, "extra": 5})),
+             ("svc", "d", 1001, 2000, json.dumps({"svc": {"list_total_count": 3000, "row": rows_of(1000, 5)}}))]
+    assert ids(pg.unpack_pages_fact(landed(spark, items), schema(spark))) == list(range(1000))
+    # a first root value that is not an object stops the dimension
+    items = [page("bike", None, 1, rows_of(0, 1000), 0),
+             ("bike", None, 1001, 2000, json.dumps({"bike": [{"list_total_count": 1}]})),
+             page("bike", None, 2001, rows_of(2000, 3), 0)]
+    assert ids(pg.unpack_pages_dim(landed(spark, items), schema(spark))) == list(range(1000))
