@@ -61,10 +61,15 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def _children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    return [(n, d) for n, d, _ in _children_status(spark, path)]
+
+
+def _children_status(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return [(st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(p)]
+    return [(st.getPath().getName(), bool(st.isDirectory()), int(st.getModificationTime()))
+            for st in fs.listStatus(p)]
 
 
 def _hidden(name: str) -> bool:
@@ -79,16 +84,17 @@ def _siblings(table: ParquetTable) -> tuple[str, str]:
 
 
 def recover(spark: SparkSession, table: ParquetTable) -> None:
-    """Finish or undo a swap interrupted by a driver failure (one writer per table
-    is assumed). If the table folder is missing but a previous version was parked
-    beside it, that version is put back; leftover staging folders are removed."""
+    """Undo a swap interrupted by a driver failure. Called by writers before they
+    write (one writer per table is assumed; readers never move files). If the
+    table folder is missing but a previous version was parked beside it, the
+    newest parked version is put back; leftover staging folders are removed."""
     parent, name = _siblings(table)
-    left = [(n, d) for n, d in _children(spark, parent) if n.startswith(f"_{name}.")]
+    left = [(n, d, t) for n, d, t in _children_status(spark, parent) if n.startswith(f"_{name}.")]
     if not exists(spark, table.path):
-        parked = sorted(n for n, d in left if d and n.startswith(f"_{name}.old-"))
+        parked = sorted((t, n) for n, d, t in left if d and n.startswith(f"_{name}.old-"))
         if parked:
-            _rename(spark, f"{parent}/{parked[-1]}", table.path)
-    for n, _ in left:
+            _rename(spark, f"{parent}/{parked[-1][1]}", table.path)
+    for n, _, _ in left:
         if exists(spark, f"{parent}/{n}"):
             _delete(spark, f"{parent}/{n}")
     for n, d in _children(spark, table.path):
@@ -112,8 +118,6 @@ def drop_table(spark: SparkSession, table: ParquetTable) -> None:
 
 def read_table(spark: SparkSession, table: ParquetTable) -> DataFrame:
     """Read with the declared schema (partition values typed by it, no inference)."""
-    if not exists(spark, table.path):
-        recover(spark, table)
     return spark.read.schema(table.schema).parquet(table.path).select(*table.columns)
 
 
