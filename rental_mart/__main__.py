@@ -1,7 +1,7 @@
 """Run the daily jobs:
 
-    python -m rental_mart fact    --pages P --lake L --ods O --dw D [--dm M] --start S --end E
-    python -m rental_mart station --pages P --lake L --ods O --dw D --snapshot-dt D
+    python -m rental_mart fact    --pages P --lake L --ods O --dw D [--dm M] --start S --end E [--catalog]
+    python -m rental_mart station --pages P --lake L --ods O --dw D --snapshot-dt D [--catalog]
 
 ``--pages`` is a Parquet table of landed responses (service, rent_dt,
 start_index, end_index, body). The session comes from spark-submit; paths may be
@@ -29,6 +29,8 @@ def _parser() -> argparse.ArgumentParser:
         a.add_argument("--dw", required=True)
         a.add_argument("--service", default=None)
         a.add_argument("--load-ts", default=None)
+        a.add_argument("--catalog", action="store_true",
+                       help="also register the tables as ods.* / dw.* / dm.* for SQL")
     f.add_argument("--dm", default=None)
     f.add_argument("--start", required=True)
     f.add_argument("--end", required=True)
@@ -49,19 +51,26 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = spark or SparkSession.builder.appName(f"rental_mart-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     pages = spark.read.schema(LANDED_PAGE).parquet(args.pages)
+
+    def named(n: str) -> str | None:
+        return n if args.catalog else None
+
     if args.job == "fact":
         service = args.service or "rent_daily"
-        dw = fl.dw_fact_table(args.dw)
-        n = fl.run_fact_job(spark, pages, FACT_API_ROW, args.lake, service, ods.ods_fact_table(args.ods),
+        dw = fl.dw_fact_table(args.dw, named("dw.fact_rent_daily"))
+        n = fl.run_fact_job(spark, pages, FACT_API_ROW, args.lake, service,
+                            ods.ods_fact_table(args.ods, named("ods.fact_rent_daily")),
                             dw, args.start, args.end, load_ts=args.load_ts, variant=args.variant)
         out = {"job": "fact", "dw_rows": n.first()["n_rows"]}
         if args.dm:
-            m = fl.refresh_dm(spark, dw, fl.dm_daily_table(args.dm), args.start, args.end, load_ts=args.load_ts)
+            dm = fl.dm_daily_table(args.dm, named("dm.fact_rent_daily"))
+            m = fl.refresh_dm(spark, dw, dm, args.start, args.end, load_ts=args.load_ts)
             out["dm_rows"] = m.first()["n_rows"]
     else:
         service = args.service or "station_list"
         n = sl.run_station_job(spark, pages, STATION_API_ROW, args.lake, service, args.snapshot_dt,
-                               ods.ods_station_table(args.ods), sl.dw_station_table(args.dw),
+                               ods.ods_station_table(args.ods, named("ods.station")),
+                               sl.dw_station_table(args.dw, named("dw.station")),
                                load_ts=args.load_ts)
         out = {"job": "station", "active_stations": n.first()["n_active"]}
     print(json.dumps(out))

@@ -25,12 +25,45 @@ class ParquetTable:
     path: str
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
+    name: str | None = None   # optional catalog name, e.g. "dw.fact_rent_daily"
 
     @property
     def columns(self) -> list[str]:
         return [f.name for f in self.schema.fields]
 
 
+# ---- optional catalog registration (SQL access by name) ------------------------------
+
+def _quoted(ident: str) -> str:
+    return ".".join(f"`{part.replace('`', '``')}`" for part in ident.split("."))
+
+
+def register_table(spark: SparkSession, table: ParquetTable) -> None:
+    """C12 in Spark DDL: CREATE SCHEMA IF NOT EXISTS + an external Parquet table over
+    the folder, so SQL can use the table by name."""
+    if not table.name:
+        return
+    if "." in table.name:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(table.name.rsplit('.', 1)[0])}")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in table.partition_by)})" if table.partition_by else ""
+    location = table.path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(table.name)} ({cols}) USING parquet{parts} "
+              f"LOCATION '{location}'")
+    sync_catalog(spark, table)
+
+
+def sync_catalog(spark: SparkSession, table: ParquetTable) -> None:
+    """After files changed underneath a registered table: re-list its partitions
+    (added and removed) or drop its cached file listing."""
+    if not table.name:
+        return
+    if table.partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {_quoted(table.name)} SYNC PARTITIONS")
+    else:
+        spark.sql(f"REFRESH TABLE {_quoted(table.name)}")
+
+
 # ---- file-system helpers (metadata only; data never passes the driver) --------------
 
 def _fs(spark: SparkSession, path: str):
@@ -109,10 +142,13 @@ def create_table(spark: SparkSession, table: ParquetTable, replace: bool = False
     if replace and fs.exists(p):
         fs.delete(p, True)
     fs.mkdirs(p)
+    register_table(spark, table)
     return table
 
 
 def drop_table(spark: SparkSession, table: ParquetTable) -> None:
+    if table.name:
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(table.name)}")
     _delete(spark, table.path)
 
 
@@ -158,6 +194,7 @@ def append_rows(spark: SparkSession, table: ParquetTable, rows: DataFrame) -> No
     """INSERT INTO table (cols) SELECT ... by name."""
     create_table(spark, table)
     _write(rows, table, table.path, "append")
+    sync_catalog(spark, table)
 
 
 # ---- full refresh (ODS reload, dimension rewrite) ----------------------------------
@@ -177,6 +214,8 @@ def overwrite_table(spark: SparkSession, table: ParquetTable, rows: DataFrame) -
     _rename(spark, staging, table.path)
     if had_old:
         _delete(spark, backup)
+    if table.name:
+        register_table(spark, table)
 
 
 # ---- C2 / C4: period delete and refresh ---------------------------------------------
@@ -250,6 +289,7 @@ def _refresh(spark: SparkSession, table: ParquetTable, rows: DataFrame, clear) -
                 if not fdir and not _hidden(fname):
                     _rename(spark, f"{src}/{fname}", f"{dst}/{fname}")
     _delete(spark, staging)
+    sync_catalog(spark, table)
 
 
 def register_view(spark: SparkSession, name: str, table: ParquetTable) -> str:

@@ -15,16 +15,16 @@ from rental_mart.schemas import DW_FACT
 from rental_mart.session import require_ansi
 
 
-def dw_fact_table(path: str) -> tb.ParquetTable:
-    return tb.ParquetTable(path, DW_FACT, ("rent_dt",))
+def dw_fact_table(path: str, name: str | None = None) -> tb.ParquetTable:
+    return tb.ParquetTable(path, DW_FACT, ("rent_dt",), name=name)
 
 
-def dm_daily_table(path: str) -> tb.ParquetTable:
-    return tb.ParquetTable(path, mart_ops.T_DAILY, ("rent_dt",))
+def dm_daily_table(path: str, name: str | None = None) -> tb.ParquetTable:
+    return tb.ParquetTable(path, mart_ops.T_DAILY, ("rent_dt",), name=name)
 
 
-def dm_station_table(path: str) -> tb.ParquetTable:
-    return tb.ParquetTable(path, mart_ops.T_STATION, ("rent_dt",))
+def dm_station_table(path: str, name: str | None = None) -> tb.ParquetTable:
+    return tb.ParquetTable(path, mart_ops.T_STATION, ("rent_dt",), name=name)
 
 
 def load_fact_dw(spark: SparkSession, ods: DataFrame, dw: tb.ParquetTable, start, end,

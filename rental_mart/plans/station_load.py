@@ -11,8 +11,8 @@ from rental_mart.schemas import DW_STATION
 from rental_mart.session import require_ansi
 
 
-def dw_station_table(path: str) -> tb.ParquetTable:
-    return tb.ParquetTable(path, DW_STATION)
+def dw_station_table(path: str, name: str | None = None) -> tb.ParquetTable:
+    return tb.ParquetTable(path, DW_STATION, name=name)
 
 
 def station_rows(target: DataFrame, ods_station: DataFrame, load_ts=None) -> DataFrame:

@@ -12,12 +12,12 @@ from rental_mart.schemas import ODS_FACT, ODS_STATION
 from rental_mart.sources.lake import lower_names
 
 
-def ods_fact_table(path: str) -> tb.ParquetTable:
-    return tb.ParquetTable(path, ODS_FACT)
+def ods_fact_table(path: str, name: str | None = None) -> tb.ParquetTable:
+    return tb.ParquetTable(path, ODS_FACT, name=name)
 
 
-def ods_station_table(path: str) -> tb.ParquetTable:
-    return tb.ParquetTable(path, ODS_STATION)
+def ods_station_table(path: str, name: str | None = None) -> tb.ParquetTable:
+    return tb.ParquetTable(path, ODS_STATION, name=name)
 
 
 @dataclass(frozen=True)

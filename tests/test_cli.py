@@ -13,8 +13,13 @@ def test_fact_and_station_jobs(spark, tmp_base):
     dv.station_api_pages(spark, SF001).write.parquet(f"{tmp_base}/station_pages")
     out = main(["fact", "--pages", f"{tmp_base}/fact_pages", "--lake", f"{tmp_base}/lake",
                 "--ods", f"{tmp_base}/ods_fact", "--dw", f"{tmp_base}/dw_fact", "--dm", f"{tmp_base}/dm",
-                "--start", "2024-01-10", "--end", "2024-01-16", "--load-ts", "2024-02-01 00:00:00"], spark)
+                "--start", "2024-01-10", "--end", "2024-01-16", "--load-ts", "2024-02-01 00:00:00",
+                "--catalog"], spark)
     assert out["dw_rows"] > 0 and out["dm_rows"] == 7
+    assert spark.sql("SELECT count(*) FROM dw.fact_rent_daily").first()[0] == out["dw_rows"]
+    assert spark.sql("SELECT count(DISTINCT rent_dt) FROM dm.fact_rent_daily").first()[0] == 7
+    for t in ("ods.fact_rent_daily", "dw.fact_rent_daily", "dm.fact_rent_daily"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
     out = main(["station", "--pages", f"{tmp_base}/station_pages", "--lake", f"{tmp_base}/lake",
                 "--ods", f"{tmp_base}/ods_station", "--dw", f"{tmp_base}/dw_station",
                 "--snapshot-dt", "2024-02-01"], spark)

@@ -162,3 +162,25 @@ def test_recover_after_interrupted_swap(spark, tmp_base):
     tb._write(dv.ods_fact(spark, SF001).limit(0).select("rent_dt"), t, f"{t.path}/_staging-dead", "overwrite")
     fl.load_fact_dw(spark, dv.ods_fact(spark, SF001), t, *dv.PERIOD, load_ts=dv.LOAD_TS)
     assert not any(n.startswith("_staging") for n, _ in tb._children(spark, t.path))
+
+
+def test_catalog_tables_follow_refreshes(spark, tmp_base):
+    t = fl.dw_fact_table(f"{tmp_base}/dw_named", name="dw_t.fact_rent_daily")
+    s = sl.dw_station_table(f"{tmp_base}/st_named", name="dw_t.station")
+    try:
+        fl.load_fact_dw(spark, dv.ods_fact(spark, SF001), t, *dv.WIDE_PERIOD, load_ts=dv.LOAD_TS)
+        assert spark.sql("SELECT count(*) FROM dw_t.fact_rent_daily").first()[0] == tb.read_table(spark, t).count()
+        fl.load_fact_dw(spark, dv.ods_fact_without_day(spark, SF001), t, *dv.PERIOD, load_ts=dv.LOAD_TS)
+        parts = {r[0] for r in spark.sql("SHOW PARTITIONS dw_t.fact_rent_daily").collect()}
+        assert "rent_dt=2024-01-12" not in parts and "rent_dt=2024-01-11" in parts
+        assert spark.sql("SELECT count(*) FROM dw_t.fact_rent_daily").first()[0] == tb.read_table(spark, t).count()
+
+        ods1 = spark.createDataFrame([("1", "1. a", "1", "1", "37.5", "127.1", "A"),
+                                      ("1", "2. b", "1", "1", "37.5", "127.1", "B")], ODS_STATION)
+        sl.load_station_dw(spark, ods1, s, "2024-01-01 00:00:00")
+        sl.load_station_dw(spark, ods1.limit(1), s, "2024-01-02 00:00:00")
+        assert spark.sql("SELECT count(*) FROM dw_t.station WHERE NOT is_deleted").first()[0] == 1
+    finally:
+        tb.drop_table(spark, t)
+        tb.drop_table(spark, s)
+        spark.sql("DROP SCHEMA IF EXISTS dw_t")
