@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,8 +100,19 @@ def _children_status(spark: SparkSession, path: str) -> list[tuple[str, bool, in
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
+    return _status(fs.listStatus(p))
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[tuple[str, bool, int]]:
+    """Entries matching a glob; the file system filters, so a folder with many
+    entries costs one call, not one per entry."""
+    fs, p = _fs(spark, pattern)
+    return _status(fs.globStatus(p) or [])
+
+
+def _status(statuses) -> list[tuple[str, bool, int]]:
     return [(st.getPath().getName(), bool(st.isDirectory()), int(st.getModificationTime()))
-            for st in fs.listStatus(p)]
+            for st in statuses]
 
 
 def _hidden(name: str) -> bool:
@@ -122,7 +132,7 @@ def recover(spark: SparkSession, table: ParquetTable) -> None:
     table folder is missing but a previous version was parked beside it, the
     newest parked version is put back; leftover staging folders are removed."""
     parent, name = _siblings(table)
-    left = [(n, d, t) for n, d, t in _children_status(spark, parent) if n.startswith(f"_{name}.")]
+    left = _glob(spark, f"{parent}/_{name}.*")
     if not exists(spark, table.path):
         parked = sorted((t, n) for n, d, t in left if d and n.startswith(f"_{name}.old-"))
         if parked:
@@ -130,9 +140,9 @@ def recover(spark: SparkSession, table: ParquetTable) -> None:
     for n, _, _ in left:
         if exists(spark, f"{parent}/{n}"):
             _delete(spark, f"{parent}/{n}")
-    for n, d in _children(spark, table.path):
-        if d and n.startswith("_staging-"):
-            _delete(spark, f"{table.path.rstrip('/')}/{n}")
+    root = table.path.rstrip("/")
+    for n, d, _ in _glob(spark, f"{root}/_staging-*"):
+        _delete(spark, f"{root}/{n}")
 
 
 def create_table(spark: SparkSession, table: ParquetTable, replace: bool = False) -> ParquetTable:
@@ -228,21 +238,8 @@ def delete_period(df: DataFrame, start, end, date_col: str = "rent_dt") -> DataF
     return df.where(~F.coalesce(in_period, F.lit(False)))
 
 
-def _partition_value(name: str, col: str) -> str | None:
-    prefix = f"{col}="
-    if not name.startswith(prefix):
-        return None
-    return unquote(name[len(prefix):])
-
-
-def _in_period(value: str | None, s: _dt.date, e: _dt.date) -> bool:
-    if value is None or value == "__HIVE_DEFAULT_PARTITION__":
-        return False
-    try:
-        d = _dt.date.fromisoformat(value[:10])
-    except ValueError:
-        return False
-    return s <= d <= e
+def _days(s: _dt.date, e: _dt.date) -> list[_dt.date]:
+    return [s + _dt.timedelta(days=i) for i in range((e - s).days + 1)]
 
 
 def refresh_period(spark: SparkSession, table: ParquetTable, rows: DataFrame, start, end) -> None:
@@ -250,33 +247,35 @@ def refresh_period(spark: SparkSession, table: ParquetTable, rows: DataFrame, st
 
     1. write ``rows`` partitioned into ``<table>/_staging-*`` (the expensive part;
        a failure here leaves the table untouched);
-    2. remove every partition folder whose date is in [start, end], so days that
-       got no new rows end up empty;
+    2. remove the partition folder of every day in [start, end], so days that got
+       no new rows end up empty (one call per day; the table is never listed);
     3. move staged partitions in (whole folders, or files into an existing folder
        for dates outside the period, which are appended as INSERT would).
     """
     s, e = fx.period_bounds(start, end)
-    _refresh(spark, table, rows, lambda v: _in_period(v, s, e))
+    _refresh(spark, table, rows, _days(s, e))
 
 
 def refresh_days(spark: SparkSession, table: ParquetTable, rows: DataFrame, days) -> None:
     """C4 for a set of days instead of one range (used by incremental loads)."""
-    wanted = {fx.iso_text(d) for d in days}
-    _refresh(spark, table, rows, lambda v: v is not None and v[:10] in wanted)
+    _refresh(spark, table, rows, sorted({_dt.date.fromisoformat(fx.iso_text(d)) for d in days}))
+
+
+def _partition_dir(table: ParquetTable, day: _dt.date) -> str:
+    # Spark writes a DATE partition value as ISO text
+    return f"{table.path.rstrip('/')}/{table.partition_by[0]}={day.isoformat()}"
 
 
-def _refresh(spark: SparkSession, table: ParquetTable, rows: DataFrame, clear) -> None:
+def _refresh(spark: SparkSession, table: ParquetTable, rows: DataFrame, clear_days: list[_dt.date]) -> None:
     if len(table.partition_by) != 1:
         raise ValueError("a period refresh needs a table partitioned by one date column")
-    col = table.partition_by[0]
     create_table(spark, table)
     root = table.path.rstrip("/")
     staging = f"{root}/_staging-{uuid.uuid4().hex[:12]}"
     _write(rows, table, staging, "overwrite")
 
-    for name, is_dir in _children(spark, root):
-        if is_dir and not _hidden(name) and clear(_partition_value(name, col)):
-            _delete(spark, f"{root}/{name}")
+    for day in clear_days:
+        _delete(spark, _partition_dir(table, day))
 
     for name, is_dir in _children(spark, staging):
         if not is_dir or _hidden(name):

@@ -53,10 +53,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
+    """A fresh, unique folder under the shared checkpoint location. Each gets a
+    private parent, so looking beside it (swap recovery) touches nothing else."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
-    return f"{base}/rental_mart/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/rental_mart/{uuid.uuid4().hex[:12]}/{name}"
 
 
 def ansi_enabled(spark: SparkSession) -> bool:
