@@ -8,10 +8,11 @@ from integers and two-decimal values so their text forms are exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rental_mart.schemas import ODS_FACT, names
+from rental_mart.schemas import LANDED_PAGE, ODS_FACT, PAGE_SIZE, names
+from rental_mart.session import ensure_checkpoint_dir, scratch_path
 
 # test period and the load time used by the fixture loads
 PERIOD = ("2024-01-10", "2024-01-16")
@@ -145,10 +146,6 @@ def dw_station_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- landed pages built from ``orders`` -------------------------------------------
 
-from pyspark.sql import Window  # noqa: E402
-
-from rental_mart.schemas import PAGE_SIZE  # noqa: E402
-from rental_mart.session import ensure_checkpoint_dir  # noqa: E402
 
 ORDERS_SERVICE = "orders"
 PAGES_DAY = "20240101"
@@ -234,9 +231,6 @@ def station_api_pages(spark: SparkSession, sf_dir: str, service: str = "station_
 def land_pages(spark: SparkSession, pages: DataFrame, name: str) -> DataFrame:
     """Write responses as a Parquet table in the scratch folder and read it back
     with the declared page schema, as the unpacking jobs see landed pages."""
-    from rental_mart.schemas import LANDED_PAGE
-    from rental_mart.session import scratch_path
-
     path = scratch_path(spark, name)
     pages.write.mode("overwrite").parquet(path)
     return spark.read.schema(LANDED_PAGE).parquet(path)
