@@ -40,7 +40,6 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
-    from rental_mart.operators import tables as tb
     from rental_mart.plans import fact_load as fl
     from rental_mart.plans import station_load as sl
     from rental_mart.schemas import FACT_API_ROW, LANDED_PAGE, STATION_API_ROW
