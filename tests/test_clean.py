@@ -134,3 +134,21 @@ def test_describe_sketch_path_stays_within_rank_error(spark):
     for q in ("q25", "q50", "q75"):
         assert abs(approx[q] - exact[q]) <= 50_000 / 1_000 + 1   # values are their own ranks here
     assert (approx["count"], approx["min"], approx["max"]) == (exact["count"], exact["min"], exact["max"])
+
+
+def test_exact_sum_non_finite_and_huge_follow_double_sum(spark):
+    df = spark.createDataFrame(
+        [("a", 1.5), ("a", 2.25), ("b", float("nan")), ("b", 1.0), ("c", float("inf")), ("c", 2.0),
+         ("d", float("inf")), ("d", float("-inf")), ("e", 1e300), ("e", 1e300), ("f", None)],
+        "k string, x double")
+    got = {r.k: r.s for r in df.groupBy("k").agg(fx.exact_sum("x").alias("s")).collect()}
+    import math
+    assert got["a"] == 3.75 and math.isnan(got["b"]) and got["c"] == float("inf")
+    assert math.isnan(got["d"]) and got["e"] == 2e300 and got["f"] is None
+
+
+def test_nan_text_measure_loads(spark):
+    rows = [{"rent_dt": "2025-01-01", "rent_id": "ST-1", "rent_nm": "1. a", "exer_amt": "NaN"},
+            {"rent_dt": "2025-01-01", "rent_id": "ST-1", "rent_nm": "1. a", "exer_amt": "2.5"}]
+    r = fact_ops.aggregate_fact(fact_ops.clean_fact_iso(_ods(spark, rows), "2025-01-01", "2025-01-01")).first()
+    assert r.exer_amt != r.exer_amt   # NaN, as a DOUBLE PRECISION sum gives
