@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rental_mart import functions as fx
+from rental_mart.operators import tables as tb
 
 DAY_PARTS = ("year", "month", "day")
 
@@ -64,13 +65,22 @@ def land_fact(rows: DataFrame, fact_base: str, service: str, date_col: str = "RE
 def read_landed(spark: SparkSession, fact_base: str, service: str, row_schema: T.StructType,
                 start=None, end=None) -> DataFrame:
     """All landed rows of one service, stacked; partition keys are not
-    returned. With a period, only its day folders are listed and read."""
+    returned. With a period, only the period's day folders are listed and read:
+    they are passed to the reader directly (a lake of many years is not listed
+    for a three-day load), and the partition filter stays as a guard."""
+    root = _service_root(fact_base, service)
     schema = T.StructType(list(row_schema.fields) + [T.StructField(p, T.StringType()) for p in DAY_PARTS])
-    df = spark.read.schema(schema).parquet(_service_root(fact_base, service))
-    if start is not None or end is not None:
-        s, e = fx.period_bounds(start or end, end or start)
-        ymd = F.concat("year", "month", "day")
-        df = df.where(ymd.between(F.lit(s.strftime("%Y%m%d")), F.lit(e.strftime("%Y%m%d"))))
+    if start is None and end is None:
+        return spark.read.schema(schema).parquet(root).drop(*DAY_PARTS)
+    s, e = fx.period_bounds(start or end, end or start)
+    days = [s + _dt.timedelta(days=i) for i in range((e - s).days + 1)]
+    folders = [f"{root}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
+    present = [f for f in folders if tb.exists(spark, f)]
+    if not present:
+        return spark.createDataFrame([], row_schema)
+    df = spark.read.schema(schema).option("basePath", root).parquet(*present)
+    ymd = F.concat("year", "month", "day")
+    df = df.where(ymd.between(F.lit(s.strftime("%Y%m%d")), F.lit(e.strftime("%Y%m%d"))))
     return df.drop(*DAY_PARTS)
 
 

@@ -84,3 +84,14 @@ def test_rows_per_file_and_layout(spark, tmp_base):
     per_day = {r.RENT_DT: r.n for r in rows.groupBy("RENT_DT").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert all(r.n_files >= -(-r.n_rows // 10) for r in prof)
     assert len(prof) == len(per_day)
+
+
+def test_period_read_lists_only_the_period(spark, tmp_base):
+    import re
+
+    lake.land_fact(dv.fact_api_rows(spark, SF001), tmp_base, "svc")
+    df = lake.read_landed(spark, tmp_base, "svc", FACT_API_ROW, "2024-01-10", "2024-01-12")
+    files = df.inputFiles()
+    assert files and all(re.search(r"day=1[0-2]/", f) for f in files)
+    empty = lake.read_landed(spark, tmp_base, "svc", FACT_API_ROW, "2023-01-01", "2023-01-05")
+    assert empty.count() == 0 and empty.columns == FACT_API_ROW.fieldNames()
