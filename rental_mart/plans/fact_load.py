@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rental_mart import functions as fx
 from rental_mart.operators import fact as fact_ops
@@ -45,8 +44,7 @@ def refresh_dm(spark: SparkSession, dw: tb.ParquetTable, dm: tb.ParquetTable, st
                load_ts=None) -> DataFrame:
     """C11: delete the period from the mart and insert ``summary`` of the DW
     rows of the period (the DW read prunes to the period's partitions)."""
-    s, e = fx.period_bounds(start, end)
-    src = tb.read_table(spark, dw).where(F.col("rent_dt").between(F.lit(s), F.lit(e)))
+    src = tb.read_period(spark, dw, start, end)
     rows = summary(src).withColumn("last_updated", fx.timestamp_literal(load_ts))
     tb.refresh_period(spark, dm, rows, start, end)
     return tb.table_count(spark, dm)

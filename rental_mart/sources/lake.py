@@ -97,10 +97,15 @@ def land_snapshot(rows: DataFrame, dim_base: str, service: str, snapshot_dt) ->
 
 def read_snapshot(spark: SparkSession, dim_base: str, service: str, row_schema: T.StructType,
                   snapshot_dt) -> DataFrame:
-    """One day's snapshot (partition-pruned); ``snapshot_dt`` not returned."""
+    """One day's snapshot; ``snapshot_dt`` not returned. Only that day's
+    folder is listed and read (empty when the day was never landed)."""
     d = fx.iso_text(snapshot_dt)
+    root = _service_root(dim_base, service)
+    folder = f"{root}/snapshot_dt={d}"
+    if not tb.exists(spark, folder):
+        return spark.createDataFrame([], row_schema)
     schema = T.StructType(list(row_schema.fields) + [T.StructField("snapshot_dt", T.StringType())])
-    df = spark.read.schema(schema).parquet(_service_root(dim_base, service))
+    df = spark.read.schema(schema).option("basePath", root).parquet(folder)
     return df.where(F.col("snapshot_dt") == F.lit(d)).drop("snapshot_dt")
 
 
