@@ -23,8 +23,17 @@ LOAD_TS = "2024-02-01 00:00:00"
 SEED_TS = "2024-01-01 00:00:00"
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Its schema is read from the file footer once per path and
+    then declared, so building a query does not re-read footers every time."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        schema = _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def _s(c) -> F.Column:
