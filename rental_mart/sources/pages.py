@@ -30,6 +30,18 @@ def envelope_schema(row_schema: T.StructType) -> T.DataType:
     ]))
 
 
+# Page flags only need to know whether each row is an object: an empty struct
+# makes the parser skip every field, so the flag pass never converts row values.
+_ROW_PRESENCE = T.StructType([])
+
+
+def _as_text(row_schema: T.StructType) -> T.StructType:
+    """Row fields read as JSON text: any scalar, object or array is kept as its
+    raw text, so one odd value never voids the whole page (as a typed parse
+    would); values are cast to the declared types afterwards."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in row_schema.fields])
+
+
 def _first_root_value(body: Column, first: Column, row_schema: T.StructType) -> Column:
     """The envelope under the first root key, or NULL when that value is not an
     object. One parse of the whole body serves the usual single-key response; a
@@ -110,12 +122,21 @@ def _read_bound(flags: DataFrame) -> DataFrame:
 def valid_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
                 page_size: int = PAGE_SIZE) -> DataFrame:
     """Pages the client would have read, with their parsed envelope."""
-    flags = _page_flags(_parsed(pages, row_schema, page_size), mode, page_size)
+    flags = _page_flags(_parsed(pages, _ROW_PRESENCE, page_size), mode, page_size)
     bound = _read_bound(flags)
-    j = flags.alias("p").join(bound.alias("b"), _same_group("p", "b"), "inner")
+    body = _parsed(pages, row_schema, page_size)
+    j = body.alias("p").join(bound.alias("b"), _same_group("p", "b"), "inner")
     return j.where(F.col("p.page_no") < F.col("b.read_bound")).select("p.*", "b.read_bound")
 
 
+def _read_pages(pages: DataFrame, mode: str, page_size: int) -> DataFrame:
+    """Flags of the pages the client reads (page audit)."""
+    flags = _page_flags(_parsed(pages, _ROW_PRESENCE, page_size), mode, page_size)
+    bound = _read_bound(flags)
+    j = flags.alias("p").join(bound.alias("b"), _same_group("p", "b"), "inner")
+    return j.where(F.col("p.page_no") < F.col("b.read_bound")).select("p.*")
+
+
 def unpack_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
                  page_size: int = PAGE_SIZE, keep_meta: bool = False) -> DataFrame:
     """A1 (mode="fact") / A2 (mode="dim"): rows of the pages the client reads.
@@ -128,12 +149,13 @@ def unpack_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
           after a page with fewer than ``page_size`` rows.
     Both stop at the first missing page. With ``keep_meta`` the page key and the
     row's position in its page are kept."""
-    v = valid_pages(pages, row_schema, mode, page_size)
+    v = valid_pages(pages, _as_text(row_schema), mode, page_size)
     # every valid page has rows, so the outer form yields the same rows; unlike the
     # inner form it adds no inferred size(row) > 0 filter, which Catalyst would push
     # below the projection and so evaluate the JSON parse a second time
-    rows = v.select(*GROUP, "start_index", F.posexplode_outer("_root.row").alias("row_pos", "row"))
-    fields = [F.col(f"row.{f.name}").alias(f.name) for f in row_schema.fields]
+    rows = v.select(*GROUP, "start_index", F.posexplode_outer("_root.row").alias("row_pos", "row")) \
+            .where(F.col("row_pos").isNotNull())
+    fields = [F.col(f"row.{f.name}").cast(f.dataType).alias(f.name) for f in row_schema.fields]
     if keep_meta:
         return rows.select(*GROUP, "start_index", "row_pos", *fields)
     return rows.select(*fields)
@@ -163,7 +185,7 @@ def page_audit(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
     """Per (service, rent_dt), pages landed vs read, rows collected vs the
     announced list_total_count. A truncated collection shows is_complete=false."""
     landed = pages.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("pages_landed"))
-    v = valid_pages(pages, row_schema, mode, page_size)
+    v = _read_pages(pages, mode, page_size)
     read = v.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("pages_read"),
         F.sum("n_rows").alias("rows_collected"),

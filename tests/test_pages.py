@@ -137,3 +137,17 @@ def test_only_the_first_root_value_matters(spark):
              ("bike", None, 1001, 2000, json.dumps({"bike": [{"list_total_count": 1}]})),
              page("bike", None, 2001, rows_of(2000, 3), 0)]
     assert ids(pg.unpack_pages_dim(landed(spark, items), schema(spark))) == list(range(1000))
+
+
+def test_field_json_types_do_not_void_a_page(spark):
+    import pytest
+    from pyspark.sql import types as T
+
+    typed = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType())])
+    rows = [{"id": "a", "n": 1}, {"id": "b", "n": "2"}, {"id": "c", "n": None}, {"id": 7, "n": 3}]
+    items = [("svc", "d", 1, 1000, json.dumps({"svc": {"list_total_count": 4, "row": rows}}))]
+    got = sorted((r.id, r.n) for r in pg.unpack_pages_fact(landed(spark, items), typed).collect())
+    assert got == [("7", 3), ("a", 1), ("b", 2), ("c", None)]
+    bad = [("svc", "d", 1, 1000, json.dumps({"svc": {"list_total_count": 1, "row": [{"id": "x", "n": "abc"}]}}))]
+    with pytest.raises(Exception):
+        pg.unpack_pages_fact(landed(spark, bad), typed).collect()
