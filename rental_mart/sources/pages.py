@@ -54,15 +54,20 @@ def _first_root_value(body: Column, first: Column, row_schema: T.StructType) ->
     return F.when(whole.isNotNull(), whole).otherwise(fallback)
 
 
+def _page_no(page_size: int) -> Column:
+    """1, 2, ... for the start indexes the client requests; NULL for any other."""
+    aligned = (F.col("start_index") >= 1) & ((F.col("start_index") - 1) % page_size == 0)
+    return F.when(aligned, (F.col("start_index") - 1) / page_size + 1).cast("long")
+
+
 def _parsed(pages: DataFrame, row_schema: T.StructType, page_size: int) -> DataFrame:
     body = F.col("body")
     keys = F.json_object_keys(body)
     first = F.get(keys, 0)
     root = _first_root_value(body, first, row_schema)
-    aligned = (F.col("start_index") >= 1) & ((F.col("start_index") - 1) % page_size == 0)
     return pages.select(
         F.col("service"), F.col("rent_dt"), F.col("start_index"), F.col("end_index"),
-        F.when(aligned, (F.col("start_index") - 1) / page_size + 1).cast("long").alias("page_no"),
+        _page_no(page_size).alias("page_no"),
         (F.coalesce(body, F.lit("")) != F.lit("")).alias("_has_body"),
         keys.alias("_keys"), first.alias("_first"),
         root.alias("_root"),
@@ -121,12 +126,17 @@ def _read_bound(flags: DataFrame) -> DataFrame:
 
 def valid_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
                 page_size: int = PAGE_SIZE) -> DataFrame:
-    """Pages the client would have read, with their parsed envelope."""
+    """Pages the client would have read, with their parsed envelope. The bound
+    comes from the cheap flag parse; only the pages below it are parsed with the
+    row schema."""
     flags = _page_flags(_parsed(pages, _ROW_PRESENCE, page_size), mode, page_size)
     bound = _read_bound(flags)
-    body = _parsed(pages, row_schema, page_size)
-    j = body.alias("p").join(bound.alias("b"), _same_group("p", "b"), "inner")
-    return j.where(F.col("p.page_no") < F.col("b.read_bound")).select("p.*", "b.read_bound")
+    raw = pages.select("service", "rent_dt", "start_index", "end_index", "body",
+                       _page_no(page_size).alias("page_no"))
+    kept = (raw.alias("p").join(bound.alias("b"), _same_group("p", "b"), "inner")
+            .where(F.col("p.page_no") < F.col("b.read_bound"))
+            .select("p.service", "p.rent_dt", "p.start_index", "p.end_index", "p.body"))
+    return _parsed(kept, row_schema, page_size)
 
 
 def _read_pages(pages: DataFrame, mode: str, page_size: int) -> DataFrame:
