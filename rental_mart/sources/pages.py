@@ -101,12 +101,18 @@ def _same_group(a: str, b: str) -> Column:
 
 def _read_bound(flags: DataFrame) -> DataFrame:
     """Per group, the first page number NOT read: min(first failing page, page
-    after the first stop page, first missing page)."""
-    meta = flags.where(F.col("page_no").isNotNull()).select(*GROUP, "page_no", "ok", "stop_after")
+    after the first stop page, first missing page). A page landed twice makes
+    the answer ambiguous, so it fails the query instead of doubling rows."""
+    meta = flags.where(F.col("page_no").isNotNull()).groupBy(*GROUP, "page_no").agg(
+        F.count(F.lit(1)).alias("copies"),
+        F.bool_and("ok").alias("ok"),
+        F.bool_or("stop_after").alias("stop_after"),
+    )
     per_group = meta.groupBy(*GROUP).agg(
         F.min(F.when(~F.col("ok"), F.col("page_no"))).alias("first_bad"),
         F.min(F.when(F.col("ok") & F.col("stop_after"), F.col("page_no") + 1)).alias("after_stop"),
         F.min("page_no").alias("min_page"),
+        F.max("copies").alias("max_copies"),
     )
     nxt = meta.select(*[F.col(c).alias(f"n_{c}") for c in GROUP], (F.col("page_no") - 1).alias("n_prev"))
     no_successor = meta.alias("m").join(
@@ -118,9 +124,13 @@ def _read_bound(flags: DataFrame) -> DataFrame:
     first_gap = no_successor.groupBy(*GROUP).agg((F.min("page_no") + 1).alias("gap_after_run"))
     b = per_group.alias("g").join(first_gap.alias("f"), _same_group("g", "f"), "left")
     missing = F.when(F.col("g.min_page") != 1, F.lit(1)).otherwise(F.col("f.gap_after_run"))
+    bound = F.least(F.col("g.first_bad"), F.col("g.after_stop"), missing)
+    duplicate = F.raise_error(F.concat(
+        F.lit("page landed more than once for service="), F.coalesce(F.col("g.service"), F.lit("NULL")),
+        F.lit(" rent_dt="), F.coalesce(F.col("g.rent_dt"), F.lit("NULL"))))
     return b.select(
         F.col("g.service").alias("service"), F.col("g.rent_dt").alias("rent_dt"),
-        F.least(F.col("g.first_bad"), F.col("g.after_stop"), missing).alias("read_bound"),
+        F.when(F.col("g.max_copies") > 1, duplicate.cast("long")).otherwise(bound).alias("read_bound"),
     )
 
 

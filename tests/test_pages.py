@@ -151,3 +151,12 @@ def test_field_json_types_do_not_void_a_page(spark):
     bad = [("svc", "d", 1, 1000, json.dumps({"svc": {"list_total_count": 1, "row": [{"id": "x", "n": "abc"}]}}))]
     with pytest.raises(Exception):
         pg.unpack_pages_fact(landed(spark, bad), typed).collect()
+
+
+def test_page_landed_twice_fails(spark):
+    import pytest
+
+    items = [page("svc", "d", 1, rows_of(0, 1000), 2000), page("svc", "d", 1, rows_of(0, 1000), 2000),
+             page("svc", "d", 1001, rows_of(1000, 1000), 2000)]
+    with pytest.raises(Exception, match="more than once"):
+        pg.unpack_pages_fact(landed(spark, items), schema(spark)).collect()
