@@ -52,12 +52,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location. Each gets a
     private parent, so looking beside it (swap recovery) touches nothing else."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
-    return f"{base}/rental_mart/{uuid.uuid4().hex[:12]}/{name}"
+    parent = f"{base.rstrip('/')}/rental_mart/{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(parent)
+    return f"{parent}/{name}"
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process created (once nothing reads them)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n
 
 
 def ansi_enabled(spark: SparkSession) -> bool:
@@ -71,4 +89,4 @@ def require_ansi(spark: SparkSession) -> None:
         raise RuntimeError("rental_mart needs spark.sql.ansi.enabled=true so bad text fails instead of turning NULL")
 
 
-__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "require_ansi", "ansi_enabled"]
+__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "drop_scratch", "require_ansi", "ansi_enabled"]
