@@ -14,10 +14,11 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from rental_mart.session import local_session
+    from rental_mart.session import drop_scratch, local_session
 
     s = local_session(cores=4, shuffle_partitions=4)
     yield s
+    drop_scratch(s)
     s.stop()
 
 
