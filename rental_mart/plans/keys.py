@@ -24,7 +24,7 @@ from rental_mart.schemas import FACT_API_ROW, STATION_API_ROW
 from rental_mart.session import scratch_path
 from rental_mart.sources import derived as dv
 from rental_mart.sources import lake, ods, pages
-from rental_mart.streaming import landed_days
+from rental_mart.streaming import landed_days, snapshots
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -404,3 +404,21 @@ def station_end_to_end(spark, sf_dir):
                        SNAPSHOT_DAY, ods.ods_station_table(scratch_path(spark, "e2e_station_ods")), dw,
                        load_ts=dv.LOAD_TS)
     return tb.read_table(spark, dw)
+
+
+@register("stream_station_refresh")
+def stream_station_refresh(spark, sf_dir):
+    """Two daily snapshots (a partial one, then the full one) streamed into the
+    seeded dimension: the day-by-day result equals one load of the last day."""
+    base = scratch_path(spark, "stream_station_lake")
+    api = dv.station_api_rows(spark, sf_dir)
+    dw = sl.dw_station_table(scratch_path(spark, "stream_station_dw"))
+    tb.overwrite_table(spark, dw, dv.dw_station_seed(spark, sf_dir))
+    o = ods.ods_station_table(scratch_path(spark, "stream_station_ods"))
+    ckpt = scratch_path(spark, "stream_station_ckpt")
+    for day, rows in (("2024-01-31", api.where(F.col("stationId").endswith("7"))), (SNAPSHOT_DAY, api)):
+        lake.land_snapshot(rows, base, DIM_SERVICE, day)
+        q = snapshots.start_station_refresh(spark, base, DIM_SERVICE, STATION_API_ROW, o, dw, ckpt,
+                                            load_ts=dv.LOAD_TS)
+        q.awaitTermination()
+    return tb.read_table(spark, dw)

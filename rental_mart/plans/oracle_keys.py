@@ -156,3 +156,5 @@ ORACLE["station_end_to_end"] = ORACLE["station_load"]
 
 ORACLE["preview_rows"] = ("SELECT * FROM lineitem ORDER BY "
                           + ", ".join(f"{c} ASC NULLS FIRST" for c in _LINEITEM) + " LIMIT 5")
+
+ORACLE["stream_station_refresh"] = ORACLE["station_load"]

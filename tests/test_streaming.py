@@ -49,3 +49,31 @@ def test_stream_equals_batch_and_replays_idempotently(spark, tmp_base):
     others = sorted(tuple(r) for r in after.where(F.col("rent_dt") != F.lit("2024-01-05").cast("date"))
                     .select(*OUT).collect())
     assert others == [r for r in snapshot(spark, batch) if str(r[0]) != "2024-01-05"]
+
+
+def test_snapshot_stream_loads_the_latest_day(spark, tmp_base):
+    from rental_mart.operators import station as st
+    from rental_mart.plans import station_load as sl
+    from rental_mart.schemas import STATION_API_ROW
+    from rental_mart.sources import ods
+    from rental_mart.streaming import snapshots
+
+    api = dv.station_api_rows(spark, SF001)
+    dw = sl.dw_station_table(f"{tmp_base}/dw_station")
+    o = ods.ods_station_table(f"{tmp_base}/ods_station")
+    lake.land_snapshot(api.where(F.col("stationId").endswith("3")), tmp_base, "st", "2024-01-01")
+    q = snapshots.start_station_refresh(spark, tmp_base, "st", STATION_API_ROW, o, dw, f"{tmp_base}/ck",
+                                        load_ts="2024-01-01 00:00:00")
+    q.awaitTermination()
+    first = st.active_count(tb.read_table(spark, dw)).first().n_active
+    lake.land_snapshot(api, tmp_base, "st", "2024-01-02")
+    q = snapshots.start_station_refresh(spark, tmp_base, "st", STATION_API_ROW, o, dw, f"{tmp_base}/ck",
+                                        load_ts="2024-01-02 00:00:00")
+    q.awaitTermination()
+    assert first == api.where(F.col("stationId").endswith("3")).count()
+    assert st.active_count(tb.read_table(spark, dw)).first().n_active == api.count()
+    # replaying the last day changes nothing
+    before = sorted(tuple(r) for r in tb.read_table(spark, dw).collect())
+    snapshots.refresh_from_snapshot(spark, tmp_base, "st", STATION_API_ROW, "2024-01-02", o, dw,
+                                    load_ts="2024-01-02 00:00:00")
+    assert sorted(tuple(r) for r in tb.read_table(spark, dw).collect()) == before
