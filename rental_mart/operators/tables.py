@@ -132,7 +132,7 @@ def recover(spark: SparkSession, table: ParquetTable) -> None:
     table folder is missing but a previous version was parked beside it, the
     newest parked version is put back; leftover staging folders are removed."""
     parent, name = _siblings(table)
-    left = _glob(spark, f"{parent}/_{name}.*")
+    left = _glob(spark, f"{parent}/_{name}.staging-*") + _glob(spark, f"{parent}/_{name}.old-*")
     if not exists(spark, table.path):
         parked = sorted((t, n) for n, d, t in left if d and n.startswith(f"_{name}.old-"))
         if parked:
