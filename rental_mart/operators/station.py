@@ -101,10 +101,13 @@ def soft_delete_missing(target: DataFrame, source_clean: DataFrame, load_ts=None
     on distinct source codes plus two scalar flags instead of Spark's null-aware
     anti join, which needs the whole source broadcast."""
     ts = fx.timestamp_literal(load_ts)
-    src = source_clean.select("station_cd")
-    has_null = src.where(F.col("station_cd").isNull()).exists()
-    non_empty = src.exists()
-    keys = src.where(F.col("station_cd").isNotNull()).distinct().select(
+    # the distinct source codes, NULL included, feed the join and both flags, so
+    # Spark can reuse one aggregation (partial aggregation leaves one NULL row per
+    # task, so NULL codes cannot pile up either)
+    codes = source_clean.select("station_cd").distinct()
+    has_null = codes.where(F.col("station_cd").isNull()).exists()
+    non_empty = codes.exists()
+    keys = codes.where(F.col("station_cd").isNotNull()).select(
         F.col("station_cd").alias("_src_cd"), F.lit(True).alias("_in_src"))
 
     t = target.select(*names(DW_STATION))
