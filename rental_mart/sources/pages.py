@@ -203,7 +203,9 @@ def page_ranges(totals: DataFrame, total_col: str = "list_total_count",
 def page_audit(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
                page_size: int = PAGE_SIZE) -> DataFrame:
     """Per (service, rent_dt), pages landed vs read, rows collected vs the
-    announced list_total_count. A truncated collection shows is_complete=false."""
+    announced list_total_count. A truncated collection shows is_complete=false.
+    Only page metadata is parsed (``row_schema`` is accepted for symmetry with
+    ``unpack_pages`` and not needed)."""
     landed = pages.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("pages_landed"))
     v = _read_pages(pages, mode, page_size)
     read = v.groupBy(*GROUP).agg(
