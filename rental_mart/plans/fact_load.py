@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rental_mart import functions as fx
 from rental_mart.operators import fact as fact_ops
@@ -53,14 +54,17 @@ def refresh_dm(spark: SparkSession, dw: tb.ParquetTable, dm: tb.ParquetTable, st
 def run_fact_job(spark: SparkSession, landed_pages: DataFrame, row_schema, lake_base: str,
                  service: str, ods: tb.ParquetTable, dw: tb.ParquetTable, start, end,
                  load_ts=None, variant: str = "iso", ods_all_days: bool = False) -> DataFrame:
-    """The daily fact job end to end: unpack the landed responses (A1), land the
-    rows by day (A5), read them back (A9), lower-case (A10), reload the ODS (A12)
-    and refresh the DW period (C5). Returns the DW count.
+    """The daily fact job end to end: unpack the landed responses of the period's
+    request days (A1), land the rows by day (A5), read them back (A9), lower-case
+    (A10), reload the ODS (A12) and refresh the DW period (C5). Returns the DW count.
 
     By default the lake read is pruned to the period's day folders, so the ODS
     holds the period. ``ods_all_days`` reloads the ODS with every landed day
     instead (a full scan of the service); the DW result is the same."""
-    rows = pg.unpack_pages_fact(landed_pages, row_schema)
+    s, e = fx.period_bounds(start, end)
+    period_pages = landed_pages.where(
+        F.col("rent_dt").between(F.lit(s.strftime("%Y%m%d")), F.lit(e.strftime("%Y%m%d"))))
+    rows = pg.unpack_pages_fact(period_pages, row_schema)
     lake.land_fact(rows, lake_base, service)
     landed = (lake.read_landed(spark, lake_base, service, row_schema) if ods_all_days
               else lake.read_landed(spark, lake_base, service, row_schema, start, end))
