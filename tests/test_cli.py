@@ -24,3 +24,17 @@ def test_fact_and_station_jobs(spark, tmp_base):
                 "--ods", f"{tmp_base}/ods_station", "--dw", f"{tmp_base}/dw_station",
                 "--snapshot-dt", "2024-02-01"], spark)
     assert out["active_stations"] == dv.table(spark, SF001, "supplier").count()
+
+
+def test_fact_job_lands_only_the_period(spark, tmp_base):
+    from rental_mart.plans import fact_load as fl
+    from rental_mart.schemas import FACT_API_ROW
+    from rental_mart.sources import lake, ods
+
+    pages = dv.fact_api_pages(spark, SF001)
+    dw = fl.dw_fact_table(f"{tmp_base}/dw")
+    fl.run_fact_job(spark, pages, FACT_API_ROW, f"{tmp_base}/lake", "svc", ods.ods_fact_table(f"{tmp_base}/ods"),
+                    dw, "2024-01-10", "2024-01-12", load_ts="2024-02-01 00:00:00")
+    landed_days = {r[0] for r in lake.read_landed(spark, f"{tmp_base}/lake", "svc", FACT_API_ROW)
+                   .select("RENT_DT").distinct().collect()}
+    assert landed_days == {"2024-01-10", "2024-01-11", "2024-01-12"}
