@@ -117,6 +117,22 @@ def _interpolated(sorted_values, p: float):
     return F.when(n > 0, lo + (pos - lo_i) * (hi - lo))
 
 
+def describe_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """D4 for the other columns (the landed and ODS layers are text): one row per
+    column with count, null_count, min and max, compared as text in binary
+    order. Partial min/max per task, so no column's values meet in one task."""
+    cols = cols or [f.name for f in df.schema.fields if not isinstance(f.dataType, T.NumericType)]
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
+        [], cols, "column_name", "v")
+    v = F.col("v")
+    return long.groupBy("column_name").agg(
+        F.count(v).alias("count"),
+        F.count_if(v.isNull()).alias("null_count"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+    )
+
+
 # ---- D5 ---------------------------------------------------------------------------
 
 def constraint_audit(df: DataFrame, keys: tuple[str, ...] = FACT_KEYS,

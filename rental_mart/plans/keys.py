@@ -334,6 +334,12 @@ def describe(spark, sf_dir):
     return dq.describe(dv.table(spark, sf_dir, "lineitem"))
 
 
+@register("describe_text")
+def describe_text(spark, sf_dir):
+    """D4 over the ODS fact text columns, as the landed data is profiled."""
+    return dq.describe_text(dv.ods_fact(spark, sf_dir))
+
+
 @register("constraint_audit")
 def constraint_audit(spark, sf_dir):
     """D5 over a DW table where the period was inserted twice by mistake (C3 twice)."""

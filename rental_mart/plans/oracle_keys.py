@@ -158,3 +158,8 @@ ORACLE["preview_rows"] = ("SELECT * FROM lineitem ORDER BY "
                           + ", ".join(f"{c} ASC NULLS FIRST" for c in _LINEITEM) + " LIMIT 5")
 
 ORACLE["stream_station_refresh"] = ORACLE["station_load"]
+
+_ODS_TEXT = [c for c in _FACT_COLS if c not in ("start_index", "end_index")]
+ORACLE["describe_text"] = f"WITH {o.ODS_FACT}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"min({c}) AS min, max({c}) AS max FROM ods_fact" for c in _ODS_TEXT)

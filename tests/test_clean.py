@@ -153,3 +153,12 @@ def test_nan_text_measure_loads(spark):
             {"rent_dt": "2025-01-01", "rent_id": "ST-1", "rent_nm": "1. a", "exer_amt": "2.5"}]
     r = fact_ops.aggregate_fact(fact_ops.clean_fact_iso(_ods(spark, rows), "2025-01-01", "2025-01-01")).first()
     assert r.exer_amt != r.exer_amt   # NaN, as a DOUBLE PRECISION sum gives
+
+
+def test_describe_text(spark):
+    from rental_mart.operators import quality as dq
+
+    df = spark.createDataFrame([("b", dt.date(2024, 1, 2), 1), ("가", None, 2), (None, dt.date(2023, 12, 31), 3)],
+                               "s string, d date, n int")
+    got = {r.column_name: tuple(r)[1:] for r in dq.describe_text(df).collect()}
+    assert got == {"s": (2, 1, "b", "가"), "d": (2, 1, "2023-12-31", "2024-01-02")}
