@@ -61,27 +61,33 @@ def _anchors(docs: DataFrame, width: int, run: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, width: int, run: int) -> DataFrame:
-    """Hash and first word of each window whose anchor is among the row's ``anchors``."""
+    """Hash and first word of each window whose anchor is among the row's shared ones; ``asks``
+    where an earlier document has the anchor, ``offers`` where a later one has."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
                 w, found, anchor, at = _hashed(part.column("text"), width, run)
-                lists = part.column("anchors")
                 first = np.searchsorted(at, w.first)
-                offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
-                flat = np.asarray(lists.flatten(), np.int64)
-                keep = np.zeros(len(at), bool)
-                for i in range(len(part)):
-                    lo, hi = first[i], first[i + 1]
-                    keep[lo:hi] = np.isin(anchor[lo:hi], flat[offsets[i] : offsets[i + 1]])
+                marks = []
+                for column in ("asks", "offers"):
+                    lists = part.column(column)
+                    offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+                    flat = np.asarray(lists.flatten(), np.int64)
+                    mark = np.zeros(len(at), bool)
+                    for i in range(len(part)):
+                        lo, hi = first[i], first[i + 1]
+                        mark[lo:hi] = np.isin(anchor[lo:hi], flat[offsets[i] : offsets[i + 1]])
+                    marks.append(mark)
+                keep = marks[0] | marks[1]
                 at, found = at[keep], found[keep]
                 of = np.searchsorted(w.first, at, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), part.column("doc_id").take(pa.array(of)), part.column("text_hash").take(pa.array(of)), pa.array((at - w.first[of]).astype(np.int32))],
-                    ["window", "doc_id", "text_hash", "at"],
+                    [pa.array(found), part.column("doc_id").take(pa.array(of)), part.column("text_hash").take(pa.array(of)),
+                     pa.array((at - w.first[of]).astype(np.int32)), *(pa.array(m[keep]) for m in marks)],
+                    ["window", "doc_id", "text_hash", "at", "asks", "offers"],
                 )
 
-    return docs.mapInArrow(read, "window bigint, doc_id bigint, text_hash bigint, at int")
+    return docs.mapInArrow(read, "window bigint, doc_id bigint, text_hash bigint, at int, asks boolean, offers boolean")
 
 
 def _cut_out(docs: DataFrame, width: int) -> DataFrame:
@@ -90,8 +96,10 @@ def _cut_out(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             for part in W.slices(batch, "text"):
                 rows = []
-                for text, at in zip(part.column("text").to_pylist(), part.column("at").to_pylist()):
+                for text, at, copy in zip(*(part.column(c).to_pylist() for c in ("text", "at", "copy"))):
                     words = (text or "").encode().split()
+                    if copy:
+                        at = range(0, len(words) - width + 1)
                     spans: list[list[int]] = []
                     for a in sorted(set(at or ())):
                         if spans and a <= spans[-1][1]:
@@ -125,10 +133,21 @@ def dedup(documents: DataFrame, width: int = WIDTH, run: int = RUN) -> DataFrame
     ``width``.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    key = ["doc_id", "text_hash"]
+    # Texts that an earlier document holds whole are done: each of their windows starts there too.
+    whole = docs.filter("doc_id is not null").select(*key, F.xxhash64(F.lit(1), "text").alias("second_hash"))
+    earliest = whole.groupBy("text_hash", "second_hash").agg(F.min("doc_id").alias("first_doc"))
+    copies = whole.join(earliest, ["text_hash", "second_hash"]).filter("doc_id > first_doc").select(*key).distinct()
+
     anchors = stash(_anchors(docs.filter("doc_id is not null"), width, run))
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
-    mine = anchors.join(shared, "anchor").groupBy("doc_id", "text_hash").agg(F.collect_set("anchor").alias("anchors"))
-    found = _windows(docs.join(mine, ["doc_id", "text_hash"]), width, run)
-    first = found.groupBy("window").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc < last_doc").select("window", "first_doc")
-    repeats = found.join(first, "window").filter("doc_id > first_doc").groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("at"))
-    return _cut_out(docs.join(repeats, ["doc_id", "text_hash"], "left").select("doc_id", "text", "at"), width)
+    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
+    mine = (
+        anchors.join(shared, "anchor").groupBy(*key)
+        .agg(F.collect_set(F.expr("if(doc_id > lo, anchor, null)")).alias("asks"), F.collect_set(F.expr("if(doc_id < hi, anchor, null)")).alias("offers"))
+        .join(copies, key, "left_anti")
+    )
+    found = _windows(docs.join(mine, key), width, run)
+    first = found.filter("offers").groupBy("window").agg(F.min("doc_id").alias("first_doc"))
+    repeats = found.filter("asks").drop("asks", "offers").join(first, "window").filter("doc_id > first_doc").groupBy(*key).agg(F.collect_set("at").alias("at"))
+    told = repeats.withColumn("copy", F.lit(False)).unionByName(copies.select(*key, F.lit(None).cast("array<int>").alias("at"), F.lit(True).alias("copy")))
+    return _cut_out(docs.join(told, key, "left").select("doc_id", "text", "at", "copy"), width)
