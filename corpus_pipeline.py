@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rental_mart.llm import bpe, secrets
+from rental_mart.llm import bpe, jaccard, mixing, secrets, toxicity
 from rental_mart.llm.graph import stash
 from rental_mart.llm.queries import vocabulary_path
 from rental_mart.llm.tables import table
@@ -19,6 +19,28 @@ from rental_mart.llm.tables import table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose likeliest grade is toxic go; the model is trained on ``labels``."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.grade(docs.select(*COLUMNS), model, keep=COLUMNS).filter(~F.col("toxic")).select(*COLUMNS)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links connect, the one with the smallest id stays.
+
+    Rows without an id, and texts without words, link with nothing and stay. Of rows that repeat
+    an id, the first text that is in its group stays (each such row is one document).
+    """
+    linked = stash(jaccard.join(docs))
+    gone = linked.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mix takes, as documents; a text that repeats is a row for each repeat."""
+    return mixing.mixed_documents(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found in a text becomes ``[SECRET]``; all documents stay."""
     found = secrets.redact(secrets.scan(docs.select(*COLUMNS)))
@@ -36,7 +58,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", reject_toxic),
+    ("near duplicates", one_of_each),
     ("secrets", scan_secrets),
+    ("mixing", mix),
     ("bpe", encode),
 ]
 

@@ -231,7 +231,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out_col: str = "ids
     the library has it.
     """
     packed = _packed(df, path)
-    src = df.select(*keep, text_col)
+    src = df.select(*dict.fromkeys((*keep, text_col)))
     out = T.StructType([*df.select(*keep).schema.fields, T.StructField(out_col, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

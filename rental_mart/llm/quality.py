@@ -83,7 +83,7 @@ def measure(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc
                 found = counts(part.column(text_col))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(found[c].astype(np.int64)) for c in COUNTS)], [*keep, *COUNTS])
 
-    return df.select(*keep, text_col).mapInArrow(run, out)
+    return df.select(*dict.fromkeys((*keep, text_col))).mapInArrow(run, out)
 
 
 def base_failed() -> F.Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rental_mart.llm import bpe, chat, quality, secrets, substrings
+from rental_mart.llm import bpe, chat, jaccard, lattice, lm, mixing, quality, secrets, substrings, toxicity
 from rental_mart.llm.tables import table
 
 
@@ -36,6 +36,28 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_turns(turns.unionByName(more)))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    graded = toxicity.grade(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return graded.select("doc_id", "severity", "grade", "toxic")
+
+
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+def op7_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def _joined(spans: F.Column) -> F.Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
@@ -63,6 +85,11 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_chat": op2_chat,
+    "op3_mixing": op3_mixing,
+    "op4_toxicity": op4_toxicity,
+    "op5_lm": op5_lm,
+    "op6_jaccard": op6_jaccard,
+    "op7_lattice": op7_lattice,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_substrings": op10_substrings,

@@ -1,9 +1,27 @@
-"""Reads the given tables."""
+"""Reads the given tables, and sees to it that the workers can import this package."""
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Adds the package to the application's Python files, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        if package.is_dir():  # not where it was shipped as a zip already
+            zipped = shutil.make_archive(f"{tempfile.mkdtemp(prefix='package-')}/{package.name}", "zip", package.parent, package.name)
+            sc.addPyFile(zipped)
+        _shipped.add(sc.applicationId)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

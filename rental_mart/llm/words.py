@@ -55,10 +55,11 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split(texts: pa.Array) -> Words:
+def split(texts: pa.Array, gaps: np.ndarray = _SPACE) -> Words:
+    """Words of all texts; ``gaps`` tells for each byte whether it separates words."""
     data, at = text_bytes(texts)
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~gaps[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     start = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
