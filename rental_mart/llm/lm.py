@@ -143,18 +143,13 @@ def build(packed: DataFrame) -> DataFrame:
 
 
 class Filter:
-    """The buckets of one kind that a pass holds, as one buffer."""
+    """The buckets of one kind that a pass holds, as one buffer; ``size`` has the bytes of each."""
 
-    def __init__(self, bits: int, parts: list[tuple[int, bytes]]):
-        self.bits = bits
-        size = np.zeros(1 << bits, np.int64)
-        for b, raw in parts:
-            size[b] = len(raw)
+    def __init__(self, size: np.ndarray, data: np.ndarray):
+        self.bits = len(size).bit_length() - 1
         self.size = (size * 8).astype(np.uint64)
         self.offset = np.concatenate([[0], np.cumsum(size)[:-1]])
-        self.data = np.zeros(int(size.sum()), np.uint8)
-        for b, raw in parts:
-            self.data[self.offset[b] : self.offset[b] + len(raw)] = np.frombuffer(raw, np.uint8)
+        self.data = data
 
     def bucket(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> _U(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
@@ -182,21 +177,20 @@ def _count_of(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (1.5 * 2.0 ** np.maximum(level, 1) - 1) / 2, 0.0)
 
 
-def _load(pieces: list) -> Filter:
-    return Filter(pieces[0], [part for piece in pieces[1:] for part in piece.value])
+def _share(rows: DataFrame, size: np.ndarray):
+    """Broadcasts filter buckets as one buffer of a size known before; ``size`` by bucket."""
+    at = np.concatenate([[0], np.cumsum(size)])
+    data = np.zeros(int(at[-1]), np.uint8)
+    for row in rows.select("bucket", "filter").toLocalIterator():
+        data[at[row["bucket"]] : at[row["bucket"] + 1]] = np.frombuffer(row["filter"], np.uint8)
+    return rows.sparkSession.sparkContext.broadcast((size, data))
 
 
-def _share(rows: DataFrame, bits: int) -> list:
-    """Broadcasts filter rows in pieces of a few MB; the driver holds one piece at a time."""
-    sc, out, held, size = rows.sparkSession.sparkContext, [bits], [], 0
-    for row in rows.select("bucket", "filter").toLocalIterator():
-        held.append((row["bucket"], bytes(row["filter"])))
-        size += len(row["filter"])
-        if size >= 8 << 20:
-            out.append(sc.broadcast(held))
-            held, size = [], 0
-    if held:
-        out.append(sc.broadcast(held))
+def _sizes(rows: DataFrame, bits: int) -> np.ndarray:
+    """Bytes of each bucket's filter: one number for each bucket."""
+    out = np.zeros(1 << bits, np.int64)
+    for r in rows.select("bucket", F.length("filter").alias("n")).toLocalIterator():
+        out[r["bucket"]] = r["n"]
     return out
 
 
@@ -233,22 +227,20 @@ def score(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     exact = sc.broadcast(frequent)
 
     word_bits, pair_bits = _bits(n_words, BUCKET), _bits(n_train, BUCKET)
-    word_filter = _share(build(_words(counted, word_bits)), word_bits)
-    rows = stash(build(_pairs(docs, pair_bits)))
-    held = sorted((r["bucket"], r["n"]) for r in rows.select("bucket", F.length("filter").alias("n")).toLocalIterator())
-    passes: list[list[int]] = [[]]
-    total = 0
-    for b, n in held:  # one small row for each bucket
-        if total + n > filter_bytes and passes[-1]:
-            passes.append([])
-            total = 0
-        passes[-1].append(b)
-        total += n
-    # Buckets without a pair belong to the pass whose range they lie in.
-    starts = [0, *(p[0] for p in passes[1:]), 1 << pair_bits]
-    filters = [
-        (_share(rows.filter(F.col("bucket").between(lo, hi - 1)), pair_bits), lo, hi) for lo, hi in zip(starts, starts[1:])
-    ]
+    words = stash(build(_words(counted, word_bits)))
+    word_filter = _share(words, _sizes(words, word_bits))
+    pairs = stash(build(_pairs(docs, pair_bits)))
+    size = _sizes(pairs, pair_bits)
+    starts, held = [0], 0
+    for b, n in enumerate(size):
+        if held + n > filter_bytes and held:
+            starts.append(b)
+            held = 0
+        held += n
+    filters = []
+    for lo, hi in zip(starts, [*starts[1:], len(size)]):
+        mine = np.where((np.arange(len(size)) >= lo) & (np.arange(len(size)) < hi), size, 0)
+        filters.append((_share(pairs.filter(F.col("bucket").between(lo, hi - 1)), mine), lo, hi))
     norm = n_train + n_words + 1
     votes = np.zeros((2, LEVELS + 1))
     for pair_filter, lo, hi in filters:
@@ -306,14 +298,14 @@ def _count_words(docs: DataFrame) -> DataFrame:
     return docs.filter(~F.col("held_out")).select("text").mapInArrow(read, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _opened(word_filter: list, pair_filter: list, lo: int, hi: int) -> tuple[Filter, Filter]:
-    words, pairs = _load(word_filter), _load(pair_filter)
+def _opened(word_filter, pair_filter, lo: int, hi: int) -> tuple[Filter, Filter]:
+    words, pairs = Filter(*word_filter.value), Filter(*pair_filter.value)
     pairs.held = np.zeros(1 << pairs.bits, bool)
     pairs.held[lo:hi] = True
     return words, pairs
 
 
-def _vote(docs: DataFrame, word_filter: list, pair_filter: list, lo: int, hi: int, n_train: int) -> DataFrame:
+def _vote(docs: DataFrame, word_filter, pair_filter, lo: int, hi: int, n_train: int) -> DataFrame:
     """Votes by context level over training texts: whether the pair or the word predicts better."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs = _opened(word_filter, pair_filter, lo, hi)
@@ -329,10 +321,8 @@ def _vote(docs: DataFrame, word_filter: list, pair_filter: list, lo: int, hi: in
     return docs.filter(~F.col("held_out")).select("text").mapInArrow(read, "level int, pair double, word double")
 
 
-def _score_pass(docs: DataFrame, word_filter: list, pair_filter: list, lo: int, hi: int, weight: np.ndarray, norm: float, exact, number: int) -> DataFrame:
+def _score_pass(docs: DataFrame, word_filter, pair_filter, lo: int, hi: int, weight: np.ndarray, norm: float, exact, number: int) -> DataFrame:
     """One pass: the part of each score that its pairs make, and in the first one the exact sums."""
-    rare_type = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs = _opened(word_filter, pair_filter, lo, hi)
         frequent = {k.encode(): v for k, v in exact.value.items()} if exact is not None else {}
@@ -343,23 +333,24 @@ def _score_pass(docs: DataFrame, word_filter: list, pair_filter: list, lo: int,
                 share = weight[known]
                 p = share * both / np.maximum(context, 1) + (1 - share) * (word + 1) / norm
                 total = np.bincount(of, np.log10(p), minlength=len(part))
-                rows = []
-                if exact is not None:
-                    for text in part.column("text").cast(pa.binary()).to_pylist():
-                        held = Counter(text.lower().split())
-                        n_tokens = sum(held.values()) + 1
-                        held[b""] = 1
-                        there = held.keys() & logs.keys()
-                        rows.append((
-                            n_tokens, sum(held[w] for w in there), math.fsum(logs[w] * held[w] for w in there),
-                            [{"word": w.decode(), "times": n} for w, n in held.items() if w not in logs],
-                        ))
-                else:
-                    rows = [(0, 0, 0.0, None)] * len(part)
-                n, k, s, rare = zip(*rows)
+                rows, rare, times, ends = [], [], [], [0]
+                for text in part.column("text").cast(pa.binary()).to_pylist() if exact is not None else ():
+                    held = Counter(text.lower().split())
+                    n_tokens = sum(held.values()) + 1
+                    held[b""] = 1
+                    there = held.keys() & logs.keys()
+                    rows.append((n_tokens, sum(held[w] for w in there), math.fsum(logs[w] * held[w] for w in there)))
+                    mine = held.keys() - logs.keys()
+                    rare += mine
+                    times += map(held.__getitem__, mine)
+                    ends.append(len(rare))
+                if exact is None:
+                    rows, ends = [(0, 0, 0.0)] * len(part), [0] * (len(part) + 1)
+                n, k, s = zip(*rows)
+                items = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], ["word", "times"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_key"), part.column("text_hash"), part.column("held_out"), pa.array([number] * len(part), pa.int32()), pa.array(total),
-                     pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(s, pa.float64()), pa.array(rare, rare_type)],
+                     pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(s, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)],
                     ["doc_key", "text_hash", "held_out", "pass", "score", "n_tokens", "known", "exact_log", "rare"],
                 )
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
