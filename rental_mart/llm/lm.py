@@ -24,13 +24,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rental_mart.llm import words as W
 from rental_mart.llm.graph import stash
 
-FREQUENT = 50_000
+FREQUENT = 200_000
 FLUSH = 1 << 21
 BUCKET = 1 << 20  # training pairs in a bucket of the filter, about
 BITS, PROBES = 8, 4
@@ -257,13 +258,13 @@ def score(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     read = stash(read)
     summed = read.groupBy(*key, "pass").agg(F.max("score").alias("score")).groupBy(*key).agg(F.sum("score").alias("score"))
     own = read.filter(F.col("pass") == 0)
-    rare = own.select(*key, "rare").dropDuplicates(key).select(*key, F.explode("rare").alias("r")).select(*key, "r.word", "r.times")
+    rare = own.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
     joined = (
-        rare.join(counted, "word").groupBy(*key)
+        rare.join(counted, "word").groupBy("row")
         .agg(F.sum(F.log10(F.col("n") + 1) * F.col("times")).alias("rare_log"), F.sum("times").alias("rare_known"))
     )
     return (
-        own.join(summed.withColumnRenamed("score", "total"), key).join(joined, key, "left")
+        own.drop("rare").join(summed.withColumnRenamed("score", "total"), key).join(joined, "row", "left")
         .select(
             F.when(F.col("doc_key") > -(1 << 63), F.col("doc_key")).alias("doc_id"), "held_out", "n_tokens",
             (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
@@ -325,8 +326,8 @@ def _score_pass(docs: DataFrame, word_filter, pair_filter, lo: int, hi: int, wei
     """One pass: the part of each score that its pairs make, and in the first one the exact sums."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs = _opened(word_filter, pair_filter, lo, hi)
-        frequent = {k.encode(): v for k, v in exact.value.items()} if exact is not None else {}
-        logs = {k: math.log10(v + 1) for k, v in frequent.items()}
+        logs = {k.encode(): math.log10(v + 1) for k, v in exact.value.items()} if exact is not None else {}
+        row_end = TaskContext.get().partitionId() << 33  # a number for each row, fixed once written
         for batch in batches:
             for part in W.slices(batch, "text"):
                 of, known, both, context, word = _estimates(words, pairs, part.column("text"))
@@ -347,14 +348,15 @@ def _score_pass(docs: DataFrame, word_filter, pair_filter, lo: int, hi: int, wei
                 if exact is None:
                     rows, ends = [(0, 0, 0.0)] * len(part), [0] * (len(part) + 1)
                 n, k, s = zip(*rows)
-                items = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], ["word", "times"])
+                items = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int32())], ["word", "times"])
+                row, row_end = row_end, row_end + len(part)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_key"), part.column("text_hash"), part.column("held_out"), pa.array([number] * len(part), pa.int32()), pa.array(total),
-                     pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(s, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)],
-                    ["doc_key", "text_hash", "held_out", "pass", "score", "n_tokens", "known", "exact_log", "rare"],
+                     pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(s, pa.float64()), pa.array(range(row, row_end), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)],
+                    ["doc_key", "text_hash", "held_out", "pass", "score", "n_tokens", "known", "exact_log", "row", "rare"],
                 )
 
     return docs.select("doc_key", "text_hash", "held_out", "text").mapInArrow(
         read,
-        "doc_key bigint, text_hash bigint, held_out boolean, pass int, score double, n_tokens bigint, known bigint, exact_log double, rare array<struct<word:string,times:bigint>>",
+        "doc_key bigint, text_hash bigint, held_out boolean, pass int, score double, n_tokens bigint, known bigint, exact_log double, row bigint, rare array<struct<word:string,times:int>>",
     )
