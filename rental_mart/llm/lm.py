@@ -339,9 +339,9 @@ def _score_pass(docs: DataFrame, word_filter, pair_filter, lo: int, hi: int, wei
                     held = Counter(text.lower().split())
                     n_tokens = sum(held.values()) + 1
                     held[b""] = 1
-                    there = held.keys() & logs.keys()
+                    there = [w for w in held if w in logs]
                     rows.append((n_tokens, sum(held[w] for w in there), math.fsum(logs[w] * held[w] for w in there)))
-                    mine = held.keys() - logs.keys()
+                    mine = [w for w in held if w not in logs]
                     rare += mine
                     times += map(held.__getitem__, mine)
                     ends.append(len(rare))
