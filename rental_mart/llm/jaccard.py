@@ -229,7 +229,8 @@ def join(
     clustered = stash(clustered)
     big = clustered.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
     big = big.select("cluster", F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("s") * 8 / BLOCK_BYTES)).alias("blocks")).filter("blocks > 1")
-    sets = _sets(docs.join(clustered.withColumnRenamed("class_id", "doc_id"), "doc_id").select("text", "node", "second", "copies", "cluster"))
+    # A shuffle join at every size: the clustered rows grow with the documents.
+    sets = _sets(docs.join(clustered.withColumnRenamed("class_id", "doc_id").hint("merge"), "doc_id").select("text", "node", "second", "copies", "cluster"))
     sure = stash(blocks.compare(blocks.blocked(sets, "cluster", "node", big), "cluster", _verified(threshold)))
     links = sure.groupBy("node").agg(F.sum("links").alias("links"))
     group = components(sure.filter("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")))
