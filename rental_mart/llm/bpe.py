@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from rental_mart.llm.words import slices
 
-CACHED_WORDS = 400_000
-CACHED_PAIRS = 500_000
+CACHED_WORDS = 150_000
+CACHED_PAIRS = 100_000
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 
 

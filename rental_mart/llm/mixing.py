@@ -199,7 +199,8 @@ def mix_sources(documents: DataFrame, seed: int = SEED) -> tuple[DataFrame, Data
     sized = sizes(documents)
     sources = source_table(sized)
     numbered = _numbered(sized, sources)
-    return slots(documents, sources, seed).join(pieces(numbered), ["source_no", "block"]), numbered
+    # Both sides grow with the documents, which the planner can't see from a range of shards.
+    return slots(documents, sources, seed).hint("merge").join(pieces(numbered), ["source_no", "block"]), numbered
 
 
 def taken(documents: DataFrame, seed: int = SEED) -> DataFrame:

@@ -175,14 +175,14 @@ def grade(documents: DataFrame, model: Model, text_col: str = "text", keep: tupl
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, weight, thresholds = shared.value
-        dense, known = np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS, bool)
-        dense[index], known[index] = weight, True
+        known = np.zeros(1 << HASH_BITS, bool)
+        known[index] = True
         for batch in batches:
             for part in W.slices(batch, text_col):
                 number, of = _features(part.column(text_col))
                 mine = known[number]
                 number, of = _distinct(number[mine], of[mine])
-                score = np.bincount(of, dense[number], minlength=len(part))
+                score = np.bincount(of, weight[np.searchsorted(index, number)], minlength=len(part))
                 below = _sigmoid(thresholds[None, :] - score[:, None])
                 p = np.diff(np.concatenate([np.zeros((len(score), 1)), below, np.ones((len(score), 1))], axis=1))
                 yield pa.RecordBatch.from_arrays(
