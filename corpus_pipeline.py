@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rental_mart.llm import bpe, jaccard, mixing, secrets, toxicity
 from rental_mart.llm.graph import stash
 from rental_mart.llm.queries import vocabulary_path
-from rental_mart.llm.tables import table
+from rental_mart.llm.tables import ship, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -31,6 +31,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without an id, and texts without words, link with nothing and stay. Of rows that repeat
     an id, the first text that is in its group stays (each such row is one document).
     """
+    ship(spark)
     linked = stash(jaccard.join(docs))
     gone = linked.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
@@ -38,17 +39,20 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes, as documents; a text that repeats is a row for each repeat."""
+    ship(spark)
     return mixing.mixed_documents(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found in a text becomes ``[SECRET]``; all documents stay."""
+    ship(spark)
     found = secrets.redact(secrets.scan(docs.select(*COLUMNS)))
     return found.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to text at all (empty texts give none)."""
+    ship(spark)
     path = vocabulary_path()
     ids = bpe.encode(docs, path, keep=("doc_id", "lang", "source"))
     both = ids.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("tokens", F.col("ids"))
