@@ -2,7 +2,7 @@
 
 from rental_mart.functions.clean import (  # noqa: F401
     AGE_OTHER, AGE_UNKNOWN, GENDER_FEMALE, GENDER_MALE, GENDER_UNKNOWN, RENT_TYPE_UNKNOWN,
-    EXACT_SUM_LIMIT, EXACT_SUM_SCALE, age_type, any_date, blank_decimal, blank_double, blank_int, compact_text, exact_sum,
+    age_type, any_date, blank_decimal, blank_double, blank_int, compact_text,
     gender, iso_date, iso_text, period_bounds, rent_type, station_name, station_number,
     timestamp_literal,
 )

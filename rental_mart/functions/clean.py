@@ -94,27 +94,6 @@ def compact_text(c: ColumnOrName) -> Column:
     return F.replace(_c(c), F.lit("-"), F.lit(""))
 
 
-# Sums of DOUBLE measures are accumulated as DECIMAL(38, 15) and cast back once.
-# The result is then the correctly rounded sum of the values, independent of
-# how rows are partitioned, so a period reload is bit-identical to the first.
-EXACT_SUM_SCALE = 15
-EXACT_SUM_LIMIT = 1e22   # |value| below this fits DECIMAL(38, 15) with room to add
-
-
-def exact_sum(c: ColumnOrName) -> Column:
-    """SUM of a double column, exact and order-independent when it can be.
-
-    When every value is finite and below ``EXACT_SUM_LIMIT`` and the decimal
-    total does not overflow, the decimal sum is returned; otherwise (NaN,
-    infinities, huge values) the plain double SUM is, as the warehouse's DOUBLE
-    PRECISION sum would give. All-NULL input stays NULL."""
-    x = _c(c).cast(T.DoubleType())
-    in_range = F.when(~F.isnan(x) & (F.abs(x) < F.lit(EXACT_SUM_LIMIT)), x)
-    dec = F.try_sum(in_range.cast(T.DecimalType(38, EXACT_SUM_SCALE)))
-    exact = (F.count(x) == F.count(in_range)) & dec.isNotNull()
-    return F.when(exact, dec.cast(T.DoubleType())).otherwise(F.sum(x))
-
-
 # ---- driver-side parameters -------------------------------------------------------
 
 def _as_date(d: str | _dt.date) -> _dt.date:

@@ -57,9 +57,9 @@ def aggregate_fact(clean: DataFrame) -> DataFrame:
     agg = clean.groupBy(*FACT_KEYS).agg(
         F.max("rent_nm").alias("_max_nm"),
         F.sum("use_cnt").alias("use_cnt"),
-        fx.exact_sum("exer_amt").alias("exer_amt"),
-        fx.exact_sum("carbon_amt").alias("carbon_amt"),
-        fx.exact_sum("move_meter").alias("move_meter"),
+        F.sum("exer_amt").alias("exer_amt"),
+        F.sum("carbon_amt").alias("carbon_amt"),
+        F.sum("move_meter").alias("move_meter"),
         F.sum("move_time").alias("move_time"),
     )
     return agg.select(
@@ -71,12 +71,11 @@ def aggregate_fact(clean: DataFrame) -> DataFrame:
     )
 
 
-def with_audit(df: DataFrame, load_ts=None, created_at: bool = False) -> DataFrame:
-    """``last_updated`` (and ``created_at`` for the variant-B load) = load_ts."""
+def with_audit(df: DataFrame, load_ts=None) -> DataFrame:
+    """``created_at`` and ``last_updated`` = load_ts. The variant-A load does not
+    name ``created_at``; the table's column default is the load time too."""
     ts = fx.timestamp_literal(load_ts)
-    out = df
-    out = out.withColumn("created_at", ts if created_at else F.lit(None).cast("timestamp_ntz"))
-    return out.withColumn("last_updated", ts)
+    return df.withColumn("created_at", ts).withColumn("last_updated", ts)
 
 
 def fact_dw_rows(ods: DataFrame, start, end, variant: str = "iso", load_ts=None) -> DataFrame:
@@ -87,4 +86,4 @@ def fact_dw_rows(ods: DataFrame, start, end, variant: str = "iso", load_ts=None)
         clean = clean_fact_any(ods, start, end)
     else:
         raise ValueError(f"variant must be 'iso' or 'any', got {variant!r}")
-    return with_audit(aggregate_fact(clean), load_ts, created_at=(variant == "any"))
+    return with_audit(aggregate_fact(clean), load_ts)

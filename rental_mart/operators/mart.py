@@ -37,9 +37,9 @@ T_STATION = T.StructType([
 def _measures():
     return [
         F.sum("use_cnt").alias("use_cnt"),
-        fx.exact_sum("exer_amt").alias("exer_amt"),
-        fx.exact_sum("carbon_amt").alias("carbon_amt"),
-        fx.exact_sum("move_meter").alias("move_meter"),
+        F.sum("exer_amt").alias("exer_amt"),
+        F.sum("carbon_amt").alias("carbon_amt"),
+        F.sum("move_meter").alias("move_meter"),
         F.sum("move_time").alias("move_time"),
     ]
 

@@ -3,7 +3,7 @@ results are small DataFrames, nothing is collected to build them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,62 +59,73 @@ def null_counts(df: DataFrame) -> DataFrame:
 # ---- D4 ---------------------------------------------------------------------------
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Exact quartiles sort one column's values in one task, so they are used only up
-# to this many rows (checked first); beyond it a mergeable sketch with
-# O(accuracy) memory answers within n / accuracy ranks.
-EXACT_QUARTILE_ROWS = 2_000_000
-APPROX_ACCURACY = 100_000
+# Split points of a column's value range for the rank search. They only deal the
+# distinct values out to tasks; the quartiles are exact wherever they lie.
+SPLITS = 64
 
 
 def _numeric(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def describe(df: DataFrame, cols: list[str] | None = None,
-             exact_rows: int = EXACT_QUARTILE_ROWS, accuracy: int = APPROX_ACCURACY) -> DataFrame:
+def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """One row per numeric column: count, null_count, mean, std (sample), min,
     q25, q50, q75, max.
 
-    The columns are unpivoted to (column_name, value) and aggregated per column,
-    so each column's statistics are finished by its own task. Quartiles
-    interpolate linearly between the two nearest ranks. They are exact while the
-    input has at most ``exact_rows`` rows (one column's values are then sorted in
-    one task, so the size is checked first); past that size they come from a
-    bounded-memory sketch, within n / accuracy ranks of the exact value."""
+    The columns are unpivoted to (column_name, value) and aggregated per column
+    with partial aggregation. Quartiles interpolate linearly between the two
+    nearest ranks and are exact at every size (see ``_quartiles``)."""
     cols = cols or _numeric(df)
-    exact = df.count() <= exact_rows
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "v")
     v = F.col("v")
-    q = (F.array_sort(F.collect_list(v)) if exact
-         else F.percentile_approx(v, list(QUARTILES), accuracy))
     stats = long.groupBy("column_name").agg(
         F.count(v).alias("count"),
         F.count_if(v.isNull()).alias("null_count"),
         F.avg(v).alias("mean"),
         F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"),
-        q.alias("_q"),
         F.max(v).alias("max"),
     )
-    quartiles = ([_interpolated(F.col("_q"), p) for p in QUARTILES] if exact
-                 else [F.col("_q")[i] for i in range(len(QUARTILES))])
-    return stats.select(
-        "column_name", "count", "null_count", "mean", "std", "min",
-        *[c.alias(f"q{int(p * 100)}") for c, p in zip(quartiles, QUARTILES)],
-        "max",
-    )
-
-
-def _interpolated(sorted_values, p: float):
-    """Linear interpolation at position (n - 1) * p of a sorted array:
-    lo + (pos - floor(pos)) * (hi - lo)."""
-    n = F.size(sorted_values)
-    pos = (n - 1) * F.lit(p)
-    lo_i = F.floor(pos)
-    lo = F.element_at(sorted_values, (lo_i + 1).cast("int"))
-    hi = F.element_at(sorted_values, (F.ceil(pos) + 1).cast("int"))
-    return F.when(n > 0, lo + (pos - lo_i) * (hi - lo))
+    names = [f"q{int(p * 100)}" for p in QUARTILES]
+    return stats.join(_quartiles(long), "column_name", "left").select(
+        "column_name", "count", "null_count", "mean", "std", "min", *names, "max")
+
+
+def _quartiles(long: DataFrame) -> DataFrame:
+    """Exact quartiles of each column's values, without gathering them.
+
+    Equal values are counted first. The distinct ones are dealt out by value
+    ranges (split points from one small sketch per column, a few numbers on the
+    driver) and ranked inside a range; the ranges' totals give the rank before
+    each. A quartile is the smallest value whose rank passes its position."""
+    valued = long.where(F.col("v").isNotNull())
+    inner = [i / SPLITS for i in range(1, SPLITS)]
+    splits = {r["column_name"]: sorted(set(r["s"])) for r in
+              valued.groupBy("column_name").agg(F.percentile_approx("v", inner, 1000).alias("s")).collect()}
+    bucket = F.lit(0)
+    for name, points in splits.items():
+        at = F.array(*[F.lit(float(x)) for x in points])
+        bucket = F.when(F.col("column_name") == name, F.size(F.filter(at, lambda x: x < F.col("v")))).otherwise(bucket)
+    counted = valued.groupBy("column_name", "v").agg(F.count("*").alias("n")).withColumn("bucket", bucket)
+    inside = Window.partitionBy("column_name", "bucket").orderBy("v")
+    column = Window.partitionBy("column_name")
+    ranges = counted.groupBy("column_name", "bucket").agg(F.sum("n").alias("n")).select(
+        "column_name", "bucket",
+        (F.sum("n").over(column.orderBy("bucket")) - F.col("n")).alias("before"),
+        F.sum("n").over(column).alias("total"))
+    ranked = counted.withColumn("upto", F.sum("n").over(inside)).join(ranges, ["column_name", "bucket"])
+    upto = F.col("before") + F.col("upto")
+    picks, out = [], []
+    for p in QUARTILES:
+        pos = (F.col("total") - 1) * F.lit(p)
+        name = f"q{int(p * 100)}"
+        picks += [F.min(F.when(upto > F.floor(pos), F.col("v"))).alias(f"{name}_lo"),
+                  F.min(F.when(upto > F.ceil(pos), F.col("v"))).alias(f"{name}_hi"),
+                  F.max(pos - F.floor(pos)).alias(f"{name}_part")]
+        lo, hi, part = (F.col(f"{name}_{k}") for k in ("lo", "hi", "part"))
+        out.append((lo + part * (hi - lo)).alias(name))
+    return ranked.groupBy("column_name").agg(*picks).select("column_name", *out)
 
 
 def describe_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -3,7 +3,7 @@
 The warehouse's real inputs (landed API pages, ODS text tables, an existing
 station dimension) are built here from the given Parquet tables with plain
 projections, so every derived view grows with its table. Measures are built
-from integers and two-decimal values so their text forms are exact.
+from integers and quarters, so their text forms and double sums are exact.
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ def ods_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(eid % 6 == 2, F.lit(None).cast("string")).when(eid % 6 == 3, F.lit(" 20대 "))
          .otherwise(F.lit("30대")).alias("age_type"),
         F.when(eid % 11 == 0, F.lit("")).otherwise(_s(1 + eid % 3)).alias("use_cnt"),
-        F.when(eid % 13 == 0, F.lit("")).otherwise(_s(F.col("value"))).alias("exer_amt"),
+        F.when(eid % 13 == 0, F.lit("")).otherwise(_s(F.floor(F.col("value") * 4) / 4)).alias("exer_amt"),
         _s(eid % 97).alias("carbon_amt"),
         _s(eid % 5000).alias("move_meter"),
         _s(eid % 60).alias("move_time"),

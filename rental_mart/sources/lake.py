@@ -89,9 +89,9 @@ def land_snapshot(rows: DataFrame, dim_base: str, service: str, snapshot_dt) ->
     a same-day rerun replaces that day only."""
     d = fx.iso_text(snapshot_dt if snapshot_dt is not None else _dt.date.today())
     root = _service_root(dim_base, service)
-    (rows.withColumn("snapshot_dt", F.lit(d)).hint("rebalance")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", "snappy").partitionBy("snapshot_dt").parquet(root))
+    # The day's folder is replaced as a whole, so an empty rerun leaves an empty day.
+    (rows.drop("snapshot_dt").hint("rebalance")
+         .write.mode("overwrite").option("compression", "snappy").parquet(f"{root}/snapshot_dt={d}"))
     return root
 
 

@@ -10,6 +10,10 @@ checkpoint records it as not committed) gives the same table.
 
 from __future__ import annotations
 
+import datetime as dt
+import warnings
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,25 +24,31 @@ from rental_mart.operators import tables as tb
 from rental_mart.sources import lake
 
 def _days_of(batch: DataFrame) -> list[str]:
+    """Touched day folders as ISO text. Rows without a date lie in the default partition,
+    which belongs to no day: they are reported and left in the lake."""
     # one row per touched day folder: bounded by the calendar, not by the data
-    day = F.concat_ws("-", "year", "month", "day").alias("day")
-    return sorted(r["day"] for r in batch.select(day).distinct().collect())
+    rows = batch.select("year", "month", "day").distinct().collect()
+    dated = [r for r in rows if all(x and x.isdigit() for x in r)]
+    if len(dated) < len(rows):
+        warnings.warn("rows without a date were landed; no day of the DW is refreshed for them", stacklevel=2)
+    return sorted("-".join(r) for r in dated)
 
 
 def refresh_batch(spark: SparkSession, fact_base: str, service: str, row_schema: T.StructType,
-                  dw: tb.ParquetTable, days: list[str], load_ts=None) -> None:
-    """Reload the given days (ISO text) of the DW fact from the lake."""
+                  dw: tb.ParquetTable, days: list[str], load_ts=None, variant: str = "iso") -> None:
+    """Reload the given days (ISO text) of the DW fact from their own lake folders."""
     if not days:
         return
-    landed = lake.read_landed(spark, fact_base, service, row_schema, days[0], days[-1])
-    ods = lake.lower_names(landed).where(F.col("rent_dt").isin(days))
-    rows = fact_ops.fact_dw_rows(ods, days[0], days[-1], load_ts=load_ts)
+    landed = reduce(DataFrame.unionByName, [lake.read_landed(spark, fact_base, service, row_schema, d, d) for d in days])
+    rows = fact_ops.fact_dw_rows(lake.lower_names(landed), days[0], days[-1], variant=variant, load_ts=load_ts)
+    rows = rows.where(F.col("rent_dt").isin([dt.date.fromisoformat(d) for d in days]))
     tb.refresh_days(spark, dw, rows, days)
 
 
 def start_dw_refresh(spark: SparkSession, fact_base: str, service: str, row_schema: T.StructType,
                      dw: tb.ParquetTable, checkpoint: str, load_ts=None,
-                     available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                     available_now: bool = True, max_files_per_trigger: int | None = None,
+                     variant: str = "iso") -> StreamingQuery:
     """Start the stream. ``available_now`` processes everything landed so far and
     stops (a scheduled job); otherwise it keeps watching the lake."""
     schema = T.StructType(list(row_schema.fields) + [T.StructField(p, T.StringType()) for p in lake.DAY_PARTS])
@@ -48,7 +58,7 @@ def start_dw_refresh(spark: SparkSession, fact_base: str, service: str, row_sche
     src = reader.parquet(f"{fact_base.rstrip('/')}/{service}").select(*lake.DAY_PARTS)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        refresh_batch(batch.sparkSession, fact_base, service, row_schema, dw, _days_of(batch), load_ts)
+        refresh_batch(batch.sparkSession, fact_base, service, row_schema, dw, _days_of(batch), load_ts, variant)
 
     w = src.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rental_mart.operators import tables as tb
@@ -77,3 +79,24 @@ def test_snapshot_stream_loads_the_latest_day(spark, tmp_base):
     snapshots.refresh_from_snapshot(spark, tmp_base, "st", STATION_API_ROW, "2024-01-02", o, dw,
                                     load_ts="2024-01-02 00:00:00")
     assert sorted(tuple(r) for r in tb.read_table(spark, dw).collect()) == before
+
+
+def test_null_date_folder_is_reported_and_skipped(spark):
+    from rental_mart.streaming import landed_days
+
+    batch = spark.createDataFrame([("2024", "01", "05"), (None, None, None), ("__HIVE_DEFAULT_PARTITION__", "", "")], "year string, month string, day string")
+    with pytest.warns(UserWarning, match="without a date"):
+        assert landed_days._days_of(batch) == ["2024-01-05"]
+
+
+def test_empty_snapshot_rerun_replaces_the_day(spark, tmp_base):
+    from pyspark.sql import types as T
+
+    from rental_mart.sources import lake
+
+    schema = T.StructType([T.StructField("stationid", T.StringType())])
+    lake.land_snapshot(spark.createDataFrame([("ST-1",)], schema), tmp_base, "st", "2024-01-01")
+    lake.land_snapshot(spark.createDataFrame([("ST-2",)], schema), tmp_base, "st", "2024-01-02")
+    lake.land_snapshot(spark.createDataFrame([], schema), tmp_base, "st", "2024-01-01")
+    assert lake.read_snapshot(spark, tmp_base, "st", schema, "2024-01-01").count() == 0
+    assert lake.read_snapshot(spark, tmp_base, "st", schema, "2024-01-02").count() == 1
