@@ -8,17 +8,18 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import pytest
 
 import __spark_entry__ as entry
+from rental_mart.plans.keys import QUERIES
 from oracle_compare import digest, duck
 
 from conftest import SF01, SF001
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(QUERIES)
 ORACLE = entry.oracle_sql()
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_key_matches_oracle(spark, key):
-    df = entry.queries()[key](spark, SF01)
+    df = QUERIES[key](spark, SF01)
     rows = [tuple(r) for r in df.collect()]
     if key not in ORACLE:
         assert len(rows) > 0
@@ -37,12 +38,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_key_has_an_oracle_but_layout():
-    assert set(entry.queries()) - set(ORACLE) == {"layout_profile"}
-    assert set(ORACLE) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLE) == {"layout_profile"}
+    assert set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("key", ["fact_dw_daily", "station_load", "pages_unpack_fact"])
 def test_small_scale(spark, key):
-    df = entry.queries()[key](spark, SF001)
+    df = QUERIES[key](spark, SF001)
     dcols, drows = duck(SF001, ORACLE[key])
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(dcols, drows)[0]

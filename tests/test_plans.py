@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from rental_mart.plans.keys import QUERIES
 from rental_mart.operators import fact as fact_ops
 from rental_mart.operators import station as st
 from rental_mart.operators import tables as tb
@@ -65,7 +66,7 @@ def test_soft_delete_avoids_nested_loop_and_null_aware_join(spark):
 
 
 def test_no_python_evaluation_in_any_registered_query(spark):
-    for key, fn in entry.queries().items():
+    for key, fn in QUERIES.items():
         p = plan(fn(spark, SF001))
         for node in PY_NODES:
             assert node not in p, f"{key} evaluates Python ({node})"
