@@ -51,7 +51,7 @@ def aggregate_fact(clean: DataFrame) -> DataFrame:
 
     Station number and name are parsed from MAX(rent_nm) after the aggregate, so
     both come from the same raw name. Integer sums widen to bigint; double sums
-    are exact (see ``functions.exact_sum``). Partial aggregation before the single
+    are plain double sums. Partial aggregation before the single
     exchange on the five keys keeps a hot station's rows from piling into one
     task."""
     agg = clean.groupBy(*FACT_KEYS).agg(

@@ -1,9 +1,12 @@
 """Warehouse tables as Parquet folders, and their DML.
 
 A table is a folder, a declared schema and optional partition columns. Every
-write goes to a hidden staging folder first; only then are the old files
-swapped out with file-system renames, so a failed job leaves the table as it
-was and a rerun is idempotent. Readers skip names starting with ``_``.
+write goes to a hidden staging folder first, so a failed job leaves the table
+as it was and a rerun is idempotent. A period refresh is decided by one rename
+(``_staging-*`` becomes ``_ready-*``, which names every day it replaces); days
+are then moved in one by one, and if the driver dies meanwhile the next writer
+goes on from where it stopped. Until then readers may miss the day being moved.
+Readers skip names starting with ``_``.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ class ParquetTable:
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
     name: str | None = None   # optional catalog name, e.g. "dw.fact_rent_daily"
+    keys: tuple[str, ...] = ()   # primary key: not NULL, unique (checked by loads)
+    limits: tuple[tuple[str, int], ...] = ()   # VARCHAR lengths (checked by loads)
 
     @property
     def columns(self) -> list[str]:
@@ -86,6 +91,11 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def _mkdirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def _rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _fs(spark, src)
     if not fs.rename(s, _path(spark, dst)):
@@ -130,7 +140,8 @@ def recover(spark: SparkSession, table: ParquetTable) -> None:
     """Undo a swap interrupted by a driver failure. Called by writers before they
     write (one writer per table is assumed; readers never move files). If the
     table folder is missing but a previous version was parked beside it, the
-    newest parked version is put back; leftover staging folders are removed."""
+    newest parked version is put back; leftover staging folders are removed; a
+    period refresh that was decided but not finished is finished."""
     parent, name = _siblings(table)
     left = _glob(spark, f"{parent}/_{name}.staging-*") + _glob(spark, f"{parent}/_{name}.old-*")
     if not exists(spark, table.path):
@@ -143,6 +154,9 @@ def recover(spark: SparkSession, table: ParquetTable) -> None:
     root = table.path.rstrip("/")
     for n, d, _ in _glob(spark, f"{root}/_staging-*"):
         _delete(spark, f"{root}/{n}")
+    for n, d, _ in _glob(spark, f"{root}/_ready-*"):
+        _publish(spark, table, f"{root}/{n}")
+        sync_catalog(spark, table)
 
 
 def create_table(spark: SparkSession, table: ParquetTable, replace: bool = False) -> ParquetTable:
@@ -202,8 +216,32 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
+def _checked(df: DataFrame, table: ParquetTable) -> DataFrame:
+    """The table's NOT NULL and VARCHAR constraints, raised while rows are written."""
+    limits = dict(table.limits)
+    out = df
+    for c in dict.fromkeys([*table.keys, *limits]):
+        if c in table.keys:
+            out = out.withColumn(c, F.coalesce(F.col(c), F.raise_error(F.lit(f"NULL in {c}")).cast(table.schema[c].dataType)))
+        if c in limits:
+            long = F.raise_error(F.lit(f"more than {limits[c]} characters in {c}")).cast("string")
+            out = out.withColumn(c, F.when(F.length(c) > limits[c], long).otherwise(F.col(c)))
+    return out
+
+
+def _refuse_repeated_keys(spark: SparkSession, table: ParquetTable, staged: str, with_table: bool) -> None:
+    """Primary key: no key twice among the staged rows, nor one that the table already has."""
+    if not table.keys:
+        return
+    new = spark.read.schema(table.schema).parquet(staged)
+    if not new.groupBy(*table.keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"rows repeat a primary key of {table.path}")
+    if with_table and not read_table(spark, table).join(new, list(table.keys), "left_semi").isEmpty():
+        raise ValueError(f"rows hold primary keys that {table.path} already has")
+
+
 def _write(df: DataFrame, table: ParquetTable, path: str, mode: str) -> None:
-    out = conform(df, table.schema)
+    out = _checked(conform(df, table.schema), table)
     if table.partition_by:
         # AQE rebalance: about one file per partition value, hot values split.
         out = out.hint("rebalance", *table.partition_by)
@@ -215,7 +253,11 @@ def _write(df: DataFrame, table: ParquetTable, path: str, mode: str) -> None:
 # ---- C3: append -------------------------------------------------------------------
 
 def append_rows(spark: SparkSession, table: ParquetTable, rows: DataFrame) -> None:
-    """INSERT INTO table (cols) SELECT ... by name."""
+    """INSERT INTO table (cols) SELECT ... by name. Rows that break the table's
+    declared constraints raise, and nothing is inserted."""
+    if table.keys and len(table.partition_by) == 1:
+        _refresh(spark, table, rows, [], inserts=True)
+        return
     create_table(spark, table)
     _write(rows, table, table.path, "append")
     sync_catalog(spark, table)
@@ -256,23 +298,24 @@ def _days(s: _dt.date, e: _dt.date) -> list[_dt.date]:
     return [s + _dt.timedelta(days=i) for i in range((e - s).days + 1)]
 
 
-def refresh_period(spark: SparkSession, table: ParquetTable, rows: DataFrame, start, end) -> None:
+def refresh_period(spark: SparkSession, table: ParquetTable, rows: DataFrame, start, end, unique: bool = False) -> None:
     """C4: delete the period, then insert ``rows`` -- rerunnable.
 
     1. write ``rows`` partitioned into ``<table>/_staging-*`` (the expensive part;
        a failure here leaves the table untouched);
-    2. remove the partition folder of every day in [start, end], so days that got
-       no new rows end up empty (one call per day; the table is never listed);
-    3. move staged partitions in (whole folders, or files into an existing folder
-       for dates outside the period, which are appended as INSERT would).
+    2. name every day of [start, end] in the staging folder, an empty one where the
+       day got no rows, and decide the refresh by renaming it ``_ready-*``;
+    3. day by day, remove the old partition folder and move the new one in (dates
+       outside the period are added as INSERT would). The table is never listed.
+    ``unique``: the rows are known to hold each primary key once (grouped by it).
     """
     s, e = fx.period_bounds(start, end)
-    _refresh(spark, table, rows, _days(s, e))
+    _refresh(spark, table, rows, _days(s, e), unique=unique)
 
 
-def refresh_days(spark: SparkSession, table: ParquetTable, rows: DataFrame, days) -> None:
+def refresh_days(spark: SparkSession, table: ParquetTable, rows: DataFrame, days, unique: bool = False) -> None:
     """C4 for a set of days instead of one range (used by incremental loads)."""
-    _refresh(spark, table, rows, sorted({_dt.date.fromisoformat(fx.iso_text(d)) for d in days}))
+    _refresh(spark, table, rows, sorted({_dt.date.fromisoformat(fx.iso_text(d)) for d in days}), unique=unique)
 
 
 def _partition_dir(table: ParquetTable, day: _dt.date) -> str:
@@ -280,29 +323,50 @@ def _partition_dir(table: ParquetTable, day: _dt.date) -> str:
     return f"{table.path.rstrip('/')}/{table.partition_by[0]}={day.isoformat()}"
 
 
-def _refresh(spark: SparkSession, table: ParquetTable, rows: DataFrame, clear_days: list[_dt.date]) -> None:
+def _refresh(spark: SparkSession, table: ParquetTable, rows: DataFrame, clear_days: list[_dt.date],
+             inserts: bool = False, unique: bool = False) -> None:
     if len(table.partition_by) != 1:
         raise ValueError("a period refresh needs a table partitioned by one date column")
     create_table(spark, table)
     root = table.path.rstrip("/")
-    staging = f"{root}/_staging-{uuid.uuid4().hex[:12]}"
+    tag = uuid.uuid4().hex[:12]
+    staging, ready = f"{root}/_staging-{tag}", f"{root}/_ready-{tag}"
     _write(rows, table, staging, "overwrite")
+    if not unique:
+        _refuse_repeated_keys(spark, table, staging, with_table=inserts)
+    # Days of the period without new rows are staged as empty folders; days outside it are added to.
+    cleared = {_partition_dir(table, d).rsplit("/", 1)[1] for d in clear_days}
+    staged = {n for n, is_dir in _children(spark, staging) if is_dir and not _hidden(n)}
+    for name in cleared - staged:
+        _mkdirs(spark, f"{staging}/{name}")
+    for name in staged - cleared:
+        _mkdirs(spark, f"{staging}/{_ADDED}")
+        _rename(spark, f"{staging}/{name}", f"{staging}/{_ADDED}/{name}")
+    _rename(spark, staging, ready)   # from here on the refresh is decided
+    _publish(spark, table, ready)
+    sync_catalog(spark, table)
 
-    for day in clear_days:
-        _delete(spark, _partition_dir(table, day))
 
-    for name, is_dir in _children(spark, staging):
-        if not is_dir or _hidden(name):
+_ADDED = "_added"
+
+
+def _publish(spark: SparkSession, table: ParquetTable, ready: str) -> None:
+    """Move a decided refresh in. What is done is no longer in ``ready``, so after a
+    failure the same call goes on with the rest."""
+    root = table.path.rstrip("/")
+    for name, is_dir in _children(spark, ready):
+        if is_dir and not _hidden(name):
+            _delete(spark, f"{root}/{name}")
+            if _children(spark, f"{ready}/{name}"):
+                _rename(spark, f"{ready}/{name}", f"{root}/{name}")
+    for name, _ in _children(spark, f"{ready}/{_ADDED}"):
+        if not exists(spark, f"{root}/{name}"):
+            _rename(spark, f"{ready}/{_ADDED}/{name}", f"{root}/{name}")
             continue
-        src, dst = f"{staging}/{name}", f"{root}/{name}"
-        if not exists(spark, dst):
-            _rename(spark, src, dst)
-        else:
-            for fname, fdir in _children(spark, src):
-                if not fdir and not _hidden(fname):
-                    _rename(spark, f"{src}/{fname}", f"{dst}/{fname}")
-    _delete(spark, staging)
-    sync_catalog(spark, table)
+        for file, is_dir in _children(spark, f"{ready}/{_ADDED}/{name}"):
+            if not is_dir and not _hidden(file):
+                _rename(spark, f"{ready}/{_ADDED}/{name}/{file}", f"{root}/{name}/{file}")
+    _delete(spark, ready)
 
 
 def register_view(spark: SparkSession, name: str, table: ParquetTable) -> str:

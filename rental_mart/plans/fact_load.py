@@ -11,7 +11,7 @@ from rental_mart import functions as fx
 from rental_mart.operators import fact as fact_ops
 from rental_mart.operators import mart as mart_ops
 from rental_mart.operators import tables as tb
-from rental_mart.schemas import DW_FACT
+from rental_mart.schemas import DW_FACT, FACT_KEYS, FACT_VARCHAR_LIMITS
 from rental_mart.session import require_ansi
 from rental_mart.sources import lake
 from rental_mart.sources import ods as ods_src
@@ -19,7 +19,8 @@ from rental_mart.sources import pages as pg
 
 
 def dw_fact_table(path: str, name: str | None = None) -> tb.ParquetTable:
-    return tb.ParquetTable(path, DW_FACT, ("rent_dt",), name=name)
+    return tb.ParquetTable(path, DW_FACT, ("rent_dt",), name=name, keys=FACT_KEYS,
+                           limits=tuple(FACT_VARCHAR_LIMITS.items()))
 
 
 def dm_daily_table(path: str, name: str | None = None) -> tb.ParquetTable:
@@ -36,7 +37,7 @@ def load_fact_dw(spark: SparkSession, ods: DataFrame, dw: tb.ParquetTable, start
     Returns the DW row count (C10)."""
     require_ansi(spark)
     rows = fact_ops.fact_dw_rows(ods, start, end, variant=variant, load_ts=load_ts)
-    tb.refresh_period(spark, dw, rows, start, end)
+    tb.refresh_period(spark, dw, rows, start, end, unique=True)   # C1 groups by the key
     return tb.table_count(spark, dw)
 
 
@@ -53,19 +54,20 @@ def refresh_dm(spark: SparkSession, dw: tb.ParquetTable, dm: tb.ParquetTable, st
 
 def run_fact_job(spark: SparkSession, landed_pages: DataFrame, row_schema, lake_base: str,
                  service: str, ods: tb.ParquetTable, dw: tb.ParquetTable, start, end,
-                 load_ts=None, variant: str = "iso", ods_all_days: bool = False) -> DataFrame:
+                 load_ts=None, variant: str = "iso", ods_all_days: bool = True) -> DataFrame:
     """The daily fact job end to end: unpack the landed responses of the period's
-    request days (A1), land the rows by day (A5), read them back (A9), lower-case
+    request days (A1), land the rows by request day (A5), read them back (A9), lower-case
     (A10), reload the ODS (A12) and refresh the DW period (C5). Returns the DW count.
 
-    By default the lake read is pruned to the period's day folders, so the ODS
-    holds the period. ``ods_all_days`` reloads the ODS with every landed day
-    instead (a full scan of the service); the DW result is the same."""
+    The ODS is a full refresh from every landed day. ``ods_all_days=False`` reads the
+    period's request days only and leaves an ODS of that period. The DW period holds the
+    landed rows dated in it; a row that came with another request day is only found
+    with all days."""
     s, e = fx.period_bounds(start, end)
     period_pages = landed_pages.where(
         F.col("rent_dt").between(F.lit(s.strftime("%Y%m%d")), F.lit(e.strftime("%Y%m%d"))))
-    rows = pg.unpack_pages_fact(period_pages, row_schema)
-    lake.land_fact(rows, lake_base, service)
+    rows = pg.unpack_pages_fact(period_pages, row_schema, day_as="_request_day")
+    lake.land_fact(rows, lake_base, service, date_col="_request_day", keep_day=False)
     landed = (lake.read_landed(spark, lake_base, service, row_schema) if ods_all_days
               else lake.read_landed(spark, lake_base, service, row_schema, start, end))
     ods_src.load_ods(spark, landed, ods)

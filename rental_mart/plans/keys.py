@@ -20,7 +20,7 @@ from rental_mart.operators import tables as tb
 from rental_mart.plans import fact_load as fl
 from rental_mart.plans import sql_templates
 from rental_mart.plans import station_load as sl
-from rental_mart.schemas import FACT_API_ROW, STATION_API_ROW
+from rental_mart.schemas import DW_FACT, FACT_API_ROW, STATION_API_ROW
 from rental_mart.session import scratch_path
 from rental_mart.sources import derived as dv
 from rental_mart.sources import lake, ods, pages
@@ -216,6 +216,21 @@ def land_relanding(spark, sf_dir):
     return lake.read_landed(spark, base, FACT_SERVICE, FACT_API_ROW)
 
 
+@register("land_by_request_day")
+def land_by_request_day(spark, sf_dir):
+    """One day's response holds a late row of another day and a row without a date: both go
+    to the request day, the other day's folder stays, and the ODS misses no row."""
+    base = _landed_lake(spark, sf_dir, "land_by_request_day")
+    rnum = F.col("RNUM").cast("long")
+    day = dv.fact_api_rows(spark, sf_dir).where(F.col("RENT_DT") == dv.PERIOD[0]).withColumn(
+        "RENT_DT", F.when(rnum % 10 == 0, F.lit(dv.LOST_DAY)).when(rnum % 10 == 1, F.lit(None)).otherwise(F.col("RENT_DT")))
+    lake.land_fact(day.withColumn("_request_day", F.lit(dv.PERIOD[0])), base, FACT_SERVICE,
+                   date_col="_request_day", keep_day=False)
+    t = ods.ods_fact_table(scratch_path(spark, "land_by_request_day_ods"))
+    ods.load_ods(spark, lake.read_landed(spark, base, FACT_SERVICE, FACT_API_ROW), t)
+    return tb.read_table(spark, t)
+
+
 @register("lower_names")
 def lower_names(spark, sf_dir):
     base = _landed_lake(spark, sf_dir, "lower_names")
@@ -342,9 +357,10 @@ def describe_text(spark, sf_dir):
 
 @register("constraint_audit")
 def constraint_audit(spark, sf_dir):
-    """D5 over a DW table where the period was inserted twice by mistake (C3 twice)."""
-    dw = fl.dw_fact_table(scratch_path(spark, "constraint_audit"))
-    rows = fact_ops.fact_dw_rows(dv.ods_fact(spark, sf_dir), *dv.PERIOD, load_ts=dv.LOAD_TS)
+    """D5 over a table without declared constraints into which every day was inserted
+    twice by mistake (C3 twice)."""
+    dw = tb.ParquetTable(scratch_path(spark, "constraint_audit"), DW_FACT, ("rent_dt",))
+    rows = fact_ops.fact_dw_rows(dv.ods_fact(spark, sf_dir), *dv.ALL_DATES, load_ts=dv.LOAD_TS)
     tb.append_rows(spark, dw, rows)
     tb.append_rows(spark, dw, rows)
     return dq.constraint_audit(tb.read_table(spark, dw))

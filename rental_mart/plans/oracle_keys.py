@@ -94,6 +94,10 @@ ORACLE.update({
     "land_fact_readback": f"WITH {o.ODS_FACT}\nSELECT {_API} FROM ods_fact",
     "land_fact_period_readback": f"WITH {o.ODS_FACT}\nSELECT {_API} FROM ods_fact WHERE rent_dt BETWEEN '{S}' AND '{E}'",
     "land_relanding": f"WITH {o.ODS_FACT}\nSELECT {_API} FROM ods_fact",
+    "land_by_request_day": f"""WITH {o.ODS_FACT}
+SELECT CASE WHEN rent_dt = '{S}' AND CAST(rnum AS BIGINT) % 10 = 0 THEN '{dv.LOST_DAY}'
+            WHEN rent_dt = '{S}' AND CAST(rnum AS BIGINT) % 10 = 1 THEN NULL ELSE rent_dt END AS rent_dt,
+  * EXCLUDE (rent_dt) FROM ods_fact""",
     "lower_names": f"WITH {o.ODS_FACT}\nSELECT * FROM ods_fact",
     "land_snapshot_readback": f"WITH {o.ods_station()}\nSELECT {_STATION_API} FROM ods_station",
     "ods_reload": f"WITH {o.ODS_FACT}\nSELECT * FROM ods_fact",
@@ -127,7 +131,7 @@ FROM information_schema.columns WHERE table_name = 'lineitem'""",
                    + " FROM lineitem",
     "describe": _describe_sql(),
     "constraint_audit": f"""WITH {o.ODS_FACT},
-c AS ({o.clean_iso('ods_fact', S, E)}),
+c AS ({o.clean_iso('ods_fact', *dv.ALL_DATES)}),
 dw AS ({o.aggregate('c')}),
 dw2 AS (SELECT * FROM dw UNION ALL SELECT * FROM dw),
 k AS (SELECT rent_dt, rent_id, rent_type, gender_cd, age_type, count(*) AS n FROM dw2

@@ -17,6 +17,7 @@ from rental_mart.session import ensure_checkpoint_dir, scratch_path
 # test period and the load time used by the fixture loads
 PERIOD = ("2024-01-10", "2024-01-16")
 WIDE_PERIOD = ("2024-01-08", "2024-01-20")
+ALL_DATES = ("0001-01-01", "9999-12-31")  # bounds that every date is within
 EARLY_PERIOD = ("2024-01-01", "2024-01-05")
 LOST_DAY = "2024-01-12"
 LOAD_TS = "2024-02-01 00:00:00"

@@ -41,10 +41,13 @@ def _service_root(base: str, service: str) -> str:
 
 
 def land_fact(rows: DataFrame, fact_base: str, service: str, date_col: str = "RENT_DT",
-              rows_per_file: int | None = None) -> str:
+              rows_per_file: int | None = None, keep_day: bool = True) -> str:
     """Write rows under year=/month=/day= taken from the day text
     ('yyyyMMdd' or 'yyyy-MM-dd'). Re-landing a day replaces its files; days
     absent from ``rows`` are left as they are (dynamic partition overwrite).
+    With the day that was asked for as ``date_col`` (``unpack_pages`` adds it) and
+    ``keep_day=False``, a response goes whole to its request day, whatever dates
+    its rows have or lack, and the added column is not written.
     ``rows_per_file`` caps rows per file; Spark's writer already streams rows,
     so memory stays bounded without it."""
     day = fx.compact_text(date_col)
@@ -53,7 +56,7 @@ def land_fact(rows: DataFrame, fact_base: str, service: str, date_col: str = "RE
         F.substring(day, 1, 4).alias("year"),
         F.substring(day, 5, 2).alias("month"),
         F.substring(day, 7, 2).alias("day"),
-    ).hint("rebalance", *DAY_PARTS)
+    ).drop(*([] if keep_day else [date_col])).hint("rebalance", *DAY_PARTS)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         w = w.option("maxRecordsPerFile", int(rows_per_file))

@@ -158,7 +158,7 @@ def _read_pages(pages: DataFrame, mode: str, page_size: int) -> DataFrame:
 
 
 def unpack_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
-                 page_size: int = PAGE_SIZE, keep_meta: bool = False) -> DataFrame:
+                 page_size: int = PAGE_SIZE, keep_meta: bool = False, day_as: str | None = None) -> DataFrame:
     """A1 (mode="fact") / A2 (mode="dim"): rows of the pages the client reads.
 
     fact: a page is read if its body is non-empty, its first root key is not
@@ -168,7 +168,8 @@ def unpack_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
           root value is an object and its row list is non-empty; reading stops
           after a page with fewer than ``page_size`` rows.
     Both stop at the first missing page. With ``keep_meta`` the page key and the
-    row's position in its page are kept."""
+    row's position in its page are kept. ``day_as`` names a column for the day the
+    page was asked for (the rows' own dates may differ)."""
     v = valid_pages(pages, _as_text(row_schema), mode, page_size)
     # every valid page has rows, so the outer form yields the same rows; unlike the
     # inner form it adds no inferred size(row) > 0 filter, which Catalyst would push
@@ -178,6 +179,8 @@ def unpack_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
     fields = [F.col(f"row.{f.name}").cast(f.dataType).alias(f.name) for f in row_schema.fields]
     if keep_meta:
         return rows.select(*GROUP, "start_index", "row_pos", *fields)
+    if day_as:
+        return rows.select(*fields, F.col("rent_dt").alias(day_as))
     return rows.select(*fields)
 
 

@@ -42,7 +42,7 @@ def refresh_batch(spark: SparkSession, fact_base: str, service: str, row_schema:
     landed = reduce(DataFrame.unionByName, [lake.read_landed(spark, fact_base, service, row_schema, d, d) for d in days])
     rows = fact_ops.fact_dw_rows(lake.lower_names(landed), days[0], days[-1], variant=variant, load_ts=load_ts)
     rows = rows.where(F.col("rent_dt").isin([dt.date.fromisoformat(d) for d in days]))
-    tb.refresh_days(spark, dw, rows, days)
+    tb.refresh_days(spark, dw, rows, days, unique=True)
 
 
 def start_dw_refresh(spark: SparkSession, fact_base: str, service: str, row_schema: T.StructType,

@@ -67,6 +67,62 @@ def test_append_by_name_rejects_unknown_columns(spark, tmp_base):
         tb.append_rows(spark, t, spark.createDataFrame([(1,)], "nope int"))
 
 
+def test_append_refuses_broken_constraints(spark, tmp_base):
+    t = fl.dw_fact_table(f"{tmp_base}/dw")
+    ods = dv.ods_fact(spark, SF001)
+    fl.load_fact_dw(spark, ods, t, "2024-01-01", "2024-01-02", load_ts=dv.LOAD_TS)
+    n = tb.read_table(spark, t).count()
+    good = fl.fact_ops.fact_dw_rows(ods, "2024-01-03", "2024-01-03", load_ts=dv.LOAD_TS)
+    old = fl.fact_ops.fact_dw_rows(ods, "2024-01-02", "2024-01-02", load_ts=dv.LOAD_TS)
+    for bad in (old, good.unionByName(good), good.withColumn("rent_id", F.lit(None).cast("string")),
+                good.withColumn("rent_id", F.lit("x" * 60))):
+        with pytest.raises(Exception):
+            tb.append_rows(spark, t, bad)
+        assert tb.read_table(spark, t).count() == n
+    tb.append_rows(spark, t, good)
+    assert tb.read_table(spark, t).count() == n + good.count()
+
+
+def test_refresh_that_dies_anywhere_is_old_or_new(spark, tmp_base, monkeypatch):
+    wide = fl.fact_ops.fact_dw_rows(dv.ods_fact(spark, SF001), "2024-01-10", "2024-01-12", load_ts=dv.LOAD_TS)
+    new = fl.fact_ops.fact_dw_rows(dv.ods_fact_without_day(spark, SF001), "2024-01-10", "2024-01-12",
+                                   load_ts=dv.LOAD_TS).withColumn("use_cnt", F.lit(7).cast("long"))
+    old_rows, new_rows = rows(wide), rows(new)
+    assert old_rows != new_rows
+    real = {f: getattr(tb, f) for f in ("_rename", "_delete", "_mkdirs")}
+    seen, k = set(), 0
+    while True:
+        t = fl.dw_fact_table(f"{tmp_base}/dw{k}")
+        tb.refresh_period(spark, t, wide, "2024-01-10", "2024-01-12")
+        calls = [0]
+
+        def dying(f):
+            def call(*a):
+                calls[0] += 1
+                if calls[0] == k + 1:
+                    raise OSError("driver died")
+                return real[f](*a)
+            return call
+
+        for f in real:
+            monkeypatch.setattr(tb, f, dying(f))
+        try:
+            tb.refresh_period(spark, t, new, "2024-01-10", "2024-01-12")
+            finished = True
+        except OSError:
+            finished = False
+        monkeypatch.undo()
+        tb.recover(spark, t)
+        got = rows(tb.read_table(spark, t))
+        assert got in (old_rows, new_rows), k
+        seen.add(got == new_rows)
+        assert not [n for n, _ in tb._children(spark, t.path) if n.startswith(("_staging", "_ready"))]
+        if finished:
+            break
+        k += 1
+    assert seen == {True, False} and k > 3
+
+
 # ---- station dimension ---------------------------------------------------------------
 
 TS0 = dt.datetime(2024, 1, 1)
