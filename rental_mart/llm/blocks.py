@@ -79,22 +79,29 @@ def out_batch(nodes: np.ndarray, links: np.ndarray, label: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(node), pa.array(other), pa.array(count)], ["node", "other", "links"])
 
 
-def compare(tasks: DataFrame, bucket: str, one: Callable[[pa.Table, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray] | None]) -> DataFrame:
-    """Runs ``one`` on each task: (rows of the task, their blocks) -> (nodes, links, label)."""
+def compare(tasks: DataFrame, bucket: str, one: Callable[[pa.Table, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray] | None]) -> DataFrame:
+    """Runs ``one`` on each task: (rows of the task, row numbers of its two sides) -> (nodes, links,
+    label). The sides are the same array where a block meets itself."""
     keys = [bucket, "lo", "hi"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_groups(batches, keys):
             for lo, hi in zip(at, [*at[1:], len(table)]):
-                if hi - lo > 1 and (found := one(table.slice(lo, hi - lo), np.asarray(table.column("block"))[lo:hi])) is not None:
+                rows = table.slice(lo, hi - lo)
+                sides = cross(np.asarray(rows.column("block")), rows.column("lo")[0].as_py(), rows.column("hi")[0].as_py())
+                if sides is not None and (found := one(rows, *sides)) is not None:
                     if (batch := out_batch(*found)) is not None:
                         yield batch
 
     return tasks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(read, OUT)
 
 
-def cross(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of the two sides of a task; the same ones twice where a block meets itself."""
-    first = np.flatnonzero(block == block.min())
-    second = np.flatnonzero(block != block.min())
-    return (first, second) if len(second) else (first, first)
+def cross(block: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Row numbers of the two sides of the task (lo, hi); the same array twice where a block meets
+    itself. None where there is no pair: hashing may leave a block without members, and the pairs
+    inside the other one are those of its own task."""
+    first = np.flatnonzero(block == lo)
+    if lo == hi:
+        return (first, first) if len(first) > 1 else None
+    second = np.flatnonzero(block == hi)
+    return (first, second) if len(first) and len(second) else None

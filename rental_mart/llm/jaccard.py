@@ -117,10 +117,9 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE, ha
 def _candidates(threshold: float, tolerance: float):
     least = least_matches(threshold, tolerance)
 
-    def one(table: pa.Table, block: np.ndarray):
+    def one(table: pa.Table, a: np.ndarray, b: np.ndarray):
         node = np.asarray(table.column("node"))
         sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint32).reshape(len(node), _HASHES)
-        a, b = blocks.cross(block)
         if a is b:
             x, y = np.triu_indices(len(a), 1)
             i, j = a[x], a[y]
@@ -139,7 +138,7 @@ def _candidates(threshold: float, tolerance: float):
 
 
 def _verified(threshold: float):
-    def one(table: pa.Table, block: np.ndarray):
+    def one(table: pa.Table, a: np.ndarray, b: np.ndarray):
         node, weight = np.asarray(table.column("node")), np.asarray(table.column("copies"))
         raw = table.column("shingles").to_pylist()
         sizes = np.array([len(r) // 8 for r in raw])
@@ -147,7 +146,6 @@ def _verified(threshold: float):
         of = np.repeat(np.arange(len(node)), sizes)
         order = np.argsort(which, kind="stable")
         which, of = which[order], of[order]
-        a, b = blocks.cross(block)
         side_a, side_b = np.full(len(node), -1), np.full(len(node), -1)
         side_a[a], side_b[b] = np.arange(len(a)), np.arange(len(b))
         both = np.zeros((len(a), len(b)))

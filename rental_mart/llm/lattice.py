@@ -104,7 +104,7 @@ def _units(vectors: DataFrame, tables: int, probes: int, scale: float) -> DataFr
 
 
 def _links(tables: int, probes: int, cosine: float):
-    def one(table: pa.Table, block: np.ndarray):
+    def one(table: pa.Table, a: np.ndarray, b: np.ndarray):
         node, weight = np.asarray(table.column("node")), np.asarray(table.column("copies"))
         raw = table.column("unit").to_pylist()
         if len({len(r) for r in raw}) > 1:
@@ -112,7 +112,6 @@ def _links(tables: int, probes: int, cosine: float):
         unit = np.frombuffer(b"".join(raw)).reshape(len(node), -1)
         cell = table.column("cell")[0].as_py()
         home = np.asarray(table.column("at_home"))
-        a, b = blocks.cross(block)
         near = (unit[a] @ unit[b].T >= cosine) & (home[a][:, None] | home[b][None, :])
         if a is b:
             near = np.triu(near, 1)

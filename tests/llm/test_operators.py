@@ -223,6 +223,15 @@ def test_jaccard_join(spark, none, block):
     assert jaccard.join(none).count() == 0
 
 
+@pytest.mark.parametrize("members", [2, 3, 4])
+def test_jaccard_counts_pairs_once_over_empty_blocks(spark, monkeypatch, members):
+    # Clusters of a few texts over more blocks than members: some blocks are empty.
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 1024)
+    rows = [(10 * c + i, f"{long_text(200 + c, 200)} end{i}") for c in range(12) for i in range(members)]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_links"], r["component_id"]) for r in got) == sorted((i, members - 1, i // 10 * 10) for i, _ in rows)
+
+
 def test_pruning_table():
     least = jaccard.least_matches()
     assert least[0] == 0 and least == sorted(least) and 75 <= least[128] <= 95
