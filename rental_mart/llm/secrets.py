@@ -2,8 +2,9 @@
 
 Known formats are regular expressions. A candidate string is a run of key characters; a window
 slides over it with incremental character counts, and the Shannon entropy of each window is held
-against the threshold of the window's character class. Windows that pass merge into one span, and
-spans that an allow-list names are left out. Spans of known formats are never suppressed.
+against the threshold of the window's character class. Windows that pass merge into one span. What
+an allow-list names in a candidate ends it there: windows that overlap it don't count, and a key
+next to it is found as it would be alone. Spans of known formats are never suppressed.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ ALLOW = (
     r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
     r"[-_=+/]{6}",
 )
-_TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+#: One more than a window holds: a character is added before the one that leaves is taken off.
+_TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
@@ -83,6 +85,16 @@ def entropy_spans(candidate: str, window: int = WINDOW) -> list[tuple[int, int]]
     return out
 
 
+def open_parts(candidate: str, allow: list[re.Pattern], least: int = WINDOW) -> list[tuple[int, int]]:
+    """The parts of a candidate string that no pattern of the allow-list covers, if long enough."""
+    at, out = 0, []
+    for lo, hi in [*sorted(m.span() for a in allow for m in a.finditer(candidate)), (len(candidate), len(candidate))]:
+        if lo - at >= least:
+            out.append((at, lo))
+        at = max(at, hi)
+    return out
+
+
 def find(text: str, allow: list[re.Pattern]) -> list[tuple[str, int, int]]:
     """All spans of a text, in order of start, then kind as listed."""
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
@@ -93,9 +105,10 @@ def find(text: str, allow: list[re.Pattern]) -> list[tuple[str, int, int]]:
         # Words and compounds make up nearly all candidates of a plain text.
         if run[1:].islower() and run.isalpha():
             continue
-        for lo, hi in entropy_spans(run):
-            if not any(a.search(run) for a in allow):
-                found.append(("entropy", m.start() + lo, m.start() + hi))
+        if not entropy_spans(run):
+            continue
+        for at, end in open_parts(run, allow):
+            found += [("entropy", m.start() + at + lo, m.start() + at + hi) for lo, hi in entropy_spans(run[at:end])]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

@@ -294,6 +294,17 @@ def test_secrets_allowed_and_redacted(spark):
     assert got == {0: texts[0], 1: "[SECRET]", 2: "éé [SECRET]!", 3: texts[3], 4: None}
 
 
+def test_secrets_next_to_allowed_pieces():
+    allow = [re.compile(a) for a in secrets.ALLOW]
+    key, other = "Zk8vQ2mX7pLr4TnW9sYb3HcD", "q7RfT2xKd9LwBv5NzM3hGc8P"
+    for text in (f"data/samples/v2/{key}", f"{key}AAAAAAAA{other}", f"{key}______{other}", f"{other}/example/{key}", f"{key}_0123456789", f"your_{key}"):
+        spans = [text[lo:hi] for kind, lo, hi in secrets.find(text, allow) if kind == "entropy"]
+        assert all(any(k in x for x in spans) for k in (key, other) if k in text), (text, spans)
+    # Nothing but what is allowed, and less than a window beside it.
+    for text in ("EXAMPLEkey9aB3xY7qW2eR5t", "550e8400-e29b-41d4-a716-446655440000", "aB3xY7qW2eR5sample0123456789", "________________________"):
+        assert not [s for s in secrets.find(text, allow) if s[0] == "entropy"], text
+
+
 def test_entropy_windows_by_brute_force():
     rng = np.random.default_rng(6)
     for _ in range(50):
