@@ -26,15 +26,22 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect, the one with the smallest id stays.
+    """Of documents that links connect, one row stays: the smallest id's, and of that id's texts in
+    the group the one whose name comes first.
 
-    Rows without an id, and texts without words, link with nothing and stay. Of rows that repeat
-    an id, the first text that is in its group stays (each such row is one document).
+    Rows without an id, and texts without words, link with nothing and stay. An id may have texts
+    in several groups; each is decided by its own.
     """
     ship(spark)
-    linked = stash(jaccard.join(docs))
-    gone = linked.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = docs.select(*COLUMNS)
+    linked = jaccard.join(rows, named=True).filter("group is not null")
+    first = stash(linked.groupBy("group").agg(F.min(F.struct("doc_id", "text_name")).alias("f")).select("f.*").distinct())
+    # The join's own rule for texts that can link: an id, and a word.
+    able = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # Rows that repeat id and text are one in each task before they are dealt out.
+    each = rows.filter(able).groupBy("doc_id", jaccard.text_name(F.col("text")).alias("text_name")).agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("r"))
+    stay = each.join(first, ["doc_id", "text_name"], "left_semi").select("doc_id", "r.*").select(*COLUMNS)
+    return stay.unionByName(rows.filter(~able))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

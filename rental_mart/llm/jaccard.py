@@ -72,6 +72,8 @@ def minhash(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
+    names = [c for c in docs.columns if c == "text_name"]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text", 1 << 20):
@@ -79,11 +81,11 @@ def _signed(docs: DataFrame) -> DataFrame:
                 node, second = _names(values, at)
                 sign = [s.tobytes() for s in minhash(values, at)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(node), pa.array(second), pa.array(np.diff(at).astype(np.int64)), pa.array(sign, pa.binary())],
-                    ["doc_id", "node", "second", "n_shingles", "sign"],
+                    [part.column("doc_id"), pa.array(node), pa.array(second), pa.array(np.diff(at).astype(np.int64)), pa.array(sign, pa.binary()), *(part.column(c) for c in names)],
+                    ["doc_id", "node", "second", "n_shingles", "sign", *names],
                 )
 
-    return docs.mapInArrow(read, "doc_id bigint, node bigint, second bigint, n_shingles bigint, sign binary")
+    return docs.mapInArrow(read, ", ".join(["doc_id bigint, node bigint, second bigint, n_shingles bigint, sign binary", *(f"{c} string" for c in names)]))
 
 
 def _banded(classes: DataFrame) -> DataFrame:
@@ -190,9 +192,14 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(read, "node bigint, copies bigint, cluster bigint, shingles binary").dropDuplicates(["node"])
 
 
+def text_name(text: F.Column) -> F.Column:
+    """Name of a text in ``join(named=True)``; rows are told apart by it where ids repeat."""
+    return F.md5(text.cast("string"))
+
+
 def join(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK,
+    threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK, named: bool = False,
 ) -> DataFrame:
     """(doc_id, class_id, n_links, component_id), one row per input row.
 
@@ -202,8 +209,15 @@ def join(
     nothing and is a class of its own; so is a row with a null id (its class is null). Rows that
     repeat id and text are documents of their own that link with each other. Other columns are not
     read.
+
+    ``named`` adds ``text_name`` and ``group``, a number that the texts of one component share and
+    no others do (ids may repeat, so ``component_id`` may not tell components apart); it is null
+    for rows that can't link.
     """
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = documents.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+        *([text_name(F.col(text_col)).alias("text_name")] if named else []),
+    )
     signed = stash(_signed(docs))
     linked = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = stash(
@@ -235,11 +249,12 @@ def join(
 
     reach = clustered.select("node", "class_id").join(links, "node").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = reach.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    reach = reach.join(least, "component").select("node", "links", "component_id")
+    reach = reach.join(least, "component").select("node", "links", "component", "component_id")
     by_node = classes.select("node", "second", "class_id", "copies").join(reach, "node", "left")
     own = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("node")).alias("node")
-    return signed.select("doc_id", own, "second").join(by_node, ["node", "second"], "left").select(
+    more = ["text_name", F.coalesce("component", "node").alias("group")] if named else []
+    return signed.select("doc_id", own, "second", *more[:1]).join(by_node, ["node", "second"], "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "class_id", "doc_id").alias("component_id"),
+        F.coalesce("component_id", "class_id", "doc_id").alias("component_id"), *more,
     )

@@ -1,5 +1,6 @@
 """The pipeline's stages on their own input, and its whole run."""
 
+import collections
 import hashlib
 
 import corpus_pipeline
@@ -43,6 +44,28 @@ def test_pipeline(spark):
         assert r["decoded_sha256"] == hashlib.sha256(tok.decode(r["ids"], skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    def text(k):
+        return " ".join(f"w{k}x{i}" for i in range(60))
+
+    rows = [
+        (1, text(1)), (2, text(1)), (2, text(2)),  # one id, one text a copy, the other its only one
+        (3, text(3)), (3, text(3)), (3, text(3)),  # repeated rows
+        (4, text(4)), (4, text(5)), (5, text(5) + " end"), (5, text(4) + " end"),  # two groups of the same ids
+        (6, text(6)), (6, text(6) + " end"), (6, text(6).replace(" ", "\n")),  # one id's texts in one group
+        (None, text(1)), (None, text(1)), (7, " \t"), (7, " \t"), (8, None),  # link with nothing
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for parts in (1, 3):
+        got = collections.Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each(spark, docs.repartition(parts), SF).collect())
+        six = [k for k in got if k[0] == 6]
+        assert len(six) == 1 and got.pop(six[0]) == 1
+        assert got == collections.Counter([
+            (1, text(1)), (2, text(2)), (3, text(3)), (4, text(4)), (4, text(5)),
+            (None, text(1)), (None, text(1)), (7, " \t"), (7, " \t"), (8, None),
+        ])
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     rows = out.collect()
