@@ -1,9 +1,12 @@
 """Toxicity grades by cumulative-link ordinal regression over sparse text features.
 
 P(grade <= k) = sigmoid(threshold_k - w.x): one weight vector for all grades, ordered thresholds.
-Features of a text are the words in it and the beginnings of its longer words, hashed; each counts
-once. Labels say toxic or not; toxic texts of the training sample are graded 1 to 3 by the number of
-the model's features in them (thirds of the toxic sample), clean ones are grade 0.
+A text is cut into parts of equal numbers of words. Features of a part are the words in it and the
+beginnings of its longer words, hashed; each counts once. A text's score w.x is that of its highest
+part, less the logarithm of the number of parts: of more parts, one scores high by chance more often,
+so a long clean text is held to the same odds as a short one. Labels say toxic or not; toxic texts of
+the training sample are graded 1 to 3 by the number of the model's features in their fullest part
+(thirds of the toxic sample), clean ones are grade 0.
 
 The model is fitted on the driver on a sample whose size is a parameter. Grading covers every text.
 """
@@ -27,6 +30,8 @@ HASH_BITS = 22
 LEAST_TEXTS = 5
 GRADES = 3
 BEGINNINGS = (4, 5, 6, 7)
+#: Words of a part; the last one also has the words that are left over.
+PART = 200
 #: Only features that the sample ties to toxic texts enter, by the z value of their log odds: long
 #: clean passages then don't outweigh what is toxic in a text.
 LEAST_Z = 4.0
@@ -44,18 +49,23 @@ class Model:
     thresholds: np.ndarray  # one for each step between grades, ascending
 
 
-def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of all words and beginnings of words, and the text of each."""
+def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature numbers of all words and beginnings of words, the part of each (numbered over all
+    texts), and where each text's parts begin."""
     w = W.split(texts, _GAPS)
     data = W._BYTE[_LOWER[w.data]]
-    of = np.repeat(np.arange(len(texts)), np.diff(w.first))
-    found, texts_of = [W.spans(data, w.start, w.end, "byte")], [of]
+    words = np.diff(w.first)
+    parts = np.maximum(words // PART, 1)
+    first = np.concatenate([[0], np.cumsum(parts)])
+    text = np.repeat(np.arange(len(texts)), words)
+    part = first[text] + np.minimum((np.arange(len(w.start)) - w.first[text]) // PART, parts[text] - 1)
+    found, of = [W.spans(data, w.start, w.end, "byte")], [part]
     for n in BEGINNINGS:
         longer = np.flatnonzero(w.end - w.start > n)
         found.append(W.spans(data, w.start[longer], w.start[longer] + n, "byte") + np.uint64(n))
-        texts_of.append(of[longer])
+        of.append(part[longer])
     number = (np.concatenate(found) >> np.uint64(64 - HASH_BITS)).astype(np.int32)
-    return number, np.concatenate(texts_of)
+    return number, np.concatenate(of), first
 
 
 def _distinct(number: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,7 +74,7 @@ def _distinct(number: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _sampled(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(doc_id, toxic, features) of the labelled sample, chosen by a hash of the id."""
+    """(doc_id, toxic, features by part) of the labelled sample, chosen by a hash of the id."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     pick = None
     for toxic in (True, False):
@@ -76,11 +86,13 @@ def _sampled(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
-                number, of = _distinct(*_features(part.column("text")))
-                at = np.searchsorted(of, np.arange(len(part) + 1))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), W.list_array(number, at, pa.int32())], ["doc_id", "toxic", "features"])
+                number, of, first = _features(part.column("text"))
+                number, of = _distinct(number, of)
+                lists = W.list_array(number, np.searchsorted(of, np.arange(first[-1] + 1)), pa.int32())
+                parts = pa.ListArray.from_arrays(pa.array(first, pa.int32()), lists)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), parts], ["doc_id", "toxic", "features"])
 
-    return chosen.mapInArrow(read, "doc_id bigint, toxic boolean, features array<int>")
+    return chosen.mapInArrow(read, "doc_id bigint, toxic boolean, features array<array<int>>")
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -91,13 +103,13 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # Kept in the executors' memory or on their disks; lost parts are read again.
     sampled = _sampled(documents, labels, sample).persist()
     try:
-        sizes = {r["toxic"]: r["n"] for r in sampled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        sizes = {r["toxic"]: r["n"] for r in sampled.groupBy("toxic").agg(F.sum(F.size("features")).alias("n")).collect()}
         if len(sizes) < 2:
             return empty
         t, c = F.col("t") + 0.5, F.col("c") + 0.5
         odds = F.log(t / (sizes[True] + 1.0 - t)) - F.log(c / (sizes[False] + 1.0 - c))
         z = (odds / F.sqrt(1 / t + 1 / c)).alias("z")
-        counted = sampled.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
+        counted = sampled.select("toxic", F.explode("features").alias("part")).select("toxic", F.explode("part").alias("feature")).groupBy("feature").agg(
             F.sum(F.col("toxic").cast("int")).alias("t"), F.sum((~F.col("toxic")).cast("int")).alias("c"))
         best = counted.filter(F.col("t") + F.col("c") >= LEAST_TEXTS).select("feature", z).filter(F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "feature").limit(FEATURES).collect()
         if not best:
@@ -112,29 +124,34 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     grade = np.zeros(len(rows), np.int64)
     cuts = np.quantile(held[toxic], [k / GRADES for k in range(1, GRADES)])
     grade[toxic] = 1 + np.searchsorted(cuts, held[toxic], side="left")
-    weight, thresholds = _fit(place, grade, len(index))
+    weight, thresholds = _fit(place, grade, len(index), np.log([r["parts"] for r in rows]))
     return Model(index, weight, thresholds)
 
 
 def _only(sampled: DataFrame, index: np.ndarray) -> DataFrame:
+    """The model's features in the fullest part of each text, and the number of its parts."""
+    def best(parts: list[list[int]]) -> list[int]:
+        held = (x[np.isin(x, index)] for x in (np.array(p, np.int32) for p in parts))
+        return max(held, key=len).tolist()
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [np.array(x, np.int32) for x in batch.column("features").to_pylist()]
+            texts = batch.column("features").to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array([len(x) for x in lists], pa.int64()),
-                 pa.array([x[np.isin(x, index)].tolist() for x in lists], pa.list_(pa.int32()))],
-                ["doc_id", "toxic", "n", "features"],
+                [batch.column("doc_id"), batch.column("toxic"), pa.array([len(x) for x in texts], pa.int64()), pa.array([best(x) for x in texts], pa.list_(pa.int32()))],
+                ["doc_id", "toxic", "parts", "features"],
             )
 
-    return sampled.mapInArrow(read, "doc_id bigint, toxic boolean, n bigint, features array<int>")
+    return sampled.mapInArrow(read, "doc_id bigint, toxic boolean, parts bigint, features array<int>")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def _fit(place: list[np.ndarray], grade: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds by gradient steps (Adam) on the penalised likelihood."""
+def _fit(place: list[np.ndarray], grade: np.ndarray, n: int, less: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ordered thresholds by gradient steps (Adam) on the penalised likelihood; ``less``
+    is taken off each text's score."""
     column = np.concatenate(place).astype(np.int64) if place else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(place)), [len(p) for p in place])
     # The first threshold and the logarithms of the steps between the others.
@@ -143,7 +160,7 @@ def _fit(place: list[np.ndarray], grade: np.ndarray, n: int) -> tuple[np.ndarray
     for step in range(1, STEPS + 1):
         gaps = np.exp(theta[n + 1 :])
         cut = theta[n] + np.concatenate([[0.0], np.cumsum(gaps)])
-        score = np.bincount(row, theta[column], minlength=len(grade))
+        score = np.bincount(row, theta[column], minlength=len(grade)) - less
         edge = np.concatenate([[-np.inf], cut, [np.inf]])
         upper, lower = _sigmoid(edge[grade + 1] - score), _sigmoid(edge[grade] - score)
         p = np.maximum(upper - lower, 1e-12)
@@ -179,10 +196,11 @@ def grade(documents: DataFrame, model: Model, text_col: str = "text", keep: tupl
         known[index] = True
         for batch in batches:
             for part in W.slices(batch, text_col):
-                number, of = _features(part.column(text_col))
+                number, of, first = _features(part.column(text_col))
                 mine = known[number]
                 number, of = _distinct(number[mine], of[mine])
-                score = np.bincount(of, weight[np.searchsorted(index, number)], minlength=len(part))
+                by_part = np.bincount(of, weight[np.searchsorted(index, number)], minlength=first[-1])
+                score = np.maximum.reduceat(by_part, first[:-1]) - np.log(np.diff(first)) if len(part) else np.zeros(0)
                 below = _sigmoid(thresholds[None, :] - score[:, None])
                 p = np.diff(np.concatenate([np.zeros((len(score), 1)), below, np.ones((len(score), 1))], axis=1))
                 yield pa.RecordBatch.from_arrays(

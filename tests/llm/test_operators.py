@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rental_mart.llm import bpe, chat, jaccard, lattice, lm, mixing, quality, secrets, substrings, toxicity
 from rental_mart.llm.graph import components
 from rental_mart.llm.queries import vocabulary_path
+from rental_mart.llm.tables import table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids string, at int, node string"
@@ -155,6 +156,27 @@ def test_toxicity(spark, none):
     assert not any(r["toxic"] for r in toxicity.grade(docs, plain).collect())
 
 
+def test_toxicity_of_long_texts(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.filter("doc_id % 4 <> 0"))
+    held = docs.join(labels.filter("doc_id % 4 = 0"), "doc_id").select("text", "lang", "toxic").dropDuplicates(["text"]).orderBy("text").collect()
+    rows = []
+    for lang in ("en", "de", "fr", "es"):
+        clean = [w for r in held if r["lang"] == lang and not r["toxic"] for w in r["text"].split()]
+        rows += [(f"{lang} clean", " ".join(clean[:n])) for n in (1000, 5000, 20000)]
+    toxic = " ".join(r["text"] for r in held if r["lang"] == "en" and r["toxic"]).split()
+    rows += [("toxic", " ".join(toxic[:n])) for n in (1000, 5000, 20000)]
+    got = toxicity.grade(spark.createDataFrame(rows, "doc_id string, text string"), model).collect()
+    assert [r for r in got if r["toxic"] != (r["doc_id"] == "toxic")] == []
+
+
+def test_toxicity_parts():
+    texts = ["", None, "a " * 199, "b " * 399, "c " * 400, "d " * 1001]
+    number, of, first = toxicity._features(pa.array(texts, pa.string()))
+    assert np.diff(first).tolist() == [1, 1, 1, 1, 2, 5]
+    assert np.bincount(of, minlength=first[-1]).tolist() == [0, 0, 199, 399, 200, 200, 200, 200, 200, 200, 201]
+
+
 def test_lm_base_and_passes(docs, none, monkeypatch):
     got = lm.score(docs).collect()
     count = collections.Counter()
