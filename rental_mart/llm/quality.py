@@ -2,8 +2,10 @@
 
 Counts come from whole texts. A quantile sketch of each rule's measure is kept for each language and
 source: counts by logarithmic bin (relative error below 1 %), which merge by addition, so that Spark
-combines them before the shuffle and a hot source costs no more than any other. Fences stand three
-inter-quartile ranges beyond the quartiles; a document outside one is rejected.
+combines them before the shuffle and a hot source costs no more than any other. A group's sketch is
+mixed with that of its language, and a language's with that of all documents, as if so many documents
+more had been drawn from there. Fences stand beyond low and high quantiles of the mixed sketch, by a
+multiple of their distance from the median; a document outside one is rejected.
 """
 
 from __future__ import annotations
@@ -23,12 +25,13 @@ from rental_mart.llm.graph import cut
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MOST_REPEATED = 50, 50
-#: Least inter-quartile range that counts, for each measure: groups whose documents hardly differ
-#: would else reject every small difference.
-SPREAD = {"word_length": 0.5, "symbols": 0.05, "dup_lines": 0.1, "repeats": 0.1}
-REACH = 3.0
-#: Groups with fewer documents take the thresholds of all documents.
-LEAST_GROUP = 50
+#: For each measure: the share of documents beyond the quantile, how many of its distances from the
+#: median the fence stands beyond it, and the least such distance. A corpus holds some hundredths of
+#: texts full of symbols, which also have the longest words: they must lie beyond the quantile.
+FENCES = {"word_length": (0.1, 3.0, 0.5), "symbols": (0.1, 0.5, 0.15), "dup_lines": (0.01, 0.5, 0.02), "repeats": (0.01, 0.5, 0.02)}
+#: Documents that a language's sketch lends to each of its groups, and that of all to each language:
+#: of so many, no single document is more than a hundredth, and none decides its own fence.
+LENT = 100.0
 _GAMMA = math.log(1.02)
 
 
@@ -100,14 +103,37 @@ def _measures() -> dict[str, F.Column]:
     }
 
 
-def _quartiles(binned: DataFrame, keys: list[str]) -> DataFrame:
-    """First and third quartile of each group and measure, read off the sketch's bins."""
+def _mixed(binned: DataFrame, keys: list[str]) -> DataFrame:
+    """Each group's bins with what is lent to it; ``docs`` is a weight then. One rule at every size."""
+    now = binned.groupBy("measure", "bin").agg(F.sum("docs").cast("double").alias("docs"))
+    for depth in range(1, len(keys) + 1):
+        mine, above = keys[:depth], keys[: depth - 1]
+        own = binned.groupBy(*mine, "measure", "bin").agg(F.sum("docs").cast("double").alias("docs"))
+        share = (F.col("docs") / F.sum("docs").over(Window.partitionBy(*above, "measure")) * LENT).alias("docs")
+        lender = now.select(*(F.col(k).alias(f"_{k}") for k in above), "measure", "bin", share)
+        groups = binned.select(*mine).distinct()
+        if above:
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in above]
+            lent = groups.join(lender, same)
+        else:
+            lent = groups.crossJoin(F.broadcast(lender))  # the bins of all documents: some hundreds a measure
+        now = own.unionByName(lent.select(own.columns)).groupBy(*mine, "measure", "bin").agg(F.sum("docs").alias("docs"))
+    return now
+
+
+def _of_measure(k: int) -> F.Column:
+    return F.create_map(*(x for name, v in FENCES.items() for x in (F.lit(name), F.lit(v[k]))))[F.col("measure")]
+
+
+def _quantiles(binned: DataFrame, keys: list[str]) -> DataFrame:
+    """``low``, ``middle`` and ``high`` of each group and measure, read off the mixed bins."""
     by = Window.partitionBy(*keys, "measure")
-    bins = binned.groupBy(*keys, "measure", "bin").agg(F.sum("docs").alias("docs"))
-    ranked = bins.withColumn("below", F.sum("docs").over(by.orderBy("bin"))).withColumn("docs_all", F.sum("docs").over(by))
+    ranked = _mixed(binned, keys).withColumn("below", F.sum("docs").over(by.orderBy("bin"))).withColumn("docs_all", F.sum("docs").over(by))
     value = F.when(F.col("bin").isNull(), 0.0).otherwise(F.exp((F.col("bin") - 0.5) * _GAMMA))
-    pick = lambda q: F.min(F.when(F.col("below") >= F.col("docs_all") * q, value))
-    return ranked.groupBy(*keys, "measure").agg(pick(0.25).alias("q1"), pick(0.75).alias("q3"), F.first("docs_all").alias("docs"))
+    # Weights are sums of fractions: what is lost in rounding must not decide.
+    tail = _of_measure(0)
+    pick = lambda q: F.min(F.when(F.col("below") >= F.col("docs_all") * q * (1 - 1e-9), value))
+    return ranked.groupBy(*keys, "measure").agg(pick(tail).alias("low"), pick(0.5).alias("middle"), pick(1 - tail).alias("high"))
 
 
 def sketch(measured: DataFrame, keys: tuple[str, ...] = ("lang", "source")) -> DataFrame:
@@ -120,15 +146,12 @@ def sketch(measured: DataFrame, keys: tuple[str, ...] = ("lang", "source")) -> D
 
 def thresholds(sketched: DataFrame, keys: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """One row for each group: ``<measure>_low`` and ``<measure>_high``."""
-    own = _quartiles(sketched, list(keys))
-    every = _quartiles(sketched, []).select("measure", F.col("q1").alias("q1_all"), F.col("q3").alias("q3_all"))
-    both = own.join(every, "measure")
-    enough = F.col("docs") >= LEAST_GROUP
-    q1, q3 = (F.when(enough, F.col(q)).otherwise(F.col(f"{q}_all")) for q in ("q1", "q3"))
-    spread = F.create_map(*(x for k, v in SPREAD.items() for x in (F.lit(k), F.lit(v))))
-    reach = REACH * F.greatest(q3 - q1, spread[F.col("measure")])
-    fences = both.select(*keys, "measure", (q1 - reach).alias("low"), (q3 + reach).alias("high"))
-    return fences.groupBy(*keys).pivot("measure", list(SPREAD)).agg(F.first("low").alias("low"), F.first("high").alias("high"))
+    reach, least = _of_measure(1), _of_measure(2)
+    low, middle, high = (F.col(c) for c in ("low", "middle", "high"))
+    fences = _quantiles(sketched, list(keys)).select(
+        *keys, "measure", (low - F.greatest((middle - low) * reach, least)).alias("low"), (high + F.greatest((high - middle) * reach, least)).alias("high"),
+    )
+    return fences.groupBy(*keys).pivot("measure", list(FENCES)).agg(F.first("low").alias("low"), F.first("high").alias("high"))
 
 
 def judge(measured: DataFrame, limits: DataFrame, keys: tuple[str, ...] = ("lang", "source")) -> DataFrame:

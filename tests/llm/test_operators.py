@@ -366,6 +366,25 @@ def test_quality_thresholds_adapt(spark):
     assert all(r["kept"] for r in got if r["doc_id"] < 900) and not next(r for r in got if r["doc_id"] == 999)["kept"]
 
 
+def test_quality_fences_come_from_the_sketch(spark):
+    def lines(i, doubled):
+        mine = [long_text(1000 * i + k, 10) for k in range(30)]
+        return "\n".join(mine[: 30 - doubled] + mine[:doubled])
+
+    rows = [(i, lines(i, i % 3), "en", "a") for i in range(120)] + [(900, lines(900, 6), "en", "a")]
+    got = {r["doc_id"]: r for r in quality.rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not got[900]["base_failed"] and got[900]["n_dup_lines"] == 6 and not got[900]["kept"]
+    assert all(r["kept"] for i, r in got.items() if i != 900)
+
+
+@pytest.mark.parametrize("n", [20, 49, 50])
+def test_quality_has_one_rule_at_every_size(spark, n):
+    rows = [(i, long_text(i, 100), "en", "a") for i in range(300)]
+    rows += [(1000 + i, long_text(i, 400).replace(" ", "").replace("a", "a "), "xx", "b") for i in range(n)]
+    got = quality.rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert not any(r["base_failed"] for r in got) and all(r["kept"] for r in got)
+
+
 def test_quality_sketch_merges(docs):
     measured = quality.measure(docs)
     one = quality.sketch(measured.repartition(1)).collect()
