@@ -28,7 +28,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stash(df: DataFrame) -> DataFrame:
+def stash(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Writes the rows as Parquet below the shared checkpoint folder and reads them from there.
 
     For larger tables than cut() is for: columns are compressed. Like checkpoint files, the folder
@@ -37,7 +37,7 @@ def stash(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     scratch(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/stash-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rental_mart.llm import bpe, chat, jaccard, lattice, lm, mixing, quality, secrets, substrings, toxicity
+from rental_mart.llm import align, bpe, chat, jaccard, lattice, lines, lm, mixing, prefixes, quality, secrets, substrings, toxicity
 from rental_mart.llm.tables import table
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +82,21 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return prefixes.trie(prefixes.rebuilt(prefixes.sequences(turns)))
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align.alignment(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_chat": op2_chat,
@@ -93,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_substrings": op10_substrings,
+    "op11_lines": op11_lines,
+    "op12_prefixes": op12_prefixes,
+    "op13_align": op13_align,
 }
 
 ORACLE: dict[str, str] = {}
