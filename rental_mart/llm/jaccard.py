@@ -41,7 +41,7 @@ def shingles(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     found, at = W.windows(hashes, w.first, width)
     n = np.diff(w.first)
     short = np.flatnonzero((n > 0) & (n < width))
-    whole = W.spans(hashes, w.first[short], w.first[short + 1], "word")
+    whole = W.spans(hashes, w.first[short], w.first[short + 1])
     of = np.concatenate([np.searchsorted(w.first, at, side="right") - 1, short])
     values = np.concatenate([found, whole])
     order = np.lexsort((values, of))

@@ -42,13 +42,14 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _END = _U(0x2545F4914F6CDD1D)
 _WORD_SALT = _U(0xA0761D6478BD642F)
+_PAIR, _LEVEL = _U(0xD1342543DE82EF95), 0x9E3779B97F4A7C15
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Word keys and pair keys of all tokens (words, then the end), context keys, and the index of
     each text's first token. The first token's context is the end of another text."""
     w = W.split(texts)
-    hashes = W.spans(W._BYTE[_LOWER[w.data]], w.start, w.end, "byte")
+    hashes = W.string_hashes(W.string_totals(_LOWER[w.data], w.start), w.start, w.end)
     n = len(texts)
     first = w.first + np.arange(n + 1)
     at_end = first[1:] - 1
@@ -58,7 +59,7 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     token[inside] = hashes
     before = np.concatenate([[_END], token[:-1]])[: len(token)]
     word, context = W.mix(token ^ _WORD_SALT), W.mix(before ^ _WORD_SALT)
-    return word, W.mix(context * _U(W._BASE["word"]) + token), context, first
+    return word, W.mix(context * _PAIR + token), context, first
 
 
 def _pack(keys: np.ndarray, times: np.ndarray, bits: int, kind: int) -> Iterator[dict]:
@@ -97,7 +98,7 @@ def _pairs(docs: DataFrame, bits: int) -> DataFrame:
 
 def _word_keys(words: pa.Array) -> np.ndarray:
     data, at = W.text_bytes(words)
-    hashes = W.spans(W._BYTE[data], at[:-1], at[1:], "byte")
+    hashes = W.string_hashes(W.string_totals(data, at[:-1]), at[:-1], at[1:])
     return W.mix(np.where(np.diff(at) == 0, _END, hashes) ^ _WORD_SALT)
 
 
@@ -113,7 +114,7 @@ def _words(counted: DataFrame, bits: int) -> DataFrame:
 
 
 def _positions(keys: np.ndarray, level: int, size: np.ndarray) -> Iterator[np.ndarray]:
-    a = W.mix((keys >> _U(8)) + _U(level * W._BASE["byte"] % (1 << 64)))
+    a = W.mix((keys >> _U(8)) + _U(level * _LEVEL % (1 << 64)))
     b = (a >> _U(33)) | _U(1)
     for i in range(PROBES):
         yield (a + _U(i) * b) % size

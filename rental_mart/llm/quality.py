@@ -60,7 +60,7 @@ def counts(texts: pa.Array) -> dict[str, np.ndarray]:
     end = np.where(last, w.texts[1:][of], np.append(start[1:], 0) - 1) if n else start
     full = np.searchsorted(w.start, end) > np.searchsorted(w.start, start)
     start, end, of = start[full], end[full], of[full]
-    line = W.spans(W._BYTE[w.data], start, end, "byte") + W.mix(of.astype(np.uint64))
+    line = W.string_hashes(W.string_totals(w.data, start), start, end) + W.mix(of.astype(np.uint64))
     kinds, first = np.unique(line, return_index=True)
     out["n_lines"] = np.bincount(of, minlength=n)
     out["n_dup_lines"] = out["n_lines"] - np.bincount(of[first], minlength=n)

@@ -1,6 +1,6 @@
 """Substring dedup: removes word windows that an earlier document (a smaller id) holds too.
 
-Every window of 50 words gets a Rabin-Karp hash. Counting all of them would shuffle more bytes than
+Every window of 50 words gets Rabin-Karp hashes to three bases, 93 bits in all. Counting all of them would shuffle more bytes than
 the texts hold, so windows that no other document can share are left out first, exactly: the
 smallest hash of the 8-word runs inside a window is its anchor; equal windows have equal anchors,
 and a text has one anchor for about twenty windows. Only windows whose anchor occurs in two
@@ -32,14 +32,14 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _hashed(texts: pa.Array, width: int, run: int) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, hashes of all windows, their anchors, and the first word of each window."""
+def _hashed(texts: pa.Array, width: int, run: int) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, their hashes, hashes of all windows, their anchors, and the first word of each window."""
     w = W.split(texts)
     hashes = W.word_hashes(w)
     found, at = W.windows(hashes, w.first, width)
     ends = np.minimum(np.arange(len(hashes)) + run, len(hashes))
-    low = _sliding_min(W.spans(hashes, np.arange(len(hashes)), ends, "word"), width - run + 1)
-    return w, found.view(np.int64), low[at].view(np.int64), at
+    low = _sliding_min(W.spans(hashes, np.arange(len(hashes)), ends), width - run + 1)
+    return w, hashes, found.view(np.int64), low[at].view(np.int64), at
 
 
 def _anchors(docs: DataFrame, width: int, run: int) -> DataFrame:
@@ -47,7 +47,7 @@ def _anchors(docs: DataFrame, width: int, run: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
-                w, _, anchor, at = _hashed(part.column("text"), width, run)
+                w, _, _, anchor, at = _hashed(part.column("text"), width, run)
                 of = np.searchsorted(w.first, at, side="right") - 1
                 # Windows side by side nearly always share their anchor.
                 new = np.append(True, (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1]))[: len(at)]
@@ -57,7 +57,7 @@ def _anchors(docs: DataFrame, width: int, run: int) -> DataFrame:
                     ["anchor", "doc_id", "text_hash"],
                 )
 
-    return docs.mapInArrow(read, "anchor bigint, doc_id bigint, text_hash bigint")
+    return docs.mapInArrow(read, "anchor bigint, doc_id bigint, text_hash int")
 
 
 def _windows(docs: DataFrame, width: int, run: int) -> DataFrame:
@@ -66,7 +66,7 @@ def _windows(docs: DataFrame, width: int, run: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
-                w, found, anchor, at = _hashed(part.column("text"), width, run)
+                w, hashes, found, anchor, at = _hashed(part.column("text"), width, run)
                 first = np.searchsorted(at, w.first)
                 marks = []
                 for column in ("asks", "offers"):
@@ -82,12 +82,12 @@ def _windows(docs: DataFrame, width: int, run: int) -> DataFrame:
                 at, found = at[keep], found[keep]
                 of = np.searchsorted(w.first, at, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), part.column("doc_id").take(pa.array(of)), part.column("text_hash").take(pa.array(of)),
+                    [pa.array(found), pa.array(W.checks(hashes, at, at + width)), part.column("doc_id").take(pa.array(of)), part.column("text_hash").take(pa.array(of)),
                      pa.array((at - w.first[of]).astype(np.int32)), *(pa.array(m[keep]) for m in marks)],
-                    ["window", "doc_id", "text_hash", "at", "asks", "offers"],
+                    ["window", "check", "doc_id", "text_hash", "at", "asks", "offers"],
                 )
 
-    return docs.mapInArrow(read, "window bigint, doc_id bigint, text_hash bigint, at int, asks boolean, offers boolean")
+    return docs.mapInArrow(read, "window bigint, check int, doc_id bigint, text_hash int, at int, asks boolean, offers boolean")
 
 
 def _cut_out(docs: DataFrame, width: int) -> DataFrame:
@@ -132,12 +132,13 @@ def dedup(documents: DataFrame, width: int = WIDTH, run: int = RUN) -> DataFrame
     is removed from its text or because of it. Other columns are not read. ``run`` is at most
     ``width``.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    key = ["doc_id", "text_hash"]
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.hash("text"))
+    key = ["doc_id", "text_hash"]  # the hash tells the texts of one id apart
     # Texts that an earlier document holds whole are done: each of their windows starts there too.
-    whole = docs.filter("doc_id is not null").select(*key, F.xxhash64(F.lit(1), "text").alias("second_hash"))
-    earliest = whole.groupBy("text_hash", "second_hash").agg(F.min("doc_id").alias("first_doc"))
-    copies = whole.join(earliest, ["text_hash", "second_hash"]).filter("doc_id > first_doc").select(*key).distinct()
+    names = ["name", "second_name"]
+    whole = docs.filter("doc_id is not null").select(*key, F.xxhash64("text").alias("name"), F.xxhash64(F.lit(1), "text").alias("second_name"))
+    earliest = whole.groupBy(*names).agg(F.min("doc_id").alias("first_doc"))
+    copies = whole.join(earliest, names).filter("doc_id > first_doc").select(*key).distinct()
 
     anchors = stash(_anchors(docs.filter("doc_id is not null"), width, run))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
@@ -147,7 +148,7 @@ def dedup(documents: DataFrame, width: int = WIDTH, run: int = RUN) -> DataFrame
         .join(copies, key, "left_anti")
     )
     found = _windows(docs.join(mine, key), width, run)
-    first = found.filter("offers").groupBy("window").agg(F.min("doc_id").alias("first_doc"))
-    repeats = found.filter("asks").drop("asks", "offers").join(first, "window").filter("doc_id > first_doc").groupBy(*key).agg(F.collect_set("at").alias("at"))
+    first = found.filter("offers").groupBy("window", "check").agg(F.min("doc_id").alias("first_doc"))
+    repeats = found.filter("asks").drop("asks", "offers").join(first, ["window", "check"]).filter("doc_id > first_doc").groupBy(*key).agg(F.collect_set("at").alias("at"))
     told = repeats.withColumn("copy", F.lit(False)).unionByName(copies.select(*key, F.lit(None).cast("array<int>").alias("at"), F.lit(True).alias("copy")))
     return _cut_out(docs.join(told, key, "left").select("doc_id", "text", "at", "copy"), width)

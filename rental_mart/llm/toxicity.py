@@ -53,16 +53,16 @@ def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature numbers of all words and beginnings of words, the part of each (numbered over all
     texts), and where each text's parts begin."""
     w = W.split(texts, _GAPS)
-    data = W._BYTE[_LOWER[w.data]]
+    total = W.string_totals(_LOWER[w.data], w.start)
     words = np.diff(w.first)
     parts = np.maximum(words // PART, 1)
     first = np.concatenate([[0], np.cumsum(parts)])
     text = np.repeat(np.arange(len(texts)), words)
     part = first[text] + np.minimum((np.arange(len(w.start)) - w.first[text]) // PART, parts[text] - 1)
-    found, of = [W.spans(data, w.start, w.end, "byte")], [part]
+    found, of = [W.string_hashes(total, w.start, w.end)], [part]
     for n in BEGINNINGS:
         longer = np.flatnonzero(w.end - w.start > n)
-        found.append(W.spans(data, w.start[longer], w.start[longer] + n, "byte") + np.uint64(n))
+        found.append(W.string_hashes(total, w.start[longer], w.start[longer] + n))
         of.append(part[longer])
     number = (np.concatenate(found) >> np.uint64(64 - HASH_BITS)).astype(np.int32)
     return number, np.concatenate(of), first

@@ -1,8 +1,10 @@
 """Vectorised words over Arrow text columns, shared by the text operators.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage
-return. Word and window hashes are polynomial (Rabin-Karp) over 64-bit integers, read off prefix
-sums, then mixed. A null text counts as empty.
+return. A word's hash adds a random 64-bit number for each (place, byte). Window hashes are
+polynomial (Rabin-Karp) over word hashes, modulo the prime 2^31 - 1 to two bases: powers of an odd
+number modulo 2^64 would let long regular sequences collide. Both are read off prefix sums, then
+mixed. A null text counts as empty.
 """
 
 from __future__ import annotations
@@ -20,9 +22,13 @@ SLICE_BYTES = 1 << 20
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_BYTE = np.random.default_rng(0x5EED).integers(1, 1 << 63, 256, dtype=np.uint64)
-_BASE = {"byte": 0x9E3779B97F4A7C15, "word": 0xD1342543DE82EF95}
-_powers: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+_PLACES = 64
+_PLACED = np.random.default_rng(0x5EED).integers(0, 1 << 64, _PLACES * 256, dtype=np.uint64)
+_PRIME = _U((1 << 31) - 1)
+#: Bases below the prime, and odd factors that give each base its own view of a hash.
+_BASES = (0x4F1BBCDC, 0x2545F491, 0x1B873593)
+_VIEWS = (_U(1), _U(0xD1342543DE82EF95), _U(0xA24BAED4963EE407))
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 class Words(NamedTuple):
@@ -67,43 +73,75 @@ def split(texts: pa.Array, gaps: np.ndarray = _SPACE) -> Words:
     return Words(data, at, start, end, np.searchsorted(start, at))
 
 
-def powers(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base of a kind of hash, and of its inverse, modulo 2^64."""
-    if kind not in _powers or len(_powers[kind][0]) < n:
-        base, size = _BASE[kind], max(n, 1 << 16)
-        both = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            out = np.full(size, b, np.uint64)
-            out[0] = 1
-            both.append(np.multiply.accumulate(out))
-        _powers[kind] = (both[0], both[1])
-    up, down = _powers[kind]
-    return up[:n], down[:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
     return x ^ (x >> _U(31))
 
 
-def spans(values: np.ndarray, start: np.ndarray, end: np.ndarray, kind: str) -> np.ndarray:
-    """Hash of each span start..end of a sequence of 64-bit values."""
-    up, down = powers(kind, len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start])
+def string_totals(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Running sums of the numbers of all bytes, placed from the start before them (``start``
+    ascends); ``string_hashes`` reads the hash of any piece that begins at a start off them."""
+    place = np.arange(len(data)) - np.repeat(np.concatenate([[0], start]), np.diff(np.concatenate([[0], start, [len(data)]])))
+    numbers = _PLACED[(place % _PLACES) << 8 | data]
+    far = np.flatnonzero(place >= _PLACES)
+    numbers[far] = mix(numbers[far] + mix((place[far] // _PLACES).astype(np.uint64)))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(numbers, out=total[1:])
+    return total
+
+
+def string_hashes(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix(total[end] - total[start] + mix((end - start).astype(np.uint64)))
 
 
 def word_hashes(w: Words) -> np.ndarray:
-    return spans(_BYTE[w.data], w.start, w.end, "byte")
+    return string_hashes(string_totals(w.data, w.start), w.start, w.end)
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, but that the prime itself may stand for 0."""
+    x = (x & _PRIME) + (x >> _U(31))
+    return (x & _PRIME) + (x >> _U(31))
+
+
+def powers(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base, and of its inverse, modulo the prime."""
+    if k not in _powers or len(_powers[k][0]) < n:
+        prime, both = int(_PRIME), []
+        for base in (_BASES[k], pow(_BASES[k], -1, prime)):
+            out = np.ones(1, np.uint64)
+            while len(out) < max(n, 1 << 16):
+                out = np.concatenate([out, _fold(out * _U(pow(base, len(out), prime)))])
+            both.append(out)
+        _powers[k] = (both[0], both[1])
+    up, down = _powers[k]
+    return up[:n], down[:n]
+
+
+def _modular(values: np.ndarray, start: np.ndarray, end: np.ndarray, k: int) -> np.ndarray:
+    up, down = powers(k, len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(_fold(_fold(values * _VIEWS[k]) * up[: len(values)]), out=total[1:])
+    return (_fold(total[end] - total[start]) * down[start]) % _PRIME
+
+
+def spans(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Rabin-Karp hash of each span start..end of a sequence of word hashes."""
+    both = _modular(hashes, start, end, 0) << _U(31) | _modular(hashes, start, end, 1)
+    return mix(both + mix((end - start).astype(np.uint64)))
+
+
+def checks(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A further Rabin-Karp hash of 31 bits, to another base."""
+    return _modular(hashes, start, end, 2).astype(np.int32)
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all windows of ``width`` words inside one text, and the index of their first word."""
     left = np.repeat(first[1:], np.diff(first)) - np.arange(len(hashes))
     at = np.flatnonzero(left >= width)
-    return spans(hashes, at, at + width, "word"), at
+    return spans(hashes, at, at + width), at
 
 
 def list_array(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:

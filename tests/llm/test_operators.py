@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rental_mart.llm import bpe, chat, jaccard, lattice, lm, mixing, quality, secrets, substrings, toxicity
+from rental_mart.llm import words as W
 from rental_mart.llm.graph import components
 from rental_mart.llm.queries import vocabulary_path
 from rental_mart.llm.tables import table
@@ -422,3 +423,51 @@ def test_components(spark):
             low[a] = low[b] = min(low[a], low[b])
     linked = {n for a, b in pairs if a != b for n in (a, b)}
     assert got == {n: low[n] for n in linked}
+
+
+def _regular(n, odd=False):
+    """A sequence of two letters on which powers of any odd base cancel out modulo 2^64 (Thue-Morse)."""
+    return "".join("ab"[(bin(i).count("1") + odd) & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [512, 1024, 4096])
+def test_long_regular_words_are_told_apart(spark, size):
+    around = long_text(31, 55).split()
+    texts = [" ".join([*around[:20], _regular(size, odd), *around[20:]]) for odd in (False, True)]
+    lone = [" ".join([_regular(size, odd), "x"]) for odd in (False, True)]
+    rows = [(i + 1, t, "en", "a", 0, "x", 0, "y") for i, t in enumerate([*texts, *lone, "\n".join(_regular(size, odd) for odd in (False, True))])]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert [r["n_removed"] for r in substrings.dedup(docs).collect()] == [0] * 5
+    assert {r["n_links"] for r in jaccard.join(docs.filter("doc_id in (3, 4)")).collect()} == {0}
+    assert {r["doc_id"]: r["n_dup_lines"] for r in quality.measure(docs).collect()}[5] == 0
+    scored = {r["doc_id"]: r["n_known"] for r in lm.score(docs.filter("doc_id < 5")).collect()}
+    train = {i for i in range(1, 5) if zlib.crc32(str(i).encode()) % 7 != 2}
+    seen = {w for i in train for w in rows[i - 1][1].lower().split()}
+    assert scored == {i: sum(w in seen for w in rows[i - 1][1].lower().split()) + 1 for i in range(1, 5)}
+    hashes = [W.word_hashes(W.split(pa.array([t])))[20] for t in texts]
+    assert hashes[0] != hashes[1]
+
+
+def test_windows_of_regular_words_are_told_apart():
+    """Windows over two words in regular order: the same for Rabin-Karp hashes of word sequences."""
+    n = 4096
+    texts = pa.array([" ".join(_regular(n, odd)) for odd in (False, True)])
+    w = W.split(texts)
+    found, _ = W.windows(W.word_hashes(w), w.first, n)
+    assert len(set(found.tolist())) == 2
+    hashes = W.word_hashes(w)
+    assert len(set(W.checks(hashes, w.first[:-1], w.first[1:]).tolist())) == 2
+
+
+def test_window_hashes_depend_on_the_words_only():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["a", "b", "ab", "é", "x" * 70, "x" * 71], 40)) for _ in range(30)]
+    w = W.split(pa.array(texts))
+    hashes = W.word_hashes(w)
+    words_of = [t.split() for t in texts]
+    flat = [x for t in words_of for x in t]
+    assert len({(x, int(h)) for x, h in zip(flat, hashes)}) == len(set(flat)) == len(set(hashes.tolist()))
+    found, at = W.windows(hashes, w.first, 3)
+    told = {tuple(flat[i : i + 3]): (int(h), int(c)) for i, h, c in zip(at, found, W.checks(hashes, at, at + 3))}
+    assert all(told[tuple(flat[i : i + 3])] == (int(h), int(c)) for i, h, c in zip(at, found, W.checks(hashes, at, at + 3)))
+    assert len(set(told.values())) == len(told)
