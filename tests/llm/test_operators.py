@@ -82,9 +82,20 @@ def test_bpe_random_strings():
     letters = list("aabbeeilnorst'.,!0123 \nİΣéß中🙂<|>")
     for _ in range(500):
         text = "".join(rng.choice(letters, rng.integers(0, 60)))
-        ids = bpe.array("i")
-        vocabulary.encode(text, ids)
-        assert list(ids) == tok.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(vocabulary.encode(text), np.int32).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_bpe_every_character():
+    from tokenizers import Tokenizer
+
+    path = vocabulary_path()
+    text = open(path, encoding="utf-8").read()
+    vocabulary, tok = bpe.Vocabulary(text, bpe.unlike_library(text)), Tokenizer.from_file(path)
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and not 0x30000 <= c < 0xE0000]
+    told = [f"a{chr(c)}b" for c in codes]
+    for lo in range(0, len(told), 20000):
+        want = tok.encode_batch(told[lo : lo + 20000], add_special_tokens=False)
+        assert all(np.frombuffer(vocabulary.encode(t), np.int32).tolist() == w.ids for t, w in zip(told[lo : lo + 20000], want))
 
 
 def test_chat_reads_back(spark):
