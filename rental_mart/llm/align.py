@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from rental_mart.llm.graph import stash
 from rental_mart.llm.words import slices
+from rental_mart.llm.worker import keeps, works_for
 
 #: Segments in one of the cache's two generations; some 500 bytes each.
 CACHED_SEGMENTS = 100_000
@@ -191,11 +192,14 @@ class Aligner:
         return sums, digests, offsets, rank[keys % max(1, len(rank))] if len(keys) else np.zeros(0, np.int64), times
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _aligner(a_json: bytes, b_model: bytes) -> Aligner:
     return Aligner(a_json, b_model)
 
 
+keeps("align", _aligner.cache_clear)
+
+
 def text_name(text: F.Column | str) -> list[F.Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
@@ -211,6 +215,7 @@ def aligned_texts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "te
     files = docs.sparkSession.sparkContext.broadcast(tuple(files))  # two vocabulary files, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("align")
         aligner = _aligner(*files.value)
         for batch in batches:
             for part in slices(batch, "text"):

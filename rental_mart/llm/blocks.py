@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rental_mart.llm.worker import works_for
+
 OUT = "node bigint, other bigint, links bigint"
 
 
@@ -85,6 +87,7 @@ def compare(tasks: DataFrame, bucket: str, one: Callable[[pa.Table, np.ndarray,
     keys = [bucket, "lo", "hi"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("blocks")
         for table, at in whole_groups(batches, keys):
             for lo, hi in zip(at, [*at[1:], len(table)]):
                 rows = table.slice(lo, hi - lo)

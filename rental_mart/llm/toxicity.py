@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rental_mart.llm import words as W
+from rental_mart.llm.worker import works_for
 
 #: At most so many labelled texts of each class train the model, and so many features enter it.
 SAMPLE, FEATURES = 4000, 8192
@@ -84,6 +85,7 @@ def _sampled(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     chosen = chosen.dropDuplicates(["text", "toxic"])  # copies would tie all of their words to a class
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("toxicity")
         for batch in batches:
             for part in W.slices(batch, "text"):
                 number, of, first = _features(part.column("text"))
@@ -135,6 +137,7 @@ def _only(sampled: DataFrame, index: np.ndarray) -> DataFrame:
         return max(held, key=len).tolist()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("toxicity")
         for batch in batches:
             texts = batch.column("features").to_pylist()
             yield pa.RecordBatch.from_arrays(
@@ -191,6 +194,7 @@ def grade(documents: DataFrame, model: Model, text_col: str = "text", keep: tupl
     ])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("toxicity")
         index, weight, thresholds = shared.value
         known = np.zeros(1 << HASH_BITS, bool)
         known[index] = True
