@@ -5,8 +5,9 @@ shard draws how many of its slots each source fills (multinomial); the i-th slot
 block ``permutation(i mod blocks)`` of that source, the permutation being a keyed bijection of
 0..blocks-1 (Feistel rounds with cycle walking), so every block is used once before any is used
 again. Draws over all shards scatter around the targets; slots drawn beyond a source's quota are
-handed to the sources short of theirs, in order, so every quota is met exactly. Slots and blocks
-are joined by (source, block).
+handed to the sources short of theirs, in order, so every quota is met exactly. A source's last slot
+takes only as many words of its block as its target still asks for. Slots and blocks are joined by
+(source, block).
 
 Seeds, hashes and orders depend only on the rows, so a rerun gives the same mix.
 """
@@ -22,7 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rental_mart.llm.graph import stash
 from rental_mart.llm.words import WORD, mix, slices, split
+from rental_mart.llm.worker import works_for
 
 BLOCK = 64
 SHARD_SLOTS = 1024
@@ -61,7 +64,7 @@ def targets(totals: list[tuple[str | None, int]], weights: tuple[int, ...] = WEI
     return out
 
 
-def source_table(sized: DataFrame) -> list[dict]:
+def source_table(sized: DataFrame, seed: int = 0) -> list[dict]:
     """One row for each source, by code point, null last: its size and target. The one table that
     goes to the driver and to every task; more than MAX_SOURCES sources are refused."""
     rows = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
@@ -71,12 +74,23 @@ def source_table(sized: DataFrame) -> list[dict]:
     out = []
     for k, ((name, n), target) in enumerate(zip(totals, targets(totals))):
         blocks = -(-n // BLOCK)
-        full = min(int(target // n), MOST_REPEATS) if n else 0
-        more = min(round((target - full * n) / BLOCK), blocks) if full < MOST_REPEATS else 0
-        out.append({"source": name, "source_no": k, "source_size": n, "target": target, "blocks": blocks, "quota": full * blocks + more})
+        full, left = divmod(round(target), n) if n else (0, 0)
+        more, cut = _partial(n, blocks, left, seed + k)
+        out.append({"source": name, "source_no": k, "source_size": n, "target": target, "blocks": blocks, "quota": full * blocks + more, "cut": cut})
     return out
 
 
+def _partial(size: int, blocks: int, words: int, key: int) -> tuple[int, int]:
+    """How many blocks in the source's order hold ``words`` words, and how many words too many."""
+    if not words:
+        return 0, 0
+    more, lacking = -(-words // BLOCK), blocks * BLOCK - size  # the source's last block is short
+    if lacking and place_of(blocks - 1, blocks, key) < more:
+        more = -(-(words + lacking) // BLOCK)
+        return more, more * BLOCK - lacking - words
+    return more, more * BLOCK - words
+
+
 def running(df: DataFrame, keys: list[str], chunk: str, order: list, value: str, out: str) -> DataFrame:
     """Sum of ``value`` over all earlier rows of the same keys; chunks come in order of their
     number. Rows are ordered inside a chunk only, and one row for each chunk beyond."""
@@ -93,7 +107,7 @@ def _source_frame(df: DataFrame, sources: list[dict]) -> DataFrame:
     spark = df.sparkSession
     return spark.createDataFrame(
         [tuple(s.values()) for s in sources],
-        "source string, source_no int, source_size bigint, target double, blocks bigint, quota bigint",
+        "source string, source_no int, source_size bigint, target double, blocks bigint, quota bigint, cut bigint",
     )
 
 
@@ -132,21 +146,36 @@ def permute(index: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def place_of(block: int, n: int, key: int, rounds: int = 6) -> int:
+    """The index that ``permute`` sends to a block."""
+    half = max(1, math.ceil(math.log2(max(n, 2)) / 2))
+    mask, out = (1 << half) - 1, block
+    while True:
+        left, right = out >> half, out & mask
+        for r in reversed(range(rounds)):
+            salt = (key * 31 + r + 1) * 0x9E3779B97F4A7C15 % (1 << 64)
+            left, right = right ^ (int(mix(np.array([(left + salt) % (1 << 64)], np.uint64))[0]) & mask), left
+        out = left << half | right
+        if out < n:
+            return out
+
+
 def _draw(shard: int, slots: int, quotas: np.ndarray, seed: int) -> np.ndarray:
     rng = np.random.Generator(np.random.Philox(key=[seed, shard]))
     return rng.multinomial(slots, quotas / quotas.sum())
 
 
 def slots(df: DataFrame, sources: list[dict], seed: int = SEED) -> DataFrame:
-    """(shard, slot, source_no, repeat, block): which block fills each slot of each output shard."""
+    """(shard, slot, source_no, repeat, block, stop): which block fills each slot of each output
+    shard, and the place in the source's stream where its words stop."""
     spark = df.sparkSession
-    quotas = np.array([s["quota"] for s in sources], np.int64)
+    quotas, size, cut = (np.array([s[c] for s in sources], np.int64) for c in ("quota", "source_size", "cut"))
     blocks = [s["blocks"] for s in sources]
     n_slots = int(quotas.sum())
     n_shards = -(-n_slots // SHARD_SLOTS)
     columns = "shard bigint, shard_group bigint, source_no int, drawn bigint"
     if not n_slots:
-        return spark.createDataFrame([], "shard bigint, slot bigint, source_no int, repeat bigint, block bigint")
+        return spark.createDataFrame([], "shard bigint, slot bigint, source_no int, repeat bigint, block bigint, stop bigint")
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,26 +210,29 @@ def slots(df: DataFrame, sources: list[dict], seed: int = SEED) -> DataFrame:
                 mine = source == k
                 repeat[mine], place = np.divmod(index[mine], blocks[k])
                 block[mine] = permute(place, blocks[k], int(seed + k))
+            stop = np.minimum((block + 1) * BLOCK, size[source]) - np.where(index == quotas[source] - 1, cut[source], 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[of]), pa.array(index), pa.array(source.astype(np.int32)), pa.array(repeat), pa.array(block)],
-                ["shard", "slot", "source_no", "repeat", "block"],
+                [pa.array(shard[of]), pa.array(index), pa.array(source.astype(np.int32)), pa.array(repeat), pa.array(block), pa.array(stop)],
+                ["shard", "slot", "source_no", "repeat", "block", "stop"],
             )
 
-    return placed.select("shard", "source_no", "drawn", "first").mapInArrow(fill, "shard bigint, slot bigint, source_no int, repeat bigint, block bigint")
+    return placed.select("shard", "source_no", "drawn", "first").mapInArrow(fill, "shard bigint, slot bigint, source_no int, repeat bigint, block bigint, stop bigint")
 
 
 def mix_sources(documents: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """The mix as (shard, slot, source_no, repeat, block, start, doc_id, text_hash, first, end)
+    """The mix as (shard, slot, source_no, repeat, block, stop, start, doc_id, text_hash, first, end)
     rows (words first..end of a text), and the sized documents with their source's figures.
 
     A null source is a source of its own; a null text has no words and is never taken. Rows that
     repeat id and text are separate texts of the stream. Other columns are not read.
     """
-    sized = sizes(documents)
-    sources = source_table(sized)
+    sized = stash(sizes(documents))
+    sources = source_table(sized, seed)
     numbered = _numbered(sized, sources)
     # Both sides grow with the documents, which the planner can't see from a range of shards.
-    return slots(documents, sources, seed).hint("merge").join(pieces(numbered), ["source_no", "block"]), numbered
+    joined = slots(documents, sources, seed).hint("merge").join(pieces(numbered), ["source_no", "block"])
+    joined = joined.withColumn("end", F.least("end", F.col("stop") - F.col("start"))).filter("first < end")
+    return joined, numbered
 
 
 def taken(documents: DataFrame, seed: int = SEED) -> DataFrame:
@@ -225,19 +257,22 @@ def mixed_documents(documents: DataFrame, seed: int = SEED) -> DataFrame:
     where there is such a column. Rows that repeat id, source and text give as many texts.
     """
     columns = documents.columns
-    keyed = documents.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("_hash", F.xxhash64("text", "source"))
+    own = [f"c{i}" for i in range(len(columns))]  # a column may have any name
+    place = {c: own[columns.index(c)] for c in ("doc_id", "text", "source")}
+    keyed = documents.toDF(*own).withColumn("key", F.coalesce(F.col(place["doc_id"]).cast("long"), F.lit(-(1 << 63)))).withColumn("hash", F.xxhash64(place["text"], place["source"]))
     mixed, _ = mix_sources(documents, seed)
     # A text's blocks in one repeat: bounded by its own length.
     ranges = (
-        mixed.groupBy(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_key"), F.col("text_hash").alias("_hash"), "start", "repeat")
+        mixed.groupBy(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), F.col("text_hash").alias("hash"), "start", "repeat")
         .agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("ranges"))
     )
-    chosen = keyed.dropDuplicates(["_key", "_hash"]).join(ranges.select("_key", "_hash", "ranges"), ["_key", "_hash"])
+    chosen = keyed.dropDuplicates(["key", "hash"]).join(ranges.select("key", "hash", "ranges"), ["key", "hash"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("mixing")
         for batch in batches:
-            for part in slices(batch, "text"):
-                w = split(part.column("text"))
+            for part in slices(batch, place["text"]):
+                w = split(part.column(place["text"]))
                 raw, texts = w.data.tobytes(), []
                 for i, ranges in enumerate(part.column("ranges").to_pylist()):
                     lo, n = w.first[i], w.first[i + 1] - w.first[i]
@@ -254,7 +289,7 @@ def mixed_documents(documents: DataFrame, seed: int = SEED) -> DataFrame:
                 new = {"text": pa.array(texts, pa.string())}
                 if "n_chars" in columns:
                     new["n_chars"] = pa.array([len(t) for t in texts], pa.int64())
-                yield pa.RecordBatch.from_arrays([new.get(c, part.column(c)) for c in columns], columns)
+                yield pa.RecordBatch.from_arrays([new[c] if c in new else part.column(k) for c, k in zip(columns, own)], columns)
 
     schema = T.StructType([T.StructField("n_chars", T.LongType()) if f.name == "n_chars" else f for f in documents.schema.fields])
-    return chosen.select(*columns, "ranges").mapInArrow(read, schema)
+    return chosen.select(*own, "ranges").mapInArrow(read, schema)
