@@ -167,10 +167,11 @@ def constraint_audit(df: DataFrame, keys: tuple[str, ...] = FACT_KEYS,
 # ---- D6 ---------------------------------------------------------------------------
 
 def layout_profile(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                   per_file: bool = False) -> DataFrame:
+                   per_file: bool = False, rows_per_file: int | None = None) -> DataFrame:
     """Rows and bytes of each landed file, read from the file's ``_metadata``
     (row-group counts are not exposed by Spark); by default summed per folder
-    (files, rows, bytes per day partition)."""
+    (files, rows, bytes per day partition). ``rows_per_file`` adds ``n_above``: how many files
+    hold more rows than the landing's limit (A6)."""
     r = spark.read.schema(schema) if schema is not None else spark.read
     df = r.parquet(path)
     files = df.select(
@@ -184,4 +185,5 @@ def layout_profile(spark: SparkSession, path: str, schema: T.StructType | None =
         F.count(F.lit(1)).alias("n_files"),
         F.sum("n_rows").alias("n_rows"),
         F.sum("n_bytes").alias("n_bytes"),
+        *([F.sum((F.col("n_rows") > rows_per_file).cast("long")).alias("n_above")] if rows_per_file else []),
     )

@@ -229,14 +229,24 @@ def _checked(df: DataFrame, table: ParquetTable) -> DataFrame:
     return out
 
 
+def _rows_of_days(spark: SparkSession, table: ParquetTable, days: list[_dt.date]) -> DataFrame:
+    return read_table(spark, table).where(F.col(table.partition_by[0]).isin(days))
+
+
 def _refuse_repeated_keys(spark: SparkSession, table: ParquetTable, staged: str, with_table: bool) -> None:
-    """Primary key: no key twice among the staged rows, nor one that the table already has."""
+    """Primary key: no key twice among the staged rows, nor one that the table already has. The
+    partition column is part of the key, so only the staged days are read (a partition filter)."""
     if not table.keys:
         return
     new = spark.read.schema(table.schema).parquet(staged)
     if not new.groupBy(*table.keys).count().filter("count > 1").isEmpty():
         raise ValueError(f"rows repeat a primary key of {table.path}")
-    if with_table and not read_table(spark, table).join(new, list(table.keys), "left_semi").isEmpty():
+    if not with_table:
+        return
+    prefix = f"{table.partition_by[0]}="
+    days = [_dt.date.fromisoformat(n.removeprefix(prefix)) for n, is_dir in _children(spark, staged) if is_dir and n.startswith(prefix)]
+    there = _rows_of_days(spark, table, days) if table.partition_by[0] in table.keys else read_table(spark, table)
+    if not there.join(new, list(table.keys), "left_semi").isEmpty():
         raise ValueError(f"rows hold primary keys that {table.path} already has")
 
 

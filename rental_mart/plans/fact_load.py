@@ -13,7 +13,7 @@ from rental_mart.operators import mart as mart_ops
 from rental_mart.operators import tables as tb
 from rental_mart.schemas import DW_FACT, FACT_KEYS, FACT_VARCHAR_LIMITS
 from rental_mart.session import require_ansi
-from rental_mart.sources import lake
+from rental_mart.sources import day_index, lake
 from rental_mart.sources import ods as ods_src
 from rental_mart.sources import pages as pg
 
@@ -59,15 +59,21 @@ def run_fact_job(spark: SparkSession, landed_pages: DataFrame, row_schema, lake_
     request days (A1), land the rows by request day (A5), read them back (A9), lower-case
     (A10), reload the ODS (A12) and refresh the DW period (C5). Returns the DW count.
 
-    The ODS is a full refresh from every landed day. ``ods_all_days=False`` reads the
-    period's request days only and leaves an ODS of that period. The DW period holds the
-    landed rows dated in it; a row that came with another request day is only found
-    with all days."""
+    An ODS table by request day (``ods.ods_fact_days_table``) gets only the days whose files
+    changed, and the DW period is read from the request days that hold rows dated in it, by the
+    day index. Any other ODS is a full refresh from every landed day; ``ods_all_days=False`` then
+    reads the period's request days only and leaves an ODS of that period, in which a row that
+    came with another request day is not found."""
     s, e = fx.period_bounds(start, end)
     period_pages = landed_pages.where(
         F.col("rent_dt").between(F.lit(s.strftime("%Y%m%d")), F.lit(e.strftime("%Y%m%d"))))
     rows = pg.unpack_pages_fact(period_pages, row_schema, day_as="_request_day")
     lake.land_fact(rows, lake_base, service, date_col="_request_day", keep_day=False)
+    index = day_index.update(spark, lake_base, service, row_schema)
+    if ods.partition_by:
+        ods_src.load_ods_days(spark, lake_base, service, row_schema, ods)
+        source = ods_src.read_ods_days(spark, ods, index, start, end)
+        return load_fact_dw(spark, source, dw, start, end, load_ts=load_ts, variant=variant)
     landed = (lake.read_landed(spark, lake_base, service, row_schema) if ods_all_days
               else lake.read_landed(spark, lake_base, service, row_schema, start, end))
     ods_src.load_ods(spark, landed, ods)

@@ -7,6 +7,7 @@ return the re-read table, so the write path is what gets compared.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from rental_mart.plans import station_load as sl
 from rental_mart.schemas import DW_FACT, FACT_API_ROW, STATION_API_ROW
 from rental_mart.session import scratch_path
 from rental_mart.sources import derived as dv
-from rental_mart.sources import lake, ods, pages
+from rental_mart.sources import day_index, lake, ods, pages
 from rental_mart.streaming import landed_days, snapshots
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -111,8 +112,42 @@ def fact_insert(spark, sf_dir):
 
 @register("table_count")
 def table_count(spark, sf_dir):
-    """COUNT(*) of the DW fact after the loads."""
-    return tb.table_count(spark, _loaded_dw(spark, sf_dir, "table_count"))
+    """COUNT(*) of the DW fact of all days after the loads."""
+    return tb.table_count(spark, _whole_dw(spark, sf_dir, "table_count"))
+
+
+def _whole_dw(spark, sf_dir, name: str) -> tb.ParquetTable:
+    """DW fact of every date that the source holds, then the test period reloaded."""
+    dw = fl.dw_fact_table(scratch_path(spark, name))
+    ods_rows = dv.ods_fact(spark, sf_dir)
+    tb.append_rows(spark, dw, fact_ops.fact_dw_rows(ods_rows, *dv.ALL_DATES, load_ts=dv.LOAD_TS))
+    fl.load_fact_dw(spark, ods_rows, dw, *dv.PERIOD, load_ts=dv.LOAD_TS)
+    return dw
+
+
+@register("fact_dw_audit")
+def fact_dw_audit(spark, sf_dir):
+    """The DW of all days with its audit columns, ``created_at`` included."""
+    return tb.read_table(spark, _whole_dw(spark, sf_dir, "fact_dw_audit"))
+
+
+@register("fact_dw_by_name")
+def fact_dw_by_name(spark, sf_dir):
+    """C12 and B15 through the session catalog: create the schema and the table, insert the rows
+    of a source bound by name into a target bound by name, read it by name, drop it."""
+    name = f"rental_key_{uuid.uuid4().hex[:12]}.fact_rent_daily"
+    dw = fl.dw_fact_table(scratch_path(spark, "fact_dw_by_name"), name=name)
+    tb.create_table(spark, dw, replace=True)
+    source = f"_ods_{uuid.uuid4().hex}"
+    dv.ods_fact(spark, sf_dir).createOrReplaceTempView(source)
+    rows = fact_ops.with_audit(sql_templates.fact_dw_sql(spark, source, *dv.ALL_DATES), dv.LOAD_TS)
+    sql_templates.insert_by_name(spark, name, rows)
+    # Rows are re-read from the folder once the name is gone.
+    out = spark.table(name).agg(F.count("*").alias("by_name")).first()["by_name"]
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP SCHEMA {name.split('.')[0]}")
+    spark.catalog.dropTempView(source)
+    return tb.read_table(spark, dw).withColumn("by_name", F.lit(out).cast("long"))
 
 
 def _loaded_dm(spark, sf_dir, name, make_table, summary):
@@ -368,10 +403,13 @@ def constraint_audit(spark, sf_dir):
 
 @register("layout_profile")
 def layout_profile(spark, sf_dir):
-    """D6 over a landing written in bounded batches of 100 rows per file."""
+    """D6 over a landing written in bounded batches of 100 rows per file (A6): rows of each day's
+    folder, and that it has as many files as that needs at least and none above the limit."""
     base = scratch_path(spark, "layout_profile")
     lake.land_fact(dv.fact_api_rows(spark, sf_dir), base, FACT_SERVICE, rows_per_file=100)
-    return dq.layout_profile(spark, f"{base}/{FACT_SERVICE}")
+    found = dq.layout_profile(spark, f"{base}/{FACT_SERVICE}", rows_per_file=100)
+    enough = F.col("n_files") >= F.ceil(F.col("n_rows") / 100)
+    return found.select(F.regexp_extract("folder", r"(year=.*)$", 1).alias("folder"), "n_rows", "n_above", enough.alias("enough_files"))
 
 
 # ---- B15: the same DW statement as parameterised SQL -------------------------------
@@ -403,6 +441,58 @@ def stream_dw_refresh(spark, sf_dir):
     return tb.read_table(spark, dw).select(*OUT_FACT)
 
 
+def _late_rows(spark, sf_dir):
+    """The API rows with the day that they were asked for: every tenth came a day late."""
+    late = F.when(F.col("RNUM").cast("long") % 10 == 0, F.date_add(F.col("RENT_DT").cast("date"), 1)).otherwise(F.col("RENT_DT").cast("date"))
+    return dv.fact_api_rows(spark, sf_dir).withColumn("_request_day", late.cast("string"))
+
+
+@register("stream_dw_late_rows")
+def stream_dw_late_rows(spark, sf_dir):
+    """Late rows lie in the next day's response. All are landed and streamed; then one day is
+    landed again as it was (its late rows, elsewhere, stay), and the lost day without the late
+    rows of the day before, which must leave the DW."""
+    base = scratch_path(spark, "stream_dw_late_rows_lake")
+    dw = fl.dw_fact_table(scratch_path(spark, "stream_dw_late_rows_dw"))
+    ckpt = scratch_path(spark, "stream_dw_late_rows_ckpt")
+    rows = _late_rows(spark, sf_dir)
+    again = rows.where((F.col("_request_day") == dv.PERIOD[0])
+                       | (F.col("_request_day") == dv.LOST_DAY) & (F.col("RENT_DT") == dv.LOST_DAY))
+    for landed in (rows, again):
+        lake.land_fact(landed, base, FACT_SERVICE, date_col="_request_day", keep_day=False)
+        landed_days.start_dw_refresh(spark, base, FACT_SERVICE, FACT_API_ROW, dw, ckpt, load_ts=dv.LOAD_TS).awaitTermination()
+    return tb.read_table(spark, dw).select(*OUT_FACT)
+
+
+@register("fact_job_late_rows")
+def fact_job_late_rows(spark, sf_dir):
+    """The batch over the same landings: the ODS by request day, only changed days loaded, and the
+    DW of the period from the request days that hold it."""
+    base = scratch_path(spark, "fact_job_late_rows_lake")
+    ods_t = ods.ods_fact_days_table(scratch_path(spark, "fact_job_late_rows_ods"))
+    dw = fl.dw_fact_table(scratch_path(spark, "fact_job_late_rows_dw"))
+    rows = _late_rows(spark, sf_dir)
+    for landed in (rows, rows.where(F.col("_request_day") == dv.PERIOD[0])):
+        lake.land_fact(landed, base, FACT_SERVICE, date_col="_request_day", keep_day=False)
+        ods.load_ods_days(spark, base, FACT_SERVICE, FACT_API_ROW, ods_t)
+        index = day_index.update(spark, base, FACT_SERVICE, FACT_API_ROW)
+        fl.load_fact_dw(spark, ods.read_ods_days(spark, ods_t, index, *dv.PERIOD), dw, *dv.PERIOD, load_ts=dv.LOAD_TS)
+    return tb.read_table(spark, dw).select(*OUT_FACT)
+
+
+@register("ods_by_day")
+def ods_by_day(spark, sf_dir):
+    """A12 by day after landings that change some days: equal to a full refresh."""
+    base = scratch_path(spark, "ods_by_day_lake")
+    t = ods.ods_fact_days_table(scratch_path(spark, "ods_by_day_ods"))
+    rows = _late_rows(spark, sf_dir)
+    half = rows.where(F.col("RNUM").cast("long") % 2 == 0)
+    for landed in (half, rows.where(F.col("_request_day") <= dv.LOST_DAY), rows):
+        lake.land_fact(landed, base, FACT_SERVICE, date_col="_request_day", keep_day=False)
+        ods.load_ods_days(spark, base, FACT_SERVICE, FACT_API_ROW, t)
+    return ods.read_ods_days(spark, t)
+
+
 # ---- the two daily jobs end to end ----------------------------------------------------
 
 @register("fact_end_to_end")
@@ -411,7 +501,7 @@ def fact_end_to_end(spark, sf_dir):
     landed = dv.land_pages(spark, dv.fact_api_pages(spark, sf_dir, FACT_SERVICE), "e2e_fact_pages")
     dw = fl.dw_fact_table(scratch_path(spark, "e2e_fact_dw"))
     fl.run_fact_job(spark, landed, FACT_API_ROW, scratch_path(spark, "e2e_fact_lake"), FACT_SERVICE,
-                    ods.ods_fact_table(scratch_path(spark, "e2e_fact_ods")), dw, *dv.PERIOD,
+                    ods.ods_fact_days_table(scratch_path(spark, "e2e_fact_ods")), dw, *dv.PERIOD,
                     load_ts=dv.LOAD_TS)
     return tb.read_table(spark, dw).select(*OUT_FACT)
 

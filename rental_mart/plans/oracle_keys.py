@@ -33,7 +33,7 @@ b AS ({o.clean_iso('ods_fact', S, E)})
 {o.aggregate('a')}
 UNION ALL
 {o.aggregate('b')}""",
-    "table_count": _DW_WIDE + "SELECT count(*) AS n_rows FROM dw",
+    "table_count": f"SELECT count(*) AS n_rows FROM ({o.fact_dw(o.ODS_FACT, 'ods_fact', *dv.ALL_DATES)})",
     "mart_daily": _DW_WIDE + o.mart_daily("dw"),
     "mart_station": _DW_WIDE + o.mart_station("dw"),
     "station_clean": f"WITH {o.ods_station()},{o.STATION_SRC}\nSELECT * FROM src",
@@ -153,7 +153,20 @@ FROM k""",
 
 ORACLE["fact_dw_daily_sql"] = ORACLE["fact_dw_daily"]
 
-ORACLE["stream_dw_refresh"] = o.fact_dw(o.ODS_FACT, "ods_fact", "0001-01-01", "9999-12-31")
+_ALL_DW = o.fact_dw(o.ODS_FACT, "ods_fact", *dv.ALL_DATES)
+ORACLE["stream_dw_refresh"] = _ALL_DW
+_AUDIT = f"{o.TS_LOAD} AS created_at, {o.TS_LOAD} AS last_updated"
+ORACLE["fact_dw_audit"] = f"SELECT *, {_AUDIT} FROM ({_ALL_DW})"
+ORACLE["fact_dw_by_name"] = f"SELECT *, {_AUDIT}, count(*) OVER () AS by_name FROM ({_ALL_DW})"
+ORACLE["stream_dw_late_rows"] = o.fact_dw(o.ODS_FACT + f""",
+ods_fact_kept AS (SELECT * FROM ods_fact WHERE NOT (CAST(rnum AS BIGINT) % 10 = 0
+  AND CAST(rent_dt AS DATE) = DATE '{dv.LOST_DAY}' - 1))""", "ods_fact_kept", *dv.ALL_DATES)
+ORACLE["fact_job_late_rows"] = ORACLE["fact_dw_daily"]
+ORACLE["ods_by_day"] = ORACLE["ods_reload"]
+ORACLE["layout_profile"] = f"""WITH {o.ODS_FACT}
+SELECT concat('year=', rent_dt[1:4], '/month=', rent_dt[6:7], '/day=', rent_dt[9:10]) AS folder,
+  count(*) AS n_rows, CAST(0 AS BIGINT) AS n_above, TRUE AS enough_files
+FROM ods_fact GROUP BY rent_dt"""
 
 ORACLE["fact_end_to_end"] = ORACLE["fact_dw_daily"]
 ORACLE["station_end_to_end"] = ORACLE["station_load"]

@@ -8,6 +8,8 @@ the DataFrame path uses, so there is one definition of the logic.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rental_mart import functions as fx
@@ -36,7 +38,9 @@ def fact_dw_sql(spark: SparkSession, source_table: str, start, end) -> DataFrame
 def insert_by_name(spark: SparkSession, target_table: str, rows: DataFrame) -> None:
     """C3 for catalog tables: INSERT INTO <target> BY NAME, the target bound as an
     identifier."""
-    view = f"_rows_{abs(hash(target_table)) % 10**8}"
+    view = f"_rows_{uuid.uuid4().hex}"
     rows.createOrReplaceTempView(view)
-    spark.sql(INSERT_BY_NAME, args={"target_table": target_table, "rows_view": view})
-    spark.catalog.dropTempView(view)
+    try:
+        spark.sql(INSERT_BY_NAME, args={"target_table": target_table, "rows_view": view})
+    finally:
+        spark.catalog.dropTempView(view)

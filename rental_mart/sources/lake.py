@@ -87,6 +87,31 @@ def read_landed(spark: SparkSession, fact_base: str, service: str, row_schema: T
     return df.drop(*DAY_PARTS)
 
 
+def _day_folder(root: str, day: _dt.date) -> str:
+    from rental_mart.sources.day_index import NO_DAY
+
+    parts = ("__HIVE_DEFAULT_PARTITION__",) * 3 if day == NO_DAY else (f"{day:%Y}", f"{day:%m}", f"{day:%d}")
+    return root + "".join(f"/{name}={value}" for name, value in zip(DAY_PARTS, parts))
+
+
+def read_request_days(spark: SparkSession, fact_base: str, service: str, row_schema: T.StructType,
+                      days: list[_dt.date], day_as: str | None = None) -> DataFrame:
+    """A9 for named request days: only their folders are listed and read. ``day_as`` names a
+    date column for the request day."""
+    from rental_mart.sources.day_index import NO_DAY
+
+    root = _service_root(fact_base, service)
+    present = [f for f in (_day_folder(root, d) for d in days) if tb.exists(spark, f)]
+    out = T.StructType(list(row_schema.fields) + ([T.StructField(day_as, T.DateType())] if day_as else []))
+    if not present:
+        return spark.createDataFrame([], out)
+    schema = T.StructType(list(row_schema.fields) + [T.StructField(p, T.StringType()) for p in DAY_PARTS])
+    df = spark.read.schema(schema).option("basePath", root).parquet(*present)
+    if day_as:
+        df = df.withColumn(day_as, F.coalesce(F.make_date(*(F.col(p).cast("int") for p in DAY_PARTS)), F.lit(NO_DAY)))
+    return df.select(*out.fieldNames())
+
+
 def land_snapshot(rows: DataFrame, dim_base: str, service: str, snapshot_dt) -> str:
     """The whole dimension as snappy Parquet under snapshot_dt=YYYY-MM-DD;
     a same-day rerun replaces that day only."""

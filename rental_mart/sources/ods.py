@@ -6,9 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rental_mart.operators import tables as tb
+from rental_mart import functions as fx
 from rental_mart.schemas import ODS_FACT, ODS_STATION
+from rental_mart.sources import day_index, lake
 from rental_mart.sources.lake import lower_names
 
 
@@ -16,6 +19,11 @@ def ods_fact_table(path: str, name: str | None = None) -> tb.ParquetTable:
     return tb.ParquetTable(path, ODS_FACT, name=name)
 
 
+def ods_fact_days_table(path: str, name: str | None = None) -> tb.ParquetTable:
+    """The fact ODS partitioned by request day, for loads that follow the lake day by day."""
+    return tb.ParquetTable(path, T.StructType([*ODS_FACT.fields, T.StructField("request_day", T.DateType())]), ("request_day",), name=name)
+
+
 def ods_station_table(path: str, name: str | None = None) -> tb.ParquetTable:
     return tb.ParquetTable(path, ODS_STATION, name=name)
 
@@ -35,6 +43,39 @@ def load_ods(spark: SparkSession, rows: DataFrame, table: tb.ParquetTable) -> Lo
     return LoadStatus(table.path, True, "reloaded")
 
 
+def _loaded_table(table: tb.ParquetTable) -> tb.ParquetTable:
+    """Which state of each request day the table was loaded from."""
+    parent, name = tb._siblings(table)
+    return tb.ParquetTable(f"{parent}/_{name}.loaded", day_index.LOADED, ("request_day",))
+
+
+def load_ods_days(spark: SparkSession, fact_base: str, service: str, row_schema: T.StructType,
+                  table: tb.ParquetTable) -> list:
+    """A12 by day: request days whose files changed since the last load are replaced, the others
+    are neither read nor written; the table then equals a full refresh. Returns the days. What was
+    loaded is recorded behind the load, so a load that fails is done again."""
+    loaded = _loaded_table(table)
+    tb.create_table(spark, table)
+    tb.create_table(spark, loaded)
+    days = day_index.changed_days(day_index.folders(spark, fact_base, service), tb.read_table(spark, loaded))
+    if days:
+        rows = lake.read_request_days(spark, fact_base, service, row_schema, [d for d, v in days.items() if v is not None], day_as="request_day")
+        tb.refresh_days(spark, table, lower_names(rows), list(days))
+        tb.refresh_days(spark, loaded, day_index.fingerprints(spark, {d: v for d, v in days.items() if v is not None}), list(days))
+    return sorted(days)
+
+
+def read_ods_days(spark: SparkSession, table: tb.ParquetTable, index: tb.ParquetTable | None = None,
+                  start=None, end=None) -> DataFrame:
+    """The ODS rows of a table by day, without the request day. With an index and a period, only
+    the request days that hold rows dated in it (a partition filter)."""
+    rows = tb.read_table(spark, table)
+    if index is not None:
+        s, e = fx.period_bounds(start, end)
+        rows = rows.where(F.col("request_day").isin(day_index.holding(spark, index, s, e)))
+    return rows.drop("request_day")
+
+
 def load_ods_guarded(spark: SparkSession, rows: DataFrame, table: tb.ParquetTable) -> LoadStatus:
     """Skip the reload when the input has no columns or no rows, leaving the
     previous ODS in place (the dimension's guard)."""

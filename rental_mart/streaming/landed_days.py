@@ -1,18 +1,19 @@
 """Incremental DW refresh driven by newly landed fact files.
 
 The batch load refreshes one period at a time. Here a file stream over the
-lake notices which day folders received new files; each micro-batch then
-reloads exactly those days from the lake (whole days, read with partition
-pruning) through the same clean -> aggregate -> refresh operators. The refresh
-is idempotent, so a micro-batch replayed after a failure (the stream's
-checkpoint records it as not committed) gives the same table.
+lake notices which request days received new files. The day index tells which
+days the rows of those folders are dated on, now or before, and which folders
+hold rows of those days: a late row lies in another day's response. Each
+micro-batch reloads exactly those days from exactly those folders through the
+same clean -> aggregate -> refresh operators. The refresh is idempotent, so a
+micro-batch replayed after a failure (the stream's checkpoint records it as not
+committed) gives the same table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import warnings
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,27 +22,44 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rental_mart.operators import fact as fact_ops
 from rental_mart.operators import tables as tb
-from rental_mart.sources import lake
+from rental_mart.sources import day_index, lake
 
-def _days_of(batch: DataFrame) -> list[str]:
-    """Touched day folders as ISO text. Rows without a date lie in the default partition,
-    which belongs to no day: they are reported and left in the lake."""
+
+def _touched(batch: DataFrame) -> list[list[str | None]]:
     # one row per touched day folder: bounded by the calendar, not by the data
-    rows = batch.select("year", "month", "day").distinct().collect()
-    dated = [r for r in rows if all(x and x.isdigit() for x in r)]
-    if len(dated) < len(rows):
-        warnings.warn("rows without a date were landed; no day of the DW is refreshed for them", stacklevel=2)
-    return sorted("-".join(r) for r in dated)
+    return [list(r) for r in batch.select(*lake.DAY_PARTS).distinct().collect()]
+
+
+def _dated(folder: list[str | None]) -> bool:
+    return all(x and x.isdigit() for x in folder)
+
+
+def _days_of(batch: DataFrame) -> list[str]:
+    """Touched request days as ISO text. Files in the default partition belong to none, which is
+    reported: of their rows, those with a date of their own reach the DW."""
+    folders = _touched(batch)
+    dated = [f for f in folders if _dated(f)]
+    if len(dated) < len(folders):
+        warnings.warn("rows were landed without a date to land them by", stacklevel=2)
+    return sorted("-".join(f) for f in dated)
 
 
 def refresh_batch(spark: SparkSession, fact_base: str, service: str, row_schema: T.StructType,
-                  dw: tb.ParquetTable, days: list[str], load_ts=None, variant: str = "iso") -> None:
-    """Reload the given days (ISO text) of the DW fact from their own lake folders."""
+                  dw: tb.ParquetTable, request_days: list[str | dt.date], load_ts=None, variant: str = "iso") -> None:
+    """Reload the DW days that rows of the given request days are or were dated on, each
+    from all the folders that hold it. A request day that holds no row of itself has its own DW
+    day reloaded, too."""
+    if not request_days:
+        return
+    touched = [d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in request_days]
+    index = day_index.update(spark, fact_base, service, row_schema)
+    days = sorted({*day_index.rent_days_of(spark, index, touched), *(d for d in touched if d != day_index.NO_DAY)})
     if not days:
         return
-    landed = reduce(DataFrame.unionByName, [lake.read_landed(spark, fact_base, service, row_schema, d, d) for d in days])
+    folders = day_index.holding(spark, index, days[0], days[-1], days)
+    landed = lake.read_request_days(spark, fact_base, service, row_schema, folders)
     rows = fact_ops.fact_dw_rows(lake.lower_names(landed), days[0], days[-1], variant=variant, load_ts=load_ts)
-    rows = rows.where(F.col("rent_dt").isin([dt.date.fromisoformat(d) for d in days]))
+    rows = rows.where(F.col("rent_dt").isin(days))
     tb.refresh_days(spark, dw, rows, days, unique=True)
 
 
@@ -58,7 +76,8 @@ def start_dw_refresh(spark: SparkSession, fact_base: str, service: str, row_sche
     src = reader.parquet(f"{fact_base.rstrip('/')}/{service}").select(*lake.DAY_PARTS)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        refresh_batch(batch.sparkSession, fact_base, service, row_schema, dw, _days_of(batch), load_ts, variant)
+        undated = [] if all(map(_dated, _touched(batch))) else [day_index.NO_DAY]
+        refresh_batch(batch.sparkSession, fact_base, service, row_schema, dw, [*_days_of(batch), *undated], load_ts, variant)
 
     w = src.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
