@@ -113,4 +113,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_align": op13_align,
 }
 
-ORACLE: dict[str, str] = {}
+_WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = lines.UPPER, lines.LOWER
+
+#: A list of bytes, folded with the table of CRC-32; the table is 8 steps for each byte value.
+_CRC_TABLE = "list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"
+
+ORACLE: dict[str, str] = {
+    "op11_lines": f"""WITH docs AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS every FROM documents),
+each AS (SELECT row, doc_id, unnest(every) AS line, unnest(range(len(every))) AS place FROM docs),
+keyed AS (SELECT *, translate(trim(line, {_WHITE}), '{_UPPER}', '{_LOWER}') AS key FROM each),
+repeated AS (SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+told AS (SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.last AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM told GROUP BY row, doc_id""",
+    "op12_prefixes": f"""WITH crc AS (SELECT {_CRC_TABLE} AS steps),
+own AS (SELECT conv_id, list(struct_pack(role := coalesce(role, ''), txt := coalesce(text, '')) ORDER BY turn NULLS FIRST, role, text) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+bytes AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS id, s FROM own),
+hashed AS (SELECT conv_id, s, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(id) + 1), lambda i: CAST(ascii(substr(id, i, 1)) AS BIGINT))),
+  lambda c, b: xor(c // 256, steps[xor(c, b) % 256 + 1])), 4294967295) % 9 AS h FROM bytes, crc),
+built AS (SELECT c.conv_id, list_concat(CASE WHEN b.s IS NULL THEN c.s[1:0] ELSE b.s[1:c.h] END, c.s[c.h + 1:]) AS s
+  FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+prefix AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS depth FROM built),
+node AS (SELECT s[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(s) = depth), '') AS ends FROM prefix GROUP BY s[1:depth], depth),
+kids AS (SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+own_share AS (SELECT o.path, o.depth, CAST(k.n IS NULL AS BIGINT) AS leaf,
+  CASE WHEN o.depth = 0 THEN 0 ELSE (o.n_convs - 1) * strlen(o.path[o.depth].txt) END AS saved
+  FROM node o LEFT JOIN kids k ON o.path = k.path AND o.depth = k.depth),
+above AS (SELECT path, leaf, saved, unnest(range(depth + 1)) AS depth FROM own_share),
+below AS (SELECT path[1:depth] AS path, depth, sum(leaf) AS leaves, sum(saved) AS saved FROM above GROUP BY ALL)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, coalesce(k.n, 0) AS n_children,
+  CAST(u.leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(o.ends) AS ends_sha256
+FROM node o JOIN below u ON o.path = u.path AND o.depth = u.depth
+LEFT JOIN kids k ON o.path = k.path AND o.depth = k.depth
+LEFT JOIN node p ON o.depth > 0 AND p.depth = o.depth - 1 AND p.path = o.path[1:o.depth - 1]""",
+}
