@@ -3,9 +3,10 @@
 The counts of all training words and word pairs are quantised to powers of two; a pair with level q
 is a member of the filter as (pair, 1) to (pair, q). A count is read by probing level after level
 until one misses, and the middle of the last level found stands for it. The filter goes to the
-workers by broadcast, which has a size bound: pairs beyond it are split by hash into further
-filters, one pass over the texts for each, and every position is scored in the pass that holds its
-pair. Word counts are in every pass.
+workers by broadcast, which has a size bound: it is cut into buckets by hash, words and pairs alike,
+and as many buckets as the bound allows are broadcast for one pass over the texts and then released.
+A pass writes the levels that it finds, two bytes for each position; what several passes find is put
+together, and votes and scores are read off the levels.
 
 A pair's probability mixes its relative frequency with the add-one word probability. The weight
 depends on the level of the context's count and comes from deleted interpolation over all training
@@ -174,37 +175,54 @@ class Filter:
         return out[which]
 
 
-def _count_of(level: np.ndarray) -> np.ndarray:
-    """The middle of a level's counts."""
-    return np.where(level > 0, (1.5 * 2.0 ** np.maximum(level, 1) - 1) / 2, 0.0)
+#: The middle of each level's counts.
+_COUNT = np.concatenate([[0.0], (1.5 * 2.0 ** np.arange(1, LEVELS + 2) - 1) / 2])
 
 
-def _share(rows: DataFrame, size: np.ndarray):
-    """Broadcasts filter buckets as one buffer of a size known before; ``size`` by bucket."""
+def _share(rows: DataFrame, kind: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The filters of the buckets that have a size, as one buffer; ``size`` by bucket."""
     at = np.concatenate([[0], np.cumsum(size)])
     data = np.zeros(int(at[-1]), np.uint8)
-    for row in rows.select("bucket", "filter").toLocalIterator():
-        data[at[row["bucket"]] : at[row["bucket"] + 1]] = np.frombuffer(row["filter"], np.uint8)
-    return rows.sparkSession.sparkContext.broadcast((size, data))
+    held = np.flatnonzero(size)
+    if len(held):
+        mine = rows.filter((F.col("kind") == kind) & F.col("bucket").between(int(held[0]), int(held[-1])))
+        for row in mine.select("bucket", "filter").toLocalIterator():
+            data[at[row["bucket"]] : at[row["bucket"] + 1]] = np.frombuffer(row["filter"], np.uint8)
+    return size, data
 
 
-def _sizes(rows: DataFrame, bits: int) -> np.ndarray:
+def _sizes(rows: DataFrame, kind: int, bits: int) -> np.ndarray:
     """Bytes of each bucket's filter: one number for each bucket."""
     out = np.zeros(1 << bits, np.int64)
-    for r in rows.select("bucket", F.length("filter").alias("n")).toLocalIterator():
+    for r in rows.filter(F.col("kind") == kind).select("bucket", F.length("filter").alias("n")).toLocalIterator():
         out[r["bucket"]] = r["n"]
     return out
 
 
-def _estimates(words: Filter, pairs: Filter, texts: pa.Array):
-    """Of every position that this pass holds: text, context level, counts of pair, context, word."""
-    word, pair, context, first = _tokens(texts)
-    of = np.repeat(np.arange(len(texts)), np.diff(first))
-    mine = pairs.held[pairs.bucket(pair)]
-    word, pair, context, of = word[mine], pair[mine], context[mine], of[mine]
-    known = words.level(context)
-    both = _count_of(pairs.level(pair))
-    return of, known, both, np.maximum(_count_of(known), both), _count_of(words.level(word))
+def _passes(words: np.ndarray, pairs: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Bucket sizes for each pass, 0 where it doesn't hold a bucket: at most ``most`` bytes or one bucket."""
+    size, of, held, number = np.concatenate([words, pairs]), [], 0, 0
+    for n in size.tolist():
+        if held and held + n > most:
+            held, number = 0, number + 1
+        held += n
+        of.append(number)
+    mine = [np.where(np.array(of) == k, size, 0) for k in range(number + 1)]
+    return [(m[: len(words)], m[len(words) :]) for m in mine]
+
+
+def _estimates(levels: pa.Array):
+    """Of every position: its text, context level, counts of pair, context, word. A text's levels are
+    those of its words, then those of its pairs; the first context is an end, as is its last word."""
+    offsets = np.frombuffer(levels.buffers()[1], np.int32)[levels.offset : levels.offset + len(levels) + 1].astype(np.int64)
+    data = np.frombuffer(levels.buffers()[2], np.uint8) if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    n = np.diff(offsets) // 2
+    of = np.repeat(np.arange(len(n)), n)
+    local = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    at = offsets[:-1][of] + local
+    known = data[np.where(local == 0, at + n[of] - 1, at - 1)]
+    both = _COUNT[data[at + n[of]]]
+    return of, known, both, np.maximum(_COUNT[known], both), _COUNT[data[at]]
 
 
 def _bits(n: int, each: int) -> int:
@@ -216,7 +234,8 @@ def score(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
     A null text is empty (one token, its end); a null id counts as the empty text when texts are
     held out. Rows that repeat id and text get the same scores, and count as often as they occur in
-    training. With no training text, N and V are 0. Other columns are not read.
+    training. With no training text, N and V are 0. Other columns are not read. A pass over the
+    texts holds filters of ``filter_bytes`` at most, or one bucket's (about a million counts).
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).select(
         F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_key"), F.xxhash64("text").alias("text_hash"),
@@ -229,49 +248,35 @@ def score(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     exact = sc.broadcast(frequent)
 
     word_bits, pair_bits = _bits(n_words, BUCKET), _bits(n_train, BUCKET)
-    words = stash(build(_words(counted, word_bits)))
-    word_filter = _share(words, _sizes(words, word_bits))
-    pairs = stash(build(_pairs(docs, pair_bits)))
-    size = _sizes(pairs, pair_bits)
-    starts, held = [0], 0
-    for b, n in enumerate(size):
-        if held + n > filter_bytes and held:
-            starts.append(b)
-            held = 0
-        held += n
-    filters = []
-    for lo, hi in zip(starts, [*starts[1:], len(size)]):
-        mine = np.where((np.arange(len(size)) >= lo) & (np.arange(len(size)) < hi), size, 0)
-        filters.append((_share(pairs.filter(F.col("bucket").between(lo, hi - 1)), mine), lo, hi))
+    filters = stash(build(_words(counted, word_bits).unionByName(_pairs(docs, pair_bits))))
+    key = ["doc_key", "text_hash"]
+    read = []
+    for k, sizes in enumerate(_passes(_sizes(filters, 1, word_bits), _sizes(filters, 2, pair_bits), filter_bytes)):
+        shared = sc.broadcast((_share(filters, 1, sizes[0]), _share(filters, 2, sizes[1])))
+        read.append(stash(_level_pass(docs, shared, exact if k == 0 else None), compression="zstd"))
+        shared.destroy()
+    own = read[0]
+    if len(read) > 1:
+        own = stash(_together(own, read[1:], key), compression="zstd")
     norm = n_train + n_words + 1
     votes = np.zeros((2, LEVELS + 1))
-    for pair_filter, lo, hi in filters:
-        for r in _vote(docs, word_filter, pair_filter, lo, hi, n_train).groupBy("level").agg(F.sum("pair").alias("pair"), F.sum("word").alias("word")).collect():
-            votes[:, r["level"]] += (r["pair"], r["word"])
+    for r in _vote(own, n_train).groupBy("level").agg(F.sum("pair").alias("pair"), F.sum("word").alias("word")).collect():
+        votes[:, r["level"]] = (r["pair"], r["word"])
     weight = (votes[0] + 0.5) / (votes.sum(0) + 1)
     weight[0] = 0.0
-
-    read = None
-    for k, (pair_filter, lo, hi) in enumerate(filters):
-        one = _score_pass(docs, word_filter, pair_filter, lo, hi, weight, norm, exact if k == 0 else None, k)
-        read = one if read is None else read.unionByName(one)
-    key = ["doc_key", "text_hash"]
-    read = stash(read)
-    summed = read.groupBy(*key, "pass").agg(F.max("score").alias("score")).groupBy(*key).agg(F.sum("score").alias("score"))
-    own = read.filter(F.col("pass") == 0)
     rare = own.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
     joined = (
         rare.join(counted, "word").groupBy("row")
         .agg(F.sum(F.log10(F.col("n") + 1) * F.col("times")).alias("rare_log"), F.sum("times").alias("rare_known"))
     )
     return (
-        own.drop("rare").join(summed.withColumnRenamed("score", "total"), key).join(joined, "row", "left")
+        _scored(own.drop("rare"), weight, norm).join(joined, "row", "left")
         .select(
             F.when(F.col("doc_key") > -(1 << 63), F.col("doc_key")).alias("doc_id"), "held_out", "n_tokens",
             (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
             F.lit(int(n_train)).cast("long").alias("train_tokens"),
             (F.col("exact_log") + F.coalesce("rare_log", F.lit(0.0)) - F.col("n_tokens") * math.log10(norm)).alias("base_score"),
-            F.col("total").alias("score"),
+            "score",
         )
     )
 
@@ -300,41 +305,24 @@ def _count_words(docs: DataFrame) -> DataFrame:
     return docs.filter(~F.col("held_out")).select("text").mapInArrow(read, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _opened(word_filter, pair_filter, lo: int, hi: int) -> tuple[Filter, Filter]:
-    words, pairs = Filter(*word_filter.value), Filter(*pair_filter.value)
-    pairs.held = np.zeros(1 << pairs.bits, bool)
-    pairs.held[lo:hi] = True
-    return words, pairs
-
-
-def _vote(docs: DataFrame, word_filter, pair_filter, lo: int, hi: int, n_train: int) -> DataFrame:
-    """Votes by context level over training texts: whether the pair or the word predicts better."""
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = _opened(word_filter, pair_filter, lo, hi)
-        votes = np.zeros((2, LEVELS + 1))
-        for batch in batches:
-            for part in W.slices(batch, "text"):
-                _, known, both, context, word = _estimates(words, pairs, part.column("text"))
-                by_pair = np.maximum(both - 1, 0) / np.maximum(context - 1, 1)
-                better = by_pair > np.maximum(word - 1, 0) / max(n_train - 1, 1)
-                votes += [np.bincount(known[k], minlength=LEVELS + 1)[: LEVELS + 1] for k in (better, ~better)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(LEVELS + 1), pa.int32()), pa.array(votes[0]), pa.array(votes[1])], ["level", "pair", "word"])
-
-    return docs.filter(~F.col("held_out")).select("text").mapInArrow(read, "level int, pair double, word double")
+_ROW = "row bigint, doc_key bigint, text_hash bigint, held_out boolean, n_tokens bigint, known bigint, exact_log double, rare array<struct<word:string,times:int>>, levels binary"
 
 
-def _score_pass(docs: DataFrame, word_filter, pair_filter, lo: int, hi: int, weight: np.ndarray, norm: float, exact, number: int) -> DataFrame:
-    """One pass: the part of each score that its pairs make, and in the first one the exact sums."""
+def _level_pass(docs: DataFrame, shared, exact) -> DataFrame:
+    """One pass over the texts: the levels of all words and pairs that its buckets hold (0 for the
+    others), and in the first pass the exact sums of frequent words and the counts of rare ones."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = _opened(word_filter, pair_filter, lo, hi)
+        words, pairs = (Filter(*x) for x in shared.value)
         logs = {k.encode(): math.log10(v + 1) for k, v in exact.value.items()} if exact is not None else {}
         row_end = TaskContext.get().partitionId() << 33  # a number for each row, fixed once written
         for batch in batches:
             for part in W.slices(batch, "text"):
-                of, known, both, context, word = _estimates(words, pairs, part.column("text"))
-                share = weight[known]
-                p = share * both / np.maximum(context, 1) + (1 - share) * (word + 1) / norm
-                total = np.bincount(of, np.log10(p), minlength=len(part))
+                word, pair, _, first = _tokens(part.column("text"))
+                n = np.diff(first)
+                levels = np.empty(2 * len(word), np.uint8)
+                at = np.arange(len(word)) + np.repeat(first[:-1], n)
+                levels[at], levels[at + np.repeat(n, n)] = words.level(word), pairs.level(pair)
+                offsets = (2 * first).astype(np.int32)
                 rows, rare, times, ends = [], [], [], [0]
                 for text in part.column("text").cast(pa.binary()).to_pylist() if exact is not None else ():
                     held = Counter(text.lower().split())
@@ -348,16 +336,58 @@ def _score_pass(docs: DataFrame, word_filter, pair_filter, lo: int, hi: int, wei
                     ends.append(len(rare))
                 if exact is None:
                     rows, ends = [(0, 0, 0.0)] * len(part), [0] * (len(part) + 1)
-                n, k, s = zip(*rows)
+                tokens, known, logged = zip(*rows)
                 items = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int32())], ["word", "times"])
                 row, row_end = row_end, row_end + len(part)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_key"), part.column("text_hash"), part.column("held_out"), pa.array([number] * len(part), pa.int32()), pa.array(total),
-                     pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(s, pa.float64()), pa.array(range(row, row_end), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)],
-                    ["doc_key", "text_hash", "held_out", "pass", "score", "n_tokens", "known", "exact_log", "row", "rare"],
+                    [pa.array(range(row, row_end), pa.int64()), part.column("doc_key"), part.column("text_hash"), part.column("held_out"),
+                     pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(logged, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items),
+                     pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(levels)])],
+                    ["row", "doc_key", "text_hash", "held_out", "n_tokens", "known", "exact_log", "rare", "levels"],
                 )
 
-    return docs.select("doc_key", "text_hash", "held_out", "text").mapInArrow(
-        read,
-        "doc_key bigint, text_hash bigint, held_out boolean, pass int, score double, n_tokens bigint, known bigint, exact_log double, row bigint, rare array<struct<word:string,times:int>>",
-    )
+    return docs.select("doc_key", "text_hash", "held_out", "text").mapInArrow(read, _ROW)
+
+
+def _together(own: DataFrame, more: list[DataFrame], key: list[str]) -> DataFrame:
+    """What all passes found: each position's levels are 0 but in the passes that hold its keys."""
+    each = more[0].select(*key, "levels")
+    for other in more[1:]:
+        each = each.unionByName(other.select(*key, "levels"))
+    each = each.groupBy(*key).agg(F.collect_set("levels").alias("found"))  # one for each pass at most
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = []
+            for levels, found in zip(*(batch.column(c).to_pylist() for c in ("levels", "found"))):
+                best.append(np.maximum.reduce([np.frombuffer(x, np.uint8) for x in (levels, *found)]).tobytes())
+            names = [c for c in batch.schema.names if c not in ("levels", "found")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(best, pa.binary())], [*names, "levels"])
+
+    return own.join(each, key).select(*own.columns, "found").mapInArrow(read, _ROW)
+
+
+def _vote(own: DataFrame, n_train: int) -> DataFrame:
+    """Votes by context level over training texts: whether the pair or the word predicts better."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        votes = np.zeros((2, LEVELS + 1))
+        for batch in batches:
+            _, known, both, context, word = _estimates(batch.column("levels"))
+            by_pair = np.maximum(both - 1, 0) / np.maximum(context - 1, 1)
+            better = by_pair > np.maximum(word - 1, 0) / max(n_train - 1, 1)
+            votes += [np.bincount(known[k], minlength=LEVELS + 1)[: LEVELS + 1] for k in (better, ~better)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(LEVELS + 1), pa.int32()), pa.array(votes[0]), pa.array(votes[1])], ["level", "pair", "word"])
+
+    return own.filter(~F.col("held_out")).select("levels").mapInArrow(read, "level int, pair double, word double")
+
+
+def _scored(own: DataFrame, weight: np.ndarray, norm: float) -> DataFrame:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, known, both, context, word = _estimates(batch.column("levels"))
+            share = weight[known]
+            p = share * both / np.maximum(context, 1) + (1 - share) * (word + 1) / norm
+            names = [c for c in batch.schema.names if c != "levels"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(np.bincount(of, np.log10(p), minlength=len(batch)))], [*names, "score"])
+
+    return own.mapInArrow(read, _ROW.replace("rare array<struct<word:string,times:int>>, levels binary", "score double"))

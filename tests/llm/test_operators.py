@@ -245,6 +245,37 @@ def test_lm_base_and_passes(docs, none, monkeypatch):
     assert lm.score(none).count() == 0
 
 
+def test_lm_scores_are_those_of_the_model_in_plain_python(docs):
+    train, every = [], []
+    for i, t, _, _ in TEXTS:
+        tokens = [None, *(t or "").encode().lower().split(), None]  # None: an end
+        every.append((i, tokens))
+        if zlib.crc32(str("" if i is None else i).encode()) % 7 != 2:
+            train.append(tokens)
+    word = collections.Counter(w for t in train for w in t[1:])
+    pair = collections.Counter(p for t in train for p in zip(t, t[1:]))
+    n, v = sum(word.values()), len(word)
+    level = lambda c: c.bit_length()
+    middle = lambda c: (1.5 * 2 ** level(c) - 1) / 2 if c else 0.0
+    votes = collections.defaultdict(lambda: [0, 0])
+    for t in train:
+        for a, b in zip(t, t[1:]):
+            both, context, one = middle(pair[a, b]), max(middle(word[a]), middle(pair[a, b])), middle(word[b])
+            votes[level(word[a])][max(both - 1, 0) / max(context - 1, 1) <= max(one - 1, 0) / max(n - 1, 1)] += 1
+    weight = {k: (x + 0.5) / (x + y + 1) if k else 0.0 for k, (x, y) in votes.items()}
+    want = {}
+    for i, t in every:
+        total = 0.0
+        for a, b in zip(t, t[1:]):
+            both, share = middle(pair[a, b]), weight.get(level(word[a]), 0.5 if word[a] else 0.0)
+            total += math.log10(share * both / max(middle(word[a]), both, 1) + (1 - share) * (middle(word[b]) + 1) / (n + v + 1))
+        want[i] = total
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs).collect()}
+    assert got.keys() == want.keys()
+    # A filter of 8 bits for each level says yes to about one stranger in forty.
+    assert all(abs(got[i] - want[i]) <= 0.05 * abs(want[i]) + 1 for i in want)
+
+
 def test_lm_filter_counts():
     keys = lm.W.mix(np.arange(1, 5001, dtype=np.uint64))
     times = (np.arange(5000) % 40 + 1).astype(np.int64)
