@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from rental_mart.llm import words as W
 from rental_mart.llm.graph import stash
+from rental_mart.llm.worker import task
 
 FREQUENT = 200_000
 FLUSH = 1 << 21
@@ -78,6 +79,7 @@ _PACKED = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("keys", pa.b
 
 def _pairs(docs: DataFrame, bits: int) -> DataFrame:
     """Packed counts of the pairs in training texts, combined over a couple of million tokens."""
+    @task("lm")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -104,6 +106,7 @@ def _word_keys(words: pa.Array) -> np.ndarray:
 
 
 def _words(counted: DataFrame, bits: int) -> DataFrame:
+    @task("lm")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = _word_keys(batch.column("word"))
@@ -125,8 +128,9 @@ def _levels(times: np.ndarray) -> np.ndarray:
     return np.frexp(times.astype(np.float64))[1]  # 1 + floor(log2(count))
 
 
-def build(packed: DataFrame) -> DataFrame:
-    """(kind, bucket, filter) rows: merged counts of a bucket, as one small Bloom filter."""
+def build(packed: DataFrame, bits_each: int = BITS) -> DataFrame:
+    """(kind, bucket, filter) rows: merged counts of a bucket, as one small Bloom filter with
+    ``bits_each`` bits for each member."""
     def read(table: pa.Table) -> pa.Table:
         raw = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint8).reshape(-1, 7)
         keys = np.zeros((len(raw), 8), np.uint8)
@@ -134,7 +138,7 @@ def build(packed: DataFrame) -> DataFrame:
         keys, which = np.unique(keys.view(np.uint64).ravel(), return_inverse=True)
         times = np.bincount(which, np.frombuffer(b"".join(table.column("times").to_pylist()), np.uint32))
         level = _levels(times)
-        size = -(-int(level.sum()) * BITS // 64) * 64
+        size = -(-int(level.sum()) * bits_each // 64) * 64
         bits = np.zeros(size, bool)
         for q in range(1, int(level.max()) + 1):
             for at in _positions(keys[level >= q], q, _U(size)):
@@ -229,13 +233,14 @@ def _bits(n: int, each: int) -> int:
     return max(0, math.ceil(math.log2(max(1, n / each))))
 
 
-def score(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id", filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def score(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id", filter_bytes: int = FILTER_BYTES, bits_each: int = BITS) -> DataFrame:
     """Scores of every row: held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A null text is empty (one token, its end); a null id counts as the empty text when texts are
     held out. Rows that repeat id and text get the same scores, and count as often as they occur in
     training. With no training text, N and V are 0. Other columns are not read. A pass over the
     texts holds filters of ``filter_bytes`` at most, or one bucket's (about a million counts).
+    At 8 bits for each member one stranger in forty is taken for a member.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).select(
         F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_key"), F.xxhash64("text").alias("text_hash"),
@@ -248,7 +253,7 @@ def score(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     exact = sc.broadcast(frequent)
 
     word_bits, pair_bits = _bits(n_words, BUCKET), _bits(n_train, BUCKET)
-    filters = stash(build(_words(counted, word_bits).unionByName(_pairs(docs, pair_bits))))
+    filters = stash(build(_words(counted, word_bits).unionByName(_pairs(docs, pair_bits)), bits_each))
     key = ["doc_key", "text_hash"]
     read = []
     for k, sizes in enumerate(_passes(_sizes(filters, 1, word_bits), _sizes(filters, 2, pair_bits), filter_bytes)):
@@ -283,6 +288,7 @@ def score(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 def _count_words(docs: DataFrame) -> DataFrame:
     """Exact counts of the tokens in training texts; the end of a text is the empty word."""
+    @task("lm")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
 
@@ -311,6 +317,7 @@ _ROW = "row bigint, doc_key bigint, text_hash bigint, held_out boolean, n_tokens
 def _level_pass(docs: DataFrame, shared, exact) -> DataFrame:
     """One pass over the texts: the levels of all words and pairs that its buckets hold (0 for the
     others), and in the first pass the exact sums of frequent words and the counts of rare ones."""
+    @task("lm")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs = (Filter(*x) for x in shared.value)
         logs = {k.encode(): math.log10(v + 1) for k, v in exact.value.items()} if exact is not None else {}
@@ -356,6 +363,7 @@ def _together(own: DataFrame, more: list[DataFrame], key: list[str]) -> DataFram
         each = each.unionByName(other.select(*key, "levels"))
     each = each.groupBy(*key).agg(F.collect_set("levels").alias("found"))  # one for each pass at most
 
+    @task("lm")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             best = []
@@ -369,6 +377,7 @@ def _together(own: DataFrame, more: list[DataFrame], key: list[str]) -> DataFram
 
 def _vote(own: DataFrame, n_train: int) -> DataFrame:
     """Votes by context level over training texts: whether the pair or the word predicts better."""
+    @task("lm")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = np.zeros((2, LEVELS + 1))
         for batch in batches:
@@ -382,6 +391,7 @@ def _vote(own: DataFrame, n_train: int) -> DataFrame:
 
 
 def _scored(own: DataFrame, weight: np.ndarray, norm: float) -> DataFrame:
+    @task("lm")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of, known, both, context, word = _estimates(batch.column("levels"))
