@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from rental_mart.llm.graph import stash
 from rental_mart.llm.words import slices
-from rental_mart.llm.worker import keeps, works_for
+from rental_mart.llm.worker import keeps, task
 
 #: Segments in one of the cache's two generations; some 500 bytes each.
 CACHED_SEGMENTS = 100_000
@@ -214,8 +214,8 @@ def aligned_texts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "te
             files.append(f.read())
     files = docs.sparkSession.sparkContext.broadcast(tuple(files))  # two vocabulary files, whatever the data
 
+    @task("align")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("align")
         aligner = _aligner(*files.value)
         for batch in batches:
             for part in slices(batch, "text"):
@@ -265,6 +265,7 @@ def scored_texts(texts: DataFrame, counts: DataFrame, slice_pairs: int = SLICE_P
 
 
 def _scorer(table):
+    @task("align")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n = table.value
         for batch in batches:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rental_mart.llm.worker import works_for
+from rental_mart.llm.worker import task
 
 OUT = "node bigint, other bigint, links bigint"
 
@@ -86,8 +86,8 @@ def compare(tasks: DataFrame, bucket: str, one: Callable[[pa.Table, np.ndarray,
     label). The sides are the same array where a block meets itself."""
     keys = [bucket, "lo", "hi"]
 
+    @task("blocks")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("blocks")
         for table, at in whole_groups(batches, keys):
             for lo, hi in zip(at, [*at[1:], len(table)]):
                 rows = table.slice(lo, hi - lo)

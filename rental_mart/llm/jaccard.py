@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rental_mart.llm import blocks
 from rental_mart.llm import words as W
 from rental_mart.llm.graph import components, stash
-from rental_mart.llm.worker import works_for
+from rental_mart.llm.worker import task
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP = 32, 4, 16
@@ -75,8 +75,8 @@ def minhash(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _signed(docs: DataFrame) -> DataFrame:
     names = [c for c in docs.columns if c == "text_name"]
 
+    @task("jaccard")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("jaccard")
         for batch in batches:
             for part in W.slices(batch, "text", 1 << 20):
                 values, at = shingles(part.column("text"))
@@ -91,8 +91,8 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def _banded(classes: DataFrame) -> DataFrame:
+    @task("jaccard")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("jaccard")
         for batch in batches:
             sign = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint32).reshape(len(batch), BANDS, ROWS).astype(np.uint64)
             key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), sign.shape[:2]).copy()
@@ -181,8 +181,8 @@ def _verified(threshold: float):
 
 def _sets(docs: DataFrame) -> DataFrame:
     """Shingle sets of the rows' texts, where the text has the row's set (ids may repeat)."""
+    @task("jaccard")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("jaccard")
         for batch in batches:
             for part in W.slices(batch, "text"):
                 values, at = shingles(part.column("text"))

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from rental_mart.llm.graph import stash
 from rental_mart.llm.words import WORD, mix, slices, split
-from rental_mart.llm.worker import works_for
+from rental_mart.llm.worker import task
 
 BLOCK = 64
 SHARD_SLOTS = 1024
@@ -268,8 +268,8 @@ def mixed_documents(documents: DataFrame, seed: int = SEED) -> DataFrame:
     )
     chosen = keyed.dropDuplicates(["key", "hash"]).join(ranges.select("key", "hash", "ranges"), ["key", "hash"])
 
+    @task("mixing")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("mixing")
         for batch in batches:
             for part in slices(batch, place["text"]):
                 w = split(part.column(place["text"]))

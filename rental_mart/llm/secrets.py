@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rental_mart.llm.words import slices
-from rental_mart.llm.worker import works_for
+from rental_mart.llm.worker import task
 
 # The known formats, in listing order, and their least lengths.
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -123,8 +123,8 @@ def scan(df: DataFrame, text_col: str = "text", out_col: str = "secrets", allow:
     out = T.StructType([*df.select(*rest).schema.fields, T.StructField(out_col, SPANS)])
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
+    @task("secrets")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("secrets")
         allowed = [re.compile(a) for a in allow]
         for batch in batches:
             for part in slices(batch, text_col):

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rental_mart.llm import words as W
-from rental_mart.llm.worker import works_for
+from rental_mart.llm.worker import task
 
 #: At most so many labelled texts of each class train the model, and so many features enter it.
 SAMPLE, FEATURES = 4000, 8192
@@ -84,8 +84,8 @@ def _sampled(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     chosen = documents.select("doc_id", "text").join(F.broadcast(pick), "doc_id")  # 2 * sample rows at most
     chosen = chosen.dropDuplicates(["text", "toxic"])  # copies would tie all of their words to a class
 
+    @task("toxicity")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("toxicity")
         for batch in batches:
             for part in W.slices(batch, "text"):
                 number, of, first = _features(part.column("text"))
@@ -136,8 +136,8 @@ def _only(sampled: DataFrame, index: np.ndarray) -> DataFrame:
         held = (x[np.isin(x, index)] for x in (np.array(p, np.int32) for p in parts))
         return max(held, key=len).tolist()
 
+    @task("toxicity")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("toxicity")
         for batch in batches:
             texts = batch.column("features").to_pylist()
             yield pa.RecordBatch.from_arrays(
@@ -193,8 +193,8 @@ def grade(documents: DataFrame, model: Model, text_col: str = "text", keep: tupl
         *documents.select(*keep).schema.fields, T.StructField("severity", T.DoubleType()), T.StructField("grade", T.IntegerType()), T.StructField("toxic", T.BooleanType()),
     ])
 
+    @task("toxicity")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        works_for("toxicity")
         index, weight, thresholds = shared.value
         known = np.zeros(1 << HASH_BITS, bool)
         known[index] = True
