@@ -19,7 +19,7 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary_path()
-    ids = bpe.encode(table(spark, sf_dir, "documents"), path)
+    ids = bpe.encode(table(spark, sf_dir, "documents"), path, cached_words=150_000)
     named = ids.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids",
