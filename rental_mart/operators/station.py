@@ -1,8 +1,8 @@
 """Station dimension: cleaning (B11), SCD1 upsert (C6), soft delete (C7), counts.
 
 Matching is an equi-join on the station code. NULL codes never match, so
-NULL-keyed rows are split off before any join: they would otherwise all hash to
-one task.
+NULL-keyed rows are split off or spread before any join: they would otherwise all
+hash to one task.
 """
 
 from __future__ import annotations
@@ -28,68 +28,94 @@ def clean_station(ods: DataFrame) -> DataFrame:
     )
 
 
-def _duplicated_codes(source_clean: DataFrame) -> DataFrame:
-    """Source codes occurring more than once (partial aggregation first, so a hot
-    code is combined map-side)."""
-    return (source_clean.where(F.col("station_cd").isNotNull())
-            .groupBy("station_cd").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 1).select("station_cd"))
+def _source_rows(source_clean: DataFrame) -> DataFrame:
+    """The source's distinct rows with the number of times each occurs (``_copies``).
 
+    Equal rows are counted by input task, so a count never exceeds what one task read
+    and can be expanded again in one task."""
+    return (source_clean.select("station_cd", *STATION_ATTRS)
+            .groupBy("station_cd", *STATION_ATTRS, F.spark_partition_id().alias("_task"))
+            .agg(F.count(F.lit(1)).alias("_copies")))
 
-def duplicate_matching_keys(target: DataFrame, source_clean: DataFrame) -> DataFrame:
-    """Source codes that occur more than once AND match a target row: a MERGE
-    would update that target row twice, which must fail."""
-    tkeys = target.select("station_cd").where(F.col("station_cd").isNotNull()).distinct()
-    return _duplicated_codes(source_clean).join(tkeys, "station_cd", "left_semi")
 
+def _source_codes(rows: DataFrame) -> DataFrame:
+    """One row per source code, the NULL code included: the number of source rows
+    (0 for NULL codes, which match nothing) and, for a unique code, its attributes."""
+    times = F.when(F.col("station_cd").isNotNull(), F.col("_copies")).otherwise(F.lit(0))
+    return rows.groupBy("station_cd").agg(
+        F.sum(times).alias("_n"), F.max(F.struct(*STATION_ATTRS)).alias("_attrs"))
 
-def _check_no_duplicate_matches(target: DataFrame, source_clean: DataFrame) -> None:
-    bad = duplicate_matching_keys(target, source_clean).limit(5).collect()
-    if bad:
-        codes = ", ".join(str(r["station_cd"]) for r in bad)
-        raise ValueError(f"MERGE would update a target row twice; duplicate source station codes: {codes}")
 
+def _inserts_beside_the_join(rows: DataFrame, codes: DataFrame) -> DataFrame:
+    """Source rows that no target row can match: NULL codes and codes that occur more
+    than once (those raise where the target has them). Rows with a NULL code are spread
+    by their attributes instead of meeting in one task. The keys are made non-NULL first:
+    an IS NOT NULL filter inferred from the join would reach the source's scan and part
+    it from the other branch's, which reads the same aggregate."""
+    salt = F.when(F.col("station_cd").isNull(), F.xxhash64(*STATION_ATTRS).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
+    r = rows.withColumn("_code", F.coalesce("station_cd", F.lit(""))).withColumn("_salt", salt)
+    repeated = codes.where(F.col("_n") > 1).select(
+        F.coalesce("station_cd", F.lit("")).alias("_repeated"), F.lit(0).cast("long").alias("_no_salt"))
+    j = r.join(repeated, (F.col("_code") == F.col("_repeated")) & (F.col("_salt") == F.col("_no_salt")), "left")
+    return (j.where(F.col("station_cd").isNull() | F.col("_repeated").isNotNull())
+            .select("station_cd", *STATION_ATTRS, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+            .drop("_copy"))
 
-def upsert_station(target: DataFrame, source_clean: DataFrame, load_ts=None,
-                   check_duplicates: bool = True) -> DataFrame:
-    """MERGE ON target.station_cd = source.station_cd.
+
+def merge_station(target: DataFrame, source_clean: DataFrame, load_ts=None,
+                  delete_missing: bool = False) -> DataFrame:
+    """C6, and with ``delete_missing`` C7 after it, in one join on the station code.
 
     matched     -> attributes from source, last_updated = load_ts,
                    is_deleted = FALSE, created_at kept;
     source only -> inserted, created_at = last_updated = load_ts, not deleted;
-    target only -> unchanged.
-
-    Only codes that are unique in the source go through the full outer join.
-    Duplicated codes cannot match (that raises), so their rows are inserts and
-    bypass it; NULL codes never match and bypass it too. A code holding a large
-    share of the source therefore never lands in one join task (Spark's skew
-    handling does not split full outer joins)."""
-    if check_duplicates:
-        _check_no_duplicate_matches(target, source_clean)
+    target only -> unchanged, or with ``delete_missing`` marked as deleted under the
+                   NOT IN rules of ``soft_delete_missing``.
+
+    The source is read once, into one aggregate per code that the join, the inserts
+    beside it and the NOT IN flags share; a code holding a large share of the source is
+    combined map-side. A source code that occurs more than once and matches a target row
+    would be updated twice by a MERGE: the plan raises when it is run."""
     ts = fx.timestamp_literal(load_ts)
+    rows = _source_rows(source_clean)
+    codes = _source_codes(rows)
     t = target.select(*names(DW_STATION))
-    s = source_clean.select("station_cd", *STATION_ATTRS)
-    s_nn = s.where(F.col("station_cd").isNotNull())
-    dups = _duplicated_codes(s_nn)
-    s_unique = s_nn.join(dups, "station_cd", "left_anti")
-    s_repeated = s_nn.join(dups, "station_cd", "left_semi")
-
-    key_t, key_s = F.col("t.station_cd"), F.col("s.station_cd")
+    key_t, key_s, n = F.col("t.station_cd"), F.col("s.station_cd"), F.col("s._n")
+    twice = F.raise_error(F.concat(
+        F.lit("MERGE would update a target row twice; duplicate source station code: "), key_s)).cast("boolean")
     joined = (t.where(F.col("station_cd").isNotNull()).alias("t")
-              .join(s_unique.alias("s"), key_t == key_s, "full_outer"))
+              .join(codes.alias("s"), key_t == key_s, "full_outer")
+              .where(F.when(key_t.isNotNull() & (n > 1), twice).otherwise(key_t.isNotNull() | (n == 1))))
     in_src: Column = key_s.isNotNull()
+    null_t = t.where(F.col("station_cd").isNull()).alias("t")
+    gone = gone_null = F.lit(False)
+    if delete_missing:
+        # the attributes are read along so that the flags use the same aggregate
+        source = codes.agg(F.struct(F.bool_or(F.col("station_cd").isNull()).alias("has_null"),
+                                    F.count(F.lit(1)).alias("codes"), F.sum("_n"), F.max("_attrs")).alias("f")).scalar()
+        active = F.coalesce(F.col("t.is_deleted") == F.lit(False), F.lit(False))
+        gone = active & ~F.coalesce(source["has_null"], F.lit(False))
+        gone_null = active & (source["codes"] == 0)
     merged = joined.select(
         F.coalesce(key_s, key_t).alias("station_cd"),
-        *[F.when(in_src, F.col(f"s.{a}")).otherwise(F.col(f"t.{a}")).alias(a) for a in STATION_ATTRS],
+        *[F.when(in_src, F.col(f"s._attrs.{a}")).otherwise(F.col(f"t.{a}")).alias(a) for a in STATION_ATTRS],
         F.when(key_t.isNotNull(), F.col("t.created_at")).otherwise(ts).alias("created_at"),
-        F.when(in_src, ts).otherwise(F.col("t.last_updated")).alias("last_updated"),
-        F.when(in_src, F.lit(False)).otherwise(F.col("t.is_deleted")).alias("is_deleted"),
+        F.when(in_src | gone, ts).otherwise(F.col("t.last_updated")).alias("last_updated"),
+        F.when(in_src, F.lit(False)).when(gone, F.lit(True)).otherwise(F.col("t.is_deleted")).alias("is_deleted"),
     )
-    null_t = t.where(F.col("station_cd").isNull())
-    inserted = s_repeated.unionByName(s.where(F.col("station_cd").isNull())).select(
+    kept = null_t.select(
+        *[F.col(f"t.{c}") for c in names(DW_STATION) if c not in ("last_updated", "is_deleted")],
+        F.when(gone_null, ts).otherwise(F.col("t.last_updated")).alias("last_updated"),
+        F.when(gone_null, F.lit(True)).otherwise(F.col("t.is_deleted")).alias("is_deleted"))
+    inserted = _inserts_beside_the_join(rows, codes).select(
         "station_cd", *STATION_ATTRS,
         ts.alias("created_at"), ts.alias("last_updated"), F.lit(False).alias("is_deleted"))
-    return merged.unionByName(null_t).unionByName(inserted)
+    return merged.unionByName(kept).unionByName(inserted)
+
+
+def upsert_station(target: DataFrame, source_clean: DataFrame, load_ts=None) -> DataFrame:
+    """MERGE ON target.station_cd = source.station_cd (see ``merge_station``)."""
+    return merge_station(target, source_clean, load_ts)
 
 
 def soft_delete_missing(target: DataFrame, source_clean: DataFrame, load_ts=None) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rental_mart import functions as fx
 from rental_mart.operators import station as st
 from rental_mart.operators import tables as tb
 from rental_mart.schemas import DW_STATION
@@ -19,10 +18,8 @@ def dw_station_table(path: str, name: str | None = None) -> tb.ParquetTable:
 
 
 def station_rows(target: DataFrame, ods_station: DataFrame, load_ts=None) -> DataFrame:
-    """C6 then C7 over the same cleaned source and the same load time."""
-    ts = fx.timestamp_literal(load_ts)
-    src = st.clean_station(ods_station)
-    return st.soft_delete_missing(st.upsert_station(target, src, ts), src, ts)
+    """C6 then C7 over the same cleaned source and the same load time, in one join."""
+    return st.merge_station(target, st.clean_station(ods_station), load_ts, delete_missing=True)
 
 
 def load_station_dw(spark: SparkSession, ods_station: DataFrame, dw: tb.ParquetTable,

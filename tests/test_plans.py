@@ -120,3 +120,26 @@ def test_partial_aggregation_precedes_the_exchange(spark, ods_table):
     pages = spark.createDataFrame([], LANDED_PAGE)
     p = plan(pg.unpack_pages_fact(pages, FACT_API_ROW), "simple")
     assert "partial_min(CASE WHEN NOT ok" in p
+
+
+def test_station_load_reads_the_source_once(spark, tmp_path):
+    """The join, the inserts beside it and the NOT IN flags share one aggregate of the source."""
+    from rental_mart.plans import station_load as sl
+
+    dv.ods_station(spark, SF001).write.parquet(f"{tmp_path}/ods")
+    dv.dw_station_seed(spark, SF001).write.parquet(f"{tmp_path}/dw")
+    ods_rows, dw = spark.read.parquet(f"{tmp_path}/ods"), spark.read.parquet(f"{tmp_path}/dw")
+    df = sl.station_rows(dw, ods_rows, dv.LOAD_TS)
+    df.collect()
+    run, below = [], None            # the plan as it was run: adaptive plans also print what they began with
+    for line in plan(df, "simple").splitlines():
+        depth = len(line) - len(line.lstrip(" :"))
+        if below is not None and depth <= below:
+            below = None
+        if below is None and "== Initial Plan ==" in line:
+            below = depth
+        if below is None:
+            run.append(line)
+    assert sum("FileScan" in x and "stationname" in x for x in run) == 1
+    assert sum("ReusedExchange" in x for x in run) >= 2
+    assert not any("NestedLoopJoin" in x or "CartesianProduct" in x for x in run)

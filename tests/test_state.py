@@ -157,8 +157,19 @@ def test_upsert_update_insert_revive(spark):
 
 def test_upsert_duplicate_matching_source_key_raises(spark):
     t = target(spark, [("A", False)])
-    with pytest.raises(ValueError):
-        st.upsert_station(t, source(spark, ["A", "A"]), TS1)
+    out = st.upsert_station(t, source(spark, ["A", "A"]), TS1)
+    with pytest.raises(Exception, match="target row twice.*: A"):
+        out.collect()
+
+
+@pytest.mark.parametrize("codes", [["A", "B", "D"], ["A", None, "D"], ["Z", "Z", "A"], [None, None], []])
+def test_load_in_one_join_equals_upsert_then_soft_delete(spark, codes):
+    t = target(spark, [("A", False), ("B", True), ("C", False), ("E", None), (None, False), (None, True)])
+    src = source(spark, codes)
+    one = st.merge_station(t, src, TS1, delete_missing=True)
+    two = st.soft_delete_missing(st.upsert_station(t, src, TS1), src, TS1)
+    # rows that were just inserted with a NULL code are not deleted either way
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.select(*one.columns).collect()))
 
 
 def test_upsert_duplicate_new_keys_are_inserted(spark):
