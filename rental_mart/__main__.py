@@ -14,7 +14,7 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -35,6 +35,8 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--start", required=True)
     f.add_argument("--end", required=True)
     f.add_argument("--variant", choices=("iso", "any"), default="iso")
+    f.add_argument("--refuse-truncated", action="store_true",
+                   help="land nothing where a response has fewer rows than it announces")
     s.add_argument("--snapshot-dt", required=True)
     return p
 
@@ -57,10 +59,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.job == "fact":
         service = args.service or "rent_daily"
         dw = fl.dw_fact_table(args.dw, named("dw.fact_rent_daily"))
+        seen = Observation()
         n = fl.run_fact_job(spark, pages, FACT_API_ROW, args.lake, service,
                             ods.ods_fact_table(args.ods, named("ods.fact_rent_daily")),
-                            dw, args.start, args.end, load_ts=args.load_ts, variant=args.variant)
-        out = {"job": "fact", "dw_rows": n.first()["n_rows"]}
+                            dw, args.start, args.end, load_ts=args.load_ts, variant=args.variant,
+                            observation=seen, refuse_truncated=args.refuse_truncated)
+        out = {"job": "fact", "dw_rows": n.first()["n_rows"], "truncated_responses": seen.get["truncated"]}
         if args.dm:
             dm = fl.dm_daily_table(args.dm, named("dm.fact_rent_daily"))
             m = fl.refresh_dm(spark, dw, dm, args.start, args.end, load_ts=args.load_ts)

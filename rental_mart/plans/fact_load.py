@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rental_mart import functions as fx
@@ -54,7 +54,8 @@ def refresh_dm(spark: SparkSession, dw: tb.ParquetTable, dm: tb.ParquetTable, st
 
 def run_fact_job(spark: SparkSession, landed_pages: DataFrame, row_schema, lake_base: str,
                  service: str, ods: tb.ParquetTable, dw: tb.ParquetTable, start, end,
-                 load_ts=None, variant: str = "iso", ods_all_days: bool = True) -> DataFrame:
+                 load_ts=None, variant: str = "iso", ods_all_days: bool = True,
+                 observation: Observation | None = None, refuse_truncated: bool = False) -> DataFrame:
     """The daily fact job end to end: unpack the landed responses of the period's
     request days (A1), land the rows by request day (A5), read them back (A9), lower-case
     (A10), reload the ODS (A12) and refresh the DW period (C5). Returns the DW count.
@@ -63,11 +64,15 @@ def run_fact_job(spark: SparkSession, landed_pages: DataFrame, row_schema, lake_
     changed, and the DW period is read from the request days that hold rows dated in it, by the
     day index. Any other ODS is a full refresh from every landed day; ``ods_all_days=False`` then
     reads the period's request days only and leaves an ODS of that period, in which a row that
-    came with another request day is not found."""
+    came with another request day is not found.
+
+    ``observation`` and ``refuse_truncated`` are the landing gate of ``unpack_pages``: truncated
+    responses are counted, or refused before any of the period's rows are landed."""
     s, e = fx.period_bounds(start, end)
     period_pages = landed_pages.where(
         F.col("rent_dt").between(F.lit(s.strftime("%Y%m%d")), F.lit(e.strftime("%Y%m%d"))))
-    rows = pg.unpack_pages_fact(period_pages, row_schema, day_as="_request_day")
+    rows = pg.unpack_pages_fact(period_pages, row_schema, day_as="_request_day",
+                                observation=observation, refuse_truncated=refuse_truncated)
     lake.land_fact(rows, lake_base, service, date_col="_request_day", keep_day=False)
     index = day_index.update(spark, lake_base, service, row_schema)
     if ods.partition_by:

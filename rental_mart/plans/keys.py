@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rental_mart.operators import fact as fact_ops
@@ -493,6 +493,23 @@ def ods_by_day(spark, sf_dir):
     return ods.read_ods_days(spark, t)
 
 
+@register("landing_gate")
+def landing_gate(spark, sf_dir):
+    """D7 at load: a complete day and one cut short by a RESULT page are landed, and the pass that
+    writes them reports the truncated response; beside it, the rows that the lake has."""
+    base, seen = scratch_path(spark, "landing_gate_lake"), Observation("landing_gate")
+    schema = dv.orders_row_schema(spark, sf_dir)
+    both = _orders_pages(spark, sf_dir, "20240101").unionByName(
+        dv.with_result_page(_orders_pages(spark, sf_dir, "20240102"), 8))
+    rows = pages.unpack_pages_fact(both, schema, day_as="_request_day", observation=seen)
+    lake.land_fact(rows, base, dv.ORDERS_SERVICE, date_col="_request_day", keep_day=False)
+    found = seen.get
+    kinds = {"responses": "long", "truncated": "long", "rows_announced": "long", "rows_collected": "long",
+             "first_truncated": "string"}
+    return lake.read_landed(spark, base, dv.ORDERS_SERVICE, schema).agg(F.count("*").alias("rows_landed")).select(
+        *[F.lit(found[c]).cast(t).alias(c) for c, t in kinds.items()], "rows_landed")
+
+
 # ---- the two daily jobs end to end ----------------------------------------------------
 
 @register("fact_end_to_end")

@@ -115,6 +115,11 @@ r AS (SELECT rent_dt, list_total_count,
       FROM totals)
 SELECT rent_dt, list_total_count, start_index, start_index + 999 AS end_index FROM r""",
     "page_audit": _page_audit_sql(),
+    "landing_gate": f"""
+SELECT CAST(2 AS BIGINT) AS responses, CAST({_ORDERS_N} > 7000 AS BIGINT) AS truncated,
+  2 * {_ORDERS_N} AS rows_announced, {_ORDERS_N} + least(7000, {_ORDERS_N}) AS rows_collected,
+  CASE WHEN {_ORDERS_N} > 7000 THEN 'orders 20240102' END AS first_truncated,
+  {_ORDERS_N} + least(7000, {_ORDERS_N}) AS rows_landed""",
     "date_spine": """
 SELECT strftime(d, '%Y%m%d') AS rent_dt FROM (
   SELECT unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS d FROM events)""",

@@ -11,13 +11,16 @@ exploded into rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rental_mart.schemas import PAGE_SIZE
 
 GROUP = ("service", "rent_dt")
+PAGE = ("service", "rent_dt", "start_index", "end_index", "body")
+# Pages dealt to a task together when bodies are shuffled: a day of many pages is many keys.
+PAGES_TOGETHER = 64
 RESULT_KEY = "RESULT"  # fixed value: root key of an error / end-of-data response
 
 
@@ -134,31 +137,72 @@ def _read_bound(flags: DataFrame) -> DataFrame:
     )
 
 
-def valid_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
-                page_size: int = PAGE_SIZE) -> DataFrame:
-    """Pages the client would have read, with their parsed envelope. The bound
-    comes from the cheap flag parse; only the pages below it are parsed with the
-    row schema."""
-    flags = _page_flags(_parsed(pages, _ROW_PRESENCE, page_size), mode, page_size)
-    bound = _read_bound(flags)
-    raw = pages.select("service", "rent_dt", "start_index", "end_index", "body",
-                       _page_no(page_size).alias("page_no"))
-    kept = (raw.alias("p").join(bound.alias("b"), _same_group("p", "b"), "inner")
+def _pages_below(pages: DataFrame, bound: DataFrame, *extra: str) -> DataFrame:
+    """``pages`` (with ``page_no``) below their group's bound, with the bound's ``extra`` columns.
+
+    The key is (service, day, range of pages), with a row of the bound for each range:
+    where the join is a shuffle, no task gets a whole day's bodies, and a NULL day (every
+    page of a dimension) is as many keys as a long one. Broadcasting is left to AQE,
+    which knows the bound's measured size."""
+    ranges = bound.where(F.col("read_bound") > 1).select(
+        *GROUP, "read_bound", *extra,
+        F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(read_bound - 2) div {PAGES_TOGETHER}"))).alias("page_range"))
+    p = pages.withColumn("page_range", F.expr(f"(page_no - 1) div {PAGES_TOGETHER}"))
+    return (p.alias("p").join(ranges.alias("b"), _same_group("p", "b") & (F.col("p.page_range") == F.col("b.page_range")))
             .where(F.col("p.page_no") < F.col("b.read_bound"))
-            .select("p.service", "p.rent_dt", "p.start_index", "p.end_index", "p.body"))
-    return _parsed(kept, row_schema, page_size)
+            .select(*[F.col(f"p.{c}") for c in pages.columns], *[F.col(f"b.{c}") for c in extra]))
+
 
+def _collected(flags: DataFrame, bound: DataFrame) -> DataFrame:
+    """Per group with a page that is read: pages read, rows collected, rows announced."""
+    return _pages_below(flags, bound).groupBy(*GROUP).agg(
+        F.count(F.lit(1)).alias("pages_read"),
+        F.sum("n_rows").cast("long").alias("rows_collected"),
+        F.max("list_total_count").alias("list_total_count"),
+    )
 
-def _read_pages(pages: DataFrame, mode: str, page_size: int) -> DataFrame:
-    """Flags of the pages the client reads (page audit)."""
+
+def _announced(flags: DataFrame, bound: DataFrame) -> DataFrame:
+    """The bound with its group's rows collected and announced."""
+    j = bound.alias("b").join(_collected(flags, bound).alias("c"), _same_group("b", "c"), "left")
+    return j.select("b.*", "c.rows_collected", "c.list_total_count")
+
+
+def valid_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
+                page_size: int = PAGE_SIZE, observation: Observation | None = None,
+                refuse_truncated: bool = False) -> DataFrame:
+    """Pages the client would have read, with their parsed envelope. The bound
+    comes from the cheap flag parse; only the pages below it are parsed with the
+    row schema. ``observation`` and ``refuse_truncated``: see ``unpack_pages``."""
     flags = _page_flags(_parsed(pages, _ROW_PRESENCE, page_size), mode, page_size)
     bound = _read_bound(flags)
-    j = flags.alias("p").join(bound.alias("b"), _same_group("p", "b"), "inner")
-    return j.where(F.col("p.page_no") < F.col("b.read_bound")).select("p.*")
+    raw = pages.select(*PAGE, _page_no(page_size).alias("page_no"))
+    if observation is None and not refuse_truncated:
+        return _parsed(_pages_below(raw, bound).select(*PAGE), row_schema, page_size)
+    bound = _announced(flags, bound)
+    short = F.col("rows_collected") < F.col("list_total_count")
+    response = F.concat_ws(" ", F.col("service"), F.col("rent_dt"))
+    if refuse_truncated:
+        refused = F.raise_error(F.concat(
+            F.lit("truncated response: "), response, F.lit(" has "), F.col("rows_collected").cast("string"),
+            F.lit(" of "), F.col("list_total_count").cast("string"), F.lit(" rows"))).cast("boolean")
+        bound = bound.where(F.when(short, refused).otherwise(F.lit(True)))
+    kept = _pages_below(raw, bound, "rows_collected", "list_total_count")
+    if observation is not None:
+        first = F.col("page_no") == 1          # a response that is read at all has its first page read
+        kept = kept.observe(
+            observation,
+            F.count_if(first).alias("responses"),
+            F.count_if(first & short).alias("truncated"),
+            F.coalesce(F.sum(F.when(first, F.col("list_total_count"))), F.lit(0)).alias("rows_announced"),
+            F.coalesce(F.sum(F.when(first, F.col("rows_collected"))), F.lit(0)).alias("rows_collected"),
+            F.min(F.when(short, response)).alias("first_truncated"))
+    return _parsed(kept.select(*PAGE), row_schema, page_size)
 
 
 def unpack_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
-                 page_size: int = PAGE_SIZE, keep_meta: bool = False, day_as: str | None = None) -> DataFrame:
+                 page_size: int = PAGE_SIZE, keep_meta: bool = False, day_as: str | None = None,
+                 observation: Observation | None = None, refuse_truncated: bool = False) -> DataFrame:
     """A1 (mode="fact") / A2 (mode="dim"): rows of the pages the client reads.
 
     fact: a page is read if its body is non-empty, its first root key is not
@@ -169,8 +213,16 @@ def unpack_pages(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
           after a page with fewer than ``page_size`` rows.
     Both stop at the first missing page. With ``keep_meta`` the page key and the
     row's position in its page are kept. ``day_as`` names a column for the day the
-    page was asked for (the rows' own dates may differ)."""
-    v = valid_pages(pages, _as_text(row_schema), mode, page_size)
+    page was asked for (the rows' own dates may differ).
+
+    The landing gate (D7 at load): a response, the pages of one (service, day), is
+    truncated when the pages read hold fewer rows than it announces. ``observation``
+    gets the number of responses and of truncated ones, rows announced and collected, and
+    the first truncated response's name, in the pass that writes the rows.
+    ``refuse_truncated`` makes that pass fail on a truncated response, before anything is
+    published. A response of which no page can be read announces nothing and is neither
+    counted nor refused; ``page_audit`` lists it."""
+    v = valid_pages(pages, _as_text(row_schema), mode, page_size, observation, refuse_truncated)
     # every valid page has rows, so the outer form yields the same rows; unlike the
     # inner form it adds no inferred size(row) > 0 filter, which Catalyst would push
     # below the projection and so evaluate the JSON parse a second time
@@ -210,12 +262,8 @@ def page_audit(pages: DataFrame, row_schema: T.StructType, mode: str = "fact",
     Only page metadata is parsed (``row_schema`` is accepted for symmetry with
     ``unpack_pages`` and not needed)."""
     landed = pages.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("pages_landed"))
-    v = _read_pages(pages, mode, page_size)
-    read = v.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("pages_read"),
-        F.sum("n_rows").alias("rows_collected"),
-        F.max("list_total_count").alias("list_total_count"),
-    )
+    flags = _page_flags(_parsed(pages, _ROW_PRESENCE, page_size), mode, page_size)
+    read = _collected(flags, _read_bound(flags))
     j = landed.alias("l").join(read.alias("r"), _same_group("l", "r"), "left")
     rows = F.coalesce(F.col("r.rows_collected"), F.lit(0)).cast("long")
     return j.select(

@@ -160,3 +160,51 @@ def test_page_landed_twice_fails(spark):
              page("svc", "d", 1001, rows_of(1000, 1000), 2000)]
     with pytest.raises(Exception, match="more than once"):
         pg.unpack_pages_fact(landed(spark, items), schema(spark)).collect()
+
+
+def _two_days(spark):
+    cut = [page("svc", "d2", 1, rows_of(0, 1000), 2500), page("svc", "d2", 1001, rows_of(1000, 1000), 2500)]
+    return landed(spark, [page("svc", "d1", 1, rows_of(0, 3), 3), *cut,
+                          ("svc", "d3", 1, 1000, json.dumps({"RESULT": {"CODE": "INFO-200"}}))])
+
+
+def test_gate_reports_truncated_responses_in_the_write(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    rows = pg.unpack_pages_fact(_two_days(spark), schema(spark), observation=seen)
+    rows.write.parquet(f"{tmp_path}/rows")
+    assert seen.get == {"responses": 2, "truncated": 1, "rows_announced": 2503, "rows_collected": 2003,
+                        "first_truncated": "svc d2"}
+    assert spark.read.parquet(f"{tmp_path}/rows").count() == 2003
+
+
+def test_gate_of_no_pages_reports_zeros(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    assert pg.unpack_pages_fact(landed(spark, []), schema(spark), observation=seen).collect() == []
+    assert seen.get["responses"] == 0 and seen.get["rows_announced"] == 0 and seen.get["first_truncated"] is None
+
+
+def test_gate_refuses_before_anything_is_landed(spark, tmp_path):
+    from rental_mart.sources import lake
+
+    rows = pg.unpack_pages_fact(_two_days(spark), schema(spark), day_as="_day", refuse_truncated=True)
+    with pytest.raises(Exception, match="truncated response: svc d2 has 2000 of 2500 rows"):
+        lake.land_fact(rows, str(tmp_path), "svc", date_col="_day", keep_day=False)
+    assert not [f for f in tmp_path.rglob("*.parquet") if "_temporary" not in str(f) and ".spark-staging" not in str(f)]
+    whole = _two_days(spark).where("rent_dt <> 'd2'")
+    assert ids(pg.unpack_pages_fact(whole, schema(spark), refuse_truncated=True)) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("mode", ["fact", "dim"])
+def test_many_pages_of_one_day_are_read_range_by_range(spark, mode):
+    n = 2 * pg.PAGES_TOGETHER + 3
+    day = "d" if mode == "fact" else None
+    items = [("svc", day, 1 + 2 * k, 2 + 2 * k, json.dumps({"svc": {"list_total_count": 2 * n, "row": rows_of(2 * k, 2)}}))
+             for k in range(n)]
+    for stop in (n, pg.PAGES_TOGETHER + 1, pg.PAGES_TOGETHER, 1):
+        cut = items[:stop] + items[stop + 1:]
+        out = pg.unpack_pages(landed(spark, cut), schema(spark), mode, page_size=2)
+        assert ids(out) == list(range(2 * stop))

@@ -143,3 +143,18 @@ def test_station_load_reads_the_source_once(spark, tmp_path):
     assert sum("FileScan" in x and "stationname" in x for x in run) == 1
     assert sum("ReusedExchange" in x for x in run) >= 2
     assert not any("NestedLoopJoin" in x or "CartesianProduct" in x for x in run)
+
+
+def test_bodies_are_never_dealt_by_day_alone(spark):
+    """Without broadcasts, pages with their bodies go by (service, day, range of pages)."""
+    from rental_mart.schemas import LANDED_PAGE
+    from rental_mart.sources import pages as pg
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(pg.unpack_pages_fact(spark.createDataFrame([("s", "d", 1, 1000, "x")], LANDED_PAGE), FACT_API_ROW), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\n]*)\]\nArguments: ([^\n]*)", p)
+    with_body = [keys for columns, keys in exchanges if "body#" in columns]
+    assert with_body and all("page_range" in keys for keys in with_body)
