@@ -3,6 +3,7 @@ rows, empty tables and extra columns with clashing names."""
 
 import collections
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -209,12 +210,56 @@ def test_toxicity_of_long_texts(spark):
     for lang in ("en", "de", "fr", "es"):
         clean = [w for r in held if r["lang"] == lang and not r["toxic"] for w in r["text"].split()]
         rows += [(f"{lang} clean", " ".join(clean[:n])) for n in (1000, 5000, 20000)]
-    toxic = " ".join(r["text"] for r in held if r["lang"] == "en" and r["toxic"]).split()
-    rows += [("toxic", " ".join(toxic[:n])) for n in (1000, 5000, 20000)]
+    for lang in ("en", "de", "fr", "es"):
+        toxic = [w for r in held if r["lang"] == lang and r["toxic"] for w in r["text"].split()]
+        while len(toxic) < 20000:
+            toxic = toxic + toxic
+        rows += [("toxic", " ".join(toxic[:n])) for n in (1000, 2000, 5000, 20000)]
     got = toxicity.grade(spark.createDataFrame(rows, "doc_id string, text string"), model).collect()
     assert [r for r in got if r["toxic"] != (r["doc_id"] == "toxic")] == []
 
 
+def test_toxicity_mean_odds():
+    """A text's score by plain Python: the parts' mean odds, at least the highest part less log(parts)."""
+    parts = [[0.0], [3.0, 3.0, 3.0], [800.0, 0.0], [0.0] * 50 + [9.0]]
+    first = np.cumsum([0, *map(len, parts)])
+    got = toxicity._mean_odds(np.array(sum(parts, [])), first)
+    for p, g in zip(parts, got):
+        assert g == pytest.approx(max(p) + math.log(sum(math.exp(x - max(p)) for x in p) / len(p)))
+        assert g >= max(p) - math.log(len(p)) - 1e-12
+    assert list(toxicity._mean_odds(np.zeros(0), np.array([0]))) == []
+
+
+def test_toxicity_fit_by_brute_force():
+    """The penalised likelihood in plain Python: no step from the fitted weights and thresholds that
+    keeps weights at 0 or above betters it, and the fit beats a grid of others."""
+    texts = [([], 0), ([0], 0), ([2], 0), ([0, 2], 0), ([0], 1), ([0, 1], 1), ([0, 1], 2), ([1], 2), ([1], 3), ([0, 1], 3), ([2], 0), ([1, 2], 3)]
+    less = np.log([1, 1, 2, 1, 1, 1, 3, 1, 1, 1, 1, 1])
+    grade = np.array([g for _, g in texts])
+    weight, cuts = toxicity._fit([np.array(f, np.int64) for f, _ in texts], grade, 3, less)
+
+    def loss(w, c):
+        def below(k, x):
+            return 0.0 if k < 0 else 1.0 if k >= len(c) else 1 / (1 + math.exp(x - c[k]))
+        scores = [sum(w[i] for i in f) - m for (f, _), m in zip(texts, less)]
+        return (-sum(math.log(max(below(g, x) - below(g - 1, x), 1e-12)) for (_, g), x in zip(texts, scores))
+                + toxicity.PENALTY * sum(v * v for v in w) / 2)
+
+    best = loss(weight, cuts)
+    assert (weight >= 0).all() and list(cuts) == sorted(cuts) and weight[2] == 0
+    for i in range(3):
+        for step in (-0.1, 0.1):
+            w = weight.copy()
+            w[i] = max(w[i] + step, 0)
+            assert loss(w, cuts) >= best - 1e-3
+            c = cuts.copy()
+            c[i] += step
+            assert loss(weight, c) >= best - 1e-3
+    for w in itertools.product((0.0, 0.5, 1.5, 3.0), repeat=3):
+        for c in itertools.combinations((-2.0, -1.0, 0.0, 0.5, 1.0, 2.0, 3.0), 3):
+            assert loss(w, c) >= best - 1e-3
+
+
 def test_toxicity_parts():
     texts = ["", None, "a " * 199, "b " * 399, "c " * 400, "d " * 1001]
     number, of, first = toxicity._features(pa.array(texts, pa.string()))
