@@ -22,10 +22,14 @@ OUT = "node bigint, other bigint, links bigint"
 def blocked(members: DataFrame, bucket: str, node: str, counted: DataFrame) -> DataFrame:
     """Adds the block pair (``lo``, ``hi``) of every task that a member takes part in and its own
     ``block``. ``counted`` has (bucket, blocks) for the buckets of more than one block."""
-    with_blocks = members.join(counted.select(bucket, "blocks"), bucket, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    return dealt(members.join(counted.select(bucket, "blocks"), bucket, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))), node)
+
+
+def dealt(with_blocks: DataFrame, node: str) -> DataFrame:
+    """The same for members that know their bucket's number of ``blocks``."""
     own = with_blocks.withColumn("block", F.pmod(F.xxhash64(F.lit(7), node), F.col("blocks")).cast("int"))
-    dealt = own.withColumn("_with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
-    return dealt.withColumn("lo", F.least("block", "_with")).withColumn("hi", F.greatest("block", "_with")).drop("_with", "blocks")
+    tasks = own.withColumn("_with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+    return tasks.withColumn("lo", F.least("block", "_with")).withColumn("hi", F.greatest("block", "_with")).drop("_with", "blocks")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:

@@ -164,11 +164,12 @@ def near_vectors(
     rows = rows.withColumn("node", F.when(sound, F.xxhash64(F.transform("embedding", lambda x: x + F.lit(0.0)))))
     classes = rows.filter("node is not null").groupBy("node").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     units = stash(_units(classes.select("node", "copies", "embedding"), tables, probes, scale))
-    places = F.posexplode("cells").alias("place", "cell")
-    counted = units.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > block).select("cell", F.ceil(F.col("n") / block).alias("blocks"))
     # A cell may be met as home and as probe of one vector only in different tables, never in one.
-    members = units.select("node", "copies", "unit", "codes", places).withColumn("at_home", F.col("place") % (1 + probes) == 0).drop("place")
-    found = stash(blocks.compare(blocks.blocked(members, "cell", "node", counted), "cell", _links(tables, probes, cosine)))
+    places = units.select("node", F.posexplode("cells").alias("place", "cell")).select("cell", "node", (F.col("place") % (1 + probes) == 0).alias("at_home"))
+    # Only cells where two vectors meet, one of them at home, have pairs; vectors travel to no others.
+    met = stash(places.groupBy("cell").agg(F.count("*").alias("n"), F.max("at_home").alias("home")).filter("home and n > 1").select("cell", F.ceil(F.col("n") / block).alias("blocks")))
+    members = blocks.dealt(places.join(met, "cell"), "node").join(units.select("node", "copies", "unit", "codes"), "node")
+    found = stash(blocks.compare(members, "cell", _links(tables, probes, cosine)))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     group = components(found.filter("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")))
     reach = classes.select("node", "least", "copies").join(links, "node", "left").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
