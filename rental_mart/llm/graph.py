@@ -41,30 +41,42 @@ def stash(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _starred(edges: DataFrame, large: bool) -> DataFrame:
-    """Links neighbours of each node to the smallest of them: the larger ones, or the others."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+#: Nodes of more neighbours than this are hubs, where HUBS leaves it at that.
+NEAR = 100
+#: There are at most so many hubs, 16 bytes each, so they can be broadcast.
+HUBS = 100_000
+
+
+def _starred(edges: DataFrame, large: bool, most: int) -> DataFrame:
+    """Links neighbours of each node to the smallest of them: the larger ones, or the others.
+
+    The smallest neighbour of a hub, a node of more than ``most`` neighbours, is broadcast, and its
+    links are dealt by their other end, so that no task gets all of them.
+    """
     if large:
-        near = both
+        near = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    low = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    low = near.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+    hubs = low.filter(F.col("n") > most).select("a", F.col("m").alias("of_hub"))
+    # A hub's links may meet any node by that hash; what they find there is not looked at.
+    dealt = near.join(F.broadcast(hubs), "a", "left").withColumn("key", F.when(F.col("of_hub").isNull(), F.col("a")).otherwise(F.xxhash64("b")))
+    told = dealt.join(low.select(F.col("a").alias("key"), "m"), "key", "left").withColumn("m", F.coalesce("of_hub", "m"))
     if large:
-        out = near.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        out = told.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        out = near.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            low.select("a", F.col("m").alias("b"))
-        )
+        out = told.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
     return out.filter("a <> b").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, near: int = NEAR) -> DataFrame:
     """(a, b) links -> (node, component), the component being its smallest node.
 
     Nodes without a link do not appear. Each round contracts stars towards the smallest neighbour
     (large star, then small star), so the number of rounds grows with the logarithm of a
     component's width. No node's links are gathered in one row, and nothing goes to the driver but
-    a count and a checksum a round.
+    a count and a checksum a round, and the hubs to be broadcast (nodes of more than ``near`` links;
+    at most HUBS of them, as more links are asked for where there are more links).
     """
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -72,7 +84,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = mark(now)
     while seen[0]:
-        now = cut(_starred(_starred(now, True), False))
+        most = max(near, -(-2 * seen[0] // HUBS))
+        now = cut(_starred(_starred(now, True, most), False, most))
         if (then := mark(now)) == seen:
             break
         seen = then
