@@ -161,26 +161,30 @@ ORDERS_SERVICE = "orders"
 PAGES_DAY = "20240101"
 
 
-def positions(spark: SparkSession, df: DataFrame, order_cols: str | list[str],
-              n_ranges: int | None = None) -> DataFrame:
-    """Adds ``pos``: 1-based rank of each row by ``order_cols`` (unique).
-
-    A distributed row numbering: range-partition by the columns, checkpoint so
-    partition ids are pinned, count rows per range (one row per range, so the
-    offset table is bounded by the number of ranges and safe to broadcast), then
-    number rows inside each range. No step holds more than one range."""
+def day_positions(spark: SparkSession, df: DataFrame, day: str, order: str,
+                  n_ranges: int | None = None) -> DataFrame:
+    """Adds ``pos``, the 1-based rank of each row by ``order`` (unique) within its ``day``
+    (NULL is a day of its own), and ``day_rows``, the number of rows of that day.
+
+    A distributed row numbering: range-partition by (day, order), checkpoint so
+    partition ids are pinned, count rows per (day, range), then number the rows of
+    each (day, range) and add the day's rows in earlier ranges. The counts are joined
+    by (day, range) as well: a day of any length is as many keys as it spans ranges,
+    so no step holds more than one range."""
     ensure_checkpoint_dir(spark)
-    order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
+    ranged = df.repartitionByRange(n, day, order).select(
+        "*", F.spark_partition_id().alias("_range"),
+        F.coalesce(F.concat(F.lit("d"), F.col(day)), F.lit("")).alias("_part"))   # a join key that is never NULL
     ranged = ranged.checkpoint(eager=True)
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_range").orderBy(*order)
-    return (ranged.join(F.broadcast(offsets), "_range")
-            .withColumn("pos", F.col("_offset") + F.row_number().over(within))
-            .drop("_range", "_offset"))
+    of_day = Window.partitionBy("_part")
+    before = of_day.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_part", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_part", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+                           F.sum("_n").over(of_day).alias("day_rows"))
+    rank = F.row_number().over(Window.partitionBy("_part", "_range").orderBy(order))
+    return (ranged.withColumn("_rank", rank).join(offsets, ["_part", "_range"])
+            .select(*df.columns, (F.col("_offset") + F.col("_rank")).alias("pos"), "day_rows"))
 
 
 def pack_pages(spark: SparkSession, rows: DataFrame, order_col, service: str,
@@ -191,24 +195,18 @@ def pack_pages(spark: SparkSession, rows: DataFrame, order_col, service: str,
 
     ``order_col`` is a column name or expression (unique within a day); ``day``
     is a column (or text) giving the request date, None for a dimension.
-    Numbering is global (``positions``) and made per day by subtracting the day's
-    first position (one row per day, joined back), so no day is numbered inside a
-    single task."""
+    Rows are numbered by ranges of each day (``day_positions``), so no day is
+    numbered, joined or counted inside a single task."""
     cols = rows.columns
     order = F.col(order_col) if isinstance(order_col, str) else order_col
     day_col = F.lit(None).cast("string") if day is None else (
         F.lit(day) if isinstance(day, str) else day).cast("string")
     keyed = rows.select(F.lit(service).alias("_svc"), day_col.alias("_day"), *cols, order.alias("_order"))
-    numbered = positions(spark, keyed, ["_day", "_order"])
-    firsts = numbered.groupBy("_svc", "_day").agg(
-        F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_total"))
-    same = (F.col("n._svc").eqNullSafe(F.col("f._svc")) & F.col("n._day").eqNullSafe(F.col("f._day")))
-    local = numbered.alias("n").join(firsts.alias("f"), same).select(
-        "n.*", (F.col("n.pos") - F.col("f._first") + 1).alias("_local"), F.col("f._total").alias("_total"))
-    paged = local.withColumn("page_no", F.floor((F.col("_local") - 1) / page_size) + 1)
+    numbered = day_positions(spark, keyed, "_day", "_order")
+    paged = numbered.withColumn("page_no", F.floor((F.col("pos") - 1) / page_size) + 1)
     grouped = paged.groupBy("_svc", "_day", "page_no").agg(
-        F.max("_total").alias("_total"),
-        F.sort_array(F.collect_list(F.struct(F.col("_local"), F.struct(*cols).alias("r")))).alias("items"))
+        F.max("day_rows").alias("_total"),
+        F.sort_array(F.collect_list(F.struct(F.col("pos"), F.struct(*cols).alias("r")))).alias("items"))
     body = F.to_json(F.create_map(F.col("_svc"), F.struct(
         F.col("_total").cast("long").alias("list_total_count"),
         F.transform("items", lambda x: x["r"]).alias("row"))))

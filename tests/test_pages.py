@@ -208,3 +208,18 @@ def test_many_pages_of_one_day_are_read_range_by_range(spark, mode):
         cut = items[:stop] + items[stop + 1:]
         out = pg.unpack_pages(landed(spark, cut), schema(spark), mode, page_size=2)
         assert ids(out) == list(range(2 * stop))
+
+
+def test_pages_are_numbered_by_day_over_ranges(spark):
+    days = [("a", 2500), ("b", 1), (None, 1300), ("c", 1000)]
+    rows = spark.createDataFrame([(d, f"{d}{i:05d}") for d, n in days for i in range(n)], "day string, id string").repartition(5)
+    numbered = dv.day_positions(spark, rows, "day", "id", n_ranges=7).collect()
+    assert sorted((str(r.day), r.pos, r.id, r.day_rows) for r in numbered) == \
+        sorted((str(d), i + 1, f"{d}{i:05d}", n) for d, n in days for i in range(n))
+    got = dv.pack_pages(spark, rows, "id", "svc", rows["day"]).collect()
+    pages = {(p.rent_dt, p.start_index, p.end_index): json.loads(p.body)["svc"] for p in got}
+    assert sorted(pages, key=str) == sorted(((d, s, s + 999) for d, n in days for s in range(1, n + 1, 1000)), key=str)
+    for (d, start, end), body in pages.items():
+        n = dict(days)[d]
+        assert body["list_total_count"] == n
+        assert [r["id"] for r in body["row"]] == [f"{d}{i:05d}" for i in range(start - 1, min(end, n))]

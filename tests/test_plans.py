@@ -158,3 +158,16 @@ def test_bodies_are_never_dealt_by_day_alone(spark):
     exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\n]*)\]\nArguments: ([^\n]*)", p)
     with_body = [keys for columns, keys in exchanges if "body#" in columns]
     assert with_body and all("page_range" in keys for keys in with_body)
+
+
+def test_packed_rows_are_never_dealt_by_day_alone(spark):
+    """Without broadcasts, the rows put into pages go by (day, range) and then by page."""
+    rows = spark.range(10).selectExpr("id", "'d' AS day")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(dv.pack_pages(spark, rows, "id", "svc", F.col("day")), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\n]*)\]\nArguments: ([^\n]*)", p)
+    with_rows = [keys for columns, keys in exchanges if "_order#" in columns or "id#" in columns or "buf#" in columns]
+    assert len(with_rows) == 2 and all("_range#" in keys or "page_no#" in keys for keys in with_rows)
