@@ -10,6 +10,8 @@ the measures of their text back over a join by the text's name (two 64-bit hashe
 Inside a task a text is cut before every single space that stands between a character other than a
 space and one that is not white space. No token of A or B reaches over such a place, so segments are
 aligned on their own, once for each distinct one in a slice of texts, and a bounded cache keeps them.
+For the same reason many segments are tokenised as one string; where such a string's tokens don't
+join to its own bytes, its segments are tokenised one by one.
 
 Null and empty texts, and texts whose tokens of A or B don't join to the text's own bytes, have no
 tokens: zeros and an empty string. Each input row counts as a document of its own, also where an id
@@ -32,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rental_mart.llm.graph import stash
-from rental_mart.llm.words import slices
+from rental_mart.llm.words import slices, text_bytes
 from rental_mart.llm.worker import keeps, task
 
 #: Segments in one of the cache's two generations; some 500 bytes each.
 CACHED_SEGMENTS = 100_000
+#: Segments tokenised as one string.
+TOGETHER = 64
 #: Pair counts that one broadcast holds, 16 bytes each; each further slice is one more pass over the
 #: pair lists (not over the texts).
 SLICE_PAIRS = 4_000_000
@@ -46,8 +50,21 @@ _TEXTS = (
     "groups_sha256 string, pairs array<bigint>, times array<int>"
 )
 _SCORED = "k1 bigint, k2 bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, n_best bigint, count_sum bigint"
-_CUT = re.compile(r"(?<=[^ ]) (?=\S)")
+_ROWS = pa.schema([*((c, pa.int64()) for c in MEASURES), ("groups", pa.large_string()), ("pairs", pa.list_(pa.int64())), ("lost", pa.bool_())])
 _SPACE = "▁"
+_WHITE = [c.encode() for c in map(chr, range(0x3001)) if c.isspace()]  # there is none beyond
+_NARROW = np.isin(np.arange(256), [w[0] for w in _WHITE if len(w) == 1])
+_WIDE = [int.from_bytes(w) for w in _WHITE if len(w) > 1]
+
+
+def _white(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether white space begins at each place ``at``."""
+    white = _NARROW[data[at]]
+    wide = np.flatnonzero(data[at] >= 0xC2)
+    first, second, third = (np.take(data, at[wide] + i, mode="clip").astype(np.int64) for i in range(3))
+    two = first << 8 | second
+    white[wide] = np.isin(two, _WIDE) | np.isin(two << 8 | third, _WIDE)
+    return white
 
 
 def _plain_bytes() -> dict[str, int]:
@@ -57,6 +74,12 @@ def _plain_bytes() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+def _lost(n: int) -> pa.RecordBatch:
+    """Rows of segments of which a vocabulary doesn't give the own bytes."""
+    zeros = [np.zeros(n, np.int64)] * len(MEASURES)
+    return pa.record_batch([*map(pa.array, zeros), pa.array([""] * n, pa.large_string()), pa.array([[]] * n, pa.list_(pa.int64())), pa.array([True] * n, pa.bool_())], schema=_ROWS)
+
+
 class Aligner:
     """Both vocabularies, and the segments seen last."""
 
@@ -84,45 +107,81 @@ class Aligner:
         #: Cutting at single spaces is exact only where no piece of B holds one behind another character.
         self.cuts = spec["pre_tokenizer"].get("use_regex", True) and not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in pieces)
         na, nb = len(self.a_bytes), len(pieces)
-        self.mark = [f"{i}," for i in range(na)] + [f"{i}|" for i in range(na)] + [f"{i}," for i in range(nb)] + [f"{i};" for i in range(nb)]
-        self.known: dict[str, tuple | None] = {}
-        self.older: dict[str, tuple | None] = {}
-
-    def cut(self, text: str) -> list[str]:
-        return _CUT.split(text) if self.cuts else [text]
-
-    def _encode(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in segments], add_special_tokens=False)]
-        return a, self.b.encode(segments, num_threads=1)
-
-    def align(self, segments: list[str]) -> list[tuple]:
-        """(n_a, n_b, n_groups, n_links, groups, pairs as bytes) of each segment; None where a
-        vocabulary doesn't give the segment's own bytes."""
-        a, b = self._encode(segments)
-        own = [f" {s}".encode() for s in segments]
-        out: list = [None] * len(segments)
+        mark = [f"{i}," for i in range(na)] + [f"{i}|" for i in range(na)] + [f"{i}," for i in range(nb)] + [f"{i};" for i in range(nb)]
+        self.mark = pa.array(mark, pa.large_string())
+        #: Row of each segment, and the rows, of the younger and the older generation.
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self.rows = self.older_rows = _lost(0)
+
+    def segments(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The segments of all texts, each with the space before it, and the number of each text's
+        first one, one more than texts."""
+        raw = [f" {t}".encode() for t in texts]
+        first = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        data = np.frombuffer(b"".join(raw) + b" ", np.uint8)
+        starts = np.zeros(len(data), bool)
+        if self.cuts:
+            at = np.flatnonzero((data[1:-1] == 0x20) & (data[:-2] != 0x20)) + 1
+            starts[at[~_white(data, at + 1)]] = True
+        starts[first] = True
+        at = np.flatnonzero(starts)
+        offsets = pa.py_buffer(at.astype(np.int32))
+        return pa.StringArray.from_buffers(len(at) - 1, offsets, pa.py_buffer(data)), np.searchsorted(at, first)
+
+    def align(self, segments: pa.Array, together: int = TOGETHER) -> pa.RecordBatch:
+        """Measures, groups (each with its end) and linked pairs of each segment, and whether it is
+        lost: a vocabulary doesn't give its own bytes."""
+        data, at = text_bytes(segments)
+        # Joined are segments that are cut apart again wherever they meet.
+        plain = np.full(len(segments), self.cuts)
+        long = np.flatnonzero(np.diff(at) > 1)
+        plain &= np.isin(np.arange(len(segments)), long[(data[at[long + 1] - 1] != 0x20) & ~_white(data, at[long] + 1)])
+        order = np.argsort(~plain, kind="stable")
+        data, at = text_bytes(segments.take(pa.array(order)))
+        bounds = np.concatenate([np.arange(0, plain.sum(), together), np.arange(plain.sum(), len(order) + 1)])
+        raw, ends, held = data.tobytes(), at[bounds].tolist(), np.diff(bounds)
+        own = [raw[lo:hi] for lo, hi in zip(ends, ends[1:])]
+        strings = [x.decode() for x in own]
+        a = [e.ids for e in self.a.encode_batch_fast(strings, add_special_tokens=False)] if own else []
+        b = self.b.encode([s[1:] for s in strings], num_threads=1) if own else []
         good = self._fitting(own, a, b)
-        if not good:
-            return out
-        ids_a = np.fromiter(chain.from_iterable(map(a.__getitem__, good)), np.int64)
-        ids_b = np.fromiter(chain.from_iterable(map(b.__getitem__, good)), np.int64)
+        fits = np.zeros(len(own), bool)
+        fits[good] = True
+        kept = np.repeat(fits, held)
+        again = np.flatnonzero(~kept & np.repeat(held > 1, held))
+        lost = np.flatnonzero(~kept & np.repeat(held == 1, held))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(map(ids.__getitem__, good)), np.int64) for ids in (a, b))
+        rows = [self._measured(ids_a, ids_b, np.diff(at)[kept]), _lost(len(lost))]
+        if len(again):
+            rows.append(self.align(segments.take(pa.array(order[again])), 1))
+        place = order[np.concatenate([np.flatnonzero(kept), lost, again])]
+        return pa.concat_batches(rows).take(pa.array(np.argsort(place)))
+
+    def _measured(self, ids_a: np.ndarray, ids_b: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+        """Rows of segments of ``size`` bytes from the tokens of all of them."""
+        if not len(size):
+            return _lost(0)
+        stop = np.concatenate([[0], np.cumsum(size)])  # of each segment, in bytes of all of them
         end_a, end_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
-        stop = np.cumsum([len(own[i]) for i in good])  # of each segment, in bytes of all of them
-        every = np.union1d(end_a, end_b)  # a link ends wherever a token ends
-        pairs = ids_a[np.searchsorted(end_a, every)] << 32 | ids_b[np.searchsorted(end_b, every)]
-        common = np.intersect1d(end_a, end_b, assume_unique=True)
-        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+        is_a, is_b = np.zeros((2, stop[-1] + 1), bool)
+        is_a[end_a] = is_b[end_b] = True
+        both = is_a & is_b
+        every, common = np.flatnonzero(is_a | is_b), np.flatnonzero(both)  # a link ends wherever a token ends
+        upto_a, upto_b, upto_groups, upto_links = (np.cumsum(x) for x in (is_a, is_b, both, is_a | is_b))
+        pairs = ids_a[upto_a[every - 1]] << 32 | ids_b[upto_b[every - 1]]
+        # A group's tokens of A stand before its tokens of B.
         n_a, n_b = len(self.a_bytes), len(self.b_bytes)
-        marks = np.concatenate([ids_a + n_a * (common[group_a] == end_a), ids_b + 2 * n_a + n_b * (common[group_b] == end_b)])
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        told = list(map(self.mark.__getitem__, marks[order].tolist()))
-        raw = pairs.tobytes()
-        at_a, at_b, at_groups, at_links = (np.searchsorted(ends, np.concatenate([[0], stop]), "right") for ends in (end_a, end_b, common, every))
-        counts = (np.diff(x).tolist() for x in (at_a, at_b, at_groups, at_links))
-        mark, link = (at_a + at_b).tolist(), (8 * at_links).tolist()
-        for i, na, nb, ng, nl, m0, m1, l0, l1 in zip(good, *counts, mark, mark[1:], link, link[1:]):
-            out[i] = (na, nb, ng, nl, "".join(told[m0:m1])[:-1], raw[l0:l1])
-        return out
+        marks = np.empty(len(ids_a) + len(ids_b), np.int64)
+        before = np.concatenate([[0], common])[upto_groups[end_a - 1]]
+        marks[np.arange(len(ids_a)) + upto_b[before]] = ids_a + n_a * both[end_a]
+        marks[np.arange(len(ids_b)) + upto_a[common[upto_groups[end_b - 1]]]] = ids_b + 2 * n_a + n_b * both[end_b]
+        told = self.mark.take(pa.array(marks))
+        at = np.frombuffer(told.buffers()[1], np.int64)[upto_a[stop] + upto_b[stop]]
+        groups = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(at), told.buffers()[2])
+        lists = pa.ListArray.from_arrays(pa.array(upto_links[stop], pa.int32()), pa.array(pairs))
+        counts = (pa.array(np.diff(upto[stop])) for upto in (upto_a, upto_b, upto_groups, upto_links))
+        return pa.record_batch([*counts, groups, lists, pa.array(np.zeros(len(size), bool))], schema=_ROWS)
 
     def _fitting(self, own: list[bytes], a: list[list[int]], b: list[list[int]]) -> list[int]:
         """Numbers of the segments whose tokens of A and of B join to the segment's own bytes."""
@@ -138,56 +197,54 @@ class Aligner:
         join = lambda ids, strings: b"".join(map(strings.__getitem__, ids))
         return [i for i, x in enumerate(own) if join(a[i], self.a_bytes) == x and join(b[i], self.b_bytes) == x]
 
-    def lookup(self, segments: dict[str, int]) -> list[tuple | None]:
-        """What is known of each segment; the cache keeps two generations, and what is met again in
-        the older one moves to the younger."""
+    def lookup(self, segments: pa.Array) -> pa.RecordBatch:
+        """The row of each segment; the cache keeps two generations, and what is met again in the
+        older one moves to the younger."""
         if len(self.known) > CACHED_SEGMENTS:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        new = []
-        for s in segments:
-            if s not in known:
-                if s in older:
-                    known[s] = older[s]
-                else:
-                    new.append(s)
-        if new:
-            known.update(zip(new, self.align(new)))
-        return list(map(known.__getitem__, segments))
+            self.older, self.older_rows = self.known, self.rows
+            self.known, self.rows = {}, _lost(0)
+        known, names = self.known, segments.to_pylist()
+        new = np.array([i for i, s in enumerate(names) if s not in known], np.int64)
+        if len(new):
+            was = np.array([self.older.get(names[i], -1) for i in new.tolist()], np.int64)
+            fresh = new[was < 0]
+            added = [names[i] for i in np.concatenate([new[was >= 0], fresh]).tolist()]
+            known.update(zip(added, range(self.rows.num_rows, self.rows.num_rows + len(added))))
+            self.rows = pa.concat_batches([self.rows, self.older_rows.take(pa.array(was[was >= 0])), self.align(segments.take(pa.array(fresh)))])
+        return self.rows.take(pa.array(map(known.__getitem__, names), pa.int64()))
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Measures (a row for each text), digests, and the distinct pairs of each text with how
         often they are linked in it: offsets, pairs, times."""
-        cut = [self.cut(t) for t in texts]
-        code = {s: i for i, s in enumerate(dict.fromkeys(s for c in cut for s in c))}
-        found = self.lookup(code)
-        bad = np.array([f is None for f in found])
-        empty = (0, 0, 0, 0, "", b"")
-        found = [f or empty for f in found]
-        numbers = np.array([f[:4] for f in found], np.int64).reshape(-1, 4)
-        raw = [f[5] for f in found]
-        pair_at = np.concatenate([[0], np.cumsum([len(r) // 8 for r in raw])])
-        pairs = np.frombuffer(b"".join(raw), np.int64)
-        codes = np.array([code[s] for c in cut for s in c], np.int64)
-        at = np.concatenate([[0], np.cumsum([len(c) for c in cut])])
+        segments, at = self.segments(texts)
+        coded = segments.dictionary_encode()
+        codes, found = np.asarray(coded.indices).astype(np.int64), self.lookup(coded.dictionary)
+        bad = found.column("lost").to_numpy(zero_copy_only=False)
+        numbers = np.stack([np.asarray(found.column(c)) for c in MEASURES], axis=1)
+        pair_at, pairs = np.asarray(found.column("pairs").offsets, np.int64), np.asarray(found.column("pairs").values)
         which = np.repeat(np.arange(len(texts)), np.diff(at))
         lost = np.bincount(which, bad[codes], len(texts)) > 0
         sums = np.zeros((len(codes) + 1, 4), np.int64)
         np.cumsum(numbers[codes], axis=0, out=sums[1:])
         sums = sums[at[1:]] - sums[at[:-1]]
         sums[lost] = 0
-        told = list(map([f[4] for f in found].__getitem__, codes.tolist()))
-        digests = ["" if gone else hashlib.sha256(";".join(told[lo:hi]).encode()).hexdigest() for lo, hi, gone in zip(at[:-1].tolist(), at[1:].tolist(), lost.tolist())]
+        told = found.column("groups").take(coded.indices)
+        ends = np.frombuffer(told.buffers()[1], np.int64)[at].tolist()
+        told = memoryview(told.buffers()[2] or b"")
+        digests = ["" if gone else hashlib.sha256(told[lo : hi - 1]).hexdigest() for lo, hi, gone in zip(ends, ends[1:], lost.tolist())]
         # Each distinct segment of a text once, then each of its pairs.
-        held, often = np.unique(which[~lost[which]] * len(code) + codes[~lost[which]], return_counts=True)
-        which, codes = held // max(1, len(code)), held % max(1, len(code))
+        held, often = np.unique(which[~lost[which]] * len(bad) + codes[~lost[which]], return_counts=True)
+        which, codes = held // max(1, len(bad)), held % max(1, len(bad))
         size = np.diff(pair_at)[codes]
         first = np.concatenate([[0], np.cumsum(size)])
         take = np.arange(first[-1]) + np.repeat(pair_at[codes] - first[:-1], size)
-        mine, times = pairs[take], np.repeat(often, size)
-        rank, index = np.unique(mine, return_inverse=True)
-        keys, index = np.unique(np.repeat(which, size) * max(1, len(rank)) + index, return_inverse=True)
-        times = np.bincount(index, times, len(keys)).astype(np.int32)
+        rank, index = np.unique(pairs, return_inverse=True)
+        keys = np.repeat(which, size) * max(1, len(rank)) + index[take]
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.flatnonzero(np.diff(keys, prepend=-1))
+        times = np.add.reduceat(np.repeat(often, size)[order], new).astype(np.int32) if len(new) else np.zeros(0, np.int32)
+        keys = keys[new]
         offsets = np.searchsorted(keys // max(1, len(rank)), np.arange(len(texts) + 1))
         return sums, digests, offsets, rank[keys % max(1, len(rank))] if len(keys) else np.zeros(0, np.int64), times
 

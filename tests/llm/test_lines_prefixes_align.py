@@ -226,3 +226,28 @@ def test_alignment_with_a_small_cache(vocabularies, monkeypatch):
             assert (*sums[k].tolist(), digests[k]) == want[:5]
             assert dict(zip(pairs[mine].tolist(), times[mine].tolist())) == {a << 32 | b: n for (a, b), n in want[5].items()}
     assert len(aligner.known) + len(aligner.older) < 2000
+
+
+def test_segments_are_tokenised_together(vocabularies):
+    """New segments go to the tokenizers as few strings; those beside a segment whose bytes get lost stay whole."""
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.strings = inner, 0
+
+        def encode_batch_fast(self, strings, **kw):
+            self.strings += len(strings)
+            return self.inner.encode_batch_fast(strings, **kw)
+
+    aligner = align.Aligner(*(open(f, "rb").read() for f in files()))
+    aligner.a = counting = Counting(aligner.a)
+    lost = next(c for c in "ﬁ▁\x00é①" if aligned_by_hand(f"x{c}y", vocabularies)[0] == 0)
+    texts = [" ".join(f"word{i}é" for i in range(1000)), " ".join(f"other{i}" + "　 \xa0x" * (i % 9 == 0) for i in range(50)),
+             "so " + lost + " it", "is it", "  in  d \x1c e ", "\x85 a"]
+    for k in range(0, len(texts), 2):
+        sums, digests, offsets, pairs, times = aligner.texts(texts[k : k + 2])
+        for i, text in enumerate(texts[k : k + 2]):
+            want = aligned_by_hand(text, vocabularies)
+            mine = slice(offsets[i], offsets[i + 1])
+            assert (*sums[i].tolist(), digests[i]) == want[:5]
+            assert dict(zip(pairs[mine].tolist(), times[mine].tolist())) == {a << 32 | b: n for (a, b), n in want[5].items()}
+    assert counting.strings < 100
