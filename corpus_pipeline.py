@@ -58,10 +58,14 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and whether they decode to text at all (empty texts give none)."""
+    """Token ids of every text, and whether they decode to text at all (empty texts give none).
+
+    The ids are written in between, as rows are between stages: a task that encodes and decodes has
+    a worker process for each, and a session keeps as many workers as its widest task has had.
+    """
     ship(spark)
     path = vocabulary_path()
-    ids = bpe.encode(docs, path, keep=("doc_id", "lang", "source"))
+    ids = stash(bpe.encode(docs, path, keep=("doc_id", "lang", "source")))
     both = ids.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("tokens", F.col("ids"))
     return bpe.decode(both, path).select(
         "doc_id", "lang", "source", "n_tokens", F.col("tokens").alias("ids"), F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -4,7 +4,7 @@ import collections
 import hashlib
 
 import corpus_pipeline
-from rental_mart.llm import jaccard, secrets, toxicity
+from rental_mart.llm import bpe, jaccard, secrets, toxicity
 from rental_mart.llm.queries import vocabulary_path
 from rental_mart.llm.tables import table
 
@@ -72,6 +72,16 @@ def test_run(spark):
     assert rows and all(r["n_tokens"] == len(r["ids"]) for r in rows)
 
 
+def test_one_worker_a_task_in_bpe(spark):
+    docs = table(spark, SF, "documents").limit(3)
+    encoded = corpus_pipeline.encode(spark, docs, SF)
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # two in one task are two worker processes for each core
+    ids = "concat_ws(' ', ids)"
+    both = {(r["doc_id"], r["i"]) for r in bpe.encode(docs, vocabulary_path()).selectExpr("doc_id", f"{ids} i").collect()}
+    assert {(r["doc_id"], r["i"]) for r in encoded.selectExpr("doc_id", f"{ids} i").collect()} == both
+
+
 def test_stages_take_empty_and_odd_rows(spark):
     docs = table(spark, SF, "documents")
     odd = spark.createDataFrame([(None, None, None, None, None), (5, "", "en", None, 0), (5, "", "en", None, 0), (6, None, None, "x", None)], docs.schema)
