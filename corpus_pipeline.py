@@ -67,7 +67,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = vocabulary_path()
     ids = stash(bpe.encode(docs, path, keep=("doc_id", "lang", "source")))
     both = ids.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("tokens", F.col("ids"))
-    return bpe.decode(both, path).select(
+    return bpe.decode(both, path, alone=True).select(
         "doc_id", "lang", "source", "n_tokens", F.col("tokens").alias("ids"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 

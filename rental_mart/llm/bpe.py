@@ -320,6 +320,7 @@ def _strings(packed: str) -> Strings:
 
 
 keeps("bpe", lambda: (_vocabulary.cache_clear(), _strings.cache_clear()))
+keeps("bpe decoder", _strings.cache_clear)
 
 
 def _packed(df: DataFrame, path: str):
@@ -355,17 +356,18 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out_col: str = "ids
     return src.mapInArrow(run, out)
 
 
-def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded", alone: bool = False) -> DataFrame:
     """Replaces the ids by the text that they stand for (token strings joined by one space).
 
     A null or empty list gives an empty text. All other columns pass through; one that already has
-    the name of ``out_col`` is replaced.
+    the name of ``out_col`` is replaced. ``alone``: no task of the stage encodes too, so workers let
+    go of the encoder's tables.
     """
     packed = _packed(df, path)
     rest = [c for c in df.columns if c not in (ids_col, out_col)]
     out = T.StructType([*df.select(*rest).schema.fields, T.StructField(out_col, T.StringType(), False)])
 
-    @task("bpe")
+    @task("bpe decoder" if alone else "bpe")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = _strings(packed.value)
         for batch in batches:

@@ -104,11 +104,9 @@ def running(df: DataFrame, keys: list[str], chunk: str, order: list, value: str,
 
 
 def _source_frame(df: DataFrame, sources: list[dict]) -> DataFrame:
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        [tuple(s.values()) for s in sources],
-        "source string, source_no int, source_size bigint, target double, blocks bigint, quota bigint, cut bigint",
-    )
+    # Arrow rows go to the JVM as they are; from Python rows executors start more Python processes.
+    kinds = {"source": pa.string(), "source_no": pa.int32(), "source_size": pa.int64(), "target": pa.float64(), "blocks": pa.int64(), "quota": pa.int64(), "cut": pa.int64()}
+    return df.sparkSession.createDataFrame(pa.table({c: pa.array([s[c] for s in sources], kind) for c, kind in kinds.items()}))
 
 
 def _numbered(sized: DataFrame, sources: list[dict]) -> DataFrame:
